@@ -44,27 +44,26 @@ def insert_if_absent(batch: DataFrame, existing: DataFrame, keys: list[str],
 
 
 def load_staging(batch: DataFrame, table_path: str, keys: list[str], order: list,
-                 existing: DataFrame | None = None) -> dict:
+                 existing: DataFrame | None = None, drop_cols: list[str] | None = None) -> dict:
     """Append new rows to a Parquet staging table; returns attempted/inserted counts.
 
     Re-running the same batch inserts nothing (idempotent). ``rows_attempted`` counts the
-    rows offered, ``rows_inserted`` those actually appended.
+    rows offered, ``rows_inserted`` those appended; both come from observations on the
+    one write job. ``drop_cols`` (ordering-only columns) are not written.
     """
+    from pyspark.sql import Observation
     spark = batch.sparkSession
+    out_cols = [c for c in batch.columns if c not in (drop_cols or [])]
     if existing is None:
         try:
             existing = spark.read.parquet(table_path)
         except Exception:  # first load: empty target
             existing = spark.createDataFrame([], batch.select(*keys).schema)
-    new_rows = insert_if_absent(batch, existing, keys, order)
-    new_rows = new_rows.select(*batch.columns)
-    obs = F.count(F.lit(1)).alias("inserted")
-    from pyspark.sql import Observation
-    o = Observation("staging_load")
-    new_rows.observe(o, obs).write.mode("append").parquet(table_path)
-    inserted = o.get.get("inserted", 0)
-    attempted = batch.count()
-    return {"rows_attempted": attempted, "rows_inserted": inserted}
+    seen, kept = Observation("attempted"), Observation("inserted")
+    offered = batch.observe(seen, F.count(F.lit(1)).alias("n"))
+    new_rows = insert_if_absent(offered, existing, keys, order).select(*out_cols)
+    new_rows.observe(kept, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(table_path)
+    return {"rows_attempted": int(seen.get.get("n", 0) or 0), "rows_inserted": int(kept.get.get("n", 0) or 0)}
 
 
 def metadata_row(spark, table_name: str, row_count: int) -> DataFrame:

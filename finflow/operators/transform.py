@@ -12,7 +12,7 @@ from finflow.functions import rules as R
 from finflow.operators import quality as Q
 
 # Columns added by readers that describe where a row came from; never part of row identity.
-LINEAGE = ("source_file", "event_type", "_corrupt_record")
+LINEAGE = ("source_file", "event_type", "_corrupt_record", "row_pos")
 
 
 def _date_columns(dataset: str) -> dict[str, T.DataType]:
@@ -38,8 +38,12 @@ def clean(df: DataFrame, dataset: str, extra_rules: list[R.Rule] | None = None,
     data_cols = [c for c in df.columns if c not in LINEAGE]
     if dedupe:
         subset = data_cols + (["source_file"] if "source_file" in df.columns else [])
-        df = df.dropDuplicates(subset)
-    df = df.dropna(how="all", subset=data_cols)
+        if "row_pos" in df.columns:
+            # keep the earliest copy, so "first row wins" later still sees file order
+            df = df.groupBy(*[F.col(f"`{c}`") for c in subset]).agg(F.min("row_pos").alias("row_pos"))
+        else:
+            df = df.dropDuplicates(subset)
+    df = df.dropna(how="all", subset=[f"`{c}`" for c in data_cols])
     df = N.apply_aliases(df, dataset)
     if dataset == "customers":
         df = N.split_name(df)

@@ -417,14 +417,11 @@ SELECT is_dirty, count(*) AS n_rows, CAST(sum(amount) AS DECIMAL(18,2)) AS amoun
 FROM ({SQL_CLEAN_PAYMENTS}) GROUP BY is_dirty
 """)
 def q5_clean_dirty_split(spark, sf):
+    """Both sides of the split summarised in one pass: a single aggregation keyed by the
+    flag (writing both sides would persist ``c`` and filter twice, see Q.split_clean_dirty)."""
     c = _clean_payments(spark, sf)
-    clean_rows, dirty_rows = Q.split_clean_dirty(c)
-
-    def summary(df, flag):
-        return df.agg(F.lit(flag).alias("is_dirty"), F.count(F.lit(1)).alias("n_rows"),
-                      F.sum("amount").cast("decimal(18,2)").alias("amount"))
-
-    return summary(clean_rows, False).unionByName(summary(dirty_rows, True)).filter("n_rows > 0")
+    return c.groupBy("is_dirty").agg(F.count(F.lit(1)).alias("n_rows"),
+                                     F.sum("amount").cast("decimal(18,2)").alias("amount"))
 
 
 SQL_PROFILE = f"""
