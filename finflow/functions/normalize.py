@@ -18,9 +18,15 @@ def _c(col) -> Column:
 # --- B1: dataset from file name ------------------------------------------------
 
 def file_stem(path) -> Column:
-    """Lower-cased base name without its last extension."""
-    base = F.element_at(F.split(_c(path), "/"), -1)
-    return F.lower(F.regexp_replace(base, r"\.[^.]*$", ""))
+    """Lower-cased base name without its last extension.
+
+    Part files written by an engine (``part-*``) carry no name of their own; their
+    folder's name is used instead.
+    """
+    parts = F.split(_c(path), "/")
+    base = F.element_at(parts, -1)
+    named = F.when(base.startswith("part-"), F.element_at(parts, -2)).otherwise(base)
+    return F.lower(F.regexp_replace(named, r"\.[^.]*$", ""))
 
 
 def normalised_stem(path) -> Column:

@@ -98,6 +98,15 @@ def csv_header(first_line: str | None) -> list[str]:
     return [c.strip().strip('"').strip() for c in first_line.split(",")]
 
 
+def landed_rows(spark: SparkSession, landing: str, dataset: str) -> tuple[DataFrame, DataFrame]:
+    """Rows and file table of one dataset under ``landing``."""
+    inv = FS.gate(FS.manifest(spark, landing, with_content=True))
+    found = FS.discover(inv.filter("is_valid")).filter(F.col("dataset") == dataset)
+    file_rows = [r.asDict() for r in found.select("path", "dataset", "file_type", "first_line").collect()]
+    rows, meta = read_dataset(spark, dataset, file_rows)
+    return rows, spark.createDataFrame(meta, VERDICT_SCHEMA)
+
+
 def file_verdicts(rows: DataFrame, meta: DataFrame, dataset: str, strict: bool = True) -> DataFrame:
     """Q6-Q12 per file in one job: counts, nulls, duplicates, required / critical columns,
     schema match, malformed rows, then the joined error message and the verdict."""
@@ -173,7 +182,9 @@ def run_batch(spark: SparkSession, landing: str, out_root: str, strict: bool = T
         verdict = file_verdicts(rows, meta_df, dataset, strict).persist()
         accepted = verdict.filter("is_valid").select("source_file")
         good_rows = rows.join(F.broadcast(accepted), "source_file", "left_semi").drop(RD.CORRUPT)
-        cleaned = clean(good_rows, dataset).persist()
+        # strict mode rejected every file holding a duplicate, so de-duplication would be a
+        # no-op shuffle over all accepted rows; lenient mode de-duplicates per file
+        cleaned = clean(good_rows, dataset, dedupe=not strict).persist()
         ok, dirty = Q.split_clean_dirty(cleaned)
         target = schemas.STAGING[dataset]
         typed = typed_for_target(ok, target)

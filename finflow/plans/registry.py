@@ -191,6 +191,56 @@ def a13_load_metadata_latest(spark, sf):
     return ST.latest_load_metadata(log)
 
 
+def _land_sales_csv(spark, sf) -> str:
+    """Render orders as landed sales text and write them as CSV part files into a
+    ``sales_<year>_<stamp>`` folder under the shared scratch dir (Spark derives the files)."""
+    root = scratch_path(spark, "landing")
+    raw = feeds.sales_raw(t(spark, sf, "orders"))
+    (raw.repartition(4, "sale_channel").write.mode("overwrite").option("header", True)
+        .csv(f"{root}/erp/sales_2026_20260226_102345"))
+    return root
+
+
+@register("a1_b1_landed_csv_sales")
+def a1_b1_landed_csv_sales(spark, sf):
+    """A1 + A5-A7 + B1 + B2 + clean: landed CSV files -> manifest -> gate -> dataset
+    inference -> header-grouped CSV read -> the cleaning path."""
+    from finflow.plans.batch_run import landed_rows
+    rows, _meta = landed_rows(spark, _land_sales_csv(spark, sf), "sales")
+    c = clean(rows.drop("_corrupt_record"), "sales")
+    return c.select("sale_id", "customer_id", "sale_date", "sale_price", "sale_status", "sale_channel",
+                    "is_dirty", F.array_join("violations", ",").alias("violations"))
+
+
+@register("q9_q12_landed_file_verdicts")
+def q9_q12_landed_file_verdicts(spark, sf):
+    """Q6-Q12 per landed file (rows-only: file names are engine-generated)."""
+    from finflow.plans.batch_run import file_verdicts, landed_rows
+    rows, meta = landed_rows(spark, _land_sales_csv(spark, sf), "sales")
+    v = file_verdicts(rows, meta, "sales")
+    return v.select("dataset", "file_type", "row_count", "duplicate_records", "total_null_values",
+                    "malformed_rows", "missing_required_columns", "unexpected_columns", "schema_valid",
+                    "is_valid", F.array_join("validation_errors", "; ").alias("validation_errors"))
+
+
+@register("a5_a8_file_gate")
+def a5_a8_file_gate(spark, sf):
+    """A5, A7, A8 over the files of the given tables (rows-only: paths are host-specific)."""
+    from finflow.sources import files as FS
+    m = FS.gate(FS.manifest(spark, sf))
+    return m.select(FS.basename("path").alias("file_name"), "length", FS.file_type("path").alias("file_type"),
+                    FS.staged_name("path").alias("staged_name"),
+                    FS.archive_name("path", F.col("modificationTime")).alias("archive_name"),
+                    "is_valid", "reason")
+
+
+@register("a15_table_growth_capture")
+def a15_table_growth_capture(spark, sf):
+    """A15 over the given tables (rows-only: byte sizes are storage-specific)."""
+    tables = {n: f"{sf.rstrip('/')}/{n}.parquet" for n in feeds.TABLES}
+    return SN.capture_table_sizes(spark, tables).drop("captured_at")
+
+
 # =======================================================================================
 # 2.2 Projections and normalisation
 # =======================================================================================
@@ -1089,3 +1139,7 @@ def p4_partitioned_copy(spark, sf):
                        "payment_date", asof)
     table = P.partitioned_copy(u.select(*cols), path, "payment_id", "payment_date", asof)
     return table.groupBy("partition_label").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# The landed-CSV path must give exactly the rows of the in-memory cleaning path.
+ORACLE["a1_b1_landed_csv_sales"] = ORACLE["b6_b9_clean_sales"]
