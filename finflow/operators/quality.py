@@ -73,7 +73,7 @@ def unique_key_violations(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Q18. Child rows whose non-null FK has no parent (a null FK is allowed)."""
-    p = parent.select(F.col(parent_key).alias("__pk")).distinct()
+    p = parent.select(F.col(parent_key).alias("__pk"))  # an anti join needs no distinct parents
     return (child.filter(F.col(child_key).isNotNull())
                  .join(p, F.col(child_key) == F.col("__pk"), "left_anti"))
 

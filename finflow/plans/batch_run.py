@@ -38,6 +38,7 @@ from finflow.operators import staging as ST
 from finflow.operators.transform import clean
 from finflow.sources import files as FS
 from finflow.sources import readers as RD
+from finflow.session import bounded_broadcast
 
 VERDICT_SCHEMA = T.StructType([
     T.StructField("source_file", T.StringType()), T.StructField("dataset", T.StringType()),
@@ -181,7 +182,8 @@ def run_batch(spark: SparkSession, landing: str, out_root: str, strict: bool = T
         meta_df = spark.createDataFrame(meta, VERDICT_SCHEMA)
         verdict = file_verdicts(rows, meta_df, dataset, strict).persist()
         accepted = verdict.filter("is_valid").select("source_file")
-        good_rows = rows.join(F.broadcast(accepted), "source_file", "left_semi").drop(RD.CORRUPT)
+        # one row per accepted file: broadcast only below a proven bound
+        good_rows = rows.join(bounded_broadcast(accepted, 100_000), "source_file", "left_semi").drop(RD.CORRUPT)
         # strict mode rejected every file holding a duplicate, so de-duplication would be a
         # no-op shuffle over all accepted rows; lenient mode de-duplicates per file
         cleaned = clean(good_rows, dataset, dedupe=not strict).persist()
