@@ -49,11 +49,21 @@ def applicable(rules: list[Rule], columns: list[str]) -> list[Rule]:
     return [r for r in rules if all(c in have for c in r.columns)]
 
 
+def compact(*items: Column) -> Column:
+    """``array(items)`` without nulls, in order.
+
+    ``array_except`` against ``[null]`` stays inside whole-stage codegen, unlike
+    ``array_compact`` (a lambda ``filter``, which is interpreted per row). It also drops
+    repeats, which never occur among distinct rule names.
+    """
+    return F.array_except(F.array(*items), F.array(F.lit(None).cast("string")))
+
+
 def violations(rules: list[Rule]) -> Column:
     """Array of names of violated rules (empty array when the row is clean)."""
     if not rules:
         return F.array().cast("array<string>")
-    return F.array_compact(F.array(*[F.when(r.violated(), F.lit(r.name)) for r in rules]))
+    return compact(*[F.when(r.violated(), F.lit(r.name)) for r in rules])
 
 
 def evaluate(df: DataFrame, rules: list[Rule], out: str = "violations") -> DataFrame:

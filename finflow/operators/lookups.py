@@ -16,11 +16,20 @@ BROADCAST_MAX_ROWS = 1_000_000
 
 def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
            take: dict[str, str], how: str = "left",
-           max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+           max_broadcast_rows: int | None = None) -> DataFrame:
     """Resolve ``fact_key`` against a type-1 dimension; ``take`` maps dim column ->
-    output name. The dimension side is broadcast only behind a row-count bound."""
+    output name.
+
+    ``max_broadcast_rows`` is for dimensions read straight from storage: the bound is
+    checked with a ``limit`` that stops reading early. A computed dimension (an
+    aggregate, an SCD2 build) is left to AQE, which converts the join to a broadcast
+    only after measuring the materialised side, so the dimension is never computed
+    twice just to be counted.
+    """
     cols = [F.col(dim_key).alias("__dk")] + [F.col(c).alias(o) for c, o in take.items()]
-    d = bounded_broadcast(dim.select(*cols), max_broadcast_rows)
+    d = dim.select(*cols)
+    if max_broadcast_rows is not None:
+        d = bounded_broadcast(d, max_broadcast_rows)
     return fact.join(d, F.col(fact_key) == F.col("__dk"), how).drop("__dk")
 
 

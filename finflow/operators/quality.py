@@ -80,7 +80,8 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 
 def null_violations(df: DataFrame, mandatory: list[str]) -> Column:
     """Q23. Array of mandatory columns that are null in the row."""
-    return F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in mandatory]))
+    from finflow.functions.rules import compact
+    return compact(*[F.when(F.col(c).isNull(), F.lit(c)) for c in mandatory])
 
 
 def rule_counts(df: DataFrame, violations_col: str = "violations") -> DataFrame:

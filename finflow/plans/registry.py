@@ -212,6 +212,24 @@ def a1_b1_landed_csv_sales(spark, sf):
                     "is_dirty", F.array_join("violations", ",").alias("violations"))
 
 
+@register("a2_landed_json_events", """
+SELECT event_id, user_id, event_type, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS props_k
+FROM events
+""")
+def a2_landed_json_events(spark, sf):
+    """A2: events landed as JSON Lines with ``props`` as a nested object, read back with
+    every scalar as text and nested objects flattened to dotted names."""
+    from finflow.sources import readers as RD
+    root = scratch_path(spark, "landing_json")
+    ev = t(spark, sf, "events").withColumn("props", F.from_json("props", "k int"))
+    ev.write.mode("overwrite").json(f"{root}/iot/telemetry_2024_20240130")
+    js = RD.read_json(spark, [f"{root}/iot/telemetry_2024_20240130"], multiline=False)
+    return js.select(F.col("event_id").cast("bigint").alias("event_id"),
+                     F.col("user_id").cast("bigint").alias("user_id"), "event_type",
+                     F.col("value").cast("double").alias("value"),
+                     F.col("`props.k`").cast("int").alias("props_k"))
+
+
 @register("q9_q12_landed_file_verdicts")
 def q9_q12_landed_file_verdicts(spark, sf):
     """Q6-Q12 per landed file (rows-only: file names are engine-generated)."""

@@ -86,7 +86,8 @@ def dim_dealer(nation: DataFrame, region: DataFrame) -> DataFrame:
 
 def dim_supplier(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     """Type 1 supplier dimension with its country."""
-    src = L.lookup(supplier, nation, "s_nationkey", "n_nationkey", {"n_name": "country"})
+    src = L.lookup(supplier, nation, "s_nationkey", "n_nationkey", {"n_name": "country"},
+                   max_broadcast_rows=L.BROADCAST_MAX_ROWS)
     src = src.select(F.col("s_suppkey").alias("supplier_id"), F.col("s_name").alias("supplier_name"),
                      "country", F.col("s_acctbal").cast("decimal(18,2)").alias("account_balance"))
     out = scd.latest_per_key(src, ["supplier_id"], ["supplier_name", "country", "account_balance"])
