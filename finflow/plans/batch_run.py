@@ -1,11 +1,28 @@
-"""Run-level reporting: failure classification, SLA breaches (Q14, Q15)."""
+"""Batch runs over landed files and run-level reporting (3.1 lifecycle, Q6-Q15).
+
+manifest -> gate -> read per dataset -> per-file verdict -> clean -> split ->
+insert-if-absent into staging, quarantine, load log, run summary.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as _dt
+import json
+import os
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from finflow import schemas
+from finflow.functions import normalize as N
+from finflow.operators import quality as Q
+from finflow.operators import staging as ST
+from finflow.operators.transform import clean
+from finflow.session import bounded_broadcast
+from finflow.sources import files as FS
+from finflow.sources import readers as RD
 
 
 def failure_title(message) -> Column:
@@ -20,26 +37,6 @@ def sla_breaches(runs: DataFrame, threshold_seconds: float = schemas.SLA_SECONDS
     return runs.filter(F.col("processing_time_seconds") > F.lit(threshold_seconds))
 
 
-# ---------------------------------------------------------------------------------------
-# Batch run over landed files: manifest -> gate -> read per dataset -> per-file verdict ->
-# clean -> split -> insert-if-absent into staging, quarantine, metrics (3.1 lifecycle).
-# ---------------------------------------------------------------------------------------
-
-import json
-import os
-import uuid
-
-from pyspark.sql import SparkSession
-from pyspark.sql import types as T
-
-from finflow.functions import normalize as N
-from finflow.operators import quality as Q
-from finflow.operators import staging as ST
-from finflow.operators.transform import clean
-from finflow.sources import files as FS
-from finflow.sources import readers as RD
-from finflow.session import bounded_broadcast
-
 VERDICT_SCHEMA = T.StructType([
     T.StructField("source_file", T.StringType()), T.StructField("dataset", T.StringType()),
     T.StructField("file_type", T.StringType()), T.StructField("columns", T.ArrayType(T.StringType())),
@@ -159,7 +156,8 @@ def file_verdicts(rows: DataFrame, meta: DataFrame, dataset: str, strict: bool =
 
 
 def run_batch(spark: SparkSession, landing: str, out_root: str, strict: bool = True,
-              run_keys: DataFrame | None = None, run_id: str | None = None) -> dict:
+              run_keys: DataFrame | None = None, run_id: str | None = None,
+              dag_id: str = "finflow_batch") -> dict:
     """One ETL run over ``landing``: returns the summary dict (also the ETL_SUMMARY line).
 
     Staging tables live at ``out_root/staging/<dataset>``, rejected rows at
@@ -167,6 +165,7 @@ def run_batch(spark: SparkSession, landing: str, out_root: str, strict: bool = T
     load log at ``out_root/etl_metadata``. Re-running the same files inserts nothing.
     """
     run_id = run_id or uuid.uuid4().hex[:12]
+    started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     inv = FS.gate(FS.manifest(spark, landing, with_content=True))
     found = FS.discover(inv.filter("is_valid"), run_keys)
     # one row per file (bounded by the number of files, not rows)
@@ -228,6 +227,17 @@ def run_batch(spark: SparkSession, landing: str, out_root: str, strict: bool = T
         summary["errors"] = [f"{m['source_file']}: {'; '.join(m['validation_errors'])}"
                              for m in summary["file_metrics"] if m["validation_errors"]]
     summary["status"] = ("FAILED" if summary["errors"] or summary["gate_rejected"] else "SUCCESS")
+    elapsed = (_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None) - started).total_seconds()
+    summary["processing_time_seconds"] = round(elapsed, 2)
+    summary["sla_breached"] = elapsed > schemas.SLA_SECONDS
+    # The run's metrics row, replacing an earlier row of the same run
+    from finflow.plans.maintenance import record_run
+    record_run(spark, {"pipeline_name": "finflow", "dag_id": dag_id,
+                       "files_processed": int(summary["files_processed"] or 0),
+                       "rows_loaded": int(summary["rows_loaded"]),
+                       "processing_time_seconds": float(summary["processing_time_seconds"]),
+                       "status": summary["status"], "run_timestamp": started},
+               os.path.join(out_root, "pipeline_metrics"))
     summary["line"] = "ETL_SUMMARY::" + json.dumps({k: v for k, v in summary.items() if k != "line"},
                                                    default=str)
     return summary

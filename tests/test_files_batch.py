@@ -86,6 +86,10 @@ def test_batch_run_end_to_end(spark, tmp):
     assert [r.violations for r in q] == [["province_not_allowed"]]
     s2 = run_batch(spark, land, out)
     assert s2["rows_inserted"] == 0 and s2["rows_loaded"] == s["rows_loaded"]
+    runs = spark.read.parquet(os.path.join(out, "pipeline_metrics")).collect()
+    assert len(runs) == 2 and {r.status for r in runs} == {"FAILED"}
+    log = spark.read.parquet(os.path.join(out, "etl_metadata"))
+    assert log.select("table_name").distinct().count() == 4
 
 
 def test_lenient_mode_dedupes(spark, tmp):
