@@ -65,8 +65,10 @@ def partitioned_copy(src: DataFrame, target_path: str, key: str, date_col: str,
         target = None
     new = rows_to_copy(src, target, key, date_col).withColumn(
         "partition_label", partition_label(date_col, asof))
-    (new.repartition("partition_label")
-        .sortWithinPartitions(*(sort_cols or [key]))
+    # rebalance (not repartition) by label: AQE splits a month that holds a large share of
+    # the rows over several tasks instead of writing it from one
+    (new.hint("rebalance", "partition_label")
+        .sortWithinPartitions("partition_label", *(sort_cols or [key]))
         .write.mode("append").partitionBy("partition_label").parquet(target_path))
     return spark.read.parquet(target_path)
 
@@ -76,7 +78,7 @@ def write_monthly(df: DataFrame, path: str, date_col: str, sort_cols: list[str],
     """Month-partitioned write. With dynamic partition overwrite only the months
     present in ``df`` are replaced."""
     (df.withColumn("ym", K.month_label(F.to_date(date_col)))
-       .repartition("ym").sortWithinPartitions(*sort_cols)
+       .hint("rebalance", "ym").sortWithinPartitions("ym", *sort_cols)
        .write.mode(mode).partitionBy("ym").parquet(path))
 
 

@@ -75,6 +75,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads no further than max_rows + 1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
 
@@ -82,5 +87,4 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     the bound is exceeded. Beyond the bound the frame is returned unchanged and the
     join falls back to AQE's choice (sort-merge / shuffled hash).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if at_most(df, max_rows) else df

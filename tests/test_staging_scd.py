@@ -120,3 +120,16 @@ def test_drop_duplicates_null_equal(spark):
     df = spark.createDataFrame([(None, None), (None, None), (1, None)], "a int, b int")
     assert Q.drop_exact_duplicates(df).count() == 2
     assert Q.drop_all_null(df).count() == 1
+
+
+def test_load_counts_with_large_batch_path(spark, tmp_path_factory):
+    """The shuffle path (batch above the small-batch bound) counts like the broadcast path."""
+    path = str(tmp_path_factory.mktemp("stg_big"))
+    batch = spark.range(50).selectExpr("cast(id % 20 as int) as k", "cast(id as int) as pos")
+    first = ST.load_staging(batch, path, ["k"], ["pos"])
+    assert first == {"rows_attempted": 50, "rows_inserted": 20}
+    existing = spark.read.parquet(path)
+    out = ST.insert_if_absent(batch, existing, ["k"], ["pos"], small_batch=False)
+    assert out.count() == 0
+    got = {r.k: r.pos for r in spark.read.parquet(path).collect()}
+    assert got == {k: k for k in range(20)}
