@@ -37,6 +37,8 @@ def sla_breaches(runs: DataFrame, threshold_seconds: float = schemas.SLA_SECONDS
     return runs.filter(F.col("processing_time_seconds") > F.lit(threshold_seconds))
 
 
+EMPTY_AFTER_TRANSFORM = "No valid rows remained after transform"
+
 VERDICT_SCHEMA = T.StructType([
     T.StructField("source_file", T.StringType()), T.StructField("dataset", T.StringType()),
     T.StructField("file_type", T.StringType()), T.StructField("columns", T.ArrayType(T.StringType())),
@@ -148,7 +150,6 @@ def file_verdicts(rows: DataFrame, meta: DataFrame, dataset: str, strict: bool =
                F.concat(F.lit("critical null violations: "), F.to_json("critical_null_violations"))),
         F.when((F.col("shared_columns") == 0) & (F.size("missing_required_columns") == 0),
                F.lit("schema validation failed because no target columns matched the extracted file")),
-        F.when(F.col("row_count") == 0, F.lit("file is empty")),
     ))
     return (v.withColumn("validation_errors", errors)
              .withColumn("schema_valid", (F.col("shared_columns") > 0) & (F.size("missing_required_columns") == 0))
@@ -202,7 +203,15 @@ def run_batch(spark: SparkSession, landing: str, out_root: str, strict: bool = T
         per_file = cleaned.groupBy("source_file").agg(
             F.count(F.lit(1)).alias("rows_after_clean"),
             F.count(F.when(F.col("is_dirty"), 1)).alias("dirty_rows"))
-        verdict_frames.append(verdict.join(per_file, "source_file", "left"))
+        # Q12: a file that passed the checks but kept no row after cleaning is rejected too
+        v = verdict.join(per_file, "source_file", "left")
+        emptied = F.col("is_valid") & (F.coalesce(F.col("rows_after_clean"), F.lit(0)) == 0)
+        v = (v.withColumn("validation_errors",
+                          F.when(emptied, F.array_union("validation_errors",
+                                                        F.array(F.lit(EMPTY_AFTER_TRANSFORM))))
+                           .otherwise(F.col("validation_errors")))
+              .withColumn("is_valid", F.col("is_valid") & ~emptied))
+        verdict_frames.append(v)
         metrics.append({"dataset": dataset, **load})
         ST.metadata_row(spark, dataset, load["rows_attempted"]).write.mode("append").parquet(
             os.path.join(out_root, "etl_metadata"))
@@ -226,6 +235,8 @@ def run_batch(spark: SparkSession, landing: str, out_root: str, strict: bool = T
         summary["file_metrics"] = json.loads(s["file_metrics_json"])
         summary["errors"] = [f"{m['source_file']}: {'; '.join(m['validation_errors'])}"
                              for m in summary["file_metrics"] if m["validation_errors"]]
+    summary["errors"] += [f"{r['path']}: no table mapping found for inferred dataset {r['dataset']}"
+                          for r in unmapped]
     summary["status"] = ("FAILED" if summary["errors"] or summary["gate_rejected"] else "SUCCESS")
     elapsed = (_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None) - started).total_seconds()
     summary["processing_time_seconds"] = round(elapsed, 2)

@@ -69,7 +69,8 @@ def test_batch_run_end_to_end(spark, tmp):
     fm = {os.path.basename(m["source_file"]): m for m in s["file_metrics"]}
     assert fm["sales_dup_2026_20260226_102346.csv"]["validation_errors"] == ["duplicate records detected: 1"]
     assert "missing required columns" in fm["sales_2026_20260227_000000.CSV"]["validation_errors"][0]
-    assert fm["empty_sales_2026.csv"]["validation_errors"] == ["file is empty"]
+    assert fm["empty_sales_2026.csv"]["validation_errors"] == ["No valid rows remained after transform"]
+    assert any("no table mapping" in e for e in s["errors"])
     assert fm["customer_interactions_2026_20260226.json"]["is_valid"] is False
     assert [os.path.basename(p) for p in s["unmapped_files"]] == ["mystery_table_2026.csv"]
     assert s["status"] == "FAILED" and s["line"].startswith("ETL_SUMMARY::")
