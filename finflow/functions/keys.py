@@ -25,3 +25,11 @@ def month_label(col) -> Column:
     """``YYYY_MM`` partition label."""
     c = F.col(col) if isinstance(col, str) else col
     return F.date_format(c, "yyyy_MM")
+
+
+def hour_start(col) -> Column:
+    """Start of the hour of a zone-less timestamp, computed on its wall-clock fields
+    (``date_trunc`` would pass through the session time zone)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c),
+                                F.lit(0), F.lit(0))

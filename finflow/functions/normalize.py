@@ -128,7 +128,11 @@ def parse_timestamp(col, formats: list[str] | None = None) -> Column:
     """First format that parses wins; unparseable or impossible dates become null."""
     c = F.trim(_c(col).cast("string"))
     fmts = formats or schemas.TIMESTAMP_FORMATS
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in fmts]).cast("timestamp_ntz")
+    # try_to_timestamp decides validity (impossible dates -> null); the value itself comes
+    # from to_timestamp_ntz, which keeps the wall clock in any session time zone (also in
+    # a daylight-saving gap). CASE WHEN evaluates it only for text that parses.
+    return F.coalesce(*[F.when(F.try_to_timestamp(c, F.lit(f)).isNotNull(), F.to_timestamp_ntz(c, F.lit(f)))
+                        for f in fmts])
 
 
 def parse_date(col, formats: list[str] | None = None) -> Column:

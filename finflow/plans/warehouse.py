@@ -186,7 +186,7 @@ def fact_telemetry(events: DataFrame) -> DataFrame:
     The pivot list is fixed, so Spark needs no distinct-values pass.
     """
     long = events.select(F.col("user_id").alias("vehicle_id"),
-                         F.date_trunc("hour", "ts").alias("telemetry_timestamp"),
+                         K.hour_start("ts").alias("telemetry_timestamp"),
                          F.col("event_type").alias("sensor_type"), F.col("value").alias("sensor_value"))
     wide = (long.groupBy("vehicle_id", "telemetry_timestamp")
                 .pivot("sensor_type", TELEMETRY_SENSORS).agg(F.max("sensor_value")))

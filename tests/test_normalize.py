@@ -84,3 +84,14 @@ def test_trim_and_nan(spark):
     df = spark.createDataFrame([(" a ", float("nan")), ("b", 1.0)], "s string, x double")
     out = N.nan_to_null(N.trim_strings(df)).collect()
     assert [(r.s, r.x) for r in out] == [("a", None), ("b", 1.0)]
+
+
+def test_parse_keeps_wall_clock_in_any_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        df = spark.createDataFrame([("2024-03-10 02:30:00",), ("31-02-2025",), ("10-03-2024",)], "s string")
+        out = [r.o for r in df.select(N.parse_timestamp("s").alias("o")).collect()]
+        assert out == [dt.datetime(2024, 3, 10, 2, 30), None, dt.datetime(2024, 3, 10, 0, 0)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
