@@ -70,5 +70,7 @@ def evaluate(df: DataFrame, rules: list[Rule], out: str = "violations") -> DataF
     """Add ``violations`` and fold it into ``is_dirty`` (a prior dirty flag is kept)."""
     rs = applicable(rules, df.columns)
     df = df.withColumn(out, violations(rs))
-    prior = F.coalesce(F.col("is_dirty"), F.lit(False)) if "is_dirty" in df.columns else F.lit(False)
+    # a landed file may carry its own flag, as text
+    prior = (F.coalesce(F.col("is_dirty").try_cast("boolean"), F.lit(False))
+             if "is_dirty" in df.columns else F.lit(False))
     return df.withColumn("is_dirty", prior | (F.size(out) > 0))

@@ -95,3 +95,20 @@ def test_parse_keeps_wall_clock_in_any_zone(spark):
         assert out == [dt.datetime(2024, 3, 10, 2, 30), None, dt.datetime(2024, 3, 10, 0, 0)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_clean_with_dotted_columns_and_text_flag(spark):
+    from finflow.operators.transform import clean
+    df = spark.createDataFrame(
+        [("I1", "C1", "Phone", "2026-02-01 09:00:00", "7", "false", "f.json"),
+         ("I1", "C1", "Phone", "2026-02-01 09:00:00", "7", "false", "f.json"),
+         ("I2", "C2", "Fax", "2026-02-01", None, "true", "f.json")],
+        "interaction_id string, customer_id string, type string, timestamp string, `meta.agent.id` string, "
+        "is_dirty string, source_file string")
+    out = clean(df, "interactions").orderBy("interaction_id").collect()
+    assert len(out) == 2
+    assert out[0].interaction_type == "Phone" and out[0].is_dirty is False
+    assert out[0]["meta.agent.id"] == "7" and out[0].interaction_date == dt.datetime(2026, 2, 1, 9, 0)
+    assert out[1].is_dirty is True and out[1].violations == ["interaction_type_not_allowed"]
+    strict = clean(df.dropDuplicates(), "interactions", dedupe=False)
+    assert strict.count() == 2
