@@ -20,14 +20,23 @@ def asof_or_max(df: DataFrame, date_col: str, asof=None) -> Column:
 
 def daily_count_sum(df: DataFrame, date_col: str, amount_col: str, days: int | None,
                     asof=None, out_date: str = "day", out_count: str = "n",
-                    out_sum: str = "total") -> DataFrame:
+                    out_sum: str = "total", month_partition: str | None = None) -> DataFrame:
     """G1: per day count and decimal sum over the last ``days`` days (all days if None),
-    newest first."""
+    newest first.
+
+    ``month_partition`` names a ``YYYY_MM`` partition column of ``df``: the date window is
+    then also stated on it, so the scan prunes whole months (Spark does not derive a
+    partition predicate from a predicate on another column). Out-of-calendar labels such
+    as ``default`` sort after every month and are always read.
+    """
     d = F.to_date(date_col)
     src = df
     if days is not None:
         ref = asof_or_max(df, date_col, asof)
-        src = df.filter(d >= F.date_sub(ref, days))
+        lo = F.date_sub(ref, days)
+        src = df.filter(d >= lo)
+        if month_partition:
+            src = src.filter(F.col(month_partition) >= F.date_format(lo, "yyyy_MM"))
     return (src.groupBy(d.alias(out_date))
                .agg(F.count(F.lit(1)).alias(out_count),
                     F.sum(_c(amount_col)).alias(out_sum))

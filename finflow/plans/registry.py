@@ -829,6 +829,20 @@ def g1_payments_daily_90d(spark, sf):
     return out.withColumn("total_payment_amount", F.col("total_payment_amount").cast("decimal(18,2)"))
 
 
+@register("g1_payments_daily_90d_pruned")
+def g1_payments_daily_90d_pruned(spark, sf):
+    """P1 + G1: payments written month-partitioned, then the 90-day rollup reading only the
+    months it needs (the as-of day comes from the partitioned table itself)."""
+    path = scratch_path(spark, "fact_payments_monthly")
+    P.write_monthly(feeds.payment_facts(t(spark, sf, "lineitem")).select("payment_date", "payment_amount"),
+                    path, "payment_date", ["payment_date"])
+    p = spark.read.parquet(path)
+    ref = p.filter(F.col("ym") == p.select(F.max("ym")).scalar()).select(F.max(F.to_date("payment_date"))).scalar()
+    out = M.daily_count_sum(p, "payment_date", "payment_amount", days=90, asof=ref, out_date="payment_date",
+                            out_count="payment_count", out_sum="total_payment_amount", month_partition="ym")
+    return out.withColumn("total_payment_amount", F.col("total_payment_amount").cast("decimal(18,2)"))
+
+
 @register("g1_payments_daily_all", f"""
 WITH p AS ({SQL_PAY_DAYS})
 SELECT d AS payment_date, count(*) AS payment_count, CAST(sum(a) AS DECIMAL(18,2)) AS total_payment_amount
@@ -1161,3 +1175,5 @@ def p4_partitioned_copy(spark, sf):
 
 # The landed-CSV path must give exactly the rows of the in-memory cleaning path.
 ORACLE["a1_b1_landed_csv_sales"] = ORACLE["b6_b9_clean_sales"]
+
+ORACLE["g1_payments_daily_90d_pruned"] = ORACLE["g1_payments_daily_90d"]
