@@ -1177,3 +1177,89 @@ def p4_partitioned_copy(spark, sf):
 ORACLE["a1_b1_landed_csv_sales"] = ORACLE["b6_b9_clean_sales"]
 
 ORACLE["g1_payments_daily_90d_pruned"] = ORACLE["g1_payments_daily_90d"]
+
+
+# =======================================================================================
+# 2.10 Streaming (AvailableNow runs over events landed as JSON Lines files)
+# =======================================================================================
+
+# Event type of the driver's table -> dataset event type of the stream (a fixed, illustrative
+# assignment; ``error`` has no dataset and must reach the dead-letter sink).
+STREAM_TYPES = {"click": "interactions", "view": "telemetry", "purchase": "sales",
+                "signup": "customers", "error": "error"}
+_STREAM_CASE = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in STREAM_TYPES.items())
+
+
+def _land_events(spark, sf) -> str:
+    """Events as stream messages (one JSON object per line) in a fresh scratch folder."""
+    root = scratch_path(spark, "stream_in")
+    m = F.create_map(*[F.lit(x) for kv in STREAM_TYPES.items() for x in kv])
+    ev = t(spark, sf, "events")
+    msgs = ev.select(F.try_element_at(m, F.col("event_type")).alias("event_type"),
+                     F.col("event_id").cast("string").alias("interaction_id"),
+                     F.col("user_id").cast("string").alias("customer_id"),
+                     F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+                     F.col("value").cast("string").alias("sensor_value"))
+    msgs.write.mode("overwrite").json(root)
+    return root
+
+
+def _event_stream(spark, src):
+    from finflow.streaming import events as EV
+    raw = EV.json_file_source(spark, src)
+    return EV.decode(raw.select(F.to_json(F.struct(*[c for c in raw.columns if c != "received_at"]))
+                                .alias("value"), "received_at"))
+
+
+@register("t1_t2_stream_routing", f"""
+SELECT CASE WHEN t IN {_in(schemas.STREAM_EVENT_TYPES)} THEN t ELSE '_dead_letter' END AS sink,
+  count(*) AS n_events
+FROM (SELECT CASE event_type {_STREAM_CASE} END AS t FROM events) GROUP BY 1
+""")
+def t1_t2_stream_routing(spark, sf):
+    """Decode, route per dataset folder (its own format), unknown types
+    to the dead-letter sink; one AvailableNow run drains the folder; counts read back."""
+    from finflow.streaming import events as EV
+    src = _land_events(spark, sf)
+    out, ck = scratch_path(spark, "stream_out"), scratch_path(spark, "stream_ck")
+    EV.start_router(_event_stream(spark, src), out, ck, available_now=True).awaitTermination()
+    parts = []
+    for et in sorted(set(STREAM_TYPES.values()) & set(schemas.STREAM_EVENT_TYPES)):
+        fmt = EV.SINK_FORMATS[et]
+        r = spark.read.format(fmt)
+        if fmt == "csv":
+            r = r.option("header", True)
+        parts.append(r.load(f"{out}/{et}/*").agg(F.lit(et).alias("sink"), F.count(F.lit(1)).alias("n_events")))
+    parts.append(spark.read.parquet(f"{out}/_dead_letter/*")
+                 .agg(F.lit("_dead_letter").alias("sink"), F.count(F.lit(1)).alias("n_events")))
+    res = parts[0]
+    for x in parts[1:]:
+        res = res.unionByName(x)
+    return res
+
+
+@register("t4_bounded_batches", f"""
+SELECT t AS event_type, CAST(count(*) // 100 AS BIGINT) AS full_batches,
+  CAST((count(*) // 100) * 100 AS BIGINT) AS rows_released
+FROM (SELECT CASE event_type {_STREAM_CASE} END AS t FROM events)
+WHERE t IN {_in(schemas.STREAM_EVENT_TYPES)}
+GROUP BY t HAVING count(*) >= 100
+""")
+def t4_bounded_batches(spark, sf):
+    """T4: exact 100-row batches per event type from the stateful batcher (one bucket per
+    type, so the expected batches are known exactly); the remainder waits in state for
+    its age bound."""
+    from finflow.streaming import events as EV
+    src = _land_events(spark, sf)
+    out, ck = scratch_path(spark, "batches_out"), scratch_path(spark, "batches_ck")
+    ev = EV.supported(_event_stream(spark, src))
+    batches = EV.bounded_batches(ev, max_rows=100, max_seconds=3600, buckets=1)
+    w = (batches.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
+         .outputMode("append").trigger(availableNow=True))
+    EV.start_drain(spark, w).awaitTermination()
+    b = spark.read.parquet(out)
+    per_batch = b.groupBy("event_type", "flush_seq").agg(F.count(F.lit(1)).alias("n"),
+                                                         F.max("reason").alias("reason"))
+    return per_batch.groupBy("event_type").agg(
+        F.count(F.when(F.col("n") == 100, 1)).alias("full_batches"),
+        F.sum("n").cast("bigint").alias("rows_released"))

@@ -152,6 +152,23 @@ def observed(events: DataFrame, name: str = "arrivals") -> DataFrame:
                                                      F.lit(False)), 1)).alias("unsupported"))
 
 
+def start_drain(spark: SparkSession, writer):
+    """T5 for stateful queries: run ``writer`` (configured with ``availableNow``) without
+    empty micro-batches, so pending processing-time timeouts cannot keep the run alive;
+    rows still buffered stay in the checkpointed state and are released by the next run.
+
+    The setting is captured by the query's own session when it starts, so it is changed
+    only around ``start()``.
+    """
+    key = "spark.sql.streaming.noDataMicroBatches.enabled"
+    old = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, old)
+
+
 # --- T4: exact count-or-age batches per event type (stateful) --------------------------------
 
 BATCH_OUT = T.StructType([

@@ -61,8 +61,8 @@ def test_bounded_batches_exact_size(spark, tmp):
     _write_events(src, "a.json", evs)
     ev = EV.decode(EV.json_file_source(spark, src).select(F.to_json(F.struct("*")).alias("value"), "received_at"))
     out = EV.bounded_batches(ev, max_rows=10, max_seconds=3600, buckets=1)
-    q = (out.writeStream.format("memory").queryName("tele_batches").outputMode("append")
-         .option("checkpointLocation", os.path.join(tmp, "ck")).trigger(availableNow=True).start())
+    q = EV.start_drain(spark, out.writeStream.format("memory").queryName("tele_batches").outputMode("append")
+                       .option("checkpointLocation", os.path.join(tmp, "ck")).trigger(availableNow=True))
     q.awaitTermination(180)
     rows = spark.sql("SELECT flush_seq, count(*) n, first(reason) r FROM tele_batches GROUP BY flush_seq").collect()
     assert sorted((r.flush_seq, r.n, r.r) for r in rows) == [(0, 10, "size"), (1, 10, "size")]
