@@ -83,11 +83,12 @@ def scd2_merge(dim: DataFrame, incoming: DataFrame, keys: list[str], attrs: list
     change = has_c & has_i & ~same & (i_eff > c_eff)
     correct = has_c & has_i & ~same & (i_eff == c_eff)
     new_key = ~has_c & has_i
-    out = F.array_compact(F.array(
+    out = F.array(
         F.when(keep_c, row("c", c_eff, F.col("expiry_date"), True)),
         F.when(change, row("c", c_eff, F.date_sub(i_eff, 1), False)),
         F.when(change | new_key | correct, row("i", i_eff, null_date, True)),
-    ))
-    merged = j.select(F.explode(out).alias("r")).select("r.*")
+    )
+    # explode then drop the empty slots (stays in codegen, unlike a lambda filter)
+    merged = j.select(F.explode(out).alias("r")).filter(F.col("r").isNotNull()).select("r.*")
     return closed.select(*keys, *attrs, eff_col, F.col("expiry_date").cast("date"),
                          "is_current").unionByName(merged)

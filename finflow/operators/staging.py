@@ -33,7 +33,7 @@ def keys_present(keys: list[str]) -> Column:
 
 
 # A batch up to this many rows has its keys broadcast to filter the existing table.
-SMALL_BATCH_ROWS = 2_000_000
+SMALL_BATCH_ROWS = 500_000  # keys broadcast stay in the tens of MB
 
 
 def insert_if_absent(batch: DataFrame, existing: DataFrame, keys: list[str],

@@ -69,12 +69,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, "finflow", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (written to the shared dir, survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads no further than max_rows + 1)."""
     return df.limit(max_rows + 1).count() <= max_rows
