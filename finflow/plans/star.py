@@ -137,7 +137,7 @@ def build_star(spark: SparkSession, staging_root: str, warehouse_root: str, vers
                         F.col("sale_day").alias("sale_date"), K.date_key("sale_day").alias("sale_date_key"),
                         "customer_key", "vehicle_key", "dealer_key", "sale_price",
                         F.lit(None).cast("decimal(18,2)").alias("discount_amount"),
-                        N.net_price("sale_price", F.lit(None).cast("decimal(18,2)")).alias("final_price"),
+                        N.net_price("sale_price", F.lit(None).cast("decimal(18,2)")).cast("decimal(18,2)").alias("final_price"),
                         "payment_method")
         save("fact_sales", fact)
         dates.append(fact.select(F.col("sale_date").alias("d")))

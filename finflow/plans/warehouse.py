@@ -111,7 +111,7 @@ def fact_sales(orders: DataFrame, customer: DataFrame, dim_cust: DataFrame,
         K.date_key("sale_date").alias("sale_date_key"), "customer_id", "customer_key",
         "customer_effective_date", "dealer_id", "dealer_key", "sale_price",
         F.lit(None).cast("decimal(18,2)").alias("discount_amount"),
-        N.net_price("sale_price", F.lit(None).cast("decimal(18,2)")).alias("final_price"),
+        N.net_price("sale_price", F.lit(None).cast("decimal(18,2)")).cast("decimal(18,2)").alias("final_price"),
         "sale_status")
 
 

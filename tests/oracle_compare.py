@@ -52,7 +52,22 @@ def rows_of(cols, rows):
     return [tuple(norm(r[i]) for i in order) for r in rows], sorted(cols)
 
 
-def compare(spark, sf_dir, names=None):
+def duck_type(dt) -> str:
+    """Spark data type -> DuckDB type name, for the schema half of the comparison."""
+    from pyspark.sql import types as T
+    simple = {T.LongType: "BIGINT", T.IntegerType: "INTEGER", T.ShortType: "SMALLINT",
+              T.ByteType: "TINYINT", T.StringType: "VARCHAR", T.DoubleType: "DOUBLE",
+              T.FloatType: "FLOAT", T.BooleanType: "BOOLEAN", T.DateType: "DATE",
+              T.TimestampNTZType: "TIMESTAMP", T.TimestampType: "TIMESTAMP WITH TIME ZONE"}
+    for k, v in simple.items():
+        if isinstance(dt, k):
+            return v
+    if isinstance(dt, T.DecimalType):
+        return f"DECIMAL({dt.precision},{dt.scale})"
+    return dt.simpleString().upper()
+
+
+def compare(spark, sf_dir, names=None, check_types=True):
     import __spark_entry__ as E
     qs, orc = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
@@ -84,6 +99,13 @@ def compare(spark, sf_dir, names=None):
             continue
         a, ac = rows_of(s_cols, s_rows)
         b, bc = rows_of(d_cols, d_rows)
+        type_note = ""
+        if check_types:
+            s_types = {f.name: duck_type(f.dataType) for f in df.schema.fields}
+            d_types = {c[0]: str(c[1]) for c in cur.description}
+            diff = {c: (s_types[c], d_types.get(c)) for c in s_types if s_types[c] != d_types.get(c)}
+            if diff:
+                type_note = f" TYPES {diff}"
         if ac != bc:
             results[name] = f"COLUMNS {ac} vs {bc}"
         elif sorted(a, key=repr) != sorted(b, key=repr):
@@ -91,7 +113,7 @@ def compare(spark, sf_dir, names=None):
             results[name] = (f"VALUES spark={len(a)} duck={len(b)} only_spark={list(sa - sb)[:2]} "
                              f"only_duck={list(sb - sa)[:2]}")
         else:
-            results[name] = f"OK {len(a)}"
+            results[name] = f"OK {len(a)}{type_note}"
         print(f"{name:32s} {results[name]} ({dt:.1f}s)", flush=True)
     return results
 
