@@ -230,6 +230,18 @@ def a2_landed_json_events(spark, sf):
                      F.col("`props.k`").cast("int").alias("props_k"))
 
 
+@register("a3_xlsx_workbooks", f"""
+SELECT customer_id, name, email, phone, status, date_of_birth FROM ({SQL_CUSTOMERS_RAW})
+""")
+def a3_xlsx_workbooks(spark, sf):
+    """A3: customer rows (rendered as landed text) packed into XLSX workbooks inside Spark,
+    then decoded by the same first-sheet reader the file path uses."""
+    from finflow.sources import readers as RD
+    raw = feeds.customers_raw(t(spark, sf, "customer"))
+    books = RD.to_workbooks(raw, "crm_customers")
+    return RD.decode_workbooks(books, raw.columns).drop("source_file")
+
+
 @register("q9_q12_landed_file_verdicts")
 def q9_q12_landed_file_verdicts(spark, sf):
     """Q6-Q12 per landed file (rows-only: file names are engine-generated)."""

@@ -129,6 +129,11 @@ def read_xlsx(spark: SparkSession, paths: list[str], columns: list[str] | None =
     ``columns`` fixes the output columns; otherwise they are the union of all headers.
     """
     raw = spark.read.format("binaryFile").load(paths).select("path", "content")
+    return decode_workbooks(raw, columns)
+
+
+def decode_workbooks(raw: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """A3 decoder over any (path, content) frame of workbook bytes, one workbook per row."""
     cells = raw.mapInPandas(_decode_xlsx, XLSX_SCHEMA)
     if columns is None:
         columns = [r[0] for r in cells.select(F.explode(F.map_keys("cells"))).distinct().collect()]
@@ -161,3 +166,24 @@ def write_xlsx_bytes(header: list[str], rows: list[list]) -> bytes:
     with zipfile.ZipFile(buf, "w") as z:
         z.writestr("xl/worksheets/sheet1.xml", sheet)
     return buf.getvalue()
+
+
+WORKBOOK_SCHEMA = "path string, content binary"
+
+
+def to_workbooks(df: DataFrame, name: str, rows_per_book: int = 5000) -> DataFrame:
+    """Pack the rows of ``df`` (all text) into workbooks of at most ``rows_per_book`` rows,
+    one per Arrow batch chunk, as (path, content) rows: the inverse of ``decode_workbooks``."""
+    cols = df.columns
+
+    def pack(batches):
+        for bi, pdf in enumerate(batches):
+            for start in range(0, len(pdf), rows_per_book):
+                chunk = pdf.iloc[start:start + rows_per_book]
+                rows = [[None if v is None or v != v else str(v) for v in r]
+                        for r in chunk.itertuples(index=False, name=None)]
+                first = rows[0][0] if rows else "empty"
+                yield pd.DataFrame({"path": [f"{name}_{first}_{bi}_{start}.xlsx"],
+                                    "content": [write_xlsx_bytes(cols, rows)]})
+
+    return df.mapInPandas(pack, WORKBOOK_SCHEMA)
