@@ -81,7 +81,7 @@ def read_dataset(spark: SparkSession, dataset: str, file_rows: list) -> tuple[Da
         df = df.withColumn("row_pos", F.struct(F.lit(0).cast("long").alias("b"),
                                                F.monotonically_increasing_id().alias("i")))
         df = N.apply_aliases(df, dataset)
-        cols = [c for c in df.columns if c not in ("source_file", "row_pos")]
+        cols = [c for c in df.columns if c not in ("source_file", "row_pos", RD.CORRUPT)]
         parts.append(df)
         meta += [(p, dataset, "Excel", cols) for p in xlsx_paths]
     out = parts[0]
@@ -148,6 +148,8 @@ def file_verdicts(rows: DataFrame, meta: DataFrame, dataset: str, strict: bool =
                F.concat(F.lit("missing required columns: "), F.to_json("missing_required_columns"))),
         F.when(F.size(F.map_keys("critical_null_violations")) > 0,
                F.concat(F.lit("critical null violations: "), F.to_json("critical_null_violations"))),
+        F.when(F.col("malformed_rows") > 0,
+               F.format_string("malformed rows: %d", F.col("malformed_rows"))),
         F.when((F.col("shared_columns") == 0) & (F.size("missing_required_columns") == 0),
                F.lit("schema validation failed because no target columns matched the extracted file")),
     ))
@@ -189,10 +191,15 @@ def run_batch(spark: SparkSession, landing: str, out_root: str, strict: bool = T
         cleaned = clean(good_rows, dataset, dedupe=not strict).persist()
         ok, dirty = Q.split_clean_dirty(cleaned)
         target = schemas.STAGING[dataset]
-        typed = typed_for_target(ok, target)
         table = os.path.join(out_root, "staging", dataset)
-        load = ST.load_staging(typed, table, schemas.PRIMARY_KEYS[dataset], ["source_file", "row_pos"],
-                               drop_cols=["source_file", "row_pos"])
+        if accepted.limit(1).count() == 0:
+            # every file of the dataset was rejected: nothing to load (required columns,
+            # which include the primary key, may not even exist in the rows)
+            load = {"rows_attempted": 0, "rows_inserted": 0}
+        else:
+            typed = typed_for_target(ok, target)
+            load = ST.load_staging(typed, table, schemas.PRIMARY_KEYS[dataset], ["source_file", "row_pos"],
+                                   drop_cols=["source_file", "row_pos"])
         qpath = os.path.join(out_root, "quarantine", dataset)
         (dirty.withColumn("run_id", F.lit(run_id))
               .select("run_id", "source_file", F.col("violations"),
@@ -213,8 +220,9 @@ def run_batch(spark: SparkSession, landing: str, out_root: str, strict: bool = T
               .withColumn("is_valid", F.col("is_valid") & ~emptied))
         verdict_frames.append(v)
         metrics.append({"dataset": dataset, **load})
-        ST.metadata_row(spark, dataset, load["rows_attempted"]).write.mode("append").parquet(
-            os.path.join(out_root, "etl_metadata"))
+        if load["rows_attempted"] > 0:
+            ST.metadata_row(spark, dataset, load["rows_attempted"]).write.mode("append").parquet(
+                os.path.join(out_root, "etl_metadata"))
         cleaned.unpersist()
     summary = {"run_id": run_id, "files_found": len(file_rows), "files_processed": 0,
                "rows_loaded": sum(m["rows_attempted"] for m in metrics),

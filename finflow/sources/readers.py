@@ -112,7 +112,11 @@ def _decode_xlsx(batches):
     for pdf in batches:
         out = []
         for path, content in zip(pdf["path"], pdf["content"]):
-            rows = xlsx_rows(bytes(content))
+            try:
+                rows = xlsx_rows(bytes(content))
+            except Exception as e:  # noqa: BLE001 - one unreadable workbook must not fail the job
+                out.append((path, 0, {CORRUPT: f"unreadable workbook: {type(e).__name__}: {e}"}))
+                continue
             if not rows:
                 continue
             header = [str(h).strip() if h is not None else f"_c{i}" for i, h in enumerate(rows[0])]

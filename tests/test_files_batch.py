@@ -90,7 +90,9 @@ def test_batch_run_end_to_end(spark, tmp):
     runs = spark.read.parquet(os.path.join(out, "pipeline_metrics")).collect()
     assert len(runs) == 2 and {r.status for r in runs} == {"FAILED"}
     log = spark.read.parquet(os.path.join(out, "etl_metadata"))
-    assert log.select("table_name").distinct().count() == 4
+    # one entry per dataset that loaded; interactions had no accepted file
+    assert sorted(r.table_name for r in log.select("table_name").distinct().collect()) == [
+        "customers", "payments", "sales"]
 
 
 def test_lenient_mode_dedupes(spark, tmp):
@@ -99,3 +101,20 @@ def test_lenient_mode_dedupes(spark, tmp):
     s = run_batch(spark, land, out, strict=False)
     sales = {r.sale_id for r in spark.read.parquet(os.path.join(out, "staging", "sales")).collect()}
     assert "S7" in sales
+
+
+def test_unreadable_workbook_and_malformed_csv_are_file_errors(spark, tmp):
+    land, out = os.path.join(tmp, "landing"), os.path.join(tmp, "out")
+    os.makedirs(land)
+    with open(os.path.join(land, "dealers_2026.xlsx"), "wb") as f:
+        f.write(b"not a zip file")
+    with open(os.path.join(land, "sales_2026.csv"), "w") as f:
+        f.write("sale_id,sale_date,sale_price\nS1,2026-01-01,10\nS2,2026-01-02,11,extra\n")
+    with open(os.path.join(land, "vehicles_2026.csv"), "w") as f:
+        f.write("vehicle_id,dealer_id,vin\nV1,D1,VIN1\n")
+    s = run_batch(spark, land, out)
+    fm = {os.path.basename(m["source_file"]): m for m in s["file_metrics"]}
+    assert fm["sales_2026.csv"]["validation_errors"] == ["malformed rows: 1"]
+    assert fm["dealers_2026.xlsx"]["is_valid"] is False
+    assert fm["vehicles_2026.csv"]["is_valid"] is True          # other files still load
+    assert spark.read.parquet(os.path.join(out, "staging", "vehicles")).count() == 1
