@@ -100,8 +100,9 @@ def csv_header(first_line: str | None) -> list[str]:
 
 def landed_rows(spark: SparkSession, landing: str, dataset: str) -> tuple[DataFrame, DataFrame]:
     """Rows and file table of one dataset under ``landing``."""
-    inv = FS.gate(FS.manifest(spark, landing, with_content=True))
-    found = FS.discover(inv.filter("is_valid")).filter(F.col("dataset") == dataset)
+    inv = FS.gate(FS.manifest(spark, landing))
+    found = (FS.discover(inv.filter("is_valid")).filter(F.col("dataset") == dataset)
+             .join(FS.contents(spark, landing, schemas.ETL_EXTENSIONS), "path", "left"))
     file_rows = [r.asDict() for r in found.select("path", "dataset", "file_type", "first_line").collect()]
     rows, meta = read_dataset(spark, dataset, file_rows)
     return rows, spark.createDataFrame(meta, VERDICT_SCHEMA)
@@ -169,8 +170,9 @@ def run_batch(spark: SparkSession, landing: str, out_root: str, strict: bool = T
     """
     run_id = run_id or uuid.uuid4().hex[:12]
     started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    inv = FS.gate(FS.manifest(spark, landing, with_content=True))
-    found = FS.discover(inv.filter("is_valid"), run_keys)
+    inv = FS.gate(FS.manifest(spark, landing))
+    found = (FS.discover(inv.filter("is_valid"), run_keys)
+             .join(FS.contents(spark, landing, schemas.ETL_EXTENSIONS), "path", "left"))
     # one row per file (bounded by the number of files, not rows)
     file_rows = [r.asDict() for r in found.select("path", "dataset", "file_type", "first_line", "md5").collect()]
     gate_rejects = inv.filter(~F.col("is_valid")).select("path", "reason").collect()

@@ -15,23 +15,33 @@ from finflow.functions import normalize as N
 HEADER_BYTES = 65536
 
 
-def manifest(spark: SparkSession, root: str, with_content: bool = False) -> DataFrame:
-    """path, length, modificationTime of every file under ``root`` (recursive).
-
-    With ``with_content`` each file's md5 and first line come along from the same scan
-    (files are bounded by the gate's size limit, so one row holds one file).
-    """
-    df = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root))
-    cols = [F.col("path"), F.col("length"), F.col("modificationTime")]
-    if with_content:
-        # Latin-1 accepts every byte, so binary files and a multi-byte character cut at the
-        # window edge cannot fail; the complete first line is then re-read as UTF-8.
-        head = F.decode(F.substring("content", 1, HEADER_BYTES), "ISO-8859-1")
-        line = F.regexp_replace(F.get(F.split(head, "\n"), 0), "\r$", "")
-        first = F.when(extension("path") == "csv",
-                       F.decode(F.encode(line, "ISO-8859-1"), "UTF-8"))
-        cols += [F.md5("content").alias("md5"), first.alias("first_line")]
-    return df.select(*cols)
+def manifest(spark: SparkSession, root: str) -> DataFrame:
+    """path, length, modificationTime of every file under ``root`` (recursive); the
+    ``content`` column is never requested, so no file body is read."""
+    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return df.select("path", "length", "modificationTime")
+
+
+def _extension_glob(extensions: list[str]) -> str:
+    """Case-insensitive glob for a set of extensions, e.g. ``{*.[cC][sS][vV],...}``."""
+    return "{" + ",".join("*." + "".join(f"[{c.lower()}{c.upper()}]" for c in e) for e in extensions) + "}"
+
+
+def contents(spark: SparkSession, root: str, extensions: list[str] | None = None,
+             max_bytes: int = schemas.MAX_FILE_BYTES) -> DataFrame:
+    """path, md5 and first line (CSV only) of the files that pass the gate's extension and
+    size tests. Both tests reach the source (``pathGlobFilter`` and a pushed ``length``
+    filter), so other files are never read and no row exceeds the size bound."""
+    exts = extensions or schemas.GATE_EXTENSIONS
+    df = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+          .option("pathGlobFilter", _extension_glob(exts)).load(root)
+          .filter(F.col("length") <= max_bytes))
+    # Latin-1 accepts every byte, so binary files and a multi-byte character cut at the
+    # window edge cannot fail; the complete first line is then re-read as UTF-8.
+    head = F.decode(F.substring("content", 1, HEADER_BYTES), "ISO-8859-1")
+    line = F.regexp_replace(F.get(F.split(head, "\n"), 0), "\r$", "")
+    first = F.when(extension("path") == "csv", F.decode(F.encode(line, "ISO-8859-1"), "UTF-8"))
+    return df.select("path", F.md5("content").alias("md5"), first.alias("first_line"))
 
 
 def extension(path) -> Column:

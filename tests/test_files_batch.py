@@ -34,15 +34,18 @@ def test_archive_name_collisions_summary_checksums(spark, tmp):
         data = f.read()
     with open(os.path.join(land, "copy", "sales_dup_2026_20260226_102346.csv"), "wb") as f:
         f.write(data)
-    m = FS.manifest(spark, land, with_content=True)
+    m = FS.manifest(spark, land)
     coll = FS.name_collisions(m.withColumn("staged_name", FS.staged_name("path"))).collect()
     assert len(coll) == 1 and coll[0].n_files == 2
-    assert FS.duplicate_contents(m).first().n_files == 2
+    c = FS.contents(spark, land)
+    assert FS.duplicate_contents(c).first().n_files == 2
+    assert "notes_2026.txt" not in [os.path.basename(r.path) for r in c.collect()]   # never read
+    assert FS.contents(spark, land, max_bytes=5).count() == 0          # the 8-byte csv is excluded too
     summ = {r.domain: r for r in FS.raw_summary(m, land).collect()}
     assert summ["erp"].n_files == 4 and len(summ["erp"].first_two) == 2 and summ["erp"].n_more == 2
     a = m.select(FS.archive_name("path", F.lit(dt.datetime(2026, 2, 26))).alias("a")).first().a
     assert a.startswith("archive/2026/02/26/")
-    hdr = {os.path.basename(r.path): r.first_line for r in m.collect()}
+    hdr = {os.path.basename(r.path): r.first_line for r in c.collect()}
     assert hdr["erp_finance_2026_20260226.csv"].startswith("transaction_id,sale_id")
     assert hdr["crm_customers_2026_20260226.xlsx"] is None
 
