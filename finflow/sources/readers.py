@@ -49,9 +49,16 @@ def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     return df.select(*cols)
 
 
-def read_json(spark: SparkSession, paths: list[str], multiline: bool = True) -> DataFrame:
-    """A2: JSON arrays of objects (``multiline``) or JSON Lines; scalars read as text."""
+def read_json(spark: SparkSession, paths: list[str], multiline: bool = True,
+              sampling_ratio: float = 1.0) -> DataFrame:
+    """A2: JSON arrays of objects (``multiline``) or JSON Lines; scalars read as text.
+
+    The schema is inferred so nested objects and unexpected keys are seen (Q11); that
+    inference is a pass over the input, which ``sampling_ratio`` < 1 shortens on large
+    JSON Lines landings (keys seen in no sampled record are then not reported).
+    """
     df = (spark.read.option("multiLine", multiline).option("primitivesAsString", True)
+          .option("samplingRatio", sampling_ratio)
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(paths))
     df = df.withColumn("source_file", F.col("_metadata.file_path"))
     flat = flatten(df)

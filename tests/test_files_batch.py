@@ -121,3 +121,13 @@ def test_unreadable_workbook_and_malformed_csv_are_file_errors(spark, tmp):
     assert fm["dealers_2026.xlsx"]["is_valid"] is False
     assert fm["vehicles_2026.csv"]["is_valid"] is True          # other files still load
     assert spark.read.parquet(os.path.join(out, "staging", "vehicles")).count() == 1
+
+
+def test_command_line_batch(spark, tmp, capsys):
+    from finflow.__main__ import main
+    land, out = os.path.join(tmp, "landing"), os.path.join(tmp, "out")
+    write_landing(land)
+    rc = main(["batch", "--landing", land, "--out", out])
+    line = capsys.readouterr().out.strip().splitlines()[-1]
+    assert rc == 1 and line.startswith("ETL_SUMMARY::")          # fixtures hold rejected files
+    assert spark.read.parquet(os.path.join(out, "staging", "sales")).count() == 3
