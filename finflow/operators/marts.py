@@ -79,6 +79,14 @@ def monthly_sum(df: DataFrame, date_col: str, amount_col: str) -> DataFrame:
                    F.count(F.lit(1)).alias("n_rows")))
 
 
+def monthly_rollup(df: DataFrame, date_col: str, amount_col: str) -> DataFrame:
+    """G7 with subtotals: (year, month), per-year and grand totals in one aggregation
+    (``rollup`` expands each row to three grouping sets before the partial aggregate)."""
+    d = F.to_date(date_col)
+    return (df.rollup(F.year(d).alias("year"), F.month(d).alias("month"))
+              .agg(F.sum(_c(amount_col)).alias("total_amount"), F.count(F.lit(1)).alias("n_rows")))
+
+
 def runs_by_status(runs: DataFrame) -> DataFrame:
     """G4."""
     return runs.groupBy("status").agg(F.count(F.lit(1)).alias("runs"))

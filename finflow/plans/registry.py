@@ -926,6 +926,17 @@ def g7_monthly_sales(spark, sf):
     return out.withColumn("total_amount", F.col("total_amount").cast("decimal(18,2)"))
 
 
+@register("g7_monthly_rollup", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS total_amount, count(*) AS n_rows
+FROM orders GROUP BY ROLLUP (year(o_orderdate), month(o_orderdate))
+""")
+def g7_monthly_rollup(spark, sf):
+    s = feeds.sales(t(spark, sf, "orders"))
+    out = M.monthly_rollup(s, "sale_date", "sale_price")
+    return out.withColumn("total_amount", F.col("total_amount").cast("decimal(18,2)"))
+
+
 # =======================================================================================
 # 2.6 Sorts and limits
 # =======================================================================================
