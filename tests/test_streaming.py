@@ -90,3 +90,27 @@ def test_archive_consumed_files(spark, tmp):
     assert spark.sql("SELECT count(*) c FROM arch_t").first().c == 4
     archived = [f for _, _, fs in os.walk(arch) for f in fs]
     assert "a.json" in archived   # the last batch's file stays until the next run
+
+
+def test_bounded_batches_flush_on_age(spark, tmp):
+    import time
+    src = os.path.join(tmp, "in")
+    evs = [{"event_type": "telemetry", "telemetry_id": f"T{i}", "timestamp": "2026-02-01 00:00:00"}
+           for i in range(5)]
+    _write_events(src, "a.json", evs)
+    ev = EV.decode(EV.json_file_source(spark, src).select(F.to_json(F.struct("*")).alias("value"), "received_at"))
+    out = EV.bounded_batches(ev, max_rows=100, max_seconds=2, buckets=1)
+    q = (out.writeStream.format("memory").queryName("tele_age").outputMode("append")
+         .option("checkpointLocation", os.path.join(tmp, "ck")).trigger(processingTime="1 second").start())
+    try:
+        deadline = time.time() + 90
+        n = 0
+        while time.time() < deadline:
+            n = spark.sql("SELECT count(*) c FROM tele_age").first().c
+            if n >= 5:
+                break
+            time.sleep(1)
+    finally:
+        q.stop()
+    rows = spark.sql("SELECT reason, flush_seq, count(*) n FROM tele_age GROUP BY reason, flush_seq").collect()
+    assert [(r.reason, r.flush_seq, r.n) for r in rows] == [("age", 0, 5)]
