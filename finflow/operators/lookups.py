@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from finflow.operators.scd import OPEN_END
@@ -43,15 +43,24 @@ def inner_join_non_null(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key:
 def point_in_time(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                   fact_date: str | Column, take: dict[str, str],
                   eff: str = "effective_date", exp: str = "expiry_date",
-                  how: str = "left") -> DataFrame:
+                  how: str = "left", open_start: bool = False) -> DataFrame:
     """The dimension version valid on ``fact_date``.
 
     The equality on the business key keeps this a hash / sort-merge join (no theta
     join); the validity range is a residual filter. Versions of one key are disjoint,
     so at most one matches. AQE's skew-join splits a fact-side hot key.
+
+    ``open_start`` lets a member's first version also cover earlier dates, so facts that
+    predate the member's first load (late-arriving dimension rows) still resolve. The
+    per-key minimum is a window over the dimension, partitioned by the join key, so the
+    dimension side needs no further shuffle for the join.
     """
     fd = F.col(fact_date) if isinstance(fact_date, str) else fact_date
-    cols = ([F.col(dim_key).alias("__dk"), F.col(eff).alias("__eff"),
+    start = F.col(eff)
+    if open_start:
+        first = F.min(eff).over(Window.partitionBy(dim_key))
+        start = F.when(F.col(eff) == first, F.lit("0001-01-01").cast("date")).otherwise(F.col(eff))
+    cols = ([F.col(dim_key).alias("__dk"), start.alias("__eff"),
              F.coalesce(F.col(exp), F.lit(OPEN_END).cast("date")).alias("__exp")]
             + [F.col(c).alias(o) for c, o in take.items()])
     d = dim.select(*cols)

@@ -265,11 +265,14 @@ def run_batch(spark: SparkSession, landing: str, out_root: str, strict: bool = T
 
 
 def typed_for_target(df: DataFrame, target: T.StructType) -> DataFrame:
-    """The columns shared with ``target`` in source order, typed (``try_cast``,
-    multi-format dates); lineage columns are kept for ordering."""
+    """Rows in the full staging schema, in target order. Shared columns are typed
+    (``try_cast``, multi-format dates); target columns the source lacks are typed nulls,
+    as in a database table, so every load and micro-batch appends the same Parquet schema.
+    Lineage columns are kept for ordering."""
     lineage = [F.col(c) for c in ("source_file", "row_pos") if c in df.columns]
-    names = set(target.fieldNames())
-    return df.select(*lineage, *[_expr_for(df, c, target[c].dataType) for c in df.columns if c in names])
+    cols = [_expr_for(df, f.name, f.dataType) if f.name in df.columns
+            else F.lit(None).cast(f.dataType).alias(f.name) for f in target.fields]
+    return df.select(*lineage, *cols)
 
 
 def _expr_for(df: DataFrame, c: str, dst: T.DataType):

@@ -110,7 +110,7 @@ def build_star(spark: SparkSession, staging_root: str, warehouse_root: str, vers
         if "dim_customer" not in dims:
             return df.withColumn("customer_key", F.lit(None).cast("bigint"))
         return L.point_in_time(df, dims["dim_customer"], "customer_id", "customer_id", date_col,
-                               {"customer_key": "customer_key"})
+                               {"customer_key": "customer_key"}, open_start=True)
 
     def vehicle_pit(df: DataFrame, date_col: str) -> DataFrame:
         """vehicle_id -> vin (current vehicle master), then the vin's version on the day."""
@@ -119,7 +119,8 @@ def build_star(spark: SparkSession, staging_root: str, warehouse_root: str, vers
         cur = dims["dim_vehicle"].filter("is_current").select(F.col("vehicle_id").alias("__vid"),
                                                                F.col("vin").alias("__vin"))
         j = df.join(cur, F.col("vehicle_id") == F.col("__vid"), "left").drop("__vid")
-        j = L.point_in_time(j, dims["dim_vehicle"], "__vin", "vin", date_col, {"vehicle_key": "vehicle_key"})
+        j = L.point_in_time(j, dims["dim_vehicle"], "__vin", "vin", date_col, {"vehicle_key": "vehicle_key"},
+                            open_start=True)
         return j.drop("__vin")
 
     def type1(df: DataFrame, dim: str, key: str, out_key: str) -> DataFrame:

@@ -61,3 +61,22 @@ def test_star_from_staging_keeps_history(spark, tmp):
     s1 = spark.read.parquet(v2["fact_sales"]).filter("sale_id = 'S1'").first()
     toronto = [r for r in dc if r.city == "Toronto"][0]
     assert s1.customer_key == toronto.customer_key
+
+
+def test_landed_files_to_star(spark, tmp):
+    """The whole chain: landed files -> batch run -> staging -> star schema."""
+    import sys
+    sys.path.insert(0, os.path.dirname(__file__))
+    from fixtures import write_landing
+    from finflow.plans.batch_run import run_batch
+    land, out, wh = os.path.join(tmp, "landing"), os.path.join(tmp, "out"), os.path.join(tmp, "wh")
+    write_landing(land)
+    run_batch(spark, land, out)
+    v = build_star(spark, os.path.join(out, "staging"), wh, "001", asof="2026-02-28")
+    assert set(v) >= {"dim_customer", "fact_sales", "fact_payments", "dim_date"}
+    sales = {r.sale_id: r for r in spark.read.parquet(v["fact_sales"]).collect()}
+    assert set(sales) == {"S1", "S2", "S4"}
+    assert sales["S1"].customer_key is not None              # C1 loaded from the workbook
+    assert sales["S4"].customer_key is None                  # C4 had no valid e-mail
+    pays = spark.read.parquet(v["fact_payments"]).collect()
+    assert sorted(r.payment_status for r in pays) == ["Failed", "Paid"]
