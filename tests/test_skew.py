@@ -1,5 +1,6 @@
-"""A key holding a third of all rows: results equal a brute-force computation, and the
-plans reduce the hot key map-side (partial aggregation) or keep an equi-key join."""
+"""A key (or a file, or one row's copies) holding a third of all rows: results equal a
+brute-force computation, and the plans reduce the hot group map-side (partial aggregation)
+or keep an equi-key join."""
 
 import datetime as dt
 import random
@@ -111,3 +112,45 @@ def test_point_in_time_hot_key_matches_brute_force(spark, hist_rows):
     assert got == sorted(want, key=lambda r: r[0])
     # an equi-join on the business key, so AQE's skew join can split the hot key
     assert "SortMergeJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_profile_hot_file_of_copies_matches_brute_force(spark):
+    """One file holds a third of all rows, most of them copies of one row."""
+    from collections import Counter
+
+    from finflow.operators import quality as Q
+    rnd = random.Random(5)
+    rows = [("hot.csv", "x", None)] * 2500 + [("hot.csv", rnd.choice(["x", "y", None]), str(i % 50))
+                                              for i in range(500)]
+    for f in range(60):
+        rows += [(f"f{f}.csv", rnd.choice(["p", None]), rnd.choice(["1", "2", None])) for _ in range(100)]
+    df = spark.createDataFrame(rows, "f string, a string, b string")
+    prof = Q.batch_profile(df, "f", critical=["a"])
+    got = {r.f: r for r in prof.collect()}
+    assert len(got) == 61
+    for f in got:
+        mine = [(a, b) for ff, a, b in rows if ff == f]
+        counts = Counter(mine)
+        r = got[f]
+        assert r.row_count == len(mine)
+        assert r.duplicate_records == sum(n - 1 for n in counts.values())
+        nulls_a = sum(a is None for a, _ in mine)
+        nulls_b = sum(b is None for _, b in mine)
+        assert r.null_value_counts == {"a": nulls_a, "b": nulls_b}
+        assert r.total_null_values == nulls_a + nulls_b
+        assert r.critical_null_violations == ({"a": nulls_a} if nulls_a else {})
+    # copies collapse map-side: a partial count over (file, all columns) precedes the exchange
+    plan = _physical(prof)
+    assert "partial_count" in plan
+
+
+def test_type1_latest_hot_key_matches_brute_force(spark, hist_rows):
+    df = spark.createDataFrame(hist_rows, "k int, ts timestamp_ntz, a string")
+    out = scd.latest_per_key(df, ["k"], ["ts"])
+    got = sorted((r.k, r.ts, r.a) for r in out.collect())
+    last: dict = {}
+    for k, ts, a in hist_rows:
+        if k not in last or ts > last[k][0]:
+            last[k] = (ts, a)
+    assert got == sorted((k, ts, a) for k, (ts, a) in last.items())
+    assert "partial_max_by" in _physical(out)
