@@ -225,10 +225,14 @@ def bounded_batches(events: DataFrame, max_rows: int = schemas.FLUSH_MAX_ROWS,
 
     State per group is at most ``max_rows - 1`` payloads. Each type is split over
     ``buckets`` hash buckets so a type carrying a third of all events is spread over
-    several tasks (``buckets=1`` gives one batch sequence per type).
+    several tasks (``buckets=1`` gives one batch sequence per type). The salt hashes the
+    payload with its arrival time (the Kafka message timestamp, or the micro-batch time
+    that Spark keeps in the offset log), so it is deterministic under replay and copies
+    of one payload arriving at different times spread over buckets too.
     """
+    salt = [F.col("raw_value")] + ([F.col("received_at")] if "received_at" in events.columns else [])
     keyed = events.select(
-        "event_type", (F.abs(F.xxhash64("raw_value")) % buckets).cast("int").alias("bucket"),
+        "event_type", F.pmod(F.xxhash64(*salt), F.lit(buckets)).cast("int").alias("bucket"),
         F.col("raw_value").alias("payload"))
     return keyed.groupBy("event_type", "bucket").applyInPandasWithState(
         _make_batcher(max_rows, max_seconds), BATCH_OUT, BATCH_STATE, "append",
