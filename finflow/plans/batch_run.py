@@ -92,6 +92,19 @@ def read_dataset(spark: SparkSession, dataset: str, file_rows: list) -> tuple[Da
     return out, meta
 
 
+def read_plan(found: DataFrame) -> list[dict]:
+    """The driver's read plan: (path, dataset, file_type, first_line) per file.
+
+    Files are grouped by (dataset, type, header line) on the cluster first, so each
+    distinct header crosses to the driver once however many files share it; what remains
+    per file is its path, which the readers need anyway.
+    """
+    groups = (found.groupBy("dataset", "file_type", "first_line")
+                   .agg(F.sort_array(F.collect_list("path")).alias("paths")).collect())
+    return [{"path": p, "dataset": g["dataset"], "file_type": g["file_type"], "first_line": g["first_line"]}
+            for g in groups for p in g["paths"]]
+
+
 def csv_header(first_line: str | None) -> list[str]:
     if not first_line:
         return []
@@ -103,8 +116,7 @@ def landed_rows(spark: SparkSession, landing: str, dataset: str) -> tuple[DataFr
     inv = FS.gate(FS.manifest(spark, landing))
     found = (FS.discover(inv.filter("is_valid")).filter(F.col("dataset") == dataset)
              .join(FS.contents(spark, landing, schemas.ETL_EXTENSIONS), "path", "left"))
-    file_rows = [r.asDict() for r in found.select("path", "dataset", "file_type", "first_line").collect()]
-    rows, meta = read_dataset(spark, dataset, file_rows)
+    rows, meta = read_dataset(spark, dataset, read_plan(found))
     return rows, spark.createDataFrame(meta, VERDICT_SCHEMA)
 
 
@@ -173,12 +185,11 @@ def run_batch(spark: SparkSession, landing: str, out_root: str, strict: bool = T
     inv = FS.gate(FS.manifest(spark, landing))
     found = (FS.discover(inv.filter("is_valid"), run_keys)
              .join(FS.contents(spark, landing, schemas.ETL_EXTENSIONS), "path", "left"))
-    # one row per file (bounded by the number of files, not rows)
-    file_rows = [r.asDict() for r in found.select("path", "dataset", "file_type", "first_line", "md5").collect()]
+    files = read_plan(found)
     gate_rejects = inv.filter(~F.col("is_valid")).select("path", "reason").collect()
     per_dataset: dict[str, list] = {}
     unmapped = []
-    for r in file_rows:
+    for r in files:
         (per_dataset.setdefault(r["dataset"], []) if r["dataset"] in schemas.DATASETS else unmapped).append(r)
     verdict_frames, metrics = [], []
     for dataset, rows_meta in sorted(per_dataset.items()):
@@ -226,7 +237,7 @@ def run_batch(spark: SparkSession, landing: str, out_root: str, strict: bool = T
             ST.metadata_row(spark, dataset, load["rows_attempted"]).write.mode("append").parquet(
                 os.path.join(out_root, "etl_metadata"))
         cleaned.unpersist()
-    summary = {"run_id": run_id, "files_found": len(file_rows), "files_processed": 0,
+    summary = {"run_id": run_id, "files_found": len(files), "files_processed": 0,
                "rows_loaded": sum(m["rows_attempted"] for m in metrics),
                "rows_inserted": sum(m["rows_inserted"] for m in metrics),
                "gate_rejected": [{"path": r["path"], "reason": r["reason"]} for r in gate_rejects],
