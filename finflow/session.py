@@ -53,12 +53,18 @@ def get_spark(app: str = "finflow", master: str | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (unit tests, a laptop) a private folder is created.
+    Spark applies that setting to the context itself at start-up, and it cannot be changed
+    on a running session, so it is only read here. Without it, a checkpoint folder already
+    given to the context is used; only when neither exists (unit tests, a laptop) a
+    private folder is created and given to the context.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="finflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+    if path:
+        return path
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
+    path = tempfile.mkdtemp(prefix="finflow-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path
 
