@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finflow.llm import decontam, near_dup, packing, quality, secrets
+from finflow.llm import decontam, licenses, lm, near_dup, packing, quality, rollup, secrets, sharding, topk
 from finflow.llm.common import table
+from finflow.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -23,6 +24,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_license_scan")
+def op1(spark, sf_dir):
+    return licenses.report(table(spark, sf_dir, "documents"))
+
+
 @query("op2_best_fit_packing")
 def op2(spark, sf_dir):
     return packing.packed(table(spark, sf_dir, "documents"))
@@ -52,6 +58,49 @@ def op4(spark, sf_dir):
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+@query("op5_token_rollup")
+def op5(spark, sf_dir):
+    """Loads all documents (the batch is sent twice), then takes down the toxic ones and moves the rest of the labelled to one source."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    feed = rollup.Rollup(spark, scratch_path(spark, "rollup"))
+    counts = rollup.token_counts(docs, rollup.versions_of()).withColumn("op", F.lit(rollup.INSERT))
+    feed.commit("load", counts)
+    feed.commit("load", counts)
+    known = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    held = feed.documents().join(known, "doc_id")
+    feed.commit("labelled", held.withColumn("op", F.when(F.col("toxic") == 1, rollup.DELETE).otherwise(rollup.REVISE))
+                .withColumn("source", F.lit("labelled")).drop("toxic"))
+    return feed.totals()
+
+
+_BITS = "array_to_string(list_transform(string_split(md5(doc_id::VARCHAR || ':' || text), ''), lambda c: lpad(bin(('0x' || c)::INTEGER), 4, '0')), '')"
+
+
+@query("op6_extendible_sharding", f"""
+WITH b AS (SELECT doc_id, strlen(coalesce(text, ''))::BIGINT AS bytes, {_BITS} AS bits FROM documents),
+w AS (SELECT doc_id, bytes, d, substr(bits, 1, d) AS shard FROM b, range(0, 33) AS r(d)),
+n AS (SELECT shard, d, sum(bytes)::BIGINT AS shard_bytes FROM w GROUP BY ALL HAVING sum(bytes) <= {sharding.LIMIT} OR count(*) = 1),
+l AS (SELECT doc_id, bytes, w.shard, w.d::INTEGER AS depth, shard_bytes, row_number() OVER (PARTITION BY doc_id ORDER BY w.d) AS k
+      FROM w JOIN n ON w.shard = n.shard AND w.d = n.d)
+SELECT doc_id, bytes, shard, depth, shard_bytes, shard_bytes <= {sharding.LIMIT} AS fits FROM l WHERE k = 1
+""")
+def op6(spark, sf_dir):
+    return sharding.shards(table(spark, sf_dir, "documents"))
+
+
+@query("op7_exact_top_k", """
+WITH e AS (SELECT vec_id, min(list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 GROUP BY vec_id),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+      FROM e q JOIN e c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM p) WHERE rank <= 5
+""")
+def op7(spark, sf_dir):
+    return topk.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
@@ -76,6 +125,11 @@ def op8(spark, sf_dir):
                        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
+@query("op9_language_model")
+def op9(spark, sf_dir):
+    return lm.report(table(spark, sf_dir, "documents"))
+
+
 @query("op10_quality_classifier")
 def op10(spark, sf_dir):
     return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
