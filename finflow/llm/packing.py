@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finflow.llm.common import written
-from finflow.llm.tokens import Encoder, slices, vocabulary
+from finflow.llm.tokens import encoder, slices, vocabulary
 
 LENGTH = 2048
 BLOCK = 4096
@@ -41,12 +41,12 @@ def pieces_of(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
 
     def run(batches):
         from pyspark import TaskContext
-        encoder, uid = Encoder(path), TaskContext.get().partitionId() << 40
+        coder, uid = encoder(path), TaskContext.get().partitionId() << 40
         for batch in batches:
             texts = [t or b"" for t in batch.column(1).cast(pa.large_binary()).to_pylist()]
             rows, row = [], 0
             for part in slices(texts):
-                for ids in encoder.many(part):
+                for ids in coder.many(part):
                     ids += b"\0\0\0\0"
                     for k, at in enumerate(range(0, len(ids), 4 * length)):
                         own = ids[at:at + 4 * length]

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finflow.llm.tokens import Encoder, slices, vocabulary
+from finflow.llm.tokens import encoder, slices, vocabulary
 
 INSERT, REVISE, DELETE = "insert", "revise", "delete"
 #: Deltas of finished batches are summed by the groups, so they are few rows; they are read with one task each.
@@ -35,12 +35,12 @@ def token_counts(docs: DataFrame, versions: dict[str, str]) -> DataFrame:
     """doc_id, source, lang, version, tokens by every tokenizer (name: vocabulary file, or "words" for space-separated words)."""
 
     def run(batches):
-        encoders = {v: None if path == "words" else Encoder(path) for v, path in versions.items()}
+        coders = {v: None if path == "words" else encoder(path) for v, path in versions.items()}
         for batch in batches:
             texts = [t or b"" for t in batch.column(3).cast(pa.large_binary()).to_pylist()]
-            for version, encoder in encoders.items():
-                n = ([len(t.split()) for t in texts] if encoder is None
-                     else [len(ids) // 4 for part in slices(texts) for ids in encoder.many(part)])
+            for version, coder in coders.items():
+                n = ([len(t.split()) for t in texts] if coder is None
+                     else [len(ids) // 4 for part in slices(texts) for ids in coder.many(part)])
                 yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([version] * len(n), pa.string()), pa.array(n, pa.int64())],
                                                  names=["doc_id", "source", "lang", "version", "tokens"])
 

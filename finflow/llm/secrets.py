@@ -8,7 +8,7 @@ Places come from cutting the text at the matches: the pieces between matches and
 themselves add up to it, so running sums of their lengths are the code-point offsets.
 
 Training data are labelled by the fixed detectors: runs that an assignment, access key or hex match
-yields are random strings, runs of letters and underscores elsewhere are identifiers. The sample is
+yields are random strings, identifier-like runs elsewhere are ordinary. The sample is
 bounded: about ``SAMPLE_DOCS`` documents (by hashed id), ``SAMPLE_RUNS`` runs of each class. The models are tables over a fixed alphabet, so their size does not depend on the data.
 
 Defined cases: a null or empty text has no span; repeated rows each get their result; without a
@@ -37,7 +37,9 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Mean log-likelihood ratio (natural log, per transition) above which a run counts as random.
 THRESHOLD = 0.5
 SAMPLE_DOCS, SAMPLE_RUNS = 20_000, 5_000
-IDENTIFIER = r"\b[A-Za-z_]{8,}\b"
+IDENTIFIER = r"\b[A-Za-z_][A-Za-z0-9_]{7,}\b"
+#: Smoothing: what every character counts at least, and the weight of the overall probabilities in a row.
+FLOOR, BACKING = 0.5, 4.0
 
 
 def _cut(text: Column, pattern: str) -> tuple[Column, Column]:
@@ -80,7 +82,7 @@ def _transitions(runs: DataFrame) -> dict[tuple[int, int], int]:
 
 
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_runs: int = SAMPLE_RUNS) -> list[list[float]]:
-    """Log-likelihood ratio of every transition, random over ordinary, add-one smoothed in both models."""
+    """Log-likelihood ratio of every transition, random over ordinary."""
     text = F.coalesce(F.col("text"), F.lit(""))
     every = max(1, docs.count() // sample_docs)
     sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select(text.alias("text"))
@@ -93,17 +95,20 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_runs: int = SA
         F.transform(F.regexp_extract_all(rest, F.lit(IDENTIFIER), F.lit(0)), lambda v: F.struct(F.lit(0).alias("random"), v.alias("run"))),
     )).alias("r")).select("r.random", "r.run").distinct()
     pick = lambda k: runs.where(F.col("random") == k).orderBy(F.xxhash64("run"), "run").limit(sample_runs)
-    random, plain = _transitions(pick(1)), _transitions(pick(0))
+    random, plain = _conditional(_transitions(pick(1))), _conditional(_transitions(pick(0)))
+    return [[math.log(r) - math.log(p) for r, p in zip(*rows)] for rows in zip(random, plain)]
+
+
+def _conditional(counts: dict[tuple[int, int], int]) -> list[list[float]]:
+    """Probability of the next character by the last one, backed by its overall probability."""
     k = len(ALPHABET)
-    model = []
+    overall = [FLOOR + sum(counts.get((x, y), 0) for x in range(1, k + 1)) for y in range(1, k + 1)]
+    whole = sum(overall)
+    rows = []
     for x in range(1, k + 1):
-        row = []
-        for y in range(1, k + 1):
-            r = (random.get((x, y), 0) + 4.0 / k) / (sum(random.get((x, z), 0) for z in range(1, k + 1)) + 4.0)
-            p = (plain.get((x, y), 0) + 4.0 / k) / (sum(plain.get((x, z), 0) for z in range(1, k + 1)) + 4.0)
-            row.append(math.log(r) - math.log(p))
-        model.append(row)
-    return model
+        own = [counts.get((x, y), 0) for y in range(1, k + 1)]
+        rows.append([(n + BACKING * o / whole) / (sum(own) + BACKING) for n, o in zip(own, overall)])
+    return rows
 
 
 def ratio(run: Column, model: list[list[float]]) -> Column:
