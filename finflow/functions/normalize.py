@@ -55,6 +55,16 @@ def dataset_is_known(dataset) -> Column:
 
 # --- B2: alias renames (driver-side mapping over column names, no job) ----------
 
+def is_null_word(col) -> Column:
+    """Text that the tabular readers take for a missing value (exact spelling)."""
+    return _c(col).isin(schemas.NULL_WORDS)
+
+
+def null_words(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Missing-value words of CSV and workbook cells become nulls."""
+    return df.withColumns({c: F.when(~is_null_word(F.col(f"`{c}`")), F.col(f"`{c}`")) for c in columns})
+
+
 def alias_renames(columns: list[str], dataset: str) -> dict[str, str]:
     """Source -> canonical renames; a target already present blocks it; first alias wins."""
     present = set(columns)
@@ -124,19 +134,39 @@ def lower_email(df: DataFrame, col: str = "email") -> DataFrame:
 
 # --- B8: dates -------------------------------------------------------------------------
 
-def parse_timestamp(col, formats: list[str] | None = None) -> Column:
-    """First format that parses wins; unparseable or impossible dates become null."""
-    c = F.trim(_c(col).cast("string"))
-    fmts = formats or schemas.TIMESTAMP_FORMATS
-    # try_to_timestamp decides validity (impossible dates -> null); the value itself comes
-    # from to_timestamp_ntz, which keeps the wall clock in any session time zone (also in
-    # a daylight-saving gap). CASE WHEN evaluates it only for text that parses.
-    return F.coalesce(*[F.when(F.try_to_timestamp(c, F.lit(f)).isNotNull(), F.to_timestamp_ntz(c, F.lit(f)))
-                        for f in fmts])
+# Year-first text with an optional time, fraction and zone.
+ISO_SHAPE = (r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d+)?)?\s?(Z|z|[+-]\d{2}(:?\d{2})?)?)?$")
+ZONE = r"\s?([+-])(\d{2}):?(\d{2})?$"
+
 
+def parse_timestamp(col) -> Column:
+    """Text of the accepted shapes as a timestamp without zone; anything else is null.
 
-def parse_date(col, formats: list[str] | None = None) -> Column:
-    return F.to_date(parse_timestamp(col, formats))
+    The shape decides how the text is read, so a value is cast once: ISO dates and times
+    (fractions kept to the microsecond, a zone's offset taken off, so the value is UTC),
+    ``yyyy/MM/dd``, ``dd-MM-yyyy``, ``dd/MM/yyyy`` and, where the day-first reading is
+    no date, ``MM/dd/yyyy``. Impossible dates are null.
+    """
+    c = F.trim(_c(col).cast("string"))
+    iso = c.rlike(ISO_SHAPE)
+    zoned = iso & c.rlike(r":\d{2}([.,]\d+)?\s?([Zz]|[+-]\d{2}(:?\d{2})?)$")
+    wall = F.regexp_replace(F.regexp_replace(c, r"\s?([Zz]|[+-]\d{2}(:?\d{2})?)$", ""), r"[.,](\d{1,6})\d*$", ".$1")
+    plain = F.regexp_replace(c, r"[.,](\d{1,6})\d*$", ".$1")
+    sign = F.when(F.regexp_extract(c, ZONE, 1) == "-", -1).otherwise(1)
+    minutes = sign * (F.coalesce(F.regexp_extract(c, ZONE, 2).try_cast("int"), F.lit(0)) * 60
+                      + F.coalesce(F.regexp_extract(c, ZONE, 3).try_cast("int"), F.lit(0)))
+    ntz = T.TimestampNTZType()
+    day_first = F.regexp_replace(c, r"^(\d{2})[-/](\d{2})[-/](\d{4})$", "$3-$2-$1").try_cast(ntz)
+    month_first = F.regexp_replace(c, r"^(\d{2})/(\d{2})/(\d{4})$", "$3-$1-$2").try_cast(ntz)
+    return (F.when(zoned, wall.try_cast(ntz) - F.make_dt_interval(mins=minutes))
+             .when(iso, plain.try_cast(ntz))
+             .when(c.rlike(r"^\d{4}/\d{2}/\d{2}$"), F.translate(c, "/", "-").try_cast(ntz))
+             .when(c.rlike(r"^\d{2}-\d{2}-\d{4}$"), day_first)
+             .when(c.rlike(r"^\d{2}/\d{2}/\d{4}$"), F.coalesce(day_first, month_first)))
+
+
+def parse_date(col) -> Column:
+    return F.to_date(parse_timestamp(col))
 
 
 # --- B9: money ---------------------------------------------------------------------------

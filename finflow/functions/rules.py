@@ -32,11 +32,12 @@ class Rule:
         return ~F.coalesce(self.expr(), F.lit(not self.null_fails))
 
 
-def categorical_rules(dataset: str | None = None, rules: dict | None = None) -> list[Rule]:
+def categorical_rules(dataset: str | None = None, rules: dict | None = None,
+                      optional: tuple[str, ...] = ()) -> list[Rule]:
     table = dict(rules if rules is not None else schemas.CATEGORICAL_RULES)
     if dataset in schemas.STATUS_OVERRIDES and rules is None:
         table["status"] = schemas.STATUS_OVERRIDES[dataset]
-    return [Rule(f"{col}_not_allowed", F.col(col).isin(vals), (col,), null_fails=True)
+    return [Rule(f"{col}_not_allowed", F.col(col).isin(vals), (col,), null_fails=col not in optional)
             for col, vals in table.items()]
 
 
@@ -44,6 +45,23 @@ def not_null(*cols: str) -> list[Rule]:
     return [Rule(f"{c}_is_null", F.col(c).isNotNull(), (c,), null_fails=True) for c in cols]
 
 
+def domain_rules(dataset: str, now=None) -> list[Rule]:
+    """Q16, Q19, Q21-Q23: a dataset's constraints on its own rows: keys not null, value
+    ranges, text lengths and formats. ``now`` adds the rule that an interaction lies before it."""
+    key = schemas.STAGING[dataset].fields[0].name
+    out = not_null(key)
+    out += [Rule(n, check, tuple(cols)) for n, (check, cols) in schemas.ROW_CHECKS.get(dataset, {}).items()]
+    out += [Rule(f"{c}_length", F.length(F.col(c)) <= most, (c,)) for c, most in schemas.MAX_LENGTHS.get(dataset, {}).items()]
+    if now is not None and dataset == "interactions":
+        out.append(Rule("interaction_in_the_past", F.col("interaction_date") < F.lit(now).cast("timestamp_ntz"), ("interaction_date",)))
+    return out
+
+
+def table_rules(table: str) -> list[Rule]:
+    """Q16: constraints of a star-schema table."""
+    return [Rule(f"{table}.{n}", check) for n, check in schemas.TABLE_CHECKS[table].items()]
+
+
 def applicable(rules: list[Rule], columns: list[str]) -> list[Rule]:
     have = set(columns)
     return [r for r in rules if all(c in have for c in r.columns)]

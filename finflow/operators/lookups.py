@@ -6,37 +6,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from finflow.operators.scd import OPEN_END
-from finflow.session import bounded_broadcast
-
-# Dimensions up to this many rows are broadcast (about 100 bytes a row in the join
-# columns keeps the hash table well under 100 MB per executor). Beyond it the join
-# stays a shuffle join that AQE may still convert at run time.
-BROADCAST_MAX_ROWS = 1_000_000
 
 
 def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-           take: dict[str, str], how: str = "left",
-           max_broadcast_rows: int | None = None) -> DataFrame:
+           take: dict[str, str], how: str = "left") -> DataFrame:
     """Resolve ``fact_key`` against a type-1 dimension; ``take`` maps dim column ->
-    output name.
-
-    ``max_broadcast_rows`` is for dimensions read straight from storage: the bound is
-    checked with a ``limit`` that stops reading early. A computed dimension (an
-    aggregate, an SCD2 build) is left to AQE, which converts the join to a broadcast
-    only after measuring the materialised side, so the dimension is never computed
-    twice just to be counted.
-    """
+    output name. Whether the dimension is broadcast is the optimizer's choice, by its
+    size on storage or, for a computed one, by what AQE measures."""
     cols = [F.col(dim_key).alias("__dk")] + [F.col(c).alias(o) for c, o in take.items()]
-    d = dim.select(*cols)
-    if max_broadcast_rows is not None:
-        d = bounded_broadcast(d, max_broadcast_rows)
-    return fact.join(d, F.col(fact_key) == F.col("__dk"), how).drop("__dk")
+    return fact.join(dim.select(*cols), F.col(fact_key) == F.col("__dk"), how).drop("__dk")
 
 
-def inner_join_non_null(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                        max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def inner_join_non_null(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
     """Inner equi-join keeping rows whose dimension key is not null."""
-    d = bounded_broadcast(dim.filter(F.col(dim_key).isNotNull()), max_broadcast_rows)
+    d = dim.filter(F.col(dim_key).isNotNull())
     return fact.join(d, F.col(fact_key) == F.col(dim_key), "inner")
 
 

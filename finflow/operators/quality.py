@@ -29,19 +29,23 @@ def split_clean_dirty(df: DataFrame, flag: str = "is_dirty") -> tuple[DataFrame,
 
 def batch_profile(df: DataFrame, batch_col: str, columns: list[str] | None = None,
                   critical: list[str] | None = None) -> DataFrame:
-    """Q6-Q8, Q10 in one pass: per batch (file) row count, per-column nulls, duplicates.
+    """Q6-Q8, Q10 in one scan: per batch (file) row count, per-column nulls, duplicates.
 
-    One aggregation over (batch, all columns) gives the duplicate multiplicity ``n`` of
-    every distinct row (partial aggregation collapses copies map-side, so a row repeated
-    a billion times costs one shuffled record per map task); a second, tiny
-    aggregation folds the distinct rows into per-batch metrics.
+    A row crosses the network as its 128-bit hash and its null mask, never with its
+    columns: copies within a batch meet by (batch, hash) after map-side counting, and a
+    second aggregation folds the distinct rows into the batch's metrics.
     """
     cols = [c for c in (columns or df.columns) if c != batch_col]
     quoted = [F.col(f"`{c}`") for c in cols]
-    distinct_rows = df.groupBy(F.col(batch_col), *quoted).agg(F.count(F.lit(1)).alias("__n"))
+    # xxhash64 skips nulls, so the mask that tells their places is hashed too.
+    mask = F.concat(F.lit(""), *[F.when(c.isNull(), F.lit("1")).otherwise(F.lit("0")) for c in quoted])
+    hashed = df.select(F.col(batch_col), mask.alias("__mask"), *quoted).select(
+        batch_col, "__mask", F.xxhash64("__mask", *quoted).alias("__h1"),
+        F.xxhash64(F.lit(7), "__mask", *reversed(quoted)).alias("__h2"))
+    distinct_rows = hashed.groupBy(batch_col, "__h1", "__h2", "__mask").agg(F.count(F.lit(1)).alias("__n"))
     n = F.col("__n")
-    null_aggs = [F.sum(F.when(F.col(f"`{c}`").isNull(), n).otherwise(0)).alias(f"nulls__{c}")
-                 for c in cols]
+    null_aggs = [F.sum(F.when(F.substring("__mask", i + 1, 1) == "1", n).otherwise(0)).alias(f"nulls__{c}")
+                 for i, c in enumerate(cols)]
     prof = distinct_rows.groupBy(batch_col).agg(
         F.sum(n).alias("row_count"),
         F.sum(n - 1).alias("duplicate_records"),
@@ -84,15 +88,9 @@ def null_violations(df: DataFrame, mandatory: list[str]) -> Column:
     return compact(*[F.when(F.col(c).isNull(), F.lit(c)) for c in mandatory])
 
 
-def rule_counts(df: DataFrame, violations_col: str = "violations") -> DataFrame:
-    """Violations per rule name (only violating rows are expanded)."""
-    return (df.select(F.explode(violations_col).alias("rule_name"))
-              .groupBy("rule_name").agg(F.count(F.lit(1)).alias("n_violations")))
-
-
 def rule_totals(df: DataFrame, rules: list) -> DataFrame:
     """Violations per rule, zero included: one aggregation pass, then an unpivot of the
     single result row (``rules`` are :class:`finflow.functions.rules.Rule`)."""
     aggs = [F.sum(F.when(r.violated(), 1).otherwise(0)).cast("bigint").alias(r.name) for r in rules]
     wide = df.agg(*aggs)
-    return wide.unpivot([], [r.name for r in rules], "rule_name", "n_violations")
+    return wide.unpivot([], [F.col(f"`{r.name}`") for r in rules], "rule_name", "n_violations")

@@ -35,8 +35,12 @@ def scd2_from_history(history: DataFrame, keys: list[str], attrs: list[str], ts_
     order = F.struct(F.col(ts_col), *tb)
     daily = (history.filter(keys_present(keys) & F.col(ts_col).isNotNull())
              .groupBy(*keys, F.to_date(ts_col).alias("effective_date"))
-             .agg(F.max_by(F.struct(*[F.col(a) for a in attrs]), order).alias("__a"),
-                  F.max(ts_col).alias("__ts")))
+             .agg(F.max_by(F.struct(*[F.col(a) for a in attrs]), order).alias("__a")))
+    return _versions(daily, keys, attrs)
+
+
+def _versions(daily: DataFrame, keys: list[str], attrs: list[str]) -> DataFrame:
+    """Closed and current versions from one row (``__a``: its attributes) per key and day."""
     w = Window.partitionBy(*keys).orderBy("effective_date")
     changed = (daily.withColumn("__prev", F.lag("__a").over(w))
                .filter(F.col("__prev").isNull() | ~F.col("__a").eqNullSafe(F.col("__prev"))))
@@ -51,44 +55,39 @@ def scd2_from_history(history: DataFrame, keys: list[str], attrs: list[str], ts_
 
 def scd2_merge(dim: DataFrame, incoming: DataFrame, keys: list[str], attrs: list[str],
                eff_col: str = "effective_date") -> DataFrame:
-    """M4: apply a snapshot of incoming rows (one per key) to an SCD2 dimension.
+    """M4: apply dated incoming rows (one or more per key) to an SCD2 dimension.
 
-    Unchanged keys keep their rows; a changed key has its current row closed on the day
-    before the new version starts and gets a new current row; new keys get a first row;
-    a change dated on the current row's own start day corrects that row in place.
-    Incoming rows older than the current version are ignored (late data). Historical
-    (closed) rows pass through untouched, so only the current slice is rewritten.
+    A key that changed has its version closed on the day before the new one starts; new
+    keys get a first version; a row dated on a version's own start day corrects it; a row
+    older than the current version (late data) is put into its place in the history, and
+    the versions around it are closed accordingly. Unchanged rows add nothing. Keys
+    without an incoming row pass through untouched.
+
+    A dimension does not remember rows that confirmed what was already current, so a late
+    row lasts until the next known change; ``scd2_refresh`` works from the change log.
     """
-    closed = dim.filter(~F.col("is_current"))
-    cur = dim.filter(F.col("is_current"))
-    i_cols = [F.col(c).alias(f"i__{c}") for c in keys + attrs + [eff_col]]
-    inc = incoming.select(*i_cols)
-    j = cur.join(inc, [F.col(k) == F.col(f"i__{k}") for k in keys], "full_outer")
-    has_c = F.col(keys[0]).isNotNull()
-    has_i = F.col(f"i__{keys[0]}").isNotNull()
-    same = F.struct(*[F.col(a) for a in attrs]).eqNullSafe(F.struct(*[F.col(f"i__{a}") for a in attrs]))
-    i_eff = F.col(f"i__{eff_col}")
-    c_eff = F.col(eff_col)
-
-    def row(src: str, eff, exp, current: bool):
-        if src == "c":
-            vals = [F.col(k).alias(k) for k in keys] + [F.col(a).alias(a) for a in attrs]
-        else:
-            vals = [F.col(f"i__{k}").alias(k) for k in keys] + [F.col(f"i__{a}").alias(a) for a in attrs]
-        return F.struct(*vals, eff.alias(eff_col), exp.cast("date").alias("expiry_date"),
-                        F.lit(current).alias("is_current"))
-
-    null_date = F.lit(None).cast("date")
-    keep_c = has_c & (~has_i | same | (i_eff < c_eff))
-    change = has_c & has_i & ~same & (i_eff > c_eff)
-    correct = has_c & has_i & ~same & (i_eff == c_eff)
-    new_key = ~has_c & has_i
-    out = F.array(
-        F.when(keep_c, row("c", c_eff, F.col("expiry_date"), True)),
-        F.when(change, row("c", c_eff, F.date_sub(i_eff, 1), False)),
-        F.when(change | new_key | correct, row("i", i_eff, null_date, True)),
-    )
-    # explode then drop the empty slots (stays in codegen, unlike a lambda filter)
-    merged = j.select(F.explode(out).alias("r")).filter(F.col("r").isNotNull()).select("r.*")
-    return closed.select(*keys, *attrs, eff_col, F.col("expiry_date").cast("date"),
-                         "is_current").unionByName(merged)
+    new = incoming.filter(keys_present(keys)).select(*keys, F.col(eff_col).alias("effective_date"),
+                                                     F.struct(*[F.col(a) for a in attrs]).alias("__a"))
+    touched = new.select(*keys).distinct()
+    old = dim.select(*keys, F.col(eff_col).alias("effective_date"), F.struct(*[F.col(a) for a in attrs]).alias("__a"))
+    points = (old.join(touched, keys, "left_semi").withColumn("__new", F.lit(0))
+              .unionByName(new.withColumn("__new", F.lit(1))))
+    daily = points.groupBy(*keys, "effective_date").agg(F.max_by("__a", F.struct("__new", "__a")).alias("__a"))
+    return _passed_on(dim, touched, keys, attrs, eff_col).unionByName(
+        _versions(daily, keys, attrs).withColumnRenamed("effective_date", eff_col))
+
+
+def scd2_refresh(dim: DataFrame, log: DataFrame, new: DataFrame, keys: list[str], attrs: list[str],
+                 ts_col: str, tiebreak: list | None = None) -> DataFrame:
+    """M4 from a change log: the versions of every key in ``new`` are built again from its
+    whole history in ``log`` (which holds ``new``), all other keys pass through. The
+    result equals one build over the whole log, in whatever order the changes came."""
+    touched = new.filter(keys_present(keys)).select(*keys).distinct()
+    rebuilt = scd2_from_history(log.join(touched, keys, "left_semi"), keys, attrs, ts_col, tiebreak)
+    return _passed_on(dim, touched, keys, attrs).unionByName(rebuilt)
+
+
+def _passed_on(dim: DataFrame, touched: DataFrame, keys: list[str], attrs: list[str],
+               eff_col: str = "effective_date") -> DataFrame:
+    return dim.join(touched, keys, "left_anti").select(
+        *keys, *attrs, eff_col, F.col("expiry_date").cast("date").alias("expiry_date"), "is_current")

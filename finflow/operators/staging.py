@@ -32,31 +32,15 @@ def keys_present(keys: list[str]) -> Column:
     return cond
 
 
-# A batch up to this many rows has its keys broadcast to filter the existing table.
-SMALL_BATCH_ROWS = 500_000  # keys broadcast stay in the tens of MB
-
-
-def insert_if_absent(batch: DataFrame, existing: DataFrame, keys: list[str],
-                     order: list, small_batch: bool | None = None,
-                     small_batch_rows: int = SMALL_BATCH_ROWS) -> DataFrame:
+def insert_if_absent(batch: DataFrame, existing: DataFrame, keys: list[str], order: list) -> DataFrame:
     """Rows of ``batch`` to append so that the first row per key wins inside the
     batch and an existing row wins across loads (``INSERT .. ON CONFLICT DO NOTHING``).
 
-    Rows with a null key are never inserted (a primary key is NOT NULL). When the batch
-    is provably small (an incremental load, a stream micro-batch), its keys are broadcast
-    to semi-filter the existing table map-side, so the large table is scanned but never
-    shuffled; otherwise both sides shuffle on the key. ``small_batch`` may be decided by
-    the caller (it must be, when ``batch`` carries an Observation).
+    Rows with a null key are never inserted (a primary key is NOT NULL). Only the keys of
+    the existing table are read; how the two sides meet is left to the optimizer.
     """
-    from finflow.session import at_most
-    offered = batch.filter(keys_present(keys))
-    first = first_per_key(offered, keys, order)
-    have = existing.select(*keys)
-    if small_batch is None:
-        small_batch = at_most(offered, small_batch_rows)
-    if small_batch:
-        have = have.join(F.broadcast(offered.select(*keys)), on=keys, how="left_semi")
-    return first.join(have, on=keys, how="left_anti")
+    first = first_per_key(batch.filter(keys_present(keys)), keys, order)
+    return first.join(existing.select(*keys), on=keys, how="left_anti")
 
 
 def load_staging(batch: DataFrame, table_path: str, keys: list[str], order: list,
@@ -65,22 +49,21 @@ def load_staging(batch: DataFrame, table_path: str, keys: list[str], order: list
 
     Re-running the same batch inserts nothing (idempotent). ``rows_attempted`` counts the
     rows offered, ``rows_inserted`` those appended; both come from observations on the
-    one write job. ``drop_cols`` (ordering-only columns) are not written.
+    one write job. ``drop_cols`` (ordering-only columns) are not written. Only a path that
+    does not exist is an empty target; a table that cannot be read fails the load.
     """
     from pyspark.sql import Observation
 
-    from finflow.session import at_most
+    from finflow.session import read_or_none
     spark = batch.sparkSession
     out_cols = [c for c in batch.columns if c not in (drop_cols or [])]
     if existing is None:
-        try:
-            existing = spark.read.parquet(table_path)
-        except Exception:  # first load: empty target
-            existing = spark.createDataFrame([], batch.select(*keys).schema)
-    small = at_most(batch.filter(keys_present(keys)), SMALL_BATCH_ROWS)  # before observing
+        existing = read_or_none(spark, table_path)
+    if existing is None:  # first load: empty target
+        existing = spark.createDataFrame([], batch.select(*keys).schema)
     seen, kept = Observation("attempted"), Observation("inserted")
     offered = batch.observe(seen, F.count(F.lit(1)).alias("n"))
-    new_rows = insert_if_absent(offered, existing, keys, order, small_batch=small).select(*out_cols)
+    new_rows = insert_if_absent(offered, existing, keys, order).select(*out_cols)
     new_rows.observe(kept, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(table_path)
     return {"rows_attempted": int(seen.get.get("n", 0) or 0), "rows_inserted": int(kept.get.get("n", 0) or 0)}
 

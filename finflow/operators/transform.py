@@ -26,7 +26,7 @@ def _date_columns(dataset: str) -> dict[str, T.DataType]:
 
 
 def clean(df: DataFrame, dataset: str, extra_rules: list[R.Rule] | None = None,
-          dedupe: bool = True) -> DataFrame:
+          dedupe: bool = True, optional: tuple[str, ...] = ()) -> DataFrame:
     """Clean one dataset's rows and flag rule violations.
 
     Exact duplicates (within a source file, when ``source_file`` is present) and all-null
@@ -34,6 +34,8 @@ def clean(df: DataFrame, dataset: str, extra_rules: list[R.Rule] | None = None,
     e-mail lower-cased and ``@``-less rows removed; dates parsed in several formats;
     ``*price*`` / ``*amount*`` columns typed as DECIMAL(18,2); then the categorical rules
     (and any ``extra_rules``) give ``violations`` and ``is_dirty``. Nothing leaves the JVM.
+    ``optional`` columns may be null under their categorical rule (a stream row carries all
+    columns of its dataset, also those its messages need not have).
     """
     data_cols = [c for c in df.columns if c not in LINEAGE]
     if dedupe:
@@ -62,5 +64,5 @@ def clean(df: DataFrame, dataset: str, extra_rules: list[R.Rule] | None = None,
     if money:
         df = df.withColumns(money)
     df = N.with_dirty_flag(df)
-    rules = R.categorical_rules(dataset) + list(extra_rules or [])
+    rules = R.categorical_rules(dataset, optional=optional) + list(extra_rules or [])
     return R.evaluate(df, rules)

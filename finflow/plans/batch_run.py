@@ -17,10 +17,11 @@ from pyspark.sql import types as T
 
 from finflow import schemas
 from finflow.functions import normalize as N
+from finflow.functions import rules as R
 from finflow.operators import quality as Q
 from finflow.operators import staging as ST
 from finflow.operators.transform import clean
-from finflow.session import bounded_broadcast
+from finflow.session import read_or_none
 from finflow.sources import files as FS
 from finflow.sources import readers as RD
 
@@ -37,12 +38,13 @@ def sla_breaches(runs: DataFrame, threshold_seconds: float = schemas.SLA_SECONDS
     return runs.filter(F.col("processing_time_seconds") > F.lit(threshold_seconds))
 
 
-EMPTY_AFTER_TRANSFORM = "No valid rows remained after transform"
+EMPTY_AFTER_TRANSFORM = "no row was left after cleaning"
 
 VERDICT_SCHEMA = T.StructType([
     T.StructField("source_file", T.StringType()), T.StructField("dataset", T.StringType()),
     T.StructField("file_type", T.StringType()), T.StructField("columns", T.ArrayType(T.StringType())),
 ])
+FILES_SCHEMA = "path string, length long, modificationTime timestamp, run_id string"
 
 
 def _with_position(df: DataFrame) -> DataFrame:
@@ -51,78 +53,107 @@ def _with_position(df: DataFrame) -> DataFrame:
     return df.withColumn("row_pos", pos)
 
 
-def read_dataset(spark: SparkSession, dataset: str, file_rows: list) -> tuple[DataFrame, list]:
-    """Read every file of one dataset; returns rows (all text + source_file + row_pos)
-    and per-file column lists (after alias renames)."""
-    parts, meta = [], []
-    csv_groups: dict[tuple, list[str]] = {}
+def _numbered(df: DataFrame) -> DataFrame:
+    return df.withColumn("row_pos", F.struct(F.lit(0).cast("long").alias("b"), F.monotonically_increasing_id().alias("i")))
+
+
+def _renamed_columns(columns: list[str], dataset: str) -> list[str]:
+    """A file's own column names after the aliases that apply to that file."""
+    renames = N.alias_renames(columns, dataset)
+    return [renames.get(c, c) for c in columns]
+
+
+def _rename(src: str, dst: str):
+    return lambda c: F.when(c == src, F.lit(dst)).otherwise(c)
+
+
+def _per_file_aliases(df: DataFrame, per_file: DataFrame, dataset: str) -> tuple[DataFrame, DataFrame]:
+    """Aliases for rows of files with different columns: an alias holds for the files that
+    have its source and lack its target. Returns the rows and the files' renamed columns."""
+    pairs = schemas.COLUMN_ALIASES.get(dataset, [])
+    files = per_file.withColumn("__own", F.col("columns"))
+    df = df.join(files.select("source_file", "__own"), "source_file", "left")
+    names = F.col("columns")
+    for src, dst in pairs:
+        if src not in df.columns:
+            continue
+        has = lambda c: F.array_contains("__own", c)
+        taken = [s for s, d in pairs[:pairs.index((src, dst))] if d == dst and s in df.columns]
+        holds = F.coalesce(has(src) & ~has(dst), F.lit(False))
+        for earlier in taken:
+            holds = holds & ~F.coalesce(has(earlier), F.lit(False))
+        value = F.when(holds, F.col(f"`{src}`"))
+        df = df.withColumn(dst, F.coalesce(F.col(f"`{dst}`"), value) if dst in df.columns else value)
+        df = df.withColumn(src, F.when(~holds, F.col(f"`{src}`")))
+        files = files.withColumn("columns", F.when(holds, F.transform("columns", _rename(src, dst))).otherwise(names))
+        names = F.col("columns")
+    return df.drop("__own"), files.drop("__own")
+
+
+def read_dataset(spark: SparkSession, dataset: str, file_rows: list[dict]) -> tuple[DataFrame, DataFrame]:
+    """Rows of all files of one dataset (unioned by name, all text) and, for each file,
+    the columns it really has (VERDICT_SCHEMA): a file is judged by those alone."""
+    parts, metas = [], []
+    by_type: dict[str, list[dict]] = {}
     for r in file_rows:
-        if r["file_type"] == "CSV":
-            cols = tuple(csv_header(r["first_line"]))
-            csv_groups.setdefault(cols, []).append(r["path"])
-    for cols, paths in csv_groups.items():
-        df = _with_position(RD.read_csv_group(spark, paths, list(cols)))
-        df = N.apply_aliases(df, dataset)
-        renamed = [c for c in df.columns if c not in ("source_file", "row_pos", RD.CORRUPT)]
-        parts.append(df)
-        meta += [(p, dataset, "CSV", renamed) for p in paths]
-    json_paths = [r["path"] for r in file_rows if r["file_type"] == "JSON"]
-    if json_paths:
-        df = RD.read_json(spark, json_paths)
-        df = df.withColumn("row_pos", F.struct(F.lit(0).cast("long").alias("b"),
-                                               F.monotonically_increasing_id().alias("i")))
-        df = N.apply_aliases(df, dataset)
-        cols = [c for c in df.columns if c not in ("source_file", "row_pos", RD.CORRUPT)]
-        parts.append(df)
-        meta += [(p, dataset, "JSON", cols) for p in json_paths]
-    xlsx_paths = [r["path"] for r in file_rows if r["file_type"] == "Excel"]
-    if xlsx_paths:
-        df = RD.read_xlsx(spark, xlsx_paths)
-        df = df.withColumn("row_pos", F.struct(F.lit(0).cast("long").alias("b"),
-                                               F.monotonically_increasing_id().alias("i")))
-        df = N.apply_aliases(df, dataset)
-        cols = [c for c in df.columns if c not in ("source_file", "row_pos", RD.CORRUPT)]
-        parts.append(df)
-        meta += [(p, dataset, "Excel", cols) for p in xlsx_paths]
-    out = parts[0]
+        by_type.setdefault(r["file_type"], []).append(r)
+    groups: dict[tuple, list[str]] = {}
+    for r in by_type.get("CSV", []):
+        groups.setdefault(tuple(RD.csv_header(r["first_line"])), []).append(r["path"])
+    known: list[tuple] = []
+    for cols, paths in groups.items():
+        if cols:
+            parts.append(N.apply_aliases(_with_position(RD.read_csv_group(spark, paths, list(cols))), dataset))
+        known += [(p, dataset, "CSV", _renamed_columns(list(cols), dataset)) for p in paths]
+    metas.append(spark.createDataFrame(known, VERDICT_SCHEMA))
+    for kind, paths in (("JSON", [r["path"] for r in by_type.get("JSON", [])]), ("Excel", [r["path"] for r in by_type.get("Excel", [])])):
+        if not paths:
+            continue
+        files = spark.createDataFrame([(p,) for p in paths], "source_file string")
+        if kind == "JSON":
+            rows = RD.read_json(spark, paths)
+            per_file = RD.json_columns(spark, paths, [c for c in rows.columns if c not in ("source_file", RD.CORRUPT)])
+        else:
+            cells = RD.workbook_cells(spark.read.format("binaryFile").load(paths)).persist()
+            per_file = RD.workbook_columns(cells)
+            rows = RD.workbook_rows(cells, RD.union_columns(per_file))
+        rows, per_file = _per_file_aliases(_numbered(rows), per_file, dataset)
+        parts.append(rows)
+        metas.append(files.join(per_file, "source_file", "left").select(
+            "source_file", F.lit(dataset).alias("dataset"), F.lit(kind).alias("file_type"),
+            F.coalesce("columns", F.array().cast("array<string>")).alias("columns")))
+    out = parts[0] if parts else spark.createDataFrame([], "source_file string, row_pos struct<b:long,i:long>")
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
     if RD.CORRUPT not in out.columns:
         out = out.withColumn(RD.CORRUPT, F.lit(None).cast("string"))
+    meta = metas[0]
+    for m in metas[1:]:
+        meta = meta.unionByName(m)
     return out, meta
 
 
 def read_plan(found: DataFrame) -> list[dict]:
-    """The driver's read plan: (path, dataset, file_type, first_line) per file.
+    """The driver's read plan: (path, dataset, file_type, first_line), a row per file.
 
-    Files are grouped by (dataset, type, header line) on the cluster first, so each
-    distinct header crosses to the driver once however many files share it; what remains
-    per file is its path, which the readers need anyway.
+    Spark's own file listing holds every path on the driver as well; rows come in one
+    partition at a time, and no row gathers the paths of many files.
     """
-    groups = (found.groupBy("dataset", "file_type", "first_line")
-                   .agg(F.sort_array(F.collect_list("path")).alias("paths")).collect())
-    return [{"path": p, "dataset": g["dataset"], "file_type": g["file_type"], "first_line": g["first_line"]}
-            for g in groups for p in g["paths"]]
-
-
-def csv_header(first_line: str | None) -> list[str]:
-    if not first_line:
-        return []
-    return [c.strip().strip('"').strip() for c in first_line.split(",")]
+    return [r.asDict() for r in found.select("path", "dataset", "file_type", "first_line").toLocalIterator()]
 
 
 def landed_rows(spark: SparkSession, landing: str, dataset: str) -> tuple[DataFrame, DataFrame]:
     """Rows and file table of one dataset under ``landing``."""
     inv = FS.gate(FS.manifest(spark, landing))
     found = (FS.discover(inv.filter("is_valid")).filter(F.col("dataset") == dataset)
-             .join(FS.contents(spark, landing, schemas.ETL_EXTENSIONS), "path", "left"))
-    rows, meta = read_dataset(spark, dataset, read_plan(found))
-    return rows, spark.createDataFrame(meta, VERDICT_SCHEMA)
+             .join(FS.csv_headers(spark, landing), "path", "left"))
+    return read_dataset(spark, dataset, read_plan(found))
 
 
 def file_verdicts(rows: DataFrame, meta: DataFrame, dataset: str, strict: bool = True) -> DataFrame:
     """Q6-Q12 per file in one job: counts, nulls, duplicates, required / critical columns,
-    schema match, malformed rows, then the joined error message and the verdict."""
+    schema match, malformed rows, then the error messages and the verdict. Nulls, required
+    and critical columns are judged over the columns the file itself has."""
     rules = schemas.QUALITY_RULES.get(dataset, {"required": [], "critical": []})
     target = [f.name for f in schemas.STAGING[dataset].fields] if dataset in schemas.STAGING else []
     data_cols = [c for c in rows.columns if c not in ("source_file", "row_pos", RD.CORRUPT)]
@@ -130,136 +161,159 @@ def file_verdicts(rows: DataFrame, meta: DataFrame, dataset: str, strict: bool =
     # column of a raw file is not allowed, and a second scan is not wanted)
     prof = Q.batch_profile(rows.select("source_file", *[F.col(f"`{c}`") for c in data_cols + [RD.CORRUPT]]),
                            "source_file", data_cols + [RD.CORRUPT], critical=rules["critical"])
-    corrupt_nulls = F.coalesce(F.col("null_value_counts")[RD.CORRUPT], F.lit(0))
-    prof = prof.select(
-        "source_file", "row_count", "duplicate_records",
-        (F.col("total_null_values") - corrupt_nulls).alias("total_null_values"),
-        F.map_filter("null_value_counts", lambda k, v: k != RD.CORRUPT).alias("null_value_counts"),
-        "critical_null_violations",
-        (F.col("row_count") - corrupt_nulls).alias("malformed_rows"))
-    req = F.array(*[F.lit(c) for c in rules["required"]]).cast("array<string>")
-    tgt = F.array(*[F.lit(c) for c in target]).cast("array<string>")
-    m = meta.select(
+    corrupt_nulls = F.coalesce(F.try_element_at("null_value_counts", F.lit(RD.CORRUPT)), F.lit(0))
+    prof = prof.select("source_file", "row_count", "duplicate_records", "null_value_counts",
+                       "critical_null_violations", (F.col("row_count") - corrupt_nulls).alias("malformed_rows"))
+    names = lambda xs: F.array(*[F.lit(c) for c in xs]).cast("array<string>")
+    own = lambda m: F.map_filter(F.coalesce(m, F.create_map().cast("map<string,bigint>")),
+                                 lambda k, v: F.array_contains(F.col("columns"), k))
+    v = meta.join(prof, "source_file", "left").select(
         "source_file", "dataset", "file_type",
-        F.array_except(req, F.col("columns")).alias("missing_required_columns"),
-        F.size(F.array_intersect(F.col("columns"), tgt)).alias("shared_columns"),
-        F.array_sort(F.array_except(F.col("columns"), tgt)).alias("unexpected_columns"),
-        F.col("columns"))
-    crit_present = F.array_intersect(F.col("columns"), F.array(*[F.lit(c) for c in rules["critical"]]).cast("array<string>"))
-    v = (m.join(prof, "source_file", "left")
-          .withColumn("row_count", F.coalesce("row_count", F.lit(0)))
-          .withColumn("duplicate_records", F.coalesce("duplicate_records", F.lit(0)))
-          .withColumn("malformed_rows", F.coalesce("malformed_rows", F.lit(0)))
-          .withColumn("critical_null_violations",
-                      F.map_filter(F.coalesce("critical_null_violations",
-                                              F.create_map().cast("map<string,bigint>")),
-                                   lambda k, x: F.array_contains(crit_present, k))))
+        F.array_except(names(rules["required"]), F.col("columns")).alias("missing_required_columns"),
+        F.size(F.array_intersect(F.col("columns"), names(target))).alias("shared_columns"),
+        F.array_sort(F.array_except(F.col("columns"), names(target))).alias("unexpected_columns"), "columns",
+        F.coalesce("row_count", F.lit(0)).alias("row_count"),
+        F.coalesce("duplicate_records", F.lit(0)).alias("duplicate_records"),
+        F.coalesce("malformed_rows", F.lit(0)).alias("malformed_rows"),
+        own(F.col("null_value_counts")).alias("null_value_counts"),
+        own(F.col("critical_null_violations")).alias("critical_null_violations"))
+    v = v.withColumn("total_null_values", F.aggregate(F.map_values("null_value_counts"), F.lit(0).cast("bigint"), lambda s, x: s + x))
     errors = F.array_compact(F.array(
         F.when(F.lit(strict) & (F.col("duplicate_records") > 0),
-               F.format_string("duplicate records detected: %d", F.col("duplicate_records"))),
+               F.format_string("%d repeated rows", F.col("duplicate_records"))),
         F.when(F.size("missing_required_columns") > 0,
-               F.concat(F.lit("missing required columns: "), F.to_json("missing_required_columns"))),
+               F.concat(F.lit("required columns absent: "), F.array_join("missing_required_columns", ", "))),
         F.when(F.size(F.map_keys("critical_null_violations")) > 0,
-               F.concat(F.lit("critical null violations: "), F.to_json("critical_null_violations"))),
+               F.concat(F.lit("nulls in critical columns: "), F.to_json("critical_null_violations"))),
         F.when(F.col("malformed_rows") > 0,
-               F.format_string("malformed rows: %d", F.col("malformed_rows"))),
+               F.format_string("%d malformed rows", F.col("malformed_rows"))),
         F.when((F.col("shared_columns") == 0) & (F.size("missing_required_columns") == 0),
-               F.lit("schema validation failed because no target columns matched the extracted file")),
+               F.lit("none of the columns belongs to the target table")),
     ))
     return (v.withColumn("validation_errors", errors)
              .withColumn("schema_valid", (F.col("shared_columns") > 0) & (F.size("missing_required_columns") == 0))
              .withColumn("is_valid", F.size("validation_errors") == 0))
 
 
+def _replace_run(df: DataFrame, path: str, run_id: str, dataset: str | None = None) -> None:
+    """Write a run's rows (of one dataset); a repeated write of the same run replaces them."""
+    parts = ["run_id"]
+    if dataset is not None:
+        df, parts = df.withColumn("dataset", F.lit(dataset)), ["dataset", "run_id"]
+    (df.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(*parts).parquet(path))
+
+
+def _load_dataset(spark, dataset: str, file_rows: list[dict], out_root: str, run_id: str, started,
+                  strict: bool, constraints: bool) -> tuple[DataFrame, dict]:
+    """Reads, judges, cleans and loads one dataset's files: (file verdicts, load counts)."""
+    rows, meta = read_dataset(spark, dataset, file_rows)
+    verdict = file_verdicts(rows, meta, dataset, strict).persist()
+    accepted = verdict.filter("is_valid").select("source_file")
+    good_rows = rows.join(accepted, "source_file", "left_semi").drop(RD.CORRUPT)
+    # strict mode rejected every file holding a duplicate, so de-duplication would be a
+    # no-op shuffle over all accepted rows; lenient mode de-duplicates per file
+    extra = R.domain_rules(dataset) if constraints else []
+    cleaned = clean(good_rows, dataset, extra_rules=extra, dedupe=not strict).persist()
+    ok, dirty = Q.split_clean_dirty(cleaned)
+    load = {"rows_attempted": 0, "rows_inserted": 0}
+    if not accepted.isEmpty():
+        # (without an accepted file the required columns may not even exist in the rows)
+        typed = typed_for_target(ok, schemas.STAGING[dataset])
+        load = ST.load_staging(typed, os.path.join(out_root, "staging", dataset), schemas.PRIMARY_KEYS[dataset],
+                               ["source_file", "row_pos"], drop_cols=["source_file", "row_pos"])
+        # the change log beside staging: every clean row as it came, also of known keys
+        _replace_run(typed.withColumn("loaded_at", F.lit(started).cast("timestamp_ntz"))
+                     .withColumn("row_order", F.concat_ws(":", "source_file", F.format_string("%020d", "row_pos.b"), F.format_string("%020d", "row_pos.i")))
+                     .drop("source_file", "row_pos"), os.path.join(out_root, "changes", dataset), run_id)
+    _replace_run(dirty.select("source_file", "violations", F.to_json(F.struct(
+        *[F.col(f"`{c}`") for c in dirty.columns if c not in ("source_file", "row_pos", "violations", "is_dirty")])).alias("row_json")),
+        os.path.join(out_root, "quarantine", dataset), run_id)
+    per_file = cleaned.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("rows_after_clean"), F.count(F.when(F.col("is_dirty"), 1)).alias("dirty_rows"))
+    # Q12: a file that passed the checks but kept no row after cleaning is rejected too
+    v = verdict.join(per_file, "source_file", "left")
+    emptied = F.col("is_valid") & (F.coalesce(F.col("rows_after_clean"), F.lit(0)) == 0)
+    v = (v.withColumn("validation_errors",
+                      F.when(emptied, F.array_union("validation_errors", F.array(F.lit(EMPTY_AFTER_TRANSFORM))))
+                       .otherwise(F.col("validation_errors")))
+          .withColumn("is_valid", F.col("is_valid") & ~emptied))
+    _replace_run(v.drop("null_value_counts", "critical_null_violations"), os.path.join(out_root, "file_verdicts"), run_id, dataset)
+    if load["rows_attempted"] > 0:
+        _replace_run(ST.metadata_row(spark, dataset, load["rows_attempted"]), os.path.join(out_root, "etl_metadata"), run_id, dataset)
+    cleaned.unpersist()
+    return v, load
+
+
 def run_batch(spark: SparkSession, landing: str, out_root: str, strict: bool = True,
               run_keys: DataFrame | None = None, run_id: str | None = None,
-              dag_id: str = "finflow_batch") -> dict:
+              dag_id: str = "finflow_batch", constraints: bool = True, reprocess: bool = False,
+              started: _dt.datetime | None = None) -> dict:
     """One ETL run over ``landing``: returns the summary dict (also the ETL_SUMMARY line).
 
-    Staging tables live at ``out_root/staging/<dataset>``, rejected rows at
-    ``out_root/quarantine/<dataset>``, file verdicts at ``out_root/file_verdicts`` and the
-    load log at ``out_root/etl_metadata``. Re-running the same files inserts nothing.
+    Under ``out_root``: ``staging/<dataset>`` (insert-if-absent), ``changes/<dataset>`` (every
+    clean row with its run's time, for the type-2 dimensions), ``quarantine/<dataset>``,
+    ``file_verdicts``, ``etl_metadata`` and ``processed_files``. A file is read
+    once (A9): what an earlier run has finished is left out unless ``reprocess`` is set.
+    Writing a run again under its ``run_id`` replaces its rows. A dataset that fails is an
+    error of the run; the others load, and its files are taken up by the next run.
+    ``constraints`` applies the domain rules of ``rules.domain_rules`` besides the categorical ones.
     """
     run_id = run_id or uuid.uuid4().hex[:12]
-    started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    started = started or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    began = _dt.datetime.now()
     inv = FS.gate(FS.manifest(spark, landing))
+    done_path = os.path.join(out_root, "processed_files")
+    done = read_or_none(spark, done_path)
+    if done is not None and not reprocess:
+        seen = done.filter(F.col("run_id") != run_id).select("path", "length", "modificationTime")
+        inv = inv.join(seen, ["path", "length", "modificationTime"], "left_anti")
+    inv = inv.persist()
     found = (FS.discover(inv.filter("is_valid"), run_keys)
-             .join(FS.contents(spark, landing, schemas.ETL_EXTENSIONS), "path", "left"))
+             .join(FS.csv_headers(spark, landing), "path", "left"))
     files = read_plan(found)
-    gate_rejects = inv.filter(~F.col("is_valid")).select("path", "reason").collect()
+    gate_rejects = [{"path": r["path"], "reason": r["reason"]}
+                    for r in inv.filter(~F.col("is_valid")).select("path", "reason").toLocalIterator()]
     per_dataset: dict[str, list] = {}
     unmapped = []
     for r in files:
         (per_dataset.setdefault(r["dataset"], []) if r["dataset"] in schemas.DATASETS else unmapped).append(r)
-    verdict_frames, metrics = [], []
-    for dataset, rows_meta in sorted(per_dataset.items()):
-        rows, meta = read_dataset(spark, dataset, rows_meta)
-        meta_df = spark.createDataFrame(meta, VERDICT_SCHEMA)
-        verdict = file_verdicts(rows, meta_df, dataset, strict).persist()
-        accepted = verdict.filter("is_valid").select("source_file")
-        # one row per accepted file: broadcast only below a proven bound
-        good_rows = rows.join(bounded_broadcast(accepted, 100_000), "source_file", "left_semi").drop(RD.CORRUPT)
-        # strict mode rejected every file holding a duplicate, so de-duplication would be a
-        # no-op shuffle over all accepted rows; lenient mode de-duplicates per file
-        cleaned = clean(good_rows, dataset, dedupe=not strict).persist()
-        ok, dirty = Q.split_clean_dirty(cleaned)
-        target = schemas.STAGING[dataset]
-        table = os.path.join(out_root, "staging", dataset)
-        if accepted.limit(1).count() == 0:
-            # every file of the dataset was rejected: nothing to load (required columns,
-            # which include the primary key, may not even exist in the rows)
-            load = {"rows_attempted": 0, "rows_inserted": 0}
-        else:
-            typed = typed_for_target(ok, target)
-            load = ST.load_staging(typed, table, schemas.PRIMARY_KEYS[dataset], ["source_file", "row_pos"],
-                                   drop_cols=["source_file", "row_pos"])
-        qpath = os.path.join(out_root, "quarantine", dataset)
-        (dirty.withColumn("run_id", F.lit(run_id))
-              .select("run_id", "source_file", F.col("violations"),
-                      F.to_json(F.struct(*[F.col(f"`{c}`") for c in dirty.columns
-                                           if c not in ("source_file", "row_pos", "violations", "is_dirty")]))
-                      .alias("row_json"))
-              .write.mode("append").parquet(qpath))
-        per_file = cleaned.groupBy("source_file").agg(
-            F.count(F.lit(1)).alias("rows_after_clean"),
-            F.count(F.when(F.col("is_dirty"), 1)).alias("dirty_rows"))
-        # Q12: a file that passed the checks but kept no row after cleaning is rejected too
-        v = verdict.join(per_file, "source_file", "left")
-        emptied = F.col("is_valid") & (F.coalesce(F.col("rows_after_clean"), F.lit(0)) == 0)
-        v = (v.withColumn("validation_errors",
-                          F.when(emptied, F.array_union("validation_errors",
-                                                        F.array(F.lit(EMPTY_AFTER_TRANSFORM))))
-                           .otherwise(F.col("validation_errors")))
-              .withColumn("is_valid", F.col("is_valid") & ~emptied))
+    verdict_frames, metrics, failed = [], [], {}
+    for dataset, file_rows in sorted(per_dataset.items()):
+        try:
+            v, load = _load_dataset(spark, dataset, file_rows, out_root, run_id, started, strict, constraints)
+        except Exception as e:  # noqa: BLE001 - one dataset's failure is reported, the others load
+            failed[dataset] = f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"
+            continue
         verdict_frames.append(v)
         metrics.append({"dataset": dataset, **load})
-        if load["rows_attempted"] > 0:
-            ST.metadata_row(spark, dataset, load["rows_attempted"]).write.mode("append").parquet(
-                os.path.join(out_root, "etl_metadata"))
-        cleaned.unpersist()
+    finished = [d for d in per_dataset if d not in failed]
+    taken = inv.withColumn("dataset", N.infer_dataset("path")).filter(~F.col("dataset").isin(list(failed)) if failed else F.lit(True))
+    if run_keys is not None:
+        taken = taken.join(found.select("path"), "path", "left_semi")
+    _replace_run(taken.select("path", "length", "modificationTime"), done_path, run_id)
+    inv.unpersist()
     summary = {"run_id": run_id, "files_found": len(files), "files_processed": 0,
                "rows_loaded": sum(m["rows_attempted"] for m in metrics),
                "rows_inserted": sum(m["rows_inserted"] for m in metrics),
-               "gate_rejected": [{"path": r["path"], "reason": r["reason"]} for r in gate_rejects],
-               "unmapped_files": [r["path"] for r in unmapped], "datasets": metrics,
-               "file_metrics": [], "errors": []}
+               "gate_rejected": gate_rejects, "unmapped_files": [r["path"] for r in unmapped],
+               "datasets": metrics, "datasets_finished": sorted(finished), "file_metrics": [], "errors": []}
     if verdict_frames:
         allv = verdict_frames[0]
         for v in verdict_frames[1:]:
             allv = allv.unionByName(v)
-        allv.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(
-            os.path.join(out_root, "file_verdicts"))
         s = run_summary(allv).first().asDict(recursive=True)
         summary.update({k: s[k] for k in ("files_processed", "files_rejected", "total_rows",
                                           "duplicate_records", "total_null_values",
                                           "schema_validation_failures")})
+        # per-file metrics are part of the reported line (Q13)
         summary["file_metrics"] = json.loads(s["file_metrics_json"])
         summary["errors"] = [f"{m['source_file']}: {'; '.join(m['validation_errors'])}"
                              for m in summary["file_metrics"] if m["validation_errors"]]
-    summary["errors"] += [f"{r['path']}: no table mapping found for inferred dataset {r['dataset']}"
-                          for r in unmapped]
+    summary["errors"] += [f"{d}: {e}" for d, e in sorted(failed.items())]
+    summary["errors"] += [f"{r['path']}: dataset {r['dataset']} has no target table" for r in unmapped]
     summary["status"] = ("FAILED" if summary["errors"] or summary["gate_rejected"] else "SUCCESS")
-    elapsed = (_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None) - started).total_seconds()
+    elapsed = (_dt.datetime.now() - began).total_seconds()
     summary["processing_time_seconds"] = round(elapsed, 2)
     summary["sla_breached"] = elapsed > schemas.SLA_SECONDS
     # The run's metrics row, replacing an earlier row of the same run

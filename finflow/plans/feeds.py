@@ -11,10 +11,16 @@ deterministic function of the row's own content.
 
 from __future__ import annotations
 
+import io
+import zipfile
+from xml.sax.saxutils import escape
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -171,3 +177,45 @@ def landing_names(events: DataFrame) -> DataFrame:
     name = F.concat(F.lit("landing/"), stem, F.lit("_"), F.date_format("ts", "yyyy"), F.lit("_"),
                     F.date_format("ts", "yyyyMMdd_HHmmss"), F.lit(".CSV"))
     return events.select("event_id", name.alias("file_name"))
+
+
+# --- workbooks: rows as landed XLSX files -------------------------------------------------
+
+def workbook(header: list[str], rows: list[list], sheet: str = "data") -> bytes:
+    """One-sheet workbook of inline strings."""
+    def cell(at: int, row: int, value) -> str:
+        name, at = "", at + 1
+        while at:
+            at, digit = divmod(at - 1, 26)
+            name = chr(65 + digit) + name
+        return f'<c r="{name}{row}" t="inlineStr"><is><t xml:space="preserve">{escape(str(value))}</t></is></c>'
+
+    lines = "".join(f'<row r="{k}">' + "".join(cell(i, k, v) for i, v in enumerate(r) if v is not None) + "</row>"
+                    for k, r in enumerate([header, *rows], start=1))
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    office = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    package = "http://schemas.openxmlformats.org/package/2006/relationships"
+    parts = {
+        "xl/workbook.xml": f'<workbook xmlns="{main}" xmlns:r="{office}"><sheets><sheet name="{escape(sheet)}" sheetId="1" r:id="rId1"/></sheets></workbook>',
+        "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{package}"><Relationship Id="rId1" Type="{office}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
+        "xl/worksheets/sheet1.xml": f'<worksheet xmlns="{main}"><sheetData>{lines}</sheetData></worksheet>',
+    }
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, text in parts.items():
+            z.writestr(name, '<?xml version="1.0" encoding="UTF-8"?>' + text)
+    return out.getvalue()
+
+
+def workbooks(df: DataFrame, name: str, rows_per_book: int = 5000) -> DataFrame:
+    """(path, content) of workbooks that hold the rows of ``df`` (all text)."""
+    cols = df.columns
+
+    def pack(batches):
+        for k, pdf in enumerate(batches):
+            for start in range(0, len(pdf), rows_per_book):
+                rows = [[None if v is None or v != v else str(v) for v in r]
+                        for r in pdf.iloc[start:start + rows_per_book].itertuples(index=False, name=None)]
+                yield pd.DataFrame({"path": [f"{name}_{rows[0][0]}_{k}_{start}.xlsx"], "content": [workbook(cols, rows)]})
+
+    return df.mapInPandas(pack, "path string, content binary")

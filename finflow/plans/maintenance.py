@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finflow.functions import keys as K
+from finflow.session import read_or_none
 
 DEFAULT_PARTITION = "default"
 
@@ -59,10 +60,7 @@ def partitioned_copy(src: DataFrame, target_path: str, key: str, date_col: str,
     Returns the rows written (as read back from the new files).
     """
     spark = src.sparkSession
-    try:
-        target = spark.read.parquet(target_path)
-    except Exception:
-        target = None
+    target = read_or_none(spark, target_path)  # an unreadable table fails the copy
     new = rows_to_copy(src, target, key, date_col).withColumn(
         "partition_label", partition_label(date_col, asof))
     # rebalance (not repartition) by label: AQE splits a month that holds a large share of
@@ -103,8 +101,7 @@ def record_run(spark: SparkSession, metrics: dict, path: str) -> None:
     (dag_id, run_timestamp) — dynamic overwrite of that run's partition only."""
     row = spark.createDataFrame([metrics])
     row = row.withColumn("run_key", F.date_format("run_timestamp", "yyyyMMddHHmmssSSS"))
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    row.write.mode("overwrite").partitionBy("dag_id", "run_key").parquet(path)
+    row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dag_id", "run_key").parquet(path)
 
 
 def export_snapshot(spark: SparkSession, tables: dict[str, DataFrame], root: str,

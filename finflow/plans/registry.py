@@ -9,9 +9,11 @@ summation order.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from finflow import schemas
 from finflow.functions import normalize as N
@@ -191,13 +193,16 @@ def a13_load_metadata_latest(spark, sf):
     return ST.latest_load_metadata(log)
 
 
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def _land_sales_csv(spark, sf) -> str:
     """Render orders as landed sales text and write them as CSV part files into a
     ``sales_<year>_<stamp>`` folder under the shared scratch dir (Spark derives the files)."""
     root = scratch_path(spark, "landing")
     raw = feeds.sales_raw(t(spark, sf, "orders"))
-    (raw.repartition(4, "sale_channel").write.mode("overwrite").option("header", True)
-        .csv(f"{root}/erp/sales_2026_20260226_102345"))
+    raw.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{root}/erp/sales_2026_20260226_102345")
     return root
 
 
@@ -238,37 +243,221 @@ def a3_xlsx_workbooks(spark, sf):
     then decoded by the same first-sheet reader the file path uses."""
     from finflow.sources import readers as RD
     raw = feeds.customers_raw(t(spark, sf, "customer"))
-    books = RD.to_workbooks(raw, "crm_customers")
+    books = feeds.workbooks(raw, "crm_customers")
     return RD.decode_workbooks(books, raw.columns).drop("source_file")
 
 
-@register("q9_q12_landed_file_verdicts")
-def q9_q12_landed_file_verdicts(spark, sf):
-    """Q6-Q12 per landed file (rows-only: file names are engine-generated)."""
-    from finflow.plans.batch_run import file_verdicts, landed_rows
-    rows, meta = landed_rows(spark, _land_sales_csv(spark, sf), "sales")
-    v = file_verdicts(rows, meta, "sales")
-    return v.select("dataset", "file_type", "row_count", "duplicate_records", "total_null_values",
-                    "malformed_rows", "missing_required_columns", "unexpected_columns", "schema_valid",
-                    "is_valid", F.array_join("validation_errors", "; ").alias("validation_errors"))
+# Landed vehicle files by region, with other columns in each type (CSV lacks the required dealer,
+# JSON has a name the target does not know, workbooks have all): region -> (type, columns).
+_VEHICLE_FILES = {0: "CSV", 1: "JSON", 2: "Excel"}
+_VEHICLES = """SELECT s_suppkey AS k, CAST(s_suppkey AS VARCHAR) AS vehicle_id, 'VIN' || CAST(s_suppkey AS VARCHAR) AS vin,
+  CASE WHEN s_acctbal < 0 THEN 'NA' ELSE CAST(s_nationkey AS VARCHAR) END AS dealer_id, s_suppkey % 3 AS g FROM supplier"""
 
 
-@register("a5_a8_file_gate")
+@register("q9_q12_landed_file_verdicts", f"""
+WITH v AS ({_VEHICLES}), n AS (SELECT g, count(*) AS row_count, count(*) FILTER (WHERE dealer_id = 'NA') AS na FROM v GROUP BY g)
+SELECT 'vehicles' AS dataset, CASE g WHEN 0 THEN 'CSV' WHEN 1 THEN 'JSON' ELSE 'Excel' END AS file_type, row_count,
+  0::BIGINT AS duplicate_records, CASE WHEN g = 2 THEN na ELSE 0 END::BIGINT AS total_null_values, 0::BIGINT AS malformed_rows,
+  CASE WHEN g = 0 THEN 'dealer_id' ELSE '' END AS missing_required_columns, CASE WHEN g = 1 THEN 'paint, code' ELSE '' END AS unexpected_columns,
+  g <> 0 AS schema_valid, g <> 0 AS is_valid,
+  CASE WHEN g = 0 THEN 'required columns absent: dealer_id' ELSE '' END AS validation_errors FROM n
+""")
+def q9_q12_landed_file_verdicts(spark, sf):
+    """Q6-Q12 per landed file: vehicle files of three types with differing columns; each is
+    judged by its own columns, missing-value words are nulls, quoted names may hold commas."""
+    from finflow.plans.batch_run import file_verdicts, read_dataset
+    root = scratch_path(spark, "landing_mixed")
+    v = t(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("vehicle_id"), F.concat(F.lit("VIN"), F.col("s_suppkey")).alias("vin"),
+        F.when(F.col("s_acctbal") < 0, "NA").otherwise(F.col("s_nationkey").cast("string")).alias("dealer_id"), (F.col("s_suppkey") % 3).alias("g"))
+    # One file of each type: the verdict is per file, and the engine names the files.
+    v.filter("g = 0").select("vehicle_id", "vin").coalesce(1).write.option("header", True).csv(f"{root}/csv/vehicles_2026")
+    v.filter("g = 1").select("vehicle_id", "vin", "dealer_id", F.lit("red, \"matt\"").alias("paint, code")).coalesce(1).write.json(f"{root}/json/vehicles_2026")
+    books = feeds.workbooks(v.filter("g = 2").select("vehicle_id", "vin", "dealer_id").coalesce(1), "vehicles", rows_per_book=1 << 30)
+    from finflow.sources import files as FS
+    from finflow.sources import readers as RD
+    head = FS.csv_headers(spark, f"{root}/csv").first()
+    rows, meta = read_dataset(spark, "vehicles", [{"path": head["path"], "file_type": "CSV", "first_line": head["first_line"]}])
+    js = spark.read.json(f"{root}/json/vehicles_2026").select(F.col("_metadata.file_path")).first()[0]
+    j_rows = RD.read_json(spark, [js], multiline=False)
+    j_meta = RD.json_columns(spark, [js], [c for c in j_rows.columns if c != "source_file"], multiline=False)
+    cells = RD.workbook_cells(books)
+    x_meta = RD.workbook_columns(cells)
+    x_rows = RD.workbook_rows(cells, ["vehicle_id", "vin", "dealer_id"])
+    rows = rows.unionByName(j_rows, True).unionByName(x_rows, True)
+    as_meta = lambda m, kind: m.select("source_file", F.lit("vehicles").alias("dataset"), F.lit(kind).alias("file_type"), "columns")
+    meta = meta.unionByName(as_meta(j_meta, "JSON")).unionByName(as_meta(x_meta, "Excel"))
+    # All files of a type as one: their number is the engine's choice.
+    kind = F.when(F.col("source_file").endswith(".csv"), "CSV").when(F.col("source_file").endswith(".json"), "JSON").otherwise("Excel")
+    rows, meta = rows.withColumn("source_file", kind), meta.withColumn("source_file", F.col("file_type")).distinct()
+    v = file_verdicts(rows, meta, "vehicles")
+    return v.select("dataset", "file_type", "row_count", "duplicate_records", "total_null_values", "malformed_rows",
+                    F.array_join("missing_required_columns", ", ").alias("missing_required_columns"),
+                    F.array_join("unexpected_columns", ", ").alias("unexpected_columns"), "schema_valid", "is_valid",
+                    F.array_join("validation_errors", "; ").alias("validation_errors"))
+
+
+# File names derived from the events: a folder and a type by event type, some copies, some too large.
+_NAMES = """SELECT event_id, 'raw/' || event_type || '/f' || CAST(event_id % 997 AS VARCHAR) || '_' || strftime(ts, '%Y%m%d')
+  || CASE event_type WHEN 'click' THEN '.csv' WHEN 'view' THEN '.JSON' WHEN 'purchase' THEN '.xlsx' WHEN 'signup' THEN '.avro' ELSE '.txt' END AS path,
+  user_id * 5000000 AS length, ts FROM events"""
+
+
+def _named_files(spark, sf) -> DataFrame:
+    et = F.col("event_type")
+    ext = F.when(et == "click", ".csv").when(et == "view", ".JSON").when(et == "purchase", ".xlsx").when(et == "signup", ".avro").otherwise(".txt")
+    return t(spark, sf, "events").select(
+        "event_id", F.concat(F.lit("raw/"), et, F.lit("/f"), (F.col("event_id") % 997).cast("string"), F.lit("_"), F.date_format("ts", "yyyyMMdd"), ext).alias("path"),
+        (F.col("user_id") * 5000000).alias("length"), "ts")
+
+
+@register("a5_a8_file_gate", f"""
+WITH f AS ({_NAMES}), e AS (SELECT *, lower(regexp_extract(path, '[.]([^./]+)$', 1)) AS ext, regexp_extract(path, '[^/]*$') AS base FROM f)
+SELECT event_id, CASE ext WHEN 'csv' THEN 'CSV' WHEN 'json' THEN 'JSON' WHEN 'xlsx' THEN 'Excel' WHEN 'avro' THEN 'Avro' ELSE 'Unknown' END AS file_type,
+  'ingested/' || base AS staged_name, 'archive/' || strftime(ts, '%Y/%m/%d') || '/' || base AS archive_name,
+  length <= {schemas.MAX_FILE_BYTES} AND ext IN {_in(schemas.GATE_EXTENSIONS)} AS is_valid,
+  CASE WHEN length > {schemas.MAX_FILE_BYTES} THEN 'File too large: ' || CAST(length AS VARCHAR) || ' bytes (max {schemas.MAX_FILE_BYTES})'
+       WHEN ext NOT IN {_in(schemas.GATE_EXTENSIONS)} THEN 'Unsupported file type: .' || ext ELSE 'OK' END AS reason
+FROM e
+""")
 def a5_a8_file_gate(spark, sf):
-    """A5, A7, A8 over the files of the given tables (rows-only: paths are host-specific)."""
+    """Size and type gate, file type, staged and archive names of derived files."""
+    from finflow.sources import files as FS
+    m = FS.gate(_named_files(spark, sf))
+    return m.select("event_id", FS.file_type("path").alias("file_type"), FS.staged_name("path").alias("staged_name"),
+                    FS.archive_name("path", "ts").alias("archive_name"), "is_valid", "reason")
+
+
+@register("a6_discover_loadable", f"""
+WITH f AS ({_NAMES}), e AS (SELECT *, lower(regexp_extract(path, '[.]([^./]+)$', 1)) AS ext, regexp_extract(path, '[^/]*$') AS base FROM f),
+k AS (SELECT DISTINCT base FROM e WHERE event_id % 2 = 0)
+SELECT event_id, CASE ext WHEN 'csv' THEN 'CSV' WHEN 'json' THEN 'JSON' ELSE 'Excel' END AS file_type
+FROM e WHERE ext IN {_in(schemas.ETL_EXTENSIONS)} AND base IN (SELECT base FROM k)
+""")
+def a6_discover_loadable(spark, sf):
+    """Loadable files among a run's keys (the even events' names)."""
+    from finflow.sources import files as FS
+    f = _named_files(spark, sf)
+    return FS.discover(f, f.filter("event_id % 2 = 0").select("path")).select("event_id", "file_type")
+
+
+@register("a8_name_collisions", f"""
+WITH f AS ({_NAMES}), e AS (SELECT *, 'ingested/' || regexp_extract(path, '[^/]*$') AS staged_name FROM f)
+SELECT event_id, staged_name, n_files FROM (SELECT *, count(*) OVER (PARTITION BY staged_name) AS n_files FROM e) WHERE n_files > 1
+""")
+def a8_name_collisions(spark, sf):
+    """Files whose flat staged name another file has too."""
+    from finflow.sources import files as FS
+    f = _named_files(spark, sf).withColumn("staged_name", FS.staged_name("path")).withColumn("id", F.col("event_id"))
+    groups = FS.name_collisions(f).select("staged_name", "n_files").distinct()
+    return f.join(groups, "staged_name").select("event_id", "staged_name", "n_files")
+
+
+@register("a10_raw_summary", f"""
+WITH f AS (SELECT DISTINCT path FROM ({_NAMES})), e AS (SELECT split_part(path, '/', 2) AS domain, substr(path, 5) AS key FROM f),
+r AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY key) AS rn FROM e)
+SELECT domain, count(*) AS n_files, string_agg(key, ',' ORDER BY key) FILTER (WHERE rn <= 2) AS first_two,
+  greatest(count(*) - 2, 0)::BIGINT AS n_more FROM r GROUP BY domain
+""")
+def a10_raw_summary(spark, sf):
+    """A10: files, first two names and the number of others per top-level folder."""
     from finflow.sources import files as FS
-    m = FS.gate(FS.manifest(spark, sf))
-    return m.select(FS.basename("path").alias("file_name"), "length", FS.file_type("path").alias("file_type"),
-                    FS.staged_name("path").alias("staged_name"),
-                    FS.archive_name("path", F.col("modificationTime")).alias("archive_name"),
-                    "is_valid", "reason")
+    s = FS.raw_summary(_named_files(spark, sf).select("path").distinct(), "raw")
+    return s.select("domain", "n_files", F.array_join("first_two", ",").alias("first_two"), F.col("n_more").cast("bigint").alias("n_more"))
 
 
-@register("a15_table_growth_capture")
+@register("q25_duplicate_contents", """
+WITH f AS (SELECT doc_id, md5(coalesce(text, '')) AS h FROM documents)
+SELECT doc_id, n_files FROM (SELECT doc_id, count(*) OVER (PARTITION BY h) AS n_files FROM f) WHERE n_files > 1
+""")
+def q25_duplicate_contents(spark, sf):
+    """Q25: documents (as file bodies) of equal content, by checksum."""
+    from finflow.sources import files as FS
+    d = t(spark, sf, "documents").select(F.col("doc_id").alias("path"), F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("md5"))
+    return FS.duplicate_contents(d).select(F.col("path").alias("doc_id"), "n_files")
+
+
+@register("q24_malformed_rows", """
+SELECT CASE WHEN o_orderkey % 7 = 0 THEN 'long' ELSE 'good' END AS kind, count(*) AS n_rows,
+  count(*) FILTER (WHERE o_orderkey % 7 = 0) AS malformed, count(DISTINCT o_clerk) AS clerks
+FROM (SELECT o_orderkey, 'a "q", ' || o_orderpriority AS o_clerk FROM orders) GROUP BY 1
+""")
+def q24_malformed_rows(spark, sf):
+    """Q24 / A1: rows with quotes, commas and line breaks in cells; every seventh has a cell too many."""
+    from finflow.sources import readers as RD
+    root = scratch_path(spark, "landing_rows")
+    cell = F.concat(F.lit('"'), F.replace(F.concat(F.lit('a "q", '), F.col("o_orderpriority")), F.lit('"'), F.lit('""')), F.lit('"'))
+    note = F.lit('"two\nlines"')
+    row = F.concat_ws(",", F.col("o_orderkey").cast("string"), cell, note)
+    long = F.col("o_orderkey") % 7 == 0
+    lines = t(spark, sf, "orders").select(F.concat(row, F.when(long, F.lit(",more")).otherwise(F.lit(""))).alias("value"))
+    # One task of text per file: each file starts with the header line.
+    lines.repartition(4).mapInArrow(_with_header("id,clerk,note"), "value string").write.text(root)
+    paths = [r[0] for r in spark.read.text(root).select("_metadata.file_path").distinct().collect()]
+    df = RD.read_csv_group(spark, paths, ["id", "clerk", "note"]).filter("note = 'two\nlines'")
+    kind = F.when(F.col("id").cast("bigint") % 7 == 0, "long").otherwise("good")
+    return df.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n_rows"), F.count(RD.CORRUPT).alias("malformed"),
+                                              F.countDistinct("clerk").alias("clerks"))
+
+
+def _with_header(line: str):
+    def run(batches):
+        import pyarrow as pa
+        first = True
+        for b in batches:
+            if first:
+                yield pa.RecordBatch.from_pydict({"value": [line]})
+                first = False
+            yield b
+    return run
+
+
+@register("a15_table_growth_capture", " UNION ALL ".join(
+    f"SELECT 'warehouse' AS table_schema, '{n}' AS table_name, count(*) AS estimated_rows, count(*) > 0 AS has_bytes FROM {n}" for n in feeds.TABLES))
 def a15_table_growth_capture(spark, sf):
-    """A15 over the given tables (rows-only: byte sizes are storage-specific)."""
+    """A15 over all given tables (bytes are storage-specific, so only their presence is compared)."""
     tables = {n: f"{sf.rstrip('/')}/{n}.parquet" for n in feeds.TABLES}
-    return SN.capture_table_sizes(spark, tables).drop("captured_at")
+    return SN.capture_table_sizes(spark, tables).select("table_schema", "table_name", "estimated_rows",
+                                                        (F.col("total_size_bytes") > 0).alias("has_bytes"))
+
+
+@register("a12_load_staging", f"SELECT l_orderkey, l_linenumber, l_extendedprice FROM ({SQL_UNIQUE_LINES})")
+def a12_load_staging(spark, sf):
+    """Two loads into one staging table (early lines, then all lines) and the first again."""
+    li = t(spark, sf, "lineitem")
+    path, keys = scratch_path(spark, "staging"), ["l_orderkey", "l_linenumber"]
+    early = li.filter(F.col("l_shipdate") < F.lit("2000-01-01").cast("timestamp_ntz"))
+    for batch in (early, li, early):
+        ST.load_staging(batch, path, keys, W.LINE_ORDER)
+    return spark.read.parquet(path).select("l_orderkey", "l_linenumber", "l_extendedprice")
+
+
+@register("a14_run_metrics", f"""
+WITH r AS ({SQL_RUNS}), k AS (SELECT dag_id, max(run_timestamp) AS run_timestamp FROM r GROUP BY dag_id)
+SELECT dag_id, max(rows_loaded) AS rows_loaded, 2::BIGINT AS files_processed FROM r JOIN k USING (dag_id, run_timestamp) GROUP BY dag_id
+""")
+def a14_run_metrics(spark, sf):
+    """Each pipeline's last run recorded, then recorded again with other numbers."""
+    path = scratch_path(spark, "pipeline_metrics")
+    runs = feeds.runs_from_events(t(spark, sf, "events"))
+    last = runs.groupBy("dag_id").agg(F.max_by(F.struct("rows_loaded", "run_timestamp"), F.struct("run_timestamp", "rows_loaded")).alias("r"))
+    for files in (1, 2):
+        for r in last.collect():  # one row for each pipeline name
+            P.record_run(spark, {"dag_id": r["dag_id"], "rows_loaded": r["r"]["rows_loaded"], "files_processed": files,
+                                 "run_timestamp": r["r"]["run_timestamp"]}, path)
+    return spark.read.parquet(path).select("dag_id", "rows_loaded", "files_processed")
+
+
+@register("a16_a17_export_restore", """
+SELECT 'orders' AS table_name, count(*) AS source_rows, count(*) FILTER (WHERE o_orderstatus <> 'F') AS restored_rows FROM orders
+""")
+def a16_a17_export_restore(spark, sf):
+    """Customers and orders exported, read back; the orders' copy has lost a status."""
+    source = {n: t(spark, sf, n) for n in ("customer", "orders")}
+    out = P.export_snapshot(spark, source, scratch_path(spark, "backup"))
+    restored = {"customer": spark.read.parquet(f"{out}/customer"),
+                "orders": spark.read.parquet(f"{out}/orders").filter("o_orderstatus <> 'F'")}
+    return P.restore_check(spark, source, restored)
 
 
 # =======================================================================================
@@ -504,6 +693,32 @@ def q5_clean_dirty_split(spark, sf):
                                      F.sum("amount").cast("decimal(18,2)").alias("amount"))
 
 
+@register("q5_split_sides", f"""
+SELECT CASE WHEN is_dirty THEN 'quarantine' ELSE 'load' END AS side, count(*) AS n_rows FROM ({SQL_CLEAN_PAYMENTS}) GROUP BY 1
+""")
+def q5_split_sides(spark, sf):
+    """Q5: the two frames of the split, counted."""
+    ok, dirty = Q.split_clean_dirty(_clean_payments(spark, sf))
+    return _union([df.groupBy(F.lit(n).alias("side")).agg(F.count(F.lit(1)).alias("n_rows")) for n, df in (("load", ok), ("quarantine", dirty))])
+
+
+@register("b10_b12_align_to_target", """
+SELECT CAST(l_orderkey AS VARCHAR) AS payment_id, CASE WHEN l_returnflag = 'R' THEN NULL ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END AS amount,
+  CASE WHEN l_linestatus = 'F' THEN NULL ELSE CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) END AS payment_date, false AS is_dirty,
+  CASE WHEN l_tax > 0.05 THEN NULL ELSE l_tax END AS tax
+FROM lineitem
+""")
+def b10_b12_align_to_target(spark, sf):
+    """Dirty flag added, NaN to null, shared columns kept in source order and typed."""
+    li = t(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("payment_id"), F.when(F.col("l_returnflag") == "R", "n/a").otherwise(feeds.money("l_extendedprice").cast("string")).alias("amount"),
+        F.lit("x").alias("unknown_column"), F.when(F.col("l_linestatus") == "F", "31-02-2025").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("payment_date"),
+        F.when(F.col("l_tax") > 0.05, F.lit(float("nan"))).otherwise(F.col("l_tax")).alias("tax"))
+    rows = N.with_dirty_flag(N.nan_to_null(li))
+    target = T.StructType([*schemas.STAGING["payments"].fields, T.StructField("tax", T.DoubleType())])
+    return N.align_to_target(rows, target)
+
+
 SQL_PROFILE = f"""
 WITH b AS (SELECT strftime(l_shipdate, '%Y_%m') AS batch, l_orderkey, l_linenumber, return_flag, line_status
            FROM ({SQL_SPARSE})),
@@ -535,21 +750,24 @@ def q6_q10_batch_profile(spark, sf):
 
 
 @register("q13_run_summary", f"""
-SELECT count(*) AS files_processed, CAST(sum(row_count) AS BIGINT) AS total_rows,
-  CAST(sum(duplicate_records) AS BIGINT) AS duplicate_records,
-  CAST(sum(total_null_values) AS BIGINT) AS total_null_values,
-  count(*) FILTER (WHERE duplicate_records > 0 OR null_return_flag > 0) AS files_failed
+SELECT count(*) FILTER (WHERE duplicate_records = 0 AND null_return_flag = 0) AS files_processed,
+  count(*) FILTER (WHERE duplicate_records > 0 OR null_return_flag > 0) AS files_rejected,
+  CAST(sum(row_count) AS BIGINT) AS total_rows, CAST(sum(duplicate_records) AS BIGINT) AS duplicate_records,
+  CAST(sum(total_null_values) AS BIGINT) AS total_null_values, 0::BIGINT AS schema_validation_failures, count(*) AS n_metrics
 FROM ({SQL_PROFILE})
 """)
 def q13_run_summary(spark, sf):
-    prof = _profile(spark, sf)
-    failed = (F.col("duplicate_records") > 0) | (F.size("critical_null_violations") > 0)
-    return prof.agg(
-        F.count(F.lit(1)).alias("files_processed"),
-        F.sum("row_count").cast("bigint").alias("total_rows"),
-        F.sum("duplicate_records").cast("bigint").alias("duplicate_records"),
-        F.sum("total_null_values").cast("bigint").alias("total_null_values"),
-        F.count(F.when(failed, 1)).alias("files_failed"))
+    """Q13: the run summary over per-file verdicts (a shipped month of lines stands for a file)."""
+    from finflow.plans.batch_run import run_summary
+    empty = F.array().cast("array<string>")
+    failed = (F.col("duplicate_records") > 0) | (F.size(F.map_keys("critical_null_violations")) > 0)
+    v = _profile(spark, sf).select(
+        F.col("batch").alias("source_file"), F.lit("payments").alias("dataset"), F.lit("CSV").alias("file_type"), "row_count",
+        "duplicate_records", "total_null_values", F.lit(0).alias("malformed_rows"), empty.alias("missing_required_columns"),
+        empty.alias("unexpected_columns"), F.lit(True).alias("schema_valid"), empty.alias("validation_errors"), (~failed).alias("is_valid"))
+    s = run_summary(v)
+    n = F.size(F.from_json("file_metrics_json", "array<struct<source_file:string>>")).cast("bigint")
+    return s.withColumn("n_metrics", n).drop("file_metrics_json")
 
 
 @register("q14_failure_title", f"""
@@ -573,28 +791,45 @@ def q15_sla_breach(spark, sf):
     return sla_breaches(runs).select("run_id", "dag_id", "processing_time_seconds")
 
 
-_TELEMETRY_RULES_SQL = [
-    ("speed_range", "value BETWEEN 0 AND 350"),
-    ("fuel_level_range", "CAST(json_extract_string(props, '$.k') AS INTEGER) BETWEEN 0 AND 100"),
-    ("year_range", "year(ts) BETWEEN 1980 AND 2100"),
-    ("month_range", "month(ts) BETWEEN 1 AND 12"),
-]
-
-
 def _totals_sql(rules: list[tuple[str, str]], src: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{n}' AS rule_name, CAST(count(*) FILTER (WHERE NOT coalesce({p}, true)) AS BIGINT) AS n_violations FROM ({src})"
         for n, p in rules)
 
 
-@register("q16_domain_constraints", _totals_sql(_TELEMETRY_RULES_SQL, "SELECT * FROM events"))
+# Rows of each dataset rendered with the columns its constraints name (illustrative values from the tables).
+_CHECKED = {
+    "vehicles": ("SELECT CAST(p_partkey AS VARCHAR) AS vehicle_id, repeat('x', CAST(p_size AS INTEGER) * 2) AS color, CAST(1950 + p_size AS VARCHAR) AS year FROM part", "vehicle_id"),
+    "sales": ("SELECT CAST(o_orderkey AS VARCHAR) AS sale_id, CAST(o_totalprice - 1000 AS DECIMAL(18,2)) AS sale_price, CAST(2000 - o_totalprice AS DECIMAL(18,2)) AS final_price, CAST(0 AS DECIMAL(18,2)) AS discount_amount FROM orders", "sale_id"),
+    "payments": ("SELECT CASE WHEN l_returnflag = 'A' THEN NULL ELSE CAST(l_orderkey AS VARCHAR) END AS payment_id, CAST(l_quantity - 5 AS DECIMAL(18,2)) AS amount FROM lineitem", "payment_id"),
+    "procurement": ("SELECT CAST(l_orderkey AS VARCHAR) AS procurement_id, CAST(CAST(l_quantity - 3 AS INTEGER) AS VARCHAR) AS quantity, CASE WHEN l_returnflag = 'R' THEN 'none' ELSE '-1.50' END AS cost FROM lineitem", "procurement_id"),
+    "inventory": ("SELECT CAST(p_partkey AS VARCHAR) AS inventory_id, CAST(p_size - 10 AS VARCHAR) AS quantity FROM part", "inventory_id"),
+    "interactions": ("SELECT CAST(event_id AS VARCHAR) AS interaction_id, CAST(user_id - 3 AS VARCHAR) AS duration_minutes FROM events", "interaction_id"),
+    "telemetry": ("SELECT CAST(event_id AS VARCHAR) AS telemetry_id, CASE event_type WHEN 'click' THEN 'speed' WHEN 'view' THEN 'fuel_level' WHEN 'error' THEN 'engine_temperature' ELSE event_type END AS sensor_type, CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR) AS sensor_value FROM events", "telemetry_id"),
+}
+
+
+def _row_check_sql(dataset: str) -> list[tuple[str, str]]:
+    src, key = _CHECKED[dataset]
+    rules = [(f"{dataset}.{key}_is_null", f"{key} IS NOT NULL")]
+    rules += [(f"{dataset}.{n}", check) for n, (check, cols) in schemas.ROW_CHECKS.get(dataset, {}).items()
+              if all(f" AS {c}" in src for c in cols)]
+    rules += [(f"{dataset}.{c}_length", f"length({c}) <= {m}") for c, m in schemas.MAX_LENGTHS[dataset].items() if f" AS {c}" in src]
+    return rules
+
+
+@register("q16_domain_constraints", " UNION ALL ".join(
+    _totals_sql(_row_check_sql(d), src) for d, (src, _) in _CHECKED.items()))
 def q16_domain_constraints(spark, sf):
-    ev = t(spark, sf, "events").withColumn("fuel_level", feeds.k_of())
-    rules = [R.Rule("speed_range", F.col("value").between(0, 350)),
-             R.Rule("fuel_level_range", F.col("fuel_level").between(0, 100)),
-             R.Rule("year_range", F.year("ts").between(1980, 2100)),
-             R.Rule("month_range", F.month("ts").between(1, 12))]
-    return Q.rule_totals(ev, rules)
+    """Q16, Q19, Q22, Q23: every row constraint of the library's rule table, counted per dataset."""
+    parts = []
+    for dataset, (src, _) in _CHECKED.items():
+        table = src.rsplit(" FROM ", 1)[1]
+        rows = t(spark, sf, table)
+        rows = spark.sql(src.rsplit(" FROM ", 1)[0] + " FROM {rows}", rows=rows)
+        rules = R.applicable(R.domain_rules(dataset), rows.columns)
+        parts.append(Q.rule_totals(rows, rules).withColumn("rule_name", F.concat(F.lit(f"{dataset}."), F.col("rule_name"))))
+    return _union(parts)
 
 
 @register("q17_duplicate_keys", """
@@ -677,7 +912,7 @@ INVENTORY_CAPACITY = 50
 
 @register("q22_business_rules", " UNION ALL ".join([
     _totals_sql([("inventory_within_capacity", f"p_size BETWEEN 0 AND {INVENTORY_CAPACITY}")], "SELECT * FROM part"),
-    _totals_sql([("interaction_not_in_future", f"ts <= TIMESTAMP '{NOW}'"),
+    _totals_sql([("interaction_in_the_past", f"ts < TIMESTAMP '{NOW}'"), ("duration_positive", "user_id - 3 > 0"),
                  ("reading_plausible", "value BETWEEN 0 AND 350")], "SELECT * FROM events"),
     _totals_sql([("delivery_after_order", "l_shipdate >= o_orderdate")],
                 "SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey")]))
@@ -685,7 +920,8 @@ def q22_business_rules(spark, sf):
     inv = Q.rule_totals(t(spark, sf, "part"),
                         [R.Rule("inventory_within_capacity", F.col("p_size").between(0, INVENTORY_CAPACITY))])
     ev = Q.rule_totals(t(spark, sf, "events"), [
-        R.Rule("interaction_not_in_future", F.col("ts") <= F.lit(NOW).cast("timestamp_ntz")),
+        R.Rule("interaction_in_the_past", F.col("ts") < F.lit(NOW).cast("timestamp_ntz")),
+        R.Rule("duration_positive", F.col("user_id") - 3 > 0),
         R.Rule("reading_plausible", F.col("value").between(0, 350))])
     li = t(spark, sf, "lineitem").select("l_orderkey", "l_shipdate")
     o = t(spark, sf, "orders").select("o_orderkey", "o_orderdate")
@@ -1047,94 +1283,177 @@ def m6_dim_supplier(spark, sf):
     return W.dim_supplier(t(spark, sf, "supplier"), t(spark, sf, "nation")).drop("supplier_key")
 
 
+_DIMS: dict[tuple, str] = {}
+
+
+def _dim(spark, sf, name: str) -> DataFrame:
+    """A dimension as a warehouse has it: built and written once per application and data,
+    then read by every fact."""
+    at = (spark.sparkContext.applicationId, sf, name)
+    if at not in _DIMS:
+        build = {"dim_customer": lambda: W.dim_customer(t(spark, sf, "orders"), t(spark, sf, "customer")),
+                 "dim_vehicle": lambda: W.dim_vehicle(t(spark, sf, "lineitem"), t(spark, sf, "part")),
+                 "dim_dealer": lambda: W.dim_dealer(t(spark, sf, "nation"), t(spark, sf, "region")),
+                 "dim_supplier": lambda: W.dim_supplier(t(spark, sf, "supplier"), t(spark, sf, "nation"))}
+        path = scratch_path(spark, name)
+        build[name]().write.parquet(path)
+        _DIMS[at] = path
+    return spark.read.parquet(_DIMS[at])
+
+
+def _through(fact: DataFrame, dim: DataFrame, key: str, take: dict[str, str]) -> DataFrame:
+    """The business columns behind a surrogate key, so that the key itself is compared."""
+    return L.lookup(fact, dim, key, key, take).drop(key)
+
+
+_CUST_AT = "LEFT JOIN c ON {id} = c.customer_id AND {day} BETWEEN c.effective_date AND coalesce(c.expiry_date, DATE '9999-12-31')"
+_VEH_AT = "LEFT JOIN v ON {id} = v.vin AND {day} BETWEEN v.effective_date AND coalesce(v.expiry_date, DATE '9999-12-31')"
+_SALE_LINES = f"""SELECT l_orderkey, min_by(l_partkey, l_linenumber) AS vehicle_id,
+  CAST(sum(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS discount
+FROM ({SQL_UNIQUE_LINES}) GROUP BY l_orderkey"""
+_KEYS = {"dim_customer": "customer_key", "dim_vehicle": "vehicle_key", "dim_dealer": "dealer_key", "dim_supplier": "supplier_key"}
+
+
+@register("m7_surrogate_keys", f"""
+SELECT 'dim_customer' AS table_name, count(*) AS n_rows, count(*) AS n_keys FROM ({SQL_DIM_CUSTOMER})
+UNION ALL SELECT 'dim_vehicle', count(*), count(*) FROM ({SQL_DIM_VEHICLE})
+UNION ALL SELECT 'dim_dealer', count(*), count(*) FROM nation UNION ALL SELECT 'dim_supplier', count(*), count(*) FROM supplier
+""")
+def m7_surrogate_keys(spark, sf):
+    """M7: as many distinct, non-null keys as rows in every dimension."""
+    return _union([_dim(spark, sf, n).agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.countDistinct(k).alias("n_keys"))
+                   for n, k in _KEYS.items()])
+
+
 @register("m8_fact_sales", f"""
-WITH d AS ({SQL_DIM_CUSTOMER})
+WITH c AS ({SQL_DIM_CUSTOMER}), v AS ({SQL_DIM_VEHICLE}), s AS ({_SALE_LINES})
 SELECT o_orderkey AS sale_id, CAST(o_orderdate AS DATE) AS sale_date,
-  CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS sale_date_key, o_custkey AS customer_id,
-  d.effective_date AS customer_effective_date, n_nationkey AS dealer_id,
-  CAST(o_totalprice AS DECIMAL(18,2)) AS sale_price, CAST(o_totalprice AS DECIMAL(18,2)) AS final_price,
-  o_orderstatus AS sale_status
-FROM orders
-LEFT JOIN d ON o_custkey = d.customer_id
-  AND CAST(o_orderdate AS DATE) BETWEEN d.effective_date AND coalesce(d.expiry_date, DATE '9999-12-31')
-LEFT JOIN customer ON d.customer_id = c_custkey
-LEFT JOIN nation ON c_nationkey = n_nationkey
+  CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS sale_date_key, c.customer_id, c.effective_date AS customer_from,
+  v.vin AS vehicle_id, v.effective_date AS vehicle_from, n_nationkey AS dealer_id,
+  CAST(o_totalprice AS DECIMAL(18,2)) AS sale_price, coalesce(s.discount, 0)::DECIMAL(18,2) AS discount_amount,
+  CAST(CAST(o_totalprice AS DECIMAL(18,2)) - coalesce(s.discount, 0) AS DECIMAL(18,2)) AS final_price, o_orderstatus AS sale_status
+FROM orders LEFT JOIN s ON o_orderkey = s.l_orderkey
+{_CUST_AT.format(id='o_custkey', day='CAST(o_orderdate AS DATE)')}
+{_VEH_AT.format(id='s.vehicle_id', day='CAST(o_orderdate AS DATE)')}
+LEFT JOIN customer ON c.customer_id = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
 """)
 def m8_fact_sales(spark, sf):
     fs = _fact_sales(spark, sf)
-    return fs.select("sale_id", "sale_date", "sale_date_key", "customer_id", "customer_effective_date",
-                     "dealer_id", "sale_price", "final_price", "sale_status")
+    fs = _through(fs, _dim(spark, sf, "dim_customer"), "customer_key", {"customer_id": "customer_id", "effective_date": "customer_from"})
+    fs = _through(fs, _dim(spark, sf, "dim_vehicle"), "vehicle_key", {"vin": "vehicle_id", "effective_date": "vehicle_from"})
+    return _through(fs, _dim(spark, sf, "dim_dealer"), "dealer_key", {"dealer_id": "dealer_id"}).drop("sales_key")
 
 
 def _fact_sales(spark, sf):
-    o = t(spark, sf, "orders")
-    c = t(spark, sf, "customer")
-    return W.fact_sales(o, c, W.dim_customer(o, c), W.dim_dealer(t(spark, sf, "nation"), t(spark, sf, "region")))
+    return W.fact_sales(t(spark, sf, "orders"), t(spark, sf, "lineitem"), _dim(spark, sf, "dim_customer"), _dim(spark, sf, "dim_vehicle"),
+                        _dim(spark, sf, "dim_dealer"))
 
 
 @register("m9_fact_payments", f"""
-SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS payment_id, l_orderkey AS sale_id,
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS payment_id, l_orderkey AS sale_id, s.o_orderkey AS known_sale,
   CAST(l_shipdate AS DATE) AS payment_date, CAST(strftime(l_shipdate, '%Y%m%d') AS INTEGER) AS payment_date_key,
   CAST(l_extendedprice AS DECIMAL(18,2)) AS payment_amount,
   CASE l_returnflag WHEN 'R' THEN 'Refunded' WHEN 'A' THEN 'Paid' ELSE 'Pending' END AS payment_status
-FROM ({SQL_UNIQUE_LINES})
+FROM ({SQL_UNIQUE_LINES}) LEFT JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') s ON l_orderkey = s.o_orderkey
 """)
 def m9_fact_payments(spark, sf):
-    return W.fact_payments(t(spark, sf, "lineitem")).drop("payment_key", "sales_key")
+    """Payments against a sales fact that lacks some sales (those in status P): their key stays null."""
+    sales = t(spark, sf, "orders").filter("o_orderstatus <> 'P'").select(
+        F.col("o_orderkey").alias("sale_id"), K.surrogate_key("o_orderkey").alias("sales_key"))
+    p = W.fact_payments(t(spark, sf, "lineitem"), sales)
+    return _through(p, sales.withColumnRenamed("sale_id", "known"), "sales_key", {"known": "known_sale"}).drop("payment_key")
 
 
 @register("m10_fact_procurement", f"""
 WITH v AS ({SQL_DIM_VEHICLE})
 SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS procurement_id,
   CAST(l_shipdate AS DATE) AS procurement_date, CAST(strftime(l_shipdate, '%Y%m%d') AS INTEGER) AS procurement_date_key,
-  l_suppkey AS supplier_id, n_name AS supplier_country, l_partkey AS vehicle_id,
-  v.effective_date AS vehicle_effective_date, CAST(l_extendedprice AS DECIMAL(18,2)) AS cost_price,
+  s_suppkey AS supplier_id, n_name AS supplier_country, v.vin AS vehicle_id,
+  v.effective_date AS vehicle_from, CAST(l_extendedprice AS DECIMAL(18,2)) AS cost_price,
   CASE WHEN l_returnflag = 'R' THEN 'Returned' WHEN l_linestatus = 'O' THEN 'Ordered' ELSE 'Received' END AS status
 FROM ({SQL_UNIQUE_LINES}) u
 LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey
-LEFT JOIN v ON l_partkey = v.vin
-  AND CAST(l_shipdate AS DATE) BETWEEN v.effective_date AND coalesce(v.expiry_date, DATE '9999-12-31')
+{_VEH_AT.format(id='l_partkey', day='CAST(l_shipdate AS DATE)')}
 """)
 def m10_fact_procurement(spark, sf):
-    li = t(spark, sf, "lineitem")
-    sup = W.dim_supplier(t(spark, sf, "supplier"), t(spark, sf, "nation"))
-    veh = W.dim_vehicle(li, t(spark, sf, "part"))
-    return W.fact_procurement(li, sup, veh).drop("supplier_key", "vehicle_key")
+    sup, veh = _dim(spark, sf, "dim_supplier"), _dim(spark, sf, "dim_vehicle")
+    p = W.fact_procurement(t(spark, sf, "lineitem"), sup, veh).drop("procurement_key", "supplier_id", "vehicle_id", "vehicle_effective_date")
+    p = _through(p, sup, "supplier_key", {"supplier_id": "supplier_id"})
+    return _through(p, veh, "vehicle_key", {"vin": "vehicle_id", "effective_date": "vehicle_from"})
 
 
 @register("m11_fact_inventory", f"""
-WITH v AS ({SQL_DIM_VEHICLE})
-SELECT p_partkey AS inventory_id, p_partkey AS vehicle_id, v.effective_date AS vehicle_effective_date,
-  p_size AS quantity,
+WITH v AS ({SQL_DIM_VEHICLE}), m AS (SELECT l_partkey, max(CAST(l_shipdate AS DATE)) AS d FROM lineitem GROUP BY l_partkey)
+SELECT p_partkey AS inventory_id, m.d AS inventory_date, CAST(strftime(m.d, '%Y%m%d') AS INTEGER) AS inventory_date_key,
+  v.vin AS vehicle_id, v.effective_date AS vehicle_from, n_nationkey AS dealer_id, p_size AS quantity,
   CASE WHEN p_size > 25 THEN 'In Stock' WHEN p_size > 5 THEN 'Coming Soon' ELSE 'Out of Stock' END AS stock_status
-FROM part LEFT JOIN v ON p_partkey = v.vin AND v.is_current
+FROM part LEFT JOIN m ON p_partkey = m.l_partkey LEFT JOIN v ON p_partkey = v.vin AND v.is_current
+LEFT JOIN nation ON p_partkey % 25 = n_nationkey
 """)
 def m11_fact_inventory(spark, sf):
-    veh = W.dim_vehicle(t(spark, sf, "lineitem"), t(spark, sf, "part"))
-    return W.fact_inventory(t(spark, sf, "part"), veh).drop("vehicle_key")
+    veh, deal = _dim(spark, sf, "dim_vehicle"), _dim(spark, sf, "dim_dealer")
+    f = W.fact_inventory(t(spark, sf, "part"), t(spark, sf, "lineitem"), veh, deal).drop("inventory_key")
+    f = _through(f, veh, "vehicle_key", {"vin": "vehicle_id", "effective_date": "vehicle_from"})
+    return _through(f, deal, "dealer_key", {"dealer_id": "dealer_id"})
 
 
 @register("m12_fact_interactions", f"""
-WITH d AS ({SQL_DIM_CUSTOMER})
+WITH c AS ({SQL_DIM_CUSTOMER})
 SELECT event_id AS interaction_id, CAST(ts AS DATE) AS interaction_date,
-  CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS interaction_date_key, user_id AS customer_id,
-  d.effective_date AS customer_effective_date, event_type AS interaction_type
-FROM events LEFT JOIN d ON user_id = d.customer_id
-  AND CAST(ts AS DATE) BETWEEN d.effective_date AND coalesce(d.expiry_date, DATE '9999-12-31')
+  CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS interaction_date_key, c.customer_id, c.effective_date AS customer_from,
+  n_nationkey AS dealer_id, event_type AS interaction_type
+FROM events {_CUST_AT.format(id='user_id', day='CAST(ts AS DATE)')}
+LEFT JOIN customer ON c.customer_id = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
 """)
 def m12_fact_interactions(spark, sf):
-    dim = W.dim_customer(t(spark, sf, "orders"), t(spark, sf, "customer"))
-    return W.fact_interactions(t(spark, sf, "events"), dim).drop("customer_key")
-
-
-@register("m13_fact_telemetry", """
-SELECT user_id AS vehicle_id, date_trunc('hour', ts) AS telemetry_timestamp,
-  CAST(strftime(date_trunc('hour', ts), '%Y%m%d') AS INTEGER) AS telemetry_date_key,
-""" + ",\n".join(f"  max(CASE WHEN event_type = '{s}' THEN value END) AS {s}_value" for s in W.TELEMETRY_SENSORS) + """
-FROM events GROUP BY 1, 2
+    cust, deal = _dim(spark, sf, "dim_customer"), _dim(spark, sf, "dim_dealer")
+    f = W.fact_interactions(t(spark, sf, "events"), cust, deal).drop("interaction_key")
+    f = _through(f, cust, "customer_key", {"customer_id": "customer_id", "effective_date": "customer_from"})
+    return _through(f, deal, "dealer_key", {"dealer_id": "dealer_id"})
+
+
+@register("m13_fact_telemetry", f"""
+WITH v AS ({SQL_DIM_VEHICLE}), e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
+SELECT event_id AS telemetry_id, ts AS telemetry_timestamp, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS telemetry_date_key,
+  v.vin AS vehicle_id, v.effective_date AS vehicle_from,
+""" + ",\n".join(f"  CASE WHEN event_type = '{e}' THEN CAST(round(CAST(value AS DECIMAL(18,6))) AS INTEGER) END AS {s}" for s, e in W.SENSOR_EVENTS.items()) + f""",
+  CASE WHEN event_type NOT IN {_in(list(W.SENSOR_EVENTS.values()))} THEN event_type END AS other_sensor,
+  CASE WHEN event_type NOT IN {_in(list(W.SENSOR_EVENTS.values()))} THEN value END AS other_value,
+  CAST(43.6 + k * 0.001 AS DECIMAL(9,6)) AS location_lat, CAST(-79.5 + k * 0.001 AS DECIMAL(9,6)) AS location_long
+FROM e {_VEH_AT.format(id='user_id', day='CAST(ts AS DATE)')}
 """)
 def m13_fact_telemetry(spark, sf):
-    return W.fact_telemetry(t(spark, sf, "events"))
+    veh = _dim(spark, sf, "dim_vehicle")
+    f = W.fact_telemetry(t(spark, sf, "events"), veh).drop("telemetry_key")
+    return _through(f, veh, "vehicle_key", {"vin": "vehicle_id", "effective_date": "vehicle_from"})
+
+
+@register("m4_scd2_merge", SQL_DIM_CUSTOMER)
+def m4_scd2_merge(spark, sf):
+    """M4: the customers' history in two loads that overlap in time (odd orders first, even ones
+    then): late rows find their place, and the result is that of one build."""
+    hist = t(spark, sf, "orders").select(F.col("o_custkey").alias("customer_id"), "o_orderdate", "o_orderkey",
+                                         F.col("o_orderpriority").alias("priority_tier"))
+    keys, attrs = ["customer_id"], ["priority_tier"]
+    dim = scd.scd2_from_history(hist.filter("o_orderkey % 2 = 1"), keys, attrs, "o_orderdate", ["o_orderkey"])
+    return scd.scd2_refresh(dim, hist, hist.filter("o_orderkey % 2 = 0"), keys, attrs, "o_orderdate", ["o_orderkey"])
+
+
+@register("q16_table_constraints", " UNION ALL ".join([
+    _totals_sql([("dim_customer.expiry_after_effective", "expiry_date >= effective_date"), ("dim_customer.customer_id_not_null", "customer_id IS NOT NULL"),
+                 ("dim_customer.effective_date_not_null", "effective_date IS NOT NULL")], SQL_DIM_CUSTOMER),
+    _totals_sql([("fact_inventory.quantity_not_negative", "p_size >= 0"), ("fact_inventory.inventory_id_not_null", "p_partkey IS NOT NULL")], "SELECT * FROM part"),
+    _totals_sql([("fact_telemetry.speed_range", "event_type <> 'click' OR round(value) BETWEEN 0 AND 350"),
+                 ("fact_telemetry.fuel_level_range", "event_type <> 'view' OR round(CAST(value AS DECIMAL(18,6))) BETWEEN 0 AND 100"),
+                 ("fact_telemetry.engine_temperature_range", "event_type <> 'purchase' OR round(CAST(value AS DECIMAL(18,6))) BETWEEN -50 AND 250"),
+                 ("fact_telemetry.telemetry_id_not_null", "event_id IS NOT NULL")], "SELECT * FROM events")]))
+def q16_table_constraints(spark, sf):
+    """Q16: constraints of star-schema tables, counted by rule."""
+    veh, deal = _dim(spark, sf, "dim_vehicle"), _dim(spark, sf, "dim_dealer")
+    tables = {"dim_customer": _dim(spark, sf, "dim_customer"),
+              "fact_inventory": W.fact_inventory(t(spark, sf, "part"), t(spark, sf, "lineitem"), veh, deal),
+              "fact_telemetry": W.fact_telemetry(t(spark, sf, "events"), veh)}
+    return _union([Q.rule_totals(df, R.table_rules(n)) for n, df in tables.items()])
 
 
 # =======================================================================================
@@ -1196,6 +1515,16 @@ def p4_partitioned_copy(spark, sf):
     return table.groupBy("partition_label").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@register("p5_compact", "SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, 3 AS n_files FROM lineitem")
+def p5_compact(spark, sf):
+    """P5: lines written as many small files, compacted to three."""
+    many, few = scratch_path(spark, "many_files"), scratch_path(spark, "few_files")
+    t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice").repartition(12).write.parquet(many)
+    out = P.compact(spark, many, few, 3)
+    files = out.select(F.countDistinct(F.col("_metadata.file_path")).cast("int").alias("n_files")).scalar()
+    return out.withColumn("n_files", files)
+
+
 # The landed-CSV path must give exactly the rows of the in-memory cleaning path.
 ORACLE["a1_b1_landed_csv_sales"] = ORACLE["b6_b9_clean_sales"]
 
@@ -1227,11 +1556,9 @@ def _land_events(spark, sf) -> str:
     return root
 
 
-def _event_stream(spark, src):
+def _event_stream(spark, src, files: int | None = None):
     from finflow.streaming import events as EV
-    raw = EV.json_file_source(spark, src)
-    return EV.decode(raw.select(F.to_json(F.struct(*[c for c in raw.columns if c != "received_at"]))
-                                .alias("value"), "received_at"))
+    return EV.decode(EV.json_file_source(spark, src, max_files_per_trigger=files))
 
 
 @register("t1_t2_stream_routing", f"""
@@ -1262,27 +1589,80 @@ def t1_t2_stream_routing(spark, sf):
 
 
 @register("t4_bounded_batches", f"""
-SELECT t AS event_type, CAST(count(*) // 100 AS BIGINT) AS full_batches,
-  CAST((count(*) // 100) * 100 AS BIGINT) AS rows_released
+SELECT t AS event_type, count(*) AS arrived, true AS whole_batches_only, true AS little_left
 FROM (SELECT CASE event_type {_STREAM_CASE} END AS t FROM events)
-WHERE t IN {_in(schemas.STREAM_EVENT_TYPES)}
-GROUP BY t HAVING count(*) >= 100
+WHERE t IN {_in(schemas.STREAM_EVENT_TYPES)} GROUP BY t
 """)
 def t4_bounded_batches(spark, sf):
-    """T4: exact 100-row batches per event type from the stateful batcher (one bucket per
-    type, so the expected batches are known exactly); the remainder waits in state for
-    its age bound."""
+    """T4: batches of exactly 20 rows from the salted batcher (16 buckets a type). How many
+    there are depends on the salt; each is whole, none is repeated, and what waits for its
+    age bound is less than a batch in each bucket."""
     from finflow.streaming import events as EV
     src = _land_events(spark, sf)
     out, ck = scratch_path(spark, "batches_out"), scratch_path(spark, "batches_ck")
     ev = EV.supported(_event_stream(spark, src))
-    batches = EV.bounded_batches(ev, max_rows=100, max_seconds=3600, buckets=1)
+    batches = EV.bounded_batches(ev, max_rows=20, max_seconds=3600)
     w = (batches.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
          .outputMode("append").trigger(availableNow=True))
     EV.start_drain(spark, w).awaitTermination()
-    b = spark.read.parquet(out)
-    per_batch = b.groupBy("event_type", "flush_seq").agg(F.count(F.lit(1)).alias("n"),
-                                                         F.max("reason").alias("reason"))
-    return per_batch.groupBy("event_type").agg(
-        F.count(F.when(F.col("n") == 100, 1)).alias("full_batches"),
-        F.sum("n").cast("bigint").alias("rows_released"))
+    b = spark.read.schema(EV.BATCH_OUT).parquet(out)
+    per_batch = b.groupBy("event_type", "bucket", "flush_seq").agg(F.count(F.lit(1)).alias("n"))
+    released = per_batch.groupBy("event_type").agg(F.sum("n").alias("released"), F.bool_and(F.col("n") == 20).alias("whole"))
+    arrived = (EV.decode(spark.read.text(src)).groupBy("event_type").agg(F.count(F.lit(1)).alias("arrived"))
+               .filter(F.col("event_type").isin(schemas.STREAM_EVENT_TYPES)))
+    got = arrived.join(released, "event_type", "left")
+    left = F.col("arrived") - F.coalesce("released", F.lit(0))
+    return got.select("event_type", "arrived", F.coalesce("whole", F.lit(True)).alias("whole_batches_only"),
+                      ((left >= 0) & (left <= 16 * 19)).alias("little_left"))
+
+
+@register("t6_arrival_counts", f"""
+SELECT t AS event_type, count(*) AS arrived FROM (SELECT CASE event_type {_STREAM_CASE} END AS t FROM events) GROUP BY t
+""")
+def t6_arrival_counts(spark, sf):
+    """Running counts of arrivals by type after the drain."""
+    from finflow.streaming import events as EV
+    name = "arrivals_" + scratch_path(spark, "x")[-12:]
+    (EV.arrival_counts(_event_stream(spark, _land_events(spark, sf))).writeStream.format("memory").queryName(name).outputMode("complete")
+        .option("checkpointLocation", scratch_path(spark, "arrivals_ck")).trigger(availableNow=True).start().awaitTermination())
+    return spark.table(name).select("event_type", "arrived")
+
+
+@register("t7_stream_to_staging", """
+SELECT 'telemetry' AS dataset, CAST(event_id AS VARCHAR) AS id, ts AS at, CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR) AS detail FROM events WHERE event_type = 'view'
+UNION ALL SELECT 'payments', CAST(event_id AS VARCHAR), ts, CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) FROM events WHERE event_type = 'purchase' AND user_id % 5 <> 0
+UNION ALL SELECT '_quarantine', CAST(event_id AS VARCHAR), NULL, 'payment_method_not_allowed' FROM events WHERE event_type = 'purchase' AND user_id % 5 = 0
+UNION ALL SELECT '_dead_letter', NULL, NULL, '{not json ' || CAST(event_id AS VARCHAR) FROM events WHERE event_type = 'error'
+""")
+def t7_stream_to_staging(spark, sf):
+    """Events as messages with ISO times (fractions, zones), alias names, nulls and broken
+    lines, in several micro-batches; staged, quarantined and dead letters read back."""
+    from finflow.streaming import events as EV
+    src, root = scratch_path(spark, "t7_in"), scratch_path(spark, "t7_out")
+    ev = t(spark, sf, "events")
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    zoned = F.when(F.col("user_id") % 2 == 0, F.concat(iso, F.lit("Z"))).otherwise(iso)
+    i = F.col("event_id").cast("string")
+    value = F.col("value").cast("decimal(12,2)")
+    tele = ev.filter("event_type = 'view'").select(F.to_json(F.struct(
+        F.lit("telemetry").alias("event_type"), F.when(F.col("user_id") % 2 == 0, i).alias("telemetry_id"),
+        F.when(F.col("user_id") % 2 == 1, i).alias("device_id"), zoned.alias("timestamp"), F.lit("speed").alias("sensor_type"),
+        value.alias("reading_value"), F.lit("x").alias("firmware"))).alias("value"))
+    pay = ev.filter("event_type = 'purchase'").select(F.to_json(F.struct(
+        F.lit("payments").alias("event_type"), i.alias("transaction_id"), zoned.alias("transaction_date"), value.alias("payment_amount"),
+        F.when(F.col("user_id") % 5 != 0, "Check").alias("payment_method"), F.lit("completed").alias("payment_status")),
+        {"ignoreNullFields": "false"}).alias("value"))
+    broken = ev.filter("event_type = 'error'").select(F.concat(F.lit("{not json "), i).alias("value"))
+    tele.unionByName(pay).unionByName(broken).repartition(3).write.text(src)
+    EV.start_staging(_event_stream(spark, src, 2), f"{root}/staging", f"{root}/quarantine", f"{root}/ck").awaitTermination()
+    s = lambda n: spark.read.parquet(f"{root}/staging/{n}")
+    none = F.lit(None)
+    parts = [
+        s("telemetry").select(F.lit("telemetry").alias("dataset"), F.col("telemetry_id").alias("id"), F.col("timestamp").alias("at"), F.col("sensor_value").alias("detail")),
+        s("payments").select(F.lit("payments").alias("dataset"), F.col("payment_id").alias("id"), F.col("payment_date").alias("at"), F.col("amount").cast("string").alias("detail")),
+        spark.read.parquet(f"{root}/quarantine/payments/*").select(
+            F.lit("_quarantine").alias("dataset"), F.get_json_object("row_json", "$.payment_id").alias("id"), none.cast("timestamp_ntz").alias("at"),
+            F.array_join("violations", ",").alias("detail")),
+        spark.read.parquet(f"{root}/quarantine/_dead_letter/*").select(
+            F.lit("_dead_letter").alias("dataset"), none.cast("string").alias("id"), none.cast("timestamp_ntz").alias("at"), F.col("raw_value").alias("detail"))]
+    return _union(parts)

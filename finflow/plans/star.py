@@ -1,7 +1,7 @@
 """Staging -> star schema: the warehouse load for the ten staging tables.
 
-Each refresh reads the staging tables, maintains the type-2 dimensions with the incremental
-merge (so versions accumulate run over run), rewrites the type-1 dimensions and the facts,
+Each refresh reads the staging tables, keeps the type-2 dimensions up from the change log (so
+versions accumulate run over run), rewrites the type-1 dimensions and the facts,
 and writes payments and telemetry month-partitioned. Every table goes to a new version
 folder under ``warehouse_root`` and ``current`` pointers are returned, because a table
 cannot be overwritten while it is being read.
@@ -13,14 +13,17 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from finflow import schemas
 from finflow.functions import keys as K
 from finflow.functions import normalize as N
+from finflow.functions import rules as R
 from finflow.operators import lookups as L
+from finflow.operators import quality as Q
 from finflow.operators import scd
 from finflow.plans import warehouse as W
 from finflow.plans.maintenance import write_monthly
+from finflow.session import read_or_none
 
 CUSTOMER_ATTRS = ["first_name", "last_name", "email", "phone", "address", "city", "state",
                   "zip_code", "date_of_birth"]
@@ -28,46 +31,47 @@ VEHICLE_ATTRS = ["vehicle_id", "make", "model", "year", "color", "dealer_id"]
 TELEMETRY_SENSORS = ["speed", "fuel_level", "engine_temperature"]
 
 
-def _read(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    path = os.path.join(root, name)
-    return spark.read.parquet(path) if os.path.exists(path) or "://" in root else None
+def _history(staged: DataFrame, changes: DataFrame | None, key: str, attrs: list[str], first_at: str, asof) -> DataFrame:
+    """Dated rows of a type-2 member: key, attrs, at, ord.
 
-
-def _snapshot(rows: DataFrame, key: str, attrs: list[str], changed_at: str, asof) -> DataFrame:
-    """Latest staged row per key, dated by its change time (else the refresh day)."""
-    eff = F.coalesce(F.to_date(changed_at), F.lit(asof).cast("date")) if changed_at in rows.columns \
-        else F.lit(asof).cast("date")
-    cols = [c for c in attrs if c in rows.columns]
-    latest = scd.latest_per_key(rows.filter(F.col(key).isNotNull())
-                                    .select(key, *cols, eff.alias("effective_date")),
-                                [key], ["effective_date", *cols])
-    for c in attrs:
-        if c not in latest.columns:
-            latest = latest.withColumn(c, F.lit(None).cast("string"))
-    return latest.select(key, *attrs, "effective_date")
-
-
-def _empty_dim(spark: SparkSession, key: str, attrs: list[str], like: DataFrame) -> DataFrame:
-    fields = [like.schema[key]] + [like.schema[a] for a in attrs] + [
-        T.StructField("effective_date", T.DateType()), T.StructField("expiry_date", T.DateType()),
-        T.StructField("is_current", T.BooleanType())]
-    return spark.createDataFrame([], T.StructType(fields))
-
-
-def refresh_scd2(spark: SparkSession, previous: DataFrame | None, staged: DataFrame, key: str,
-                 attrs: list[str], changed_at: str, asof) -> DataFrame:
-    """M2 / M3 / M4: merge this refresh's snapshot into the previous dimension version."""
-    snap = _snapshot(staged, key, attrs, changed_at, asof)
-    prev = previous if previous is not None else _empty_dim(spark, key, attrs, snap)
-    return scd.scd2_merge(prev.select(key, *attrs, "effective_date", "expiry_date", "is_current"),
-                          snap, [key], attrs)
+    With a change log, a row counts from the day it was loaded, and a key's very first one
+    from its own date if that is earlier. Without a log the staged rows count from their
+    own date, else from the refresh day.
+    """
+    rows = changes if changes is not None else staged
+    rows = rows.filter(F.col(key).isNotNull())
+    own = F.col(first_at).cast("timestamp_ntz") if first_at in rows.columns else F.lit(None).cast("timestamp_ntz")
+    if changes is not None:
+        first = rows.groupBy(key).agg(F.min(F.struct("loaded_at", "row_order")).alias("__first"))
+        rows = rows.join(first, key)
+        is_first = (F.col("loaded_at") == F.col("__first.loaded_at")) & (F.col("row_order") == F.col("__first.row_order"))
+        at = F.when(is_first, F.least(own, F.col("loaded_at"))).otherwise(F.col("loaded_at"))
+        order = F.struct("loaded_at", "row_order")
+    else:
+        at, order = F.coalesce(own, F.lit(asof).cast("timestamp_ntz")), F.struct(*[F.col(c) for c in attrs if c in rows.columns])
+    have = [F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in attrs]
+    return rows.select(key, *have, at.alias("at"), F.to_json(order).alias("ord"))
+
+
+def refresh_scd2(previous: DataFrame | None, history: DataFrame, key: str, attrs: list[str], from_log: bool) -> DataFrame:
+    """M2 / M3 / M4: versions of the members. From a change log they follow from the whole
+    log; without one, this refresh's rows are merged into the previous version."""
+    versions = scd.scd2_from_history(history, [key], attrs, "at", ["ord"])
+    if from_log or previous is None:
+        return versions
+    return scd.scd2_merge(previous.select(key, *attrs, "effective_date", "expiry_date", "is_current"),
+                          versions.select(key, *attrs, "effective_date"), [key], attrs)
 
 
 def build_star(spark: SparkSession, staging_root: str, warehouse_root: str, version: str,
-               asof: str, previous: dict[str, str] | None = None) -> dict[str, str]:
+               asof: str, previous: dict[str, str] | None = None,
+               changes_root: str | None = None) -> dict[str, str]:
     """Build every table present in staging; returns {table: path} of this version.
 
-    ``previous`` points at the last version's type-2 dimensions so history is kept.
+    ``changes_root`` is the batch run's change log (``<out>/changes``), from which changed
+    members of the dimensions get new versions although staging keeps its first rows.
+    Without it ``previous`` points at the last version's type-2 dimensions, into which the
+    staged rows are merged. Constraint violations per table are written to ``checks``.
     """
     prev = previous or {}
     out: dict[str, str] = {}
@@ -80,28 +84,39 @@ def build_star(spark: SparkSession, staging_root: str, warehouse_root: str, vers
             df.write.mode("overwrite").parquet(path)
         out[name] = path
 
-    stg = {n: _read(spark, staging_root, n) for n in
+    def log_of(name: str) -> DataFrame | None:
+        return read_or_none(spark, os.path.join(changes_root, name)) if changes_root else None
+
+    stg = {n: read_or_none(spark, os.path.join(staging_root, n)) for n in
            ["customers", "dealers", "vehicles", "sales", "inventory", "payments", "suppliers",
             "procurement", "interactions", "telemetry"]}
 
     # --- dimensions ---
+    def type2(table: str, dataset: str, key: str, attrs: list[str], first_at: str) -> DataFrame:
+        log = log_of(dataset)
+        prev_dim = spark.read.parquet(prev[table]) if table in prev else None
+        return refresh_scd2(prev_dim, _history(stg[dataset], log, key, attrs, first_at, asof), key, attrs, log is not None)
+
+    def newest(dataset: str, key: str, order: list[str]) -> DataFrame:
+        log = log_of(dataset)
+        rows = stg[dataset] if log is None else log.drop("run_id")
+        order = order if log is None else ["loaded_at", "row_order"]
+        out_cols = [c for c in stg[dataset].columns if c != "is_dirty"]
+        return scd.latest_per_key(rows.filter(F.col(key).isNotNull()), [key], order).select(*out_cols)
+
     if stg["customers"] is not None:
-        p = spark.read.parquet(prev["dim_customer"]) if "dim_customer" in prev else None
-        dim = refresh_scd2(spark, p, stg["customers"], "customer_id", CUSTOMER_ATTRS, "created_at", asof)
+        dim = type2("dim_customer", "customers", "customer_id", CUSTOMER_ATTRS, "created_at")
         dim = dim.withColumn("customer_name", N.full_name("first_name", "last_name")) \
                  .withColumn("customer_key", K.surrogate_key("customer_id", "effective_date"))
         save("dim_customer", dim)
     if stg["vehicles"] is not None:
-        p = spark.read.parquet(prev["dim_vehicle"]) if "dim_vehicle" in prev else None
-        dim = refresh_scd2(spark, p, stg["vehicles"], "vin", VEHICLE_ATTRS, "purchase_date", asof)
+        dim = type2("dim_vehicle", "vehicles", "vin", VEHICLE_ATTRS, "purchase_date")
         save("dim_vehicle", dim.withColumn("vehicle_key", K.surrogate_key("vin", "effective_date")))
     if stg["dealers"] is not None:
-        d = scd.latest_per_key(stg["dealers"].filter(F.col("dealer_id").isNotNull()).drop("is_dirty"),
-                               ["dealer_id"], ["created_at", "dealer_name"])
+        d = newest("dealers", "dealer_id", ["created_at", "dealer_name"])
         save("dim_dealer", d.withColumn("dealer_key", K.surrogate_key("dealer_id")))
     if stg["suppliers"] is not None:
-        d = scd.latest_per_key(stg["suppliers"].filter(F.col("supplier_id").isNotNull()).drop("is_dirty"),
-                               ["supplier_id"], ["created_at", "supplier_name"])
+        d = newest("suppliers", "supplier_id", ["created_at", "supplier_name"])
         save("dim_supplier", d.withColumn("supplier_key", K.surrogate_key("supplier_id")))
 
     dims = {n: spark.read.parquet(p) for n, p in out.items()}
@@ -116,8 +131,9 @@ def build_star(spark: SparkSession, staging_root: str, warehouse_root: str, vers
         """vehicle_id -> vin (current vehicle master), then the vin's version on the day."""
         if "dim_vehicle" not in dims:
             return df.withColumn("vehicle_key", F.lit(None).cast("bigint"))
-        cur = dims["dim_vehicle"].filter("is_current").select(F.col("vehicle_id").alias("__vid"),
-                                                               F.col("vin").alias("__vin"))
+        # one VIN per vehicle id, also if two were registered for it
+        cur = (dims["dim_vehicle"].filter("is_current").groupBy(F.col("vehicle_id").alias("__vid"))
+               .agg(F.max_by("vin", F.struct("effective_date", "vin")).alias("__vin")))
         j = df.join(cur, F.col("vehicle_id") == F.col("__vid"), "left").drop("__vid")
         j = L.point_in_time(j, dims["dim_vehicle"], "__vin", "vin", date_col, {"vehicle_key": "vehicle_key"},
                             open_start=True)
@@ -134,23 +150,29 @@ def build_star(spark: SparkSession, staging_root: str, warehouse_root: str, vers
     if stg["sales"] is not None:
         s = stg["sales"].filter(F.col("sale_id").isNotNull()).withColumn("sale_day", F.to_date("sale_date"))
         s = type1(vehicle_pit(customer_pit(s, "sale_day"), "sale_day"), "dim_dealer", "dealer_id", "dealer_key")
+        discount = F.col("discount_amount") if "discount_amount" in s.columns else F.lit(None).cast("decimal(18,2)")
         fact = s.select(K.surrogate_key("sale_id").alias("sales_key"), "sale_id",
                         F.col("sale_day").alias("sale_date"), K.date_key("sale_day").alias("sale_date_key"),
                         "customer_key", "vehicle_key", "dealer_key", "sale_price",
-                        F.lit(None).cast("decimal(18,2)").alias("discount_amount"),
-                        N.net_price("sale_price", F.lit(None).cast("decimal(18,2)")).cast("decimal(18,2)").alias("final_price"),
+                        F.coalesce(discount, F.lit(0)).cast("decimal(18,2)").alias("discount_amount"),
+                        N.net_price("sale_price", discount).cast("decimal(18,2)").alias("final_price"),
                         "payment_method")
         save("fact_sales", fact)
-        dates.append(fact.select(F.col("sale_date").alias("d")))
+        dates.append(("fact_sales", "sale_date"))
     if stg["payments"] is not None:
         p = stg["payments"].filter(F.col("payment_id").isNotNull()).withColumn("pay_day", F.to_date("payment_date"))
+        if "fact_sales" in out:  # a payment of an unknown sale has no sales key
+            p = L.lookup(p, spark.read.parquet(out["fact_sales"]).select(F.col("sale_id").alias("known_sale"), "sales_key"),
+                         "sale_id", "known_sale", {"sales_key": "sales_key"})
+        else:
+            p = p.withColumn("sales_key", F.lit(None).cast("bigint"))
         fact = p.select(K.surrogate_key("payment_id").alias("payment_key"), "payment_id", "sale_id",
-                        K.surrogate_key("sale_id").alias("sales_key"), F.col("pay_day").alias("payment_date"),
+                        "sales_key", F.col("pay_day").alias("payment_date"),
                         K.date_key("pay_day").alias("payment_date_key"),
                         F.col("amount").alias("payment_amount"), "payment_method",
                         F.col("status").alias("payment_status"))
         save("fact_payments", fact, monthly_on="payment_date", sort=["payment_id"])
-        dates.append(fact.select(F.col("payment_date").alias("d")))
+        dates.append(("fact_payments", "payment_date"))
     if stg["procurement"] is not None:
         p = stg["procurement"].filter(F.col("procurement_id").isNotNull()) \
                               .withColumn("proc_day", F.to_date("procurement_date"))
@@ -161,7 +183,7 @@ def build_star(spark: SparkSession, staging_root: str, warehouse_root: str, vers
                         F.lit(None).cast("bigint").alias("vehicle_key"),
                         F.col("cost").alias("cost_price"), "status")
         save("fact_procurement", fact)
-        dates.append(fact.select(F.col("procurement_date").alias("d")))
+        dates.append(("fact_procurement", "procurement_date"))
     if stg["inventory"] is not None:
         i = stg["inventory"].filter(F.col("inventory_id").isNotNull()).withColumn("inv_day", F.to_date("stock_date"))
         i = type1(vehicle_pit(i, "inv_day"), "dim_dealer", "dealer_id", "dealer_key")
@@ -169,7 +191,7 @@ def build_star(spark: SparkSession, staging_root: str, warehouse_root: str, vers
                         F.col("inv_day").alias("inventory_date"), K.date_key("inv_day").alias("inventory_date_key"),
                         "vehicle_key", "dealer_key", "quantity")
         save("fact_inventory", fact)
-        dates.append(fact.select(F.col("inventory_date").alias("d")))
+        dates.append(("fact_inventory", "inventory_date"))
     if stg["interactions"] is not None:
         it = stg["interactions"].filter(F.col("interaction_id").isNotNull()) \
                                 .withColumn("int_day", F.to_date("interaction_date"))
@@ -179,23 +201,34 @@ def build_star(spark: SparkSession, staging_root: str, warehouse_root: str, vers
                          K.date_key("int_day").alias("interaction_date_key"), "customer_key", "dealer_key",
                          "interaction_type", "notes")
         save("fact_interactions", fact)
-        dates.append(fact.select(F.col("interaction_date").alias("d")))
+        dates.append(("fact_interactions", "interaction_date"))
     if stg["telemetry"] is not None:
-        tl = stg["telemetry"].filter(F.col("telemetry_id").isNotNull() & F.col("timestamp").isNotNull())
-        wide = (tl.groupBy("vehicle_id", F.col("timestamp").alias("telemetry_timestamp"))
-                  .pivot("sensor_type", TELEMETRY_SENSORS)
-                  .agg(F.max(F.col("sensor_value").try_cast("int")))
-                  .withColumn("tel_day", F.to_date("telemetry_timestamp")))
-        wide = vehicle_pit(wide, "tel_day")
-        fact = wide.select(
-            K.surrogate_key("vehicle_id", "telemetry_timestamp").alias("telemetry_key"), "vehicle_key",
-            "vehicle_id", "telemetry_timestamp", K.date_key("tel_day").alias("telemetry_date_key"),
-            *[F.col(s) for s in TELEMETRY_SENSORS])
+        # event grain: one row per reading; its sensor's column holds the rounded value, and
+        # sensors without a column of their own keep type and value
+        tl = stg["telemetry"].filter(F.col("telemetry_id").isNotNull())
+        tl = vehicle_pit(tl.withColumn("tel_day", F.to_date("timestamp")), "tel_day")
+        value = F.col("sensor_value").try_cast("decimal(18,6)")
+        place = F.split("location", ",")
+        part = lambda i: F.trim(F.get(place, i)).try_cast("decimal(9,6)")
+        other = ~F.coalesce(F.col("sensor_type").isin(TELEMETRY_SENSORS), F.lit(False))
+        fact = tl.select(
+            K.surrogate_key("telemetry_id").alias("telemetry_key"), "telemetry_id", "vehicle_key", "vehicle_id",
+            F.col("timestamp").alias("telemetry_timestamp"), K.date_key("tel_day").alias("telemetry_date_key"),
+            *[F.when(F.col("sensor_type") == s, F.round(value).cast("int")).alias(s) for s in TELEMETRY_SENSORS],
+            F.when(other, F.col("sensor_type")).alias("other_sensor"), F.when(other, F.col("sensor_value")).alias("other_value"),
+            part(0).alias("location_lat"), part(1).alias("location_long"))
         save("fact_telemetry", fact, monthly_on="telemetry_timestamp", sort=["vehicle_id", "telemetry_timestamp"])
-        dates.append(fact.select(F.to_date("telemetry_timestamp").alias("d")))
-    if dates:
-        u = dates[0]
-        for d in dates[1:]:
+        dates.append(("fact_telemetry", "telemetry_timestamp"))
+    if dates:  # from the saved tables: nothing is computed a second time
+        days = [spark.read.parquet(out[table]).select(F.to_date(c).alias("d")) for table, c in dates]
+        u = days[0]
+        for d in days[1:]:
             u = u.unionByName(d)
         save("dim_date", W.dim_date(F.col("d"), source=u.filter(F.col("d").isNotNull())))
+    checks = [Q.rule_totals(spark.read.parquet(out[n]), R.table_rules(n)) for n in out if n in schemas.TABLE_CHECKS]
+    if checks:
+        totals = checks[0]
+        for c in checks[1:]:
+            totals = totals.unionByName(c)
+        save("checks", totals)
     return out

@@ -102,11 +102,80 @@ GATE_EXTENSIONS = ["csv", "json", "xlsx", "parquet", "avro"]
 ETL_EXTENSIONS = ["csv", "json", "xlsx"]
 FILE_TYPES = {"csv": "CSV", "json": "JSON", "xlsx": "Excel", "parquet": "Parquet", "avro": "Avro"}
 
+# Domain constraints of the datasets' rows: rule name -> (predicate, columns it needs). As in a
+# CHECK constraint a null passes. Text columns are read as numbers where they hold one.
+ROW_CHECKS = {
+    "customers": {
+        "email_format": ("email RLIKE '^[^@ ]+@[^@ ]+[.][^@ ]+$'", ["email"]),
+    },
+    "vehicles": {
+        "year_range": ("try_cast(year AS INT) BETWEEN 1980 AND 2100", ["year"]),
+    },
+    "sales": {
+        "sale_price_not_negative": ("sale_price >= 0", ["sale_price"]),
+        "discount_not_negative": ("discount_amount >= 0", ["discount_amount"]),
+        "final_price_not_negative": ("final_price >= 0", ["final_price"]),
+    },
+    "payments": {
+        "amount_positive": ("amount > 0", ["amount"]),
+    },
+    "procurement": {
+        "cost_not_negative": ("try_cast(cost AS DECIMAL(18,2)) >= 0", ["cost"]),
+        "quantity_positive": ("try_cast(quantity AS INT) > 0", ["quantity"]),
+    },
+    "inventory": {
+        "quantity_not_negative": ("try_cast(quantity AS INT) >= 0", ["quantity"]),
+    },
+    "interactions": {
+        "duration_positive": ("try_cast(duration_minutes AS DOUBLE) > 0", ["duration_minutes"]),
+    },
+    "telemetry": {
+        "speed_range": ("sensor_type <> 'speed' OR try_cast(sensor_value AS DOUBLE) BETWEEN 0 AND 350", ["sensor_type", "sensor_value"]),
+        "fuel_level_range": ("sensor_type <> 'fuel_level' OR try_cast(sensor_value AS DOUBLE) BETWEEN 0 AND 100", ["sensor_type", "sensor_value"]),
+        "engine_temperature_range": ("sensor_type <> 'engine_temperature' OR try_cast(sensor_value AS DOUBLE) BETWEEN -50 AND 250",
+                                     ["sensor_type", "sensor_value"]),
+    },
+}
+# Longest text of a column, in characters.
+MAX_LENGTHS = {
+    "customers": {"customer_id": 64, "first_name": 100, "last_name": 100, "email": 255, "phone": 50, "city": 100, "zip_code": 20},
+    "dealers": {"dealer_id": 64, "dealer_name": 255, "contact_name": 100, "contact_email": 255, "contact_phone": 50, "city": 100, "zip_code": 20},
+    "vehicles": {"vehicle_id": 64, "vin": 64, "make": 100, "model": 100, "color": 50},
+    "sales": {"sale_id": 64, "sale_channel": 50, "sale_status": 50, "payment_method": 50},
+    "inventory": {"inventory_id": 64, "stock_status": 50},
+    "payments": {"payment_id": 64, "sale_id": 64, "payment_method": 50, "status": 50, "transaction_reference": 100},
+    "suppliers": {"supplier_id": 64, "supplier_name": 255, "contact_email": 255, "supplier_type": 50},
+    "procurement": {"procurement_id": 64, "status": 50},
+    "interactions": {"interaction_id": 64, "interaction_type": 50, "interaction_channel": 50, "outcome": 50, "employee_id": 64},
+    "telemetry": {"telemetry_id": 64},
+}
+# Constraints of the star schema's tables.
+TABLE_CHECKS = {
+    "dim_date": {"quarter_range": "quarter BETWEEN 1 AND 4", "month_range": "month BETWEEN 1 AND 12", "day_range": "day BETWEEN 1 AND 31",
+                 "day_of_week_range": "day_of_week BETWEEN 1 AND 7", "date_actual_not_null": "date_actual IS NOT NULL"},
+    "dim_customer": {"expiry_after_effective": "expiry_date >= effective_date", "customer_id_not_null": "customer_id IS NOT NULL",
+                     "effective_date_not_null": "effective_date IS NOT NULL"},
+    "dim_vehicle": {"expiry_after_effective": "expiry_date >= effective_date", "vin_not_null": "vin IS NOT NULL",
+                    "effective_date_not_null": "effective_date IS NOT NULL"},
+    "fact_sales": {"sale_price_not_negative": "sale_price >= 0", "discount_not_negative": "discount_amount >= 0",
+                   "final_price_not_negative": "final_price >= 0", "sale_id_not_null": "sale_id IS NOT NULL"},
+    "fact_payments": {"payment_amount_not_negative": "payment_amount >= 0", "payment_id_not_null": "payment_id IS NOT NULL"},
+    "fact_procurement": {"cost_price_not_negative": "cost_price >= 0", "procurement_id_not_null": "procurement_id IS NOT NULL"},
+    "fact_inventory": {"quantity_not_negative": "quantity >= 0", "inventory_id_not_null": "inventory_id IS NOT NULL"},
+    "fact_interactions": {"interaction_id_not_null": "interaction_id IS NOT NULL", "interaction_type_length": "length(interaction_type) <= 50"},
+    "fact_telemetry": {"speed_range": "speed BETWEEN 0 AND 350", "fuel_level_range": "fuel_level BETWEEN 0 AND 100",
+                       "engine_temperature_range": "engine_temperature BETWEEN -50 AND 250", "telemetry_id_not_null": "telemetry_id IS NOT NULL"},
+}
+
 # Run reporting.
 SLA_SECONDS = 600
 QUALITY_FAILURE_MARKER = "Data quality validation failed"
-QUALITY_FAILURE_TITLE = "Automotive Finance Data Quality Failure"
-PIPELINE_FAILURE_TITLE = "Automotive Finance Pipeline Failure"
+QUALITY_FAILURE_TITLE = "Data quality failure"
+PIPELINE_FAILURE_TITLE = "Pipeline failure"
+
+# Cell texts that count as missing in CSV files and workbooks.
+NULL_WORDS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+              "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 # Stream: supported event types (one per dataset) and flush bounds.
 STREAM_EVENT_TYPES = DATASETS
@@ -159,15 +228,32 @@ STAGING = {
 
 PRIMARY_KEYS = {name: [schema.fields[0].name] for name, schema in STAGING.items()}
 
-# Accepted text formats for date / timestamp columns, tried in order.
-TIMESTAMP_FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd",
-                     "dd-MM-yyyy", "dd/MM/yyyy", "MM/dd/yyyy", "yyyy/MM/dd"]
-
-# Superset schema of stream events (all values as text, JSON numbers accepted as text).
-EVENT_FIELDS = sorted({f.name for s in STAGING.values() for f in s.fields} | {
-    "event_type", "name", "province", "gender", "engine_type", "transmission", "vehicle_status",
-    "sale_channel", "sale_status", "discount_amount", "final_price", "stock_status",
-    "last_updated", "interaction_channel", "outcome", "duration_minutes", "payment_status",
-    "transaction_reference", "supplier_type", "cost_price", "location_lat", "location_long",
-    "speed", "fuel_level", "engine_temperature", "country", "location", "employee_id"} - {"is_dirty"})
+# Columns of each dataset's stream messages besides its staging columns (message contract).
+EVENT_EXTRAS = {
+    "customers": ["name", "gender", "province"],
+    "dealers": ["name", "province", "email", "phone"],
+    "vehicles": ["engine_type", "transmission", "vehicle_status", "created_at"],
+    "sales": ["discount_amount", "final_price", "sale_channel", "sale_status"],
+    "inventory": ["stock_status", "last_updated"],
+    "payments": ["transaction_reference"],
+    "suppliers": ["supplier_type", "country"],
+    "procurement": ["vehicle_id"],
+    "interactions": ["interaction_channel", "outcome", "duration_minutes", "employee_id"],
+    "telemetry": ["location_lat", "location_long"],
+}
+
+# Staging columns that have a categorical rule but are no part of the dataset's messages.
+EVENT_OPTIONAL = {"sales": ("payment_method",)}
+
+
+def event_columns(dataset: str) -> list[str]:
+    """A dataset's stream columns, the same for every micro-batch."""
+    own = [f.name for f in STAGING[dataset].fields if f.name != "is_dirty"]
+    return own + [c for c in EVENT_EXTRAS[dataset] if c not in own]
+
+
+# Superset of stream event fields (all values as text, JSON numbers accepted as text): every
+# dataset's columns and every alias of one. Other keys of a message are kept as a map.
+EVENT_FIELDS = sorted({"event_type"} | {c for d in DATASETS for c in event_columns(d)}
+                      | {name for pairs in COLUMN_ALIASES.values() for pair in pairs for name in pair})
 EVENT_SCHEMA = T.StructType([T.StructField(n, S, True) for n in EVENT_FIELDS])

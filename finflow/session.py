@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Settings that hold from a laptop to a 1000-executor cluster: AQE re-plans joins and
 # coalesces shuffle partitions at run time, skew-join splits hot partitions, and the
@@ -55,8 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     Spark applies that setting to the context itself at start-up, and it cannot be changed
     on a running session, so it is only read here. Without it, a checkpoint folder already
-    given to the context is used; only when neither exists (unit tests, a laptop) a
-    private folder is created and given to the context.
+    given to the context is used; only when neither exists and the master is local (unit
+    tests, a laptop) a private folder is created and given to the context. A cluster
+    without a shared folder is an error: executors would not see the driver's files.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
@@ -64,6 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     path = tempfile.mkdtemp(prefix="finflow-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path
@@ -72,19 +74,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint dir for written intermediates."""
     root = ensure_checkpoint_dir(spark)
-    return os.path.join(root, "finflow", f"{name}-{uuid.uuid4().hex[:12]}")
+    app = getattr(spark.sparkContext, "applicationId", None) or "app"
+    return os.path.join(root, "finflow", app, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads no further than max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of a path on any storage that Spark reads."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
+def read_or_none(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The table at ``path``, or None where no such path is or its folder holds no file. Any
+    other failure is raised: a damaged table must not pass for an empty one."""
+    fs, p = hadoop_path(spark, path)
+    if not fs.exists(p) or not any(x.getPath().getName()[0] not in "._" for x in fs.listStatus(p)):
+        return None
+    return spark.read.format(fmt).load(path)
 
-    The check is a ``limit(max_rows + 1).count()`` job, which stops reading as soon as
-    the bound is exceeded. Beyond the bound the frame is returned unchanged and the
-    join falls back to AQE's choice (sort-merge / shuffled hash).
-    """
-    return F.broadcast(df) if at_most(df, max_rows) else df
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Remove this application's written intermediates (results must have been consumed)."""
+    fs, p = hadoop_path(spark, os.path.dirname(scratch_path(spark, "x")))
+    fs.delete(p, True)

@@ -1,20 +1,17 @@
 """File manifest and file-level operators (A5-A8, A10, Q25, header table for A1/Q9/Q11).
 
 Everything here is one distributed job over the landing folder; the ``content`` column
-of the ``binaryFile`` source is only read when checksums or headers are asked for.
+of the ``binaryFile`` source is only read when checksums are asked for.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finflow import schemas
 from finflow.functions import normalize as N
 
-HEADER_BYTES = 65536
-
-
 def manifest(spark: SparkSession, root: str) -> DataFrame:
     """path, length, modificationTime of every file under ``root`` (recursive); the
     ``content`` column is never requested, so no file body is read."""
@@ -27,21 +24,36 @@ def _extension_glob(extensions: list[str]) -> str:
     return "{" + ",".join("*." + "".join(f"[{c.lower()}{c.upper()}]" for c in e) for e in extensions) + "}"
 
 
-def contents(spark: SparkSession, root: str, extensions: list[str] | None = None,
-             max_bytes: int = schemas.MAX_FILE_BYTES) -> DataFrame:
-    """path, md5 and first line (CSV only) of the files that pass the gate's extension and
-    size tests. Both tests reach the source (``pathGlobFilter`` and a pushed ``length``
-    filter), so other files are never read and no row exceeds the size bound."""
-    exts = extensions or schemas.GATE_EXTENSIONS
+def checksums(spark: SparkSession, root: str, extensions: list[str] | None = None,
+              max_bytes: int = schemas.MAX_FILE_BYTES) -> DataFrame:
+    """path and md5 of the files that pass the gate's extension and size tests. Both tests
+    reach the source (``pathGlobFilter`` and a pushed ``length`` filter), so other files
+    are never read and no row exceeds the size bound."""
     df = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-          .option("pathGlobFilter", _extension_glob(exts)).load(root)
+          .option("pathGlobFilter", _extension_glob(extensions or schemas.GATE_EXTENSIONS)).load(root)
           .filter(F.col("length") <= max_bytes))
-    # Latin-1 accepts every byte, so binary files and a multi-byte character cut at the
-    # window edge cannot fail; the complete first line is then re-read as UTF-8.
-    head = F.decode(F.substring("content", 1, HEADER_BYTES), "ISO-8859-1")
-    line = F.regexp_replace(F.get(F.split(head, "\n"), 0), "\r$", "")
-    first = F.when(extension("path") == "csv", F.decode(F.encode(line, "ISO-8859-1"), "UTF-8"))
-    return df.select("path", F.md5("content").alias("md5"), first.alias("first_line"))
+    return df.select("path", F.md5("content").alias("md5"))
+
+
+def csv_headers(spark: SparkSession, root: str) -> DataFrame:
+    """path and header record of every CSV file under ``root``, whatever its length.
+
+    The files are read as lines (no file body becomes a row); a header whose quotes stay
+    open at the line's end goes on over the next lines until they are closed.
+    """
+    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", _extension_glob(["csv"])).text(root)
+             .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value",
+                     F.monotonically_increasing_id().alias("i")).filter(F.col("at") == 0))
+    first = lines.groupBy("path").agg(F.min_by("value", "i").alias("first_line"), F.min("i").alias("first_i"))
+    quotes = lambda c: F.length(c) - F.length(F.replace(c, F.lit('"'), F.lit("")))
+    whole = first.filter(quotes("first_line") % 2 == 0).select("path", "first_line")
+    # Rare: lines up to and with the next one that closes the quotes.
+    open_ = first.filter(quotes("first_line") % 2 == 1)
+    more = lines.join(open_, "path")
+    close = more.filter((F.col("i") > F.col("first_i")) & (quotes("value") % 2 == 1)).groupBy("path").agg(F.min("i").alias("last_i"))
+    joined = (more.join(close, "path").filter(F.col("i") <= F.col("last_i")).groupBy("path")
+              .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "value"))), lambda x: x["value"]), "\n").alias("first_line")))
+    return whole.unionByName(joined)
 
 
 def extension(path) -> Column:
@@ -83,10 +95,10 @@ def archive_name(path, at) -> Column:
 
 
 def name_collisions(files: DataFrame, name_col: str = "staged_name") -> DataFrame:
-    """A8 / decision 17: target names that more than one source file maps to."""
-    return (files.groupBy(name_col).agg(F.count(F.lit(1)).alias("n_files"),
-                                        F.sort_array(F.collect_list("path")).alias("paths"))
-                 .filter(F.col("n_files") > 1))
+    """A8 / decision 17: files whose target name another source file maps to as well, one
+    row each, with the number of files of that name."""
+    groups = files.groupBy(name_col).agg(F.count(F.lit(1)).alias("n_files")).filter(F.col("n_files") > 1)
+    return files.select(name_col, "path").join(groups, name_col)
 
 
 def discover(files: DataFrame, run_keys: DataFrame | None = None) -> DataFrame:
@@ -100,27 +112,24 @@ def discover(files: DataFrame, run_keys: DataFrame | None = None) -> DataFrame:
 
 
 def raw_summary(files: DataFrame, root: str) -> DataFrame:
-    """A10: per top-level folder: file count, first two names, and how many more."""
+    """A10: per top-level folder: file count, first two names, and how many more.
+
+    Plain aggregates (the two smallest names are kept while merging), so a folder with
+    most of the files needs no task of its own.
+    """
     r = root.rstrip("/").split("://")[-1].replace("'", "''")
     rel = F.expr(f"substring(path, instr(path, '{r}') + {len(r) + 1})")
     with_dom = files.select(F.when(rel.contains("/"), F.get(F.split(rel, "/"), 0))
                              .otherwise(F.lit("(root)")).alias("domain"), rel.alias("key"))
-    w = Window.partitionBy("domain").orderBy("key")
-    ranked = with_dom.withColumn("rn", F.row_number().over(w))
-    return ranked.groupBy("domain").agg(
-        F.count(F.lit(1)).alias("n_files"),
-        F.sort_array(F.collect_list(F.when(F.col("rn") <= 2, F.col("key")))).alias("first_two"),
-        F.greatest(F.count(F.lit(1)) - 2, F.lit(0)).alias("n_more"))
+    first = with_dom.groupBy("domain").agg(F.count(F.lit(1)).alias("n_files"), F.min("key").alias("k1"))
+    second = (with_dom.join(first.select("domain", "k1"), "domain").filter(F.col("key") > F.col("k1"))
+              .groupBy("domain").agg(F.min("key").alias("k2")))
+    return first.join(second, "domain", "left").select(
+        "domain", "n_files", F.array_compact(F.array("k1", "k2")).alias("first_two"),
+        F.greatest(F.col("n_files") - 2, F.lit(0)).alias("n_more"))
 
 
 def duplicate_contents(files_with_md5: DataFrame) -> DataFrame:
-    """Q25: groups of files with identical content."""
-    return (files_with_md5.groupBy("md5").agg(F.count(F.lit(1)).alias("n_files"),
-                                               F.sort_array(F.collect_list("path")).alias("paths"))
-                          .filter(F.col("n_files") > 1))
-
-
-def header_columns(first_line) -> Column:
-    """Column names of a CSV header line (quotes and padding removed)."""
-    fl = F.col(first_line) if isinstance(first_line, str) else first_line
-    return F.transform(F.split(fl, ","), lambda c: F.trim(F.regexp_replace(c, '^\\s*"|"\\s*$', "")))
+    """Q25: files whose content occurs more than once, one row each, with the group's size."""
+    groups = files_with_md5.groupBy("md5").agg(F.count(F.lit(1)).alias("n_files")).filter(F.col("n_files") > 1)
+    return files_with_md5.select("md5", "path").join(groups, "md5")

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,33 +33,62 @@ SINK_FORMATS = {
 
 
 def kafka_source(spark: SparkSession, servers: str, topics: list[str],
-                 max_offsets_per_trigger: int = schemas.FLUSH_MAX_ROWS) -> DataFrame:
-    """One subscription for all dataset topics, starting at the latest offsets.
+                 max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """One subscription for all dataset topics, starting at the latest offsets. A
+    trigger takes whatever has arrived; a bound is for deployments that need one.
     (The Kafka connector must be on the classpath of the deployment.)"""
-    raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-           .option("subscribe", ",".join(topics)).option("startingOffsets", "latest")
-           .option("maxOffsetsPerTrigger", max_offsets_per_trigger).load())
-    return decode(raw.select(F.col("value").cast("string").alias("value"),
-                             F.col("timestamp").alias("received_at")))
-
-
-def decode(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """JSON text -> columns of the superset event schema (unknown keys are ignored)."""
-    parsed = df.withColumn("__e", F.from_json(F.col(value_col), schemas.EVENT_SCHEMA))
-    keep = [c for c in df.columns if c != value_col]
-    return parsed.select(*keep, "__e.*", F.col(value_col).alias("raw_value"))
+    r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+         .option("subscribe", ",".join(topics)).option("startingOffsets", "latest"))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    return r.load().select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("received_at"))
 
 
 def json_file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                      archive_dir: str | None = None) -> DataFrame:
-    """A9 / test source: JSON-lines files of events. With ``archive_dir`` each file is moved
-    there once its batch has committed (consume-once, ``cleanSource=archive``)."""
-    r = spark.readStream.schema(schemas.EVENT_SCHEMA).option("mode", "PERMISSIVE")
+    """A9 / test source: files of events, one JSON text per line, read as text like the
+    values of a topic, so a line that is no JSON is kept as it is. With ``archive_dir`` each
+    file is moved there once its batch has committed (``cleanSource=archive``)."""
+    r = spark.readStream
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return r.json(path).withColumn("received_at", F.current_timestamp())
+    return r.text(path).withColumn("received_at", F.current_timestamp())
+
+
+def decode(df: DataFrame, value_col: str = "value") -> DataFrame:
+    """JSON text -> columns of the superset event schema, keys beyond it as the map
+    ``other_fields``, and the text itself as ``raw_value``. What is no JSON object has
+    nulls in all columns."""
+    known = F.array(*[F.lit(c) for c in schemas.EVENT_FIELDS])
+    parsed = df.withColumn("__e", F.from_json(F.col(value_col), schemas.EVENT_SCHEMA)).withColumn(
+        "__all", F.from_json(F.col(value_col), "map<string,string>"))
+    keep = [c for c in df.columns if c != value_col]
+    other = F.map_filter("__all", lambda k, v: ~F.array_contains(known, k))
+    return parsed.select(*keep, "__e.*", other.alias("other_fields"), F.col(value_col).alias("raw_value"))
+
+
+def dataset_rows(events: DataFrame, dataset: str) -> DataFrame:
+    """Rows of one dataset with its fixed columns: aliases are taken where an event lacks the
+    canonical key, everything else the event carries goes to ``other_fields`` as JSON."""
+    rows = events.filter(F.col("event_type") == dataset)
+    columns = schemas.event_columns(dataset)
+    sources: dict[str, list[str]] = {}
+    for src, dst in schemas.COLUMN_ALIASES.get(dataset, []):
+        sources.setdefault(dst, []).append(src)
+    if dataset == "telemetry":
+        rows = rows.withColumn("location", F.coalesce("location", F.when(
+            F.col("location_lat").isNotNull() & F.col("location_long").isNotNull(),
+            F.concat_ws(",", "location_lat", "location_long"))))
+    used = {"event_type", *columns, *(s for own in sources.values() for s in own)}
+    rest = [c for c in schemas.EVENT_FIELDS if c not in used]
+    left = F.map_filter(F.map_from_arrays(F.array(*[F.lit(c) for c in rest]), F.array(*[F.col(c) for c in rest])),
+                        lambda k, v: v.isNotNull())
+    other = F.map_concat(left, F.coalesce("other_fields", F.create_map().cast("map<string,string>")))
+    return rows.select(
+        "event_type", "received_at", *[F.coalesce(c, *sources.get(c, [])).alias(c) for c in columns],
+        F.when(F.size(other) > 0, F.to_json(other)).alias("other_fields"))
 
 
 def supported(df: DataFrame) -> DataFrame:
@@ -71,36 +101,33 @@ def unsupported(df: DataFrame) -> DataFrame:
     return df.filter(~F.coalesce(F.col("event_type").isin(schemas.STREAM_EVENT_TYPES), F.lit(False)))
 
 
-def _non_null_columns(df: DataFrame) -> list[str]:
-    row = df.agg(*[F.max(F.col(c).isNotNull().cast("int")).alias(c) for c in df.columns]).first()
-    return [c for c in df.columns if row and row[c]]
-
-
 def route_batch(batch: DataFrame, epoch_id: int, out_root: str) -> None:
     """Write one micro-batch into one folder per dataset, in that dataset's
-    format, under an epoch-stamped directory (a replayed epoch overwrites itself)."""
+    format and with its fixed columns, under an epoch-stamped directory (a replayed epoch
+    overwrites itself)."""
     batch = batch.persist()
     try:
         present = [r.event_type for r in supported(batch).select("event_type").distinct().collect()]
         for et in present:
-            part = batch.filter(F.col("event_type") == et).drop("raw_value")
-            cols = _non_null_columns(part)
-            fmt = SINK_FORMATS[et]
-            w = part.select(*cols).write.mode("overwrite")
-            if fmt == "csv":
-                w = w.option("header", True)
-            w.format(fmt).save(os.path.join(out_root, et, f"epoch_{epoch_id:08d}"))
-        dead = unsupported(batch)
-        (dead.select("raw_value", "event_type", "received_at").write.mode("overwrite")
-             .parquet(os.path.join(out_root, "_dead_letter", f"epoch_{epoch_id:08d}")))
+            w = dataset_rows(batch, et).write.mode("overwrite")
+            if SINK_FORMATS[et] == "csv":
+                w = w.option("header", True).option("escape", '"')
+            w.format(SINK_FORMATS[et]).save(os.path.join(out_root, et, f"epoch_{epoch_id:08d}"))
+        _dead_letters(batch, epoch_id, out_root)
     finally:
         batch.unpersist()
 
 
+def _dead_letters(batch: DataFrame, epoch_id: int, out_root: str) -> None:
+    """The messages of no dataset, as they came."""
+    (unsupported(batch).select("raw_value", "event_type", "received_at").write.mode("overwrite")
+        .parquet(os.path.join(out_root, "_dead_letter", f"epoch_{epoch_id:08d}")))
+
+
 def start_router(events: DataFrame, out_root: str, checkpoint: str, available_now: bool = False,
                  interval_seconds: int = schemas.FLUSH_MAX_SECONDS):
-    """Time-bounded micro-batches (the size bound is the source's per-trigger cap);
-    ``available_now`` drains what is there and stops (the final flush)."""
+    """Time-bounded micro-batches of all that has arrived (exact count-or-age
+    batches are T4's); ``available_now`` drains what is there and stops (the final flush)."""
     w = (events.writeStream.foreachBatch(lambda df, eid: route_batch(df, eid, out_root))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=f"{interval_seconds} seconds")
@@ -109,25 +136,29 @@ def start_router(events: DataFrame, out_root: str, checkpoint: str, available_no
 
 def stage_batch(batch: DataFrame, epoch_id: int, staging_root: str, quarantine_root: str) -> None:
     """The stream feeds the batch path: per dataset ``clean`` -> split -> insert-if-absent
-    into the same staging tables; dirty rows to quarantine. Replays are idempotent."""
+    into the same staging tables; dirty rows to quarantine, other messages to the dead
+    letters. A dataset's columns are fixed, so an event fares alike in any micro-batch.
+    Replays are idempotent."""
     batch = batch.persist()
     try:
         present = [r.event_type for r in supported(batch).select("event_type").distinct().collect()]
         for et in present:
-            part = batch.filter(F.col("event_type") == et)
-            cols = [c for c in _non_null_columns(part) if c not in ("raw_value", "received_at")]
-            rows = part.select(*cols).withColumn(
+            rows = dataset_rows(batch, et).drop("received_at").withColumn(
                 "row_pos", F.struct(F.lit(epoch_id).cast("long").alias("b"),
                                     F.monotonically_increasing_id().alias("i")))
-            c = clean(rows, et)
-            ok, dirty = Q.split_clean_dirty(c)
-            typed = typed_for_target(ok, schemas.STAGING[et])
-            ST.load_staging(typed, os.path.join(staging_root, et), schemas.PRIMARY_KEYS[et],
-                            ["row_pos"], drop_cols=["row_pos"])
-            (dirty.select(F.lit(epoch_id).alias("epoch"), "violations",
-                          F.to_json(F.struct(*[F.col(x) for x in dirty.columns
-                                               if x not in ("violations", "is_dirty", "row_pos")])).alias("row_json"))
-                  .write.mode("overwrite").parquet(os.path.join(quarantine_root, et, f"epoch_{epoch_id:08d}")))
+            c = clean(rows, et, optional=schemas.EVENT_OPTIONAL.get(et, ())).persist()
+            try:
+                ok, dirty = Q.split_clean_dirty(c)
+                typed = typed_for_target(ok, schemas.STAGING[et])
+                ST.load_staging(typed, os.path.join(staging_root, et), schemas.PRIMARY_KEYS[et],
+                                ["row_pos"], drop_cols=["row_pos"])
+                (dirty.select(F.lit(epoch_id).alias("epoch"), "violations",
+                              F.to_json(F.struct(*[F.col(x) for x in dirty.columns
+                                                   if x not in ("violations", "is_dirty", "row_pos")])).alias("row_json"))
+                      .write.mode("overwrite").parquet(os.path.join(quarantine_root, et, f"epoch_{epoch_id:08d}")))
+            finally:
+                c.unpersist()
+        _dead_letters(batch, epoch_id, quarantine_root)
     finally:
         batch.unpersist()
 
@@ -177,43 +208,39 @@ BATCH_OUT = T.StructType([
     T.StructField("payload", T.StringType()),
 ])
 BATCH_STATE = T.StructType([
-    T.StructField("seq", T.LongType()), T.StructField("buffer", T.ArrayType(T.StringType())),
+    T.StructField("seq", T.LongType()), T.StructField("since_ms", T.LongType()),
+    T.StructField("buffer", T.ArrayType(T.StringType())),
 ])
 
 
 def _make_batcher(max_rows: int, max_seconds: int):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         et, bucket = key
-        if state.exists:
-            seq, buf = state.get
-            buf = list(buf)
-        else:
-            seq, buf = 0, []
-        out = []
-
-        def flush(reason):
-            nonlocal seq, buf
-            for p in buf:
-                out.append((et, bucket, seq, reason, p))
-            seq += 1
-            buf = []
-
-        if state.hasTimedOut:
-            if buf:
-                flush("age")
-        else:
+        seq, since, buf = state.get if state.exists else (0, 0, [])
+        buf, now = list(buf), state.getCurrentProcessingTimeMs()
+
+        def released(payloads, first, reason):
+            """Whole batches of ``payloads`` from sequence number ``first``."""
+            n = len(payloads)
+            return pd.DataFrame({"event_type": et, "bucket": bucket, "flush_seq": first + np.arange(n) // max_rows,
+                                 "reason": reason, "payload": payloads}, columns=[f.name for f in BATCH_OUT.fields])
+
+        if not state.hasTimedOut:
             for pdf in pdfs:
-                for p in pdf["payload"]:
-                    buf.append(p)
-                    if len(buf) >= max_rows:
-                        flush("size")
+                if not buf:
+                    since = now
+                buf += pdf["payload"].tolist()
+                full = len(buf) // max_rows
+                if full:
+                    yield released(buf[:full * max_rows], seq, "size")
+                    seq, buf, since = seq + full, buf[full * max_rows:], now
+        # The age is that of the oldest event that waits: later arrivals do not put it off.
+        if buf and now - since >= max_seconds * 1000:
+            yield released(buf, seq, "age")
+            seq, buf = seq + 1, []
+        state.update((seq, since, buf))
         if buf:
-            state.update((seq, buf))
-            state.setTimeoutDuration(max_seconds * 1000)
-        else:
-            state.update((seq, []))
-        if out:
-            yield pd.DataFrame(out, columns=[f.name for f in BATCH_OUT.fields])
+            state.setTimeoutDuration(max(1, since + max_seconds * 1000 - now))
 
     return fn
 

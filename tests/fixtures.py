@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import os
 
-from finflow.sources.readers import write_xlsx_bytes
+from finflow.plans.feeds import workbook as write_xlsx_bytes
 
 SALES_CSV = """sale_id,sale_date,customer_id,vehicle_id,dealer_id,sale_price,discount_amount,final_price,sale_channel,sale_status,created_at
 S1,2026-02-01,C1,V1,D1,25000.00,500,24500,Online,Completed,2026-02-01 10:00:00

@@ -71,5 +71,5 @@ def test_failure_title_and_sla(spark):
     df = spark.createDataFrame([("Data quality validation failed: x", 700.0), ("boom", 10.0)],
                                "msg string, processing_time_seconds double")
     titles = [r.t for r in df.select(failure_title("msg").alias("t")).collect()]
-    assert titles == ["Automotive Finance Data Quality Failure", "Automotive Finance Pipeline Failure"]
+    assert titles == ["Data quality failure", "Pipeline failure"]
     assert sla_breaches(df).count() == 1

@@ -112,3 +112,21 @@ def test_clean_with_dotted_columns_and_text_flag(spark):
     assert out[1].is_dirty is True and out[1].violations == ["interaction_type_not_allowed"]
     strict = clean(df.dropDuplicates(), "interactions", dedupe=False)
     assert strict.count() == 2
+
+
+def test_iso_fractions_and_zones(spark):
+    cases = {"2026-01-10T08:00:00.123456": dt.datetime(2026, 1, 10, 8, 0, 0, 123456), "2026-01-10T08:00:00.5": dt.datetime(2026, 1, 10, 8, 0, 0, 500000),
+             "2026-01-10T08:00:00Z": dt.datetime(2026, 1, 10, 8), "2026-01-10T08:00:00.25+02:00": dt.datetime(2026, 1, 10, 6, 0, 0, 250000),
+             "2026-01-10 08:00:00-0530": dt.datetime(2026, 1, 10, 13, 30), "2026-01-10T08:00:00.123456789": dt.datetime(2026, 1, 10, 8, 0, 0, 123456),
+             "12/31/2025": dt.datetime(2025, 12, 31), "2025/12/31": dt.datetime(2025, 12, 31), "2026-13-01": None, "2026-01-10T25:00:00": None, "8": None}
+    df = spark.createDataFrame([(k,) for k in cases], "s string")
+    assert {r.s: r.o for r in df.select("s", N.parse_timestamp("s").alias("o")).collect()} == cases
+
+
+def test_domain_rules(spark):
+    rows = [("S1", "10.00", "x" * 51), (None, "-1.00", "ok"), ("S3", None, None)]
+    df = spark.createDataFrame(rows, "sale_id string, sale_price string, sale_channel string").withColumn("sale_price", N.to_money("sale_price"))
+    rules = R.applicable(R.domain_rules("sales"), df.columns)
+    assert [r.v for r in df.select(R.violations(rules).alias("v")).collect()] == [["sale_channel_length"], ["sale_id_is_null", "sale_price_not_negative"], []]
+    now = R.domain_rules("interactions", now="2026-01-01 00:00:00")
+    assert {"duration_positive", "interaction_in_the_past", "interaction_id_is_null"} <= {r.name for r in now}

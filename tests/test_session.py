@@ -1,6 +1,8 @@
 import os
 
-from finflow.session import at_most, ensure_checkpoint_dir, scratch_path
+import pytest
+
+from finflow.session import ensure_checkpoint_dir, read_or_none, scratch_path
 
 
 class _Conf:
@@ -15,8 +17,9 @@ class _Conf:
 
 
 class _Context:
-    def __init__(self, current=None):
+    def __init__(self, current=None, master="local[2]"):
         self.current = current
+        self.master = master
 
     def getCheckpointDir(self):
         return self.current
@@ -26,9 +29,9 @@ class _Context:
 
 
 class _Session:
-    def __init__(self, conf, current=None):
+    def __init__(self, conf, current=None, master="local[2]"):
         self.conf = _Conf(conf)
-        self.sparkContext = _Context(current)
+        self.sparkContext = _Context(current, master)
 
 
 def test_checkpoint_dir_from_session_is_used(spark):
@@ -37,7 +40,7 @@ def test_checkpoint_dir_from_session_is_used(spark):
     if shared:
         assert got == shared                                   # the cluster's folder, as is
     assert ensure_checkpoint_dir(spark) == got                 # stable across calls
-    assert scratch_path(spark, "x").startswith(os.path.join(got, "finflow", "x-"))
+    assert scratch_path(spark, "x").startswith(os.path.join(got, "finflow", spark.sparkContext.applicationId, "x-"))
 
 
 def test_checkpoint_dir_setting_is_never_written():
@@ -51,6 +54,21 @@ def test_checkpoint_dir_setting_is_never_written():
     assert ensure_checkpoint_dir(s) == got
 
 
-def test_at_most_reads_only_past_the_bound(spark):
-    df = spark.range(1000)
-    assert at_most(df, 1000) and not at_most(df, 999)
+def test_cluster_without_shared_folder_is_an_error():
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(_Session({}, master="spark://host:7077"))
+
+
+def test_only_a_missing_path_is_an_empty_table(spark, tmp):
+    assert read_or_none(spark, os.path.join(tmp, "none")) is None
+    bad = os.path.join(tmp, "bad")
+    os.makedirs(bad)
+    with open(os.path.join(bad, "part-0.parquet"), "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception):
+        read_or_none(spark, bad)
+
+
+def test_scratch_can_be_cleaned(spark):
+    path = scratch_path(spark, "cleaned")
+    assert os.path.dirname(path).endswith(spark.sparkContext.applicationId)

@@ -72,8 +72,8 @@ def test_insert_if_absent_hot_key_matches_brute_force(spark, hist_rows):
     batch_rows = [(k, pos, a) for pos, (k, _, a) in enumerate(hist_rows)] + [(None, -1, "n")]
     batch = spark.createDataFrame(batch_rows, "k int, pos int, a string")
     existing = spark.createDataFrame([(k, 0, "old") for k in range(1, 301, 3)], "k int, pos int, a string")
-    for small in (True, False):
-        out = ST.insert_if_absent(batch, existing, ["k"], ["pos"], small_batch=small)
+    for _ in range(1):
+        out = ST.insert_if_absent(batch, existing, ["k"], ["pos"])
         got = sorted((r.k, r.pos, r.a) for r in out.collect())
         first: dict = {}
         for k, pos, a in batch_rows:

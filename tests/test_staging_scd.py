@@ -88,7 +88,7 @@ def test_scd2_merge(spark):
         (1, "C", dt.date(2026, 2, 1)),   # change -> close B, open C
         (2, "X", dt.date(2026, 2, 1)),   # unchanged
         (3, "R", dt.date(2026, 1, 5)),   # same-day correction
-        (4, "Z", dt.date(2026, 1, 1)),   # late, ignored
+        (4, "Z", dt.date(2026, 1, 1)),   # late: its place is before the current version
         (5, "N", dt.date(2026, 2, 1))],  # new key
         "k int, a string, effective_date date")
     out = scd.scd2_merge(dim, inc, ["k"], ["a"]).orderBy("k", "effective_date").collect()
@@ -96,7 +96,7 @@ def test_scd2_merge(spark):
     assert got == [
         (1, "A", "2026-01-01", "2026-01-09", False), (1, "B", "2026-01-10", "2026-01-31", False),
         (1, "C", "2026-02-01", None, True), (2, "X", "2026-01-01", None, True),
-        (3, "R", "2026-01-05", None, True), (4, "Q", "2026-01-05", None, True),
+        (3, "R", "2026-01-05", None, True), (4, "Z", "2026-01-01", "2026-01-04", False), (4, "Q", "2026-01-05", None, True),
         (5, "N", "2026-02-01", None, True)]
 
 
@@ -123,13 +123,13 @@ def test_drop_duplicates_null_equal(spark):
 
 
 def test_load_counts_with_large_batch_path(spark, tmp_path_factory):
-    """The shuffle path (batch above the small-batch bound) counts like the broadcast path."""
+    """Attempted and inserted counts, and nothing to insert the second time."""
     path = str(tmp_path_factory.mktemp("stg_big"))
     batch = spark.range(50).selectExpr("cast(id % 20 as int) as k", "cast(id as int) as pos")
     first = ST.load_staging(batch, path, ["k"], ["pos"])
     assert first == {"rows_attempted": 50, "rows_inserted": 20}
     existing = spark.read.parquet(path)
-    out = ST.insert_if_absent(batch, existing, ["k"], ["pos"], small_batch=False)
+    out = ST.insert_if_absent(batch, existing, ["k"], ["pos"])
     assert out.count() == 0
     got = {r.k: r.pos for r in spark.read.parquet(path).collect()}
     assert got == {k: k for k in range(20)}

@@ -33,18 +33,24 @@ def test_star_from_staging_keeps_history(spark, tmp):
                                     T("2025-12-01 00:00:00"), False)])
     _stage(spark, stg, "sales", [("S1", "V1", "C1", "D1", T("2026-01-10 00:00:00"), None, "Check", False),
                                  ("S2", "V2", "C9", "D1", T("2026-01-11 00:00:00"), None, None, False)])
-    _stage(spark, stg, "payments", [("P1", "S1", "C1", T("2026-01-12 00:00:00"), None, "Check", "Paid", False)])
+    _stage(spark, stg, "payments", [("P1", "S1", "C1", T("2026-01-12 00:00:00"), None, "Check", "Paid", False),
+                                    ("P2", "S99", "C1", T("2026-01-12 00:00:00"), None, "Check", "Paid", False)])
     _stage(spark, stg, "telemetry", [
         ("T1", "V1", T("2026-01-10 08:00:00"), "speed", "88", None, False),
         ("T2", "V1", T("2026-01-10 08:00:00"), "fuel_level", "40", None, False),
-        ("T3", "V1", T("2026-01-10 08:00:00"), "engine_temperature", "95", None, False)])
+        ("T3", "V1", T("2026-01-10 08:00:00"), "engine_temperature", "95.53", "43.65,-79.4", False),
+        ("T4", "V1", T("2026-01-10 08:00:00"), "tyre_pressure", "2.4", None, False)])
     v1 = build_star(spark, stg, wh, "001", asof="2026-01-31")
     fs = spark.read.parquet(v1["fact_sales"]).orderBy("sale_id").collect()
     assert fs[0].customer_key is not None and fs[0].vehicle_key is not None and fs[0].dealer_key is not None
     assert fs[1].customer_key is None and fs[1].vehicle_key is None          # unknown customer / null VIN
-    tel = spark.read.parquet(v1["fact_telemetry"]).first()
-    assert (tel.speed, tel.fuel_level, tel.engine_temperature) == (88, 40, 95)
-    assert spark.read.parquet(v1["fact_payments"]).filter(F.col("ym") == "2026_01").count() == 1
+    tel = {r.telemetry_id: r for r in spark.read.parquet(v1["fact_telemetry"]).collect()}
+    assert (tel["T1"].speed, tel["T2"].fuel_level, tel["T3"].engine_temperature) == (88, 40, 96)
+    assert str(tel["T3"].location_lat) == "43.650000" and (tel["T4"].other_sensor, tel["T4"].other_value) == ("tyre_pressure", "2.4")
+    checks = {r.rule_name: r.n_violations for r in spark.read.parquet(v1["checks"]).collect()}
+    assert checks["fact_telemetry.speed_range"] == 0 and checks["dim_customer.expiry_after_effective"] == 0
+    pays = spark.read.parquet(v1["fact_payments"]).filter(F.col("ym") == "2026_01").collect()
+    assert {p.payment_id: p.sales_key is None for p in pays} == {"P1": False, "P2": True}   # P2's sale is unknown
     dd = spark.read.parquet(v1["dim_date"])
     assert dd.count() == 3 and dd.agg(F.min("date_actual")).first()[0] == D("2026-01-10")
 
@@ -71,7 +77,7 @@ def test_landed_files_to_star(spark, tmp):
     from finflow.plans.batch_run import run_batch
     land, out, wh = os.path.join(tmp, "landing"), os.path.join(tmp, "out"), os.path.join(tmp, "wh")
     write_landing(land)
-    run_batch(spark, land, out)
+    run_batch(spark, land, out, constraints=False)
     v = build_star(spark, os.path.join(out, "staging"), wh, "001", asof="2026-02-28")
     assert set(v) >= {"dim_customer", "fact_sales", "fact_payments", "dim_date"}
     sales = {r.sale_id: r for r in spark.read.parquet(v["fact_sales"]).collect()}
@@ -80,3 +86,25 @@ def test_landed_files_to_star(spark, tmp):
     assert sales["S4"].customer_key is None                  # C4 had no valid e-mail
     pays = spark.read.parquet(v["fact_payments"]).collect()
     assert sorted(r.payment_status for r in pays) == ["Failed", "Paid"]
+
+
+def test_changed_customer_gets_a_new_version(spark, tmp):
+    """Two batch runs through staging that keeps its first rows: the change log feeds the history,
+    a late file included."""
+    from finflow.plans.batch_run import run_batch
+    land, out, wh = (os.path.join(tmp, x) for x in ("land", "out", "wh"))
+    os.makedirs(land)
+
+    def drop(name, city):
+        with open(os.path.join(land, name), "w") as f:
+            f.write(f"customer_id,email,city,created_at\nC1,a@x.org,{city},2026-01-01\n")
+
+    drop("customers_1_20260110.csv", "Toronto")
+    run_batch(spark, land, out, started=T("2026-01-10 06:00:00"))
+    v1 = build_star(spark, f"{out}/staging", wh, "1", "2026-01-10", changes_root=f"{out}/changes")
+    drop("customers_2_20260120.csv", "Montreal")
+    s = run_batch(spark, land, out, started=T("2026-01-20 06:00:00"))
+    assert s["rows_loaded"] == 1 and s["rows_inserted"] == 0
+    v2 = build_star(spark, f"{out}/staging", wh, "2", "2026-01-20", v1, changes_root=f"{out}/changes")
+    got = spark.read.parquet(v2["dim_customer"]).orderBy("effective_date").collect()
+    assert [(r.city, str(r.effective_date), r.is_current) for r in got] == [("Toronto", "2026-01-01", False), ("Montreal", "2026-01-20", True)]

@@ -1,8 +1,6 @@
 import json
 import os
 
-from pyspark.sql import functions as F
-
 from finflow.streaming import events as EV
 
 
@@ -27,14 +25,16 @@ def test_route_and_dead_letter(spark, tmp):
     src = os.path.join(tmp, "in")
     _write_events(src, "a.json", SALES[:3] + ODD)
     _write_events(src, "b.json", SALES[3:] + PAY)
-    ev = EV.decode(EV.json_file_source(spark, src).select(F.to_json(F.struct("*")).alias("value"), "received_at"))
+    with open(os.path.join(src, "c.json"), "w") as f:
+        f.write("{broken\n")
+    ev = EV.decode(EV.json_file_source(spark, src))
     q = EV.start_router(ev, os.path.join(tmp, "out"), os.path.join(tmp, "ck"), available_now=True)
     q.awaitTermination(120)
     sales = spark.read.option("header", True).csv(os.path.join(tmp, "out", "sales", "*"))
     assert sales.count() == 7 and "sale_price" in sales.columns
     assert spark.read.csv(os.path.join(tmp, "out", "payments", "*"), header=True).count() == 2
     dead = spark.read.parquet(os.path.join(tmp, "out", "_dead_letter", "*"))
-    assert [r.event_type for r in dead.collect()] == ["weather"]
+    assert sorted((r.event_type or "", r.raw_value) for r in dead.collect()) == [("", "{broken"), ("weather", json.dumps(ODD[0]))]
     # a restart with the same checkpoint reads nothing new
     q2 = EV.start_router(ev, os.path.join(tmp, "out"), os.path.join(tmp, "ck"), available_now=True)
     q2.awaitTermination(120)
@@ -44,7 +44,7 @@ def test_route_and_dead_letter(spark, tmp):
 def test_stream_feeds_staging(spark, tmp):
     src = os.path.join(tmp, "in")
     _write_events(src, "a.json", SALES + PAY + ODD)
-    ev = EV.decode(EV.json_file_source(spark, src).select(F.to_json(F.struct("*")).alias("value"), "received_at"))
+    ev = EV.decode(EV.json_file_source(spark, src))
     q = EV.start_staging(ev, os.path.join(tmp, "stg"), os.path.join(tmp, "quar"), os.path.join(tmp, "ck"))
     q.awaitTermination(180)
     assert spark.read.parquet(os.path.join(tmp, "stg", "sales")).count() == 7
@@ -59,7 +59,7 @@ def test_bounded_batches_exact_size(spark, tmp):
     evs = [{"event_type": "telemetry", "telemetry_id": f"T{i}", "timestamp": "2026-02-01 00:00:00"}
            for i in range(25)]
     _write_events(src, "a.json", evs)
-    ev = EV.decode(EV.json_file_source(spark, src).select(F.to_json(F.struct("*")).alias("value"), "received_at"))
+    ev = EV.decode(EV.json_file_source(spark, src))
     out = EV.bounded_batches(ev, max_rows=10, max_seconds=3600, buckets=1)
     q = EV.start_drain(spark, out.writeStream.format("memory").queryName("tele_batches").outputMode("append")
                        .option("checkpointLocation", os.path.join(tmp, "ck")).trigger(availableNow=True))
@@ -71,7 +71,7 @@ def test_bounded_batches_exact_size(spark, tmp):
 def test_arrival_counts(spark, tmp):
     src = os.path.join(tmp, "in")
     _write_events(src, "a.json", SALES + PAY + ODD)
-    ev = EV.json_file_source(spark, src)
+    ev = EV.decode(EV.json_file_source(spark, src))
     q = (EV.arrival_counts(ev).writeStream.format("memory").queryName("arrivals").outputMode("complete")
          .option("checkpointLocation", os.path.join(tmp, "ck")).trigger(availableNow=True).start())
     q.awaitTermination(120)
@@ -98,7 +98,7 @@ def test_bounded_batches_flush_on_age(spark, tmp):
     evs = [{"event_type": "telemetry", "telemetry_id": f"T{i}", "timestamp": "2026-02-01 00:00:00"}
            for i in range(5)]
     _write_events(src, "a.json", evs)
-    ev = EV.decode(EV.json_file_source(spark, src).select(F.to_json(F.struct("*")).alias("value"), "received_at"))
+    ev = EV.decode(EV.json_file_source(spark, src))
     out = EV.bounded_batches(ev, max_rows=100, max_seconds=2, buckets=1)
     q = (out.writeStream.format("memory").queryName("tele_age").outputMode("append")
          .option("checkpointLocation", os.path.join(tmp, "ck")).trigger(processingTime="1 second").start())
@@ -128,8 +128,7 @@ def test_bounded_batches_salted_hot_copies(spark, tmp):
                              "timestamp": "2026-02-01 00:00:00"} for i in range(20)]
         _write_events(src, f"f{f}.json", evs)
     raw = EV.json_file_source(spark, src, max_files_per_trigger=1)
-    ev = EV.decode(raw.select(F.to_json(F.struct(*[c for c in raw.columns if c != "received_at"]))
-                              .alias("value"), "received_at"))
+    ev = EV.decode(raw)
     out = EV.bounded_batches(ev, max_rows=10, max_seconds=2, buckets=8)
     q = (out.writeStream.format("memory").queryName("tele_salted").outputMode("append")
          .option("checkpointLocation", os.path.join(tmp, "ck")).trigger(processingTime="1 second").start())
@@ -153,3 +152,58 @@ def test_bounded_batches_salted_hot_copies(spark, tmp):
                         "GROUP BY bucket, flush_seq").collect()
     assert all(b.n == 10 for b in batches if b.reason == "size")
     assert all(b.n <= 10 for b in batches)
+
+
+MIXED = [
+    {"event_type": "customers", "customer_id": "C1", "first_name": "A", "gender": "F", "province": "ON"},   # no e-mail
+    {"event_type": "customers", "customer_id": "C2", "email": "b@x.org", "gender": "M", "province": "ON", "loyalty": 3},
+    {"event_type": "payments", "transaction_id": "P9", "transaction_date": "2026-01-10T08:00:00.123456Z", "payment_amount": 72.53,
+     "payment_method": "Check", "payment_status": "completed"},
+    {"event_type": "telemetry", "telemetry_id": "T1", "timestamp": "2026-01-10T10:00:00.5+02:00", "sensor_type": "speed", "sensor_value": 72.53,
+     "location_lat": 43.65, "location_long": -79.4},
+]
+
+
+def test_events_fare_alike_in_one_or_many_batches(spark, tmp):
+    """Aliases, fractions, zones, decimals and unknown keys; the result does not depend on how
+    the events fall into micro-batches."""
+    import datetime as dt
+    results = []
+    for name, files in (("one", [MIXED]), ("many", [[e] for e in MIXED])):
+        src = os.path.join(tmp, name)
+        for i, evs in enumerate(files):
+            _write_events(src, f"f{i}.json", evs)
+        ev = EV.decode(EV.json_file_source(spark, src, max_files_per_trigger=1))
+        EV.start_staging(ev, f"{tmp}/{name}_stg", f"{tmp}/{name}_q", f"{tmp}/{name}_ck").awaitTermination(300)
+        rows = {n: [r.asDict() for r in spark.read.parquet(f"{tmp}/{name}_stg/{n}").collect()] for n in ("customers", "payments", "telemetry")}
+        results.append(rows)
+    assert results[0] == results[1]
+    rows = results[0]
+    assert [r["customer_id"] for r in rows["customers"]] == ["C2"]
+    p = rows["payments"][0]
+    assert (p["payment_id"], p["payment_date"], str(p["amount"]), p["status"]) == ("P9", dt.datetime(2026, 1, 10, 8, 0, 0, 123456), "72.53", "Paid")
+    t = rows["telemetry"][0]
+    assert (t["timestamp"], t["sensor_value"], t["location"]) == (dt.datetime(2026, 1, 10, 8, 0, 0, 500000), "72.53", "43.65,-79.4")
+    kept = EV.decode(spark.createDataFrame([(json.dumps(MIXED[1]),)], "value string")).first()
+    assert kept.other_fields == {"loyalty": "3"}
+
+
+def test_age_bound_holds_while_events_keep_arriving(spark, tmp):
+    """A trickle: the oldest waiting event is released at its age, not when arrivals stop."""
+    import time
+    src = os.path.join(tmp, "in")
+    _write_events(src, "f0.json", [{"event_type": "telemetry", "telemetry_id": "T0"}])
+    ev = EV.decode(EV.json_file_source(spark, src))
+    q = (EV.bounded_batches(ev, max_rows=1000, max_seconds=4, buckets=1).writeStream.format("memory").queryName("trickle")
+         .outputMode("append").option("checkpointLocation", os.path.join(tmp, "ck")).trigger(processingTime="1 second").start())
+    try:
+        n = i = 0
+        deadline = time.time() + 60
+        while time.time() < deadline and not n:
+            i += 1
+            _write_events(src, f"f{i}.json", [{"event_type": "telemetry", "telemetry_id": f"T{i}"}])
+            time.sleep(1)
+            n = spark.sql("SELECT count(*) c FROM trickle").first().c
+    finally:
+        q.stop()
+    assert n and {r.reason for r in spark.sql("SELECT reason FROM trickle").collect()} == {"age"}
