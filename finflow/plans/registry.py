@@ -298,7 +298,7 @@ def q9_q12_landed_file_verdicts(spark, sf):
 
 
 # File names derived from the events: a folder and a type by event type, some copies, some too large.
-_NAMES = """SELECT event_id, 'raw/' || event_type || '/f' || CAST(event_id % 997 AS VARCHAR) || '_' || strftime(ts, '%Y%m%d')
+_NAMES = """SELECT event_id, 'raw/' || event_type || '/f' || CAST(event_id % 50 AS VARCHAR) || '_' || strftime(ts, '%Y%m')
   || CASE event_type WHEN 'click' THEN '.csv' WHEN 'view' THEN '.JSON' WHEN 'purchase' THEN '.xlsx' WHEN 'signup' THEN '.avro' ELSE '.txt' END AS path,
   user_id * 5000000 AS length, ts FROM events"""
 
@@ -307,7 +307,7 @@ def _named_files(spark, sf) -> DataFrame:
     et = F.col("event_type")
     ext = F.when(et == "click", ".csv").when(et == "view", ".JSON").when(et == "purchase", ".xlsx").when(et == "signup", ".avro").otherwise(".txt")
     return t(spark, sf, "events").select(
-        "event_id", F.concat(F.lit("raw/"), et, F.lit("/f"), (F.col("event_id") % 997).cast("string"), F.lit("_"), F.date_format("ts", "yyyyMMdd"), ext).alias("path"),
+        "event_id", F.concat(F.lit("raw/"), et, F.lit("/f"), (F.col("event_id") % 50).cast("string"), F.lit("_"), F.date_format("ts", "yyyyMM"), ext).alias("path"),
         (F.col("user_id") * 5000000).alias("length"), "ts")
 
 
@@ -406,7 +406,7 @@ def _with_header(line: str):
         first = True
         for b in batches:
             if first:
-                yield pa.RecordBatch.from_pydict({"value": [line]})
+                yield pa.RecordBatch.from_pydict({"value": [line]}, schema=b.schema)
                 first = False
             yield b
     return run
@@ -799,13 +799,13 @@ def _totals_sql(rules: list[tuple[str, str]], src: str) -> str:
 
 # Rows of each dataset rendered with the columns its constraints name (illustrative values from the tables).
 _CHECKED = {
-    "vehicles": ("SELECT CAST(p_partkey AS VARCHAR) AS vehicle_id, repeat('x', CAST(p_size AS INTEGER) * 2) AS color, CAST(1950 + p_size AS VARCHAR) AS year FROM part", "vehicle_id"),
-    "sales": ("SELECT CAST(o_orderkey AS VARCHAR) AS sale_id, CAST(o_totalprice - 1000 AS DECIMAL(18,2)) AS sale_price, CAST(2000 - o_totalprice AS DECIMAL(18,2)) AS final_price, CAST(0 AS DECIMAL(18,2)) AS discount_amount FROM orders", "sale_id"),
-    "payments": ("SELECT CASE WHEN l_returnflag = 'A' THEN NULL ELSE CAST(l_orderkey AS VARCHAR) END AS payment_id, CAST(l_quantity - 5 AS DECIMAL(18,2)) AS amount FROM lineitem", "payment_id"),
-    "procurement": ("SELECT CAST(l_orderkey AS VARCHAR) AS procurement_id, CAST(CAST(l_quantity - 3 AS INTEGER) AS VARCHAR) AS quantity, CASE WHEN l_returnflag = 'R' THEN 'none' ELSE '-1.50' END AS cost FROM lineitem", "procurement_id"),
-    "inventory": ("SELECT CAST(p_partkey AS VARCHAR) AS inventory_id, CAST(p_size - 10 AS VARCHAR) AS quantity FROM part", "inventory_id"),
-    "interactions": ("SELECT CAST(event_id AS VARCHAR) AS interaction_id, CAST(user_id - 3 AS VARCHAR) AS duration_minutes FROM events", "interaction_id"),
-    "telemetry": ("SELECT CAST(event_id AS VARCHAR) AS telemetry_id, CASE event_type WHEN 'click' THEN 'speed' WHEN 'view' THEN 'fuel_level' WHEN 'error' THEN 'engine_temperature' ELSE event_type END AS sensor_type, CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR) AS sensor_value FROM events", "telemetry_id"),
+    "vehicles": ("SELECT CAST(p_partkey AS STRING) AS vehicle_id, repeat('x', CAST(p_size AS INTEGER) * 2) AS color, CAST(1950 + p_size AS STRING) AS year FROM part", "vehicle_id"),
+    "sales": ("SELECT CAST(o_orderkey AS STRING) AS sale_id, CAST(o_totalprice - 1000 AS DECIMAL(18,2)) AS sale_price, CAST(2000 - o_totalprice AS DECIMAL(18,2)) AS final_price, CAST(0 AS DECIMAL(18,2)) AS discount_amount FROM orders", "sale_id"),
+    "payments": ("SELECT CASE WHEN l_returnflag = 'A' THEN NULL ELSE CAST(l_orderkey AS STRING) END AS payment_id, CAST(l_quantity - 5 AS DECIMAL(18,2)) AS amount FROM lineitem", "payment_id"),
+    "procurement": ("SELECT CAST(l_orderkey AS STRING) AS procurement_id, CAST(CAST(l_quantity - 3 AS INTEGER) AS STRING) AS quantity, CASE WHEN l_returnflag = 'R' THEN 'none' ELSE '-1.50' END AS cost FROM lineitem", "procurement_id"),
+    "inventory": ("SELECT CAST(p_partkey AS STRING) AS inventory_id, CAST(p_size - 10 AS STRING) AS quantity FROM part", "inventory_id"),
+    "interactions": ("SELECT CAST(event_id AS STRING) AS interaction_id, CAST(user_id - 3 AS STRING) AS duration_minutes FROM events", "interaction_id"),
+    "telemetry": ("SELECT CAST(event_id AS STRING) AS telemetry_id, CASE event_type WHEN 'click' THEN 'speed' WHEN 'view' THEN 'fuel_level' WHEN 'error' THEN 'engine_temperature' ELSE event_type END AS sensor_type, CAST(CAST(value AS DECIMAL(12,2)) AS STRING) AS sensor_value FROM events", "telemetry_id"),
 }
 
 
@@ -1658,7 +1658,8 @@ def t7_stream_to_staging(spark, sf):
     s = lambda n: spark.read.parquet(f"{root}/staging/{n}")
     none = F.lit(None)
     parts = [
-        s("telemetry").select(F.lit("telemetry").alias("dataset"), F.col("telemetry_id").alias("id"), F.col("timestamp").alias("at"), F.col("sensor_value").alias("detail")),
+        s("telemetry").select(F.lit("telemetry").alias("dataset"), F.col("telemetry_id").alias("id"), F.col("timestamp").alias("at"),
+                              F.col("sensor_value").cast("decimal(12,2)").cast("string").alias("detail")),
         s("payments").select(F.lit("payments").alias("dataset"), F.col("payment_id").alias("id"), F.col("payment_date").alias("at"), F.col("amount").cast("string").alias("detail")),
         spark.read.parquet(f"{root}/quarantine/payments/*").select(
             F.lit("_quarantine").alias("dataset"), F.get_json_object("row_json", "$.payment_id").alias("id"), none.cast("timestamp_ntz").alias("at"),
