@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finflow.llm.common import written
 from finflow.llm.tokens import encoder, slices, vocabulary
 
 INSERT, REVISE, DELETE = "insert", "revise", "delete"
@@ -73,6 +74,7 @@ class Rollup:
         known = F.struct("sequence", "op", "tokens", "source", "lang")
         new = (changes.groupBy("doc_id", "version").agg(F.max(known).alias("n"))
                .select("doc_id", "version", "n.op", "n.source", "n.lang", "n.tokens"))
+        new = written(new, "changes")  # read twice below, counted once
         old = self._committed("ledger").groupBy("doc_id", "version", "source", "lang").agg(
             F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs > 0")
         touched = old.alias("o").join(new.select("doc_id", "version").alias("n"), F.expr(
