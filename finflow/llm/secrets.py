@@ -8,8 +8,8 @@ Places come from cutting the text at the matches: the pieces between matches and
 themselves add up to it, so running sums of their lengths are the code-point offsets.
 
 Training data are labelled by the fixed detectors: runs that an assignment, access key or hex match
-yields are random strings, identifier-like runs elsewhere are ordinary. The sample is
-bounded: about ``SAMPLE_DOCS`` documents (by hashed id), ``SAMPLE_RUNS`` runs of each class. The models are tables over a fixed alphabet, so their size does not depend on the data.
+yields are random strings, identifiers and plain numbers elsewhere are ordinary. The sample is
+bounded: about ``SAMPLE_DOCS`` documents (by hashed id), ``SAMPLE_RUNS`` runs of each kind. The models are tables over a fixed alphabet, so their size does not depend on the data.
 
 Defined cases: a null or empty text has no span; repeated rows each get their result; without a
 run of a class in the sample its model is uniform; an empty table gives an empty result;
@@ -37,7 +37,9 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Mean log-likelihood ratio (natural log, per transition) above which a run counts as random.
 THRESHOLD = 0.5
 SAMPLE_DOCS, SAMPLE_RUNS = 20_000, 5_000
+#: Ordinary runs: identifiers and plain numbers, sampled apart, since numbers are rare among words.
 IDENTIFIER = r"\b[A-Za-z_][A-Za-z0-9_]{7,}\b"
+NUMBER = r"\b[0-9]{8,}\b"
 #: Smoothing: what every character counts at least, and the weight of the overall probabilities in a row.
 FLOOR, BACKING = 0.5, 4.0
 
@@ -93,9 +95,10 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_runs: int = SA
     runs = sample.select(F.explode(F.concat(
         F.transform(F.filter(values, lambda v: F.length(v) >= MIN_RUN), lambda v: F.struct(F.lit(1).alias("random"), v.alias("run"))),
         F.transform(F.regexp_extract_all(rest, F.lit(IDENTIFIER), F.lit(0)), lambda v: F.struct(F.lit(0).alias("random"), v.alias("run"))),
+        F.transform(F.regexp_extract_all(rest, F.lit(NUMBER), F.lit(0)), lambda v: F.struct(F.lit(2).alias("random"), v.alias("run"))),
     )).alias("r")).select("r.random", "r.run").distinct()
     pick = lambda k: runs.where(F.col("random") == k).orderBy(F.xxhash64("run"), "run").limit(sample_runs)
-    random, plain = _conditional(_transitions(pick(1))), _conditional(_transitions(pick(0)))
+    random, plain = _conditional(_transitions(pick(1))), _conditional(_transitions(pick(0).unionByName(pick(2))))
     return [[math.log(r) - math.log(p) for r, p in zip(*rows)] for rows in zip(random, plain)]
 
 
