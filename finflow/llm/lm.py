@@ -47,7 +47,7 @@ BYTE_DISCOUNT, BYTE_STRENGTH = (0.1, 0.3, 0.5, 0.6), (1.0, 2.0, 2.0, 2.0)
 SYMBOLS, END, CLASSES, FAR_CLASSES = 257, 256, 16, 4
 FLUSH_WORDS = 200_000
 #: Bytes of text in a scoring block.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 8 << 20
 
 
 def words_of(data: bytes) -> list[bytes]:
@@ -224,7 +224,8 @@ def train(docs: DataFrame, seed: int = 11) -> tuple[Model, DataFrame]:
         if sweep + 1 < SWEEPS:
             spelling.sweep(*_letters(words), rng)
     model.unseen = unseen
-    return model, written(words.select("word", "c", "q"), "model-words")
+    # Single precision is plenty for a probability, and every block is sent it.
+    return model, written(words.select("word", "c", F.col("q").cast("float").alias("q")), "model-words")
 
 
 def _seated(words: DataFrame, log, fresh: float, discount: float, sweep: int) -> DataFrame:
