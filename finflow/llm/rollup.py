@@ -28,7 +28,7 @@ from finflow.llm.common import written
 from finflow.llm.tokens import encoder, slices, vocabulary
 
 INSERT, REVISE, DELETE = "insert", "revise", "delete"
-#: Deltas of finished batches are summed by the groups, so they are few rows; they are read with one task each.
+#: Ledger rows name a document; delta rows are summed by group and name none.
 SCHEMA = "doc_id long, source string, lang string, version string, docs long, tokens long"
 
 
