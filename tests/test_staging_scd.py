@@ -2,7 +2,6 @@ import datetime as dt
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from finflow.operators import quality as Q
 from finflow.operators import scd
