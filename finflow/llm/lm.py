@@ -1,22 +1,27 @@
 """Language-model scores by a hierarchical Pitman-Yor model.
 
-The top restaurant seats all training words; a new table's dish is spelt by a hierarchy of byte
-restaurants, one for each context: the letter before, that and the class of the second one before,
-and so on. Every context restaurant shares its parent (the shorter context) with its siblings, down
-to the empty context and a uniform base. A word's end is a symbol of its own, and the end of a text
-is the empty word, so probabilities add up to one over all texts.
+Restaurants of words: one for each context of ORDER - 1 words that occurs in training, whose parent is
+that of the next shorter context, down to the restaurant of no context. A new table there has a dish
+spelt by a hierarchy of byte restaurants, one for each context: the letter before, that and the class of
+the second one before, and so on. Every context restaurant shares its parent (the shorter context) with
+its siblings, down to the empty context and a uniform base. A word's end is a symbol of its own, and the
+end of a text is the empty word (which also stands before a text's first word), so probabilities add up
+to one over all texts.
 
 Seating is sampled by blocked Gibbs sweeps: given the parents' predictive probabilities of the last
 sweep, the customers of every dish are seated anew, restaurant by restaurant; tables send customers
-to the parent. The restaurants of words are spread over the cluster by word. The spelling tables
-have a fixed number of cells (contexts x symbols), whatever the corpus, so those pass through the
-driver. Predictive probabilities are averaged over the sweeps after burn-in.
+to the parent. Word restaurants are DataFrames, a row for each dish of a context, which grow with the
+corpus; words in them are named by 64-bit hashes. The spelling tables have a fixed number of cells
+(contexts x symbols), whatever the corpus, so those pass through the driver. Predictive probabilities
+are averaged over the sweeps after burn-in.
 
-A word without customers is scored as the event "some unseen word": the new-table mass times what
-the spelling gives to all strings but the known words. (The contract's base has that event too.)
+A context unseen in training leaves the word to the shorter one. ``score`` counts a word without customers
+as the event "some unseen word" (the contract's base has that event too): what the context's restaurants pass
+on, times the new-table mass of all spellings but the known words'. ``spelt_score`` gives each such word the
+probability of its own spelling instead.
 
-Scoring needs the counts of each text's words. Texts are dealt into blocks; a block asks for each of its
-distinct words once, and its answer meets its texts in one task.
+Scoring needs the counts of each text's words and n-grams. Texts are dealt into blocks; a block asks for
+each of its distinct words, n-grams and contexts once, and its answers meet its texts in one task.
 
 Defined cases: a null or blank text is the end token alone; repeated rows are each learnt from and
 scored; without training rows the score rests on the uniform spelling base and every count is 0; an
@@ -26,8 +31,8 @@ empty table gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 from collections import Counter
-from dataclasses import dataclass
-from itertools import repeat
+from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,18 +41,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from finflow.llm.common import fold_of, written
+from finflow.llm.common import WordHashes, fold_of, written
 
 FOLDS, HELD_OUT = 7, 2
 SWEEPS, BURN_IN = 3, 1
+KEPT = range(SWEEPS - BURN_IN)
+#: Words of an n-gram (the last one and its longest context), and the strength of the context restaurants (their discounts are estimated).
+ORDER, CONTEXT_STRENGTH = 3, 1.0
 #: Strength of the word restaurant (its discount is estimated), discounts and strengths of the byte restaurants by depth (0: no context).
 WORD_STRENGTH = 50.0
 BYTE_DISCOUNT, BYTE_STRENGTH = (0.1, 0.3, 0.5, 0.6), (1.0, 2.0, 2.0, 2.0)
 #: Restaurants by depth: previous symbol (256: none), class of the second, class of the third before.
 SYMBOLS, END, CLASSES, FAR_CLASSES = 257, 256, 16, 4
-FLUSH_WORDS = 200_000
+FLUSH_WORDS, FLUSH_TOKENS = 200_000, 1_000_000
 #: Bytes of text in a scoring block.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def words_of(data: bytes) -> list[bytes]:
@@ -149,13 +157,14 @@ def spelt(words: list[bytes], log: np.ndarray) -> np.ndarray:
 # -- training -------------------------------------------------------------------------------
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """word, c: training tokens by word (the end token is the empty word)."""
+    """word, w (its hash), c: training tokens by word (the end token is the empty word)."""
 
     def run(batches):
         def out(counts):
-            return pa.RecordBatch.from_pydict({"word": pa.array(list(counts), pa.binary()), "c": pa.array(list(counts.values()), pa.int64())})
+            return pa.RecordBatch.from_pydict({"word": pa.array(list(counts), pa.binary()), "w": pa.array(_hashed(counts, hashes), pa.int64()),
+                                               "c": pa.array(list(counts.values()), pa.int64())})
 
-        counts: Counter = Counter()
+        counts, hashes = Counter(), WordHashes()
         for batch in batches:
             for data in batch.column(0).cast(pa.large_binary()).to_pylist():
                 counts.update(words_of(data or b""))
@@ -165,8 +174,65 @@ def word_counts(docs: DataFrame) -> DataFrame:
                     counts = Counter()
         yield out(counts)
 
-    learnt = docs.where(fold_of(F.col("doc_id"), FOLDS) != HELD_OUT).select("text")
-    return learnt.mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return _learnt(docs).mapInArrow(run, "word binary, w long, c long").groupBy("word", "w").agg(F.sum("c").alias("c"))
+
+
+def _learnt(docs: DataFrame) -> DataFrame:
+    return docs.where(fold_of(F.col("doc_id"), FOLDS) != HELD_OUT).select("text")
+
+
+def _hashed(words, hashes: WordHashes) -> np.ndarray:
+    return np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)).view(np.int64)
+
+
+def _columns(k: int) -> list[str]:
+    """Columns of an n-gram of k words: the context's words, oldest first, and the word."""
+    return [f"v{i}" for i in range(k - 1, 0, -1)] + ["w"]
+
+
+def _grams(texts: list[list[bytes]], hashes: WordHashes) -> list[np.ndarray]:
+    """Hashes of every token (the texts' words and ends) and of the words before it, in the order of ``_columns(ORDER)``."""
+    flat, sizes = [], np.array([len(ws) for ws in texts], np.int64)
+    for ws in texts:
+        flat += [b""] * (ORDER - 1)
+        flat += ws
+    own = _hashed(flat, hashes)
+    at = np.arange(sizes.sum()) + np.repeat((ORDER - 1) * np.arange(1, len(sizes) + 1), sizes)
+    return [own[at - i] for i in range(ORDER - 1, -1, -1)]
+
+
+def _kinds(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """One place of every distinct row, and each row's number among the distinct ones."""
+    _, at, code = np.unique(columns[0], return_index=True, return_inverse=True)
+    for more in columns[1:]:
+        _, other = np.unique(more, return_inverse=True)
+        _, at, code = np.unique(code * (other.max(initial=0) + 1) + other, return_index=True, return_inverse=True)
+    return at, code
+
+
+def gram_counts(docs: DataFrame) -> DataFrame:
+    """Training tokens (c) by word and context."""
+
+    def run(batches):
+        def out(texts):
+            grams = _grams(texts, hashes)
+            at, code = _kinds(grams)
+            return pa.RecordBatch.from_arrays([*(pa.array(g[at]) for g in grams), pa.array(np.bincount(code), pa.int64())],
+                                              names=[*_columns(ORDER), "c"])
+
+        hashes, held, size = WordHashes(), [], 0
+        for batch in batches:
+            for data in batch.column(0).cast(pa.large_binary()).to_pylist():
+                held.append([*words_of(data or b""), b""])
+                size += len(held[-1])
+                if size > FLUSH_TOKENS:
+                    yield out(held)
+                    held, size = [], 0
+        if held:
+            yield out(held)
+
+    schema = ", ".join(f"{n} long" for n in [*_columns(ORDER), "c"])
+    return _learnt(docs).mapInArrow(run, schema).groupBy(*_columns(ORDER)).agg(F.sum("c").alias("c"))
 
 
 @dataclass
@@ -175,7 +241,15 @@ class Model:
 
     tokens: int  # training tokens (N)
     types: int  # distinct ones (V)
-    unseen: float = 1.0  # averaged probability of a word without customers, as one event
+    outside: list[float] = field(default_factory=lambda: [1.0 for _ in KEPT])  # probability of all words without customers, by kept sweep
+    discounts: dict[int, float] = field(default_factory=dict)  # of the context restaurants, by order
+    fresh: list[float] = field(default_factory=lambda: [1.0 for _ in KEPT])  # new-table mass of the word restaurant, by kept sweep
+    spellings: list[np.ndarray] = field(default_factory=lambda: [Spelling().log for _ in KEPT])
+    facts: DataFrame | None = None  # customers and tables of dishes and of restaurants, see ``_facts``
+
+    @property
+    def unseen(self) -> float:
+        return sum(self.outside) / len(self.outside)
 
 
 def _letters(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -197,52 +271,142 @@ def _letters(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return got.column("cell").to_numpy(), got.column("n").to_numpy()
 
 
+def _discount(rows: DataFrame, c: str) -> float:
+    """The usual estimate of a discount from dishes with one and two customers."""
+    one, two = rows.agg(F.count_if(F.col(c) == 1), F.count_if(F.col(c) == 2)).first()
+    return min(0.95, max(0.05, one / max(1, one + 2 * two)))
+
+
+def _sums(rows: DataFrame, by: list[str], **what: str) -> DataFrame:
+    return rows.groupBy(*by).agg(*[F.sum(c).alias(n) for n, c in what.items()])
+
+
 def train(docs: DataFrame, seed: int = 11) -> tuple[Model, DataFrame]:
-    """The model and its words: word, c (customers), q (averaged predictive probability)."""
-    spark = docs.sparkSession
-    words = written(word_counts(docs).withColumn("t", F.lit(1).cast("long")).withColumn("q", F.lit(0.0)), "words")
-    total = words.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.count_if(F.col("c") == 1).alias("n1"),
-                      F.count_if(F.col("c") == 2).alias("n2")).first()
+    """The model and its words: word, c (training tokens), q (averaged predictive probability without context), q0 ... (by kept sweep)."""
+    spark, one = docs.sparkSession, F.lit(1).cast("long")
+    words = written(word_counts(docs), "words")
+    total = words.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     model = Model(total["n"] or 0, total["v"])
     if not model.tokens:
-        return model, words.select("word", "c", "q")
-    # The usual estimate of a discount from words seen once and twice.
-    discount = min(0.95, max(0.05, total["n1"] / max(1, total["n1"] + 2 * total["n2"])))
+        return model, words.select("word", "c", F.lit(0.0).alias("q"), *[F.lit(0.0).alias(f"q{i}") for i in KEPT])
+    grams = written(gram_counts(docs), "grams")
+    # A dish's only customer has its only table, so of the longest contexts just the others are seated anew.
+    alone = grams.where("c = 1").withColumn("t", one)
+    levels = {ORDER: grams.where("c > 1").withColumn("t", one)}
+    for k in range(ORDER - 1, 1, -1):  # one table for each dish at first
+        levels[k] = written(_sums(_with(levels, alone, k + 1), _columns(k), c="t").withColumn("t", one), f"grams-{k}")
+    words = written(words.join(_sums(levels[2], ["w"], n="t"), "w").withColumn("t", one), "words-first")
+    model.discounts = {k: _discount(grams if k == ORDER else levels[k], "c") for k in levels}
+    discount = _discount(words, "n")
     spelling, rng = Spelling(), np.random.default_rng(seed)
     letters = _letters(words)  # one table for each distinct word at first
     for _ in range(2):
         spelling.sweep(*letters, rng)
-    tables, unseen, whole = model.types, 0.0, model.tokens + WORD_STRENGTH
+    whole = words.agg(F.sum("n")).first()[0]
+    words, tables = words.withColumn("p", F.col("n") / F.lit(whole)), model.types
+    model.fresh, model.outside, model.spellings = [], [], []
     for sweep in range(SWEEPS):
+        keep = [sweep - BURN_IN] if sweep >= BURN_IN else []
+        levels = _reseated(levels, alone, words, model.discounts, sweep)
+        for k in levels:
+            levels[k] = levels[k].withColumns({f"{x}{i}": F.col(y) for i in keep for x, y in (("n", "c"), ("t", "t"))})
+        n = _sums(levels[2], ["w"], n="t")
         log = spark.sparkContext.broadcast(spelling.log)
-        words = written(_seated(words, log, WORD_STRENGTH + discount * tables, discount, sweep), f"words-{sweep}")
+        whole = n.agg(F.sum("n")).first()[0] + WORD_STRENGTH
+        words = written(_seated(words.drop("n", "t", "s", "p").join(n, "w"), log, WORD_STRENGTH + discount * tables, discount, sweep), f"words-{sweep}")
         tables, known = words.agg(F.sum("t"), F.sum("s")).first()
-        if sweep >= BURN_IN:
-            share, fresh = 1 / (SWEEPS - BURN_IN), (WORD_STRENGTH + discount * tables) / whole
-            words = words.withColumn("q", F.col("q") + share * ((F.col("c") - discount * F.col("t")) / whole + fresh * F.col("s")))
-            unseen += share * fresh * max(1 - known, 1e-12)
+        fresh = (WORD_STRENGTH + discount * tables) / whole
+        words = words.withColumn("p", (F.col("n") - discount * F.col("t")) / whole + fresh * F.col("s"))
+        for i in keep:
+            words = words.withColumn(f"q{i}", F.col("p"))
+            model.fresh.append(fresh)
+            model.outside.append(fresh * max(1 - known, 1e-12))
+            model.spellings.append(spelling.log)
         if sweep + 1 < SWEEPS:
             spelling.sweep(*_letters(words), rng)
-    model.unseen = unseen
+    model.facts = _facts(levels, alone)
     # Single precision is plenty for a probability, and every block is sent it.
-    return model, written(words.select("word", "c", F.col("q").cast("float").alias("q")), "model-words")
+    each = [F.col(f"q{i}").cast("float").alias(f"q{i}") for i in KEPT]
+    mean = reduce(lambda x, y: x + y, [F.col(f"q{i}") for i in KEPT]) / len(KEPT)
+    return model, written(words.select("word", "c", mean.cast("float").alias("q"), *each), "model-words")
+
+
+def _with(levels: dict[int, DataFrame], alone: DataFrame, k: int) -> DataFrame:
+    """All dishes of the contexts of k - 1 words."""
+    return levels[k].unionByName(alone, allowMissingColumns=True) if k == ORDER else levels[k]
+
+
+def _reseated(levels, alone: DataFrame, words: DataFrame, discounts: dict[int, float], sweep: int) -> dict[int, DataFrame]:
+    """Seats all context restaurants' customers anew, the longest contexts first, given the last sweep's parents."""
+    weighed, parent = {}, words.select("w", "p")
+    for k in range(2, ORDER + 1):
+        own, d = _columns(k), discounts[k]
+        rooms = _sums(_with(levels, alone, k), own[:-1], room_c="c", room_t="t")
+        rows = levels[k].join(rooms, own[:-1]).join(parent.withColumnRenamed("p", "above"), own[1:])
+        rows = rows.withColumn("fresh", (CONTEXT_STRENGTH + d * F.col("room_t")) * F.col("above")).withColumn(
+            "p", (F.col("c") - d * F.col("t") + F.col("fresh")) / (F.col("room_c") + CONTEXT_STRENGTH))
+        weighed[k] = written(rows.drop("room_c", "room_t", "above", "t"), f"weighed-{k}-{sweep}")
+        parent = weighed[k].select(*own, "p")
+    done = {}
+    for k in range(ORDER, 1, -1):
+        rows = weighed[k].drop("p")
+        if k < ORDER:
+            rows = rows.drop("c").join(_sums(_with(done, alone, k + 1), _columns(k), c="t"), _columns(k))
+        done[k] = written(_tables(rows, discounts[k], sweep), f"seated-{k}-{sweep}")
+    return done
+
+
+def _tables(rows: DataFrame, discount: float, sweep: int) -> DataFrame:
+    """``rows`` with t, the tables of each dish after its customers c are seated anew; ``fresh`` goes."""
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                ends = batch.column("w").to_numpy()[[0, -1]].tobytes()
+                rng = np.random.default_rng(xxhash.xxh3_64_intdigest(ends, batch.num_rows * SWEEPS + sweep))
+                t = seat(batch.column("c").to_numpy(), batch.column("fresh").to_numpy(), discount, rng)
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in left), pa.array(t, pa.int64())], names=[*left, "t"])
+
+    left = [n for n in rows.columns if n != "fresh"]
+    return rows.mapInArrow(run, ", ".join(f"{n} long" for n in [*left, "t"]))
+
+
+#: Columns that name an n-gram or a context in the facts: n-grams have their order as their kind, their contexts its negative.
+KEY = ["kind", *(f"x{i}" for i in range(ORDER))]
+
+
+def _facts(levels: dict[int, DataFrame], alone: DataFrame) -> DataFrame:
+    """KEY, n0, t0 ...: customers and tables of every dish and of every restaurant, by kept sweep."""
+    values, rows = [f"{x}{i}" for i in KEPT for x in "nt"], []
+
+    def keyed(df, kind, names):
+        xs = [F.col(n) for n in names] + [F.lit(0).cast("long")] * (ORDER - len(names))
+        return df.select(F.lit(kind).alias("kind"), *[x.alias(f"x{i}") for i, x in enumerate(xs)], *values)
+
+    for k in levels:
+        own = levels[k].select(*_columns(k), *values)
+        if k == ORDER:
+            own = own.unionByName(alone.select(*_columns(k), *[F.col("t").alias(v) for v in values]))
+        rows += [keyed(own, k, _columns(k)), keyed(_sums(own, _columns(k)[:-1], **{v: v for v in values}), -k, _columns(k)[:-1])]
+    return reduce(DataFrame.unionByName, rows)
 
 
 def _seated(words: DataFrame, log, fresh: float, discount: float, sweep: int) -> DataFrame:
-    """word, c, q with t (tables after a new seating) and s (the spelling's probability)."""
+    """``words`` with t (tables after a new seating of the n customers) and s (the spelling's probability)."""
 
     def run(batches):
         for batch in batches:
-            own = batch.column(0).to_pylist()
+            own = batch.column("word").to_pylist()
             if not own:
                 continue
             base = np.exp(spelt(own, log.value))
             # Seeded by content, so that a task run again seats alike.
             seed = xxhash.xxh3_64_intdigest(own[0] + b" " + own[-1], len(own) * SWEEPS + sweep)
-            t = seat(batch.column(1).to_numpy(), fresh * base, discount, np.random.default_rng(seed))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(t, pa.int64()), pa.array(base)], names=["word", "c", "q", "t", "s"])
+            t = seat(batch.column("n").to_numpy(), fresh * base, discount, np.random.default_rng(seed))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(t, pa.int64()), pa.array(base)], names=[*names, "t", "s"])
 
-    return words.select("word", "c", "q").mapInArrow(run, "word binary, c long, q double, t long, s double")
+    names = words.columns
+    return words.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in words.schema) + ", t long, s double")
 
 
 # -- scoring --------------------------------------------------------------------------------
@@ -253,47 +417,100 @@ def _block(blocks: int) -> Column:
 
 
 def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score, score of every row."""
+    """doc_id, n_tokens, n_known, base_score, score, spelt_score of every row."""
     size = words.agg(F.sum(F.col("c") * (F.octet_length("word") + 1))).first()[0] or 0
     blocks = int(size * FOLDS / (FOLDS - 1) // BLOCK_BYTES) + 1
     dealt = docs.select("doc_id", "text").withColumn("block", _block(blocks)).groupBy("block")
-    def ask(texts: pa.Table) -> pa.Table:
-        asked = {b""}
-        for data in texts.column("text").cast(pa.large_binary()).to_pylist():
-            asked.update(words_of(data or b""))
-        return pa.table({"word": pa.array(list(asked), pa.binary()),
-                         "block": pa.array(np.full(len(asked), texts.column("block")[0].as_py()), pa.int64())})
+    spellings = docs.sparkSession.sparkContext.broadcast(model.spellings)
+    values = [f"{x}{i}" for i in KEPT for x in "nt"]
+    qs = [f"q{i}" for i in KEPT]
+    tokens, types, fresh, outside, discounts = model.tokens, model.types, model.fresh, model.outside, model.discounts
+    #: What a block asks for and gets: words by their text, n-grams and contexts by their hashes.
+    asks = ", ".join(["word binary", "kind int", *(f"{x} long" for x in KEY[1:]), "block long"])
+
+    def texts_of(texts: pa.Table) -> list[list[bytes]]:
+        return [[*words_of(data or b""), b""] for data in texts.column("text").cast(pa.large_binary()).to_pylist()]
 
-    asked = dealt.applyInArrow(ask, "word binary, block long")
-    answers = asked.join(words, "word").groupBy("block")
+    def keys(grams: list[np.ndarray], k: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """The n-grams of k words that end the given ones, and their contexts."""
+        own = grams[ORDER - k:]
+        return own, own[:-1]
+
+    def ask(texts: pa.Table) -> pa.Table:
+        own = texts_of(texts)
+        distinct = list({w for ws in own for w in ws})
+        parts = [(0, distinct, [])]
+        grams = _grams(own, WordHashes())
+        for k in discounts:
+            for kind, columns in zip((k, -k), keys(grams, k)):
+                at, _ = _kinds(columns)
+                parts.append((kind, None, [c[at] for c in columns]))
+        out = []
+        for kind, spelling, columns in parts:
+            size = len(columns[0]) if columns else len(spelling)
+            columns = columns + [np.zeros(size, np.int64)] * (ORDER - len(columns))
+            out.append(pa.table({"word": pa.array(spelling, pa.binary()) if spelling else pa.nulls(size, pa.binary()),
+                                 "kind": pa.array(np.full(size, kind, np.int32)), **{f"x{i}": pa.array(c) for i, c in enumerate(columns)},
+                                 "block": pa.array(np.full(size, texts.column("block")[0].as_py(), np.int64))}))
+        return pa.concat_tables(out)
+
+    none_of = lambda names, kind: [F.lit(None).cast(kind).alias(n) for n in names]
+    asked = dealt.applyInArrow(ask, asks)
+    if model.facts is not None:
+        asked = written(asked, "asked")  # read for the words and for the n-grams
+    found = asked.where("kind = 0").join(words.select("word", "c", *qs), "word").select(
+        "block", "word", *KEY, "c", *qs, *none_of(values, "long"))
+    if model.facts is not None:
+        found = found.unionByName(asked.where("kind <> 0").drop("word").join(model.facts, KEY).select(
+            "block", *none_of(["word"], "binary"), *KEY, *none_of(["c"], "long"), *none_of(qs, "float"), *values))
+    answers = found.groupBy("block")
 
     def answer(texts: pa.Table, known: pa.Table) -> pa.Table:
-        own = known.column("word").to_pylist()
-        place = {w: i for i, w in enumerate(own)}
-        none = repeat(len(own))
-        rows, sizes = [], []
-        for data in texts.column("text").cast(pa.large_binary()).to_pylist():
-            ws = words_of(data or b"")
-            ws.append(b"")
-            rows.append(np.fromiter(map(place.get, ws, none), np.int64, len(ws)))
-            sizes.append(len(ws))
-        if not rows:
+        own = texts_of(texts)
+        if not own:
             return empty
-        at = np.concatenate(rows)
-        c = np.concatenate([known.column("c").to_numpy(), [0]]).astype(np.float64)
-        q = np.concatenate([known.column("q").to_numpy(), [model.unseen]])
+        kind = known.column("kind").to_numpy()
+        mine = known.filter(pa.array(kind == 0))
+        place = {w: i for i, w in enumerate(mine.column("word").to_pylist())}
+        sizes = [len(ws) for ws in own]
+        new = list({w for ws in own for w in ws} - place.keys())
+        place |= {w: len(place) + i for i, w in enumerate(new)}
+        at = np.fromiter((place[w] for ws in own for w in ws), np.int64, sum(sizes))
+        c = np.concatenate([mine.column("c").to_numpy(), np.zeros(len(new))]).astype(np.float64)
+        ones = np.ones(len(mine))
+        p = [np.concatenate([mine.column(q).to_numpy().astype(np.float64), np.full(len(new), outside[i])])[at] for i, q in enumerate(qs)]
+        # What a spelling has of the event of all unseen words.
+        share = [np.concatenate([ones, fresh[i] * np.exp(spelt(new, spellings.value[i])) / outside[i]])[at] for i in KEPT]
+        grams = _grams(own, WordHashes())
+        for k in sorted(discounts):
+            d, got = discounts[k], []
+            for sign, columns in zip((k, -k), keys(grams, k)):
+                theirs = known.filter(pa.array(kind == sign))
+                _, code = _kinds([np.concatenate([x, theirs.column(f"x{i}").to_numpy()]) for i, x in enumerate(columns)])
+                held = {}
+                for v in values:
+                    held[v] = np.zeros(code.max() + 1)
+                    held[v][code[len(at):]] = theirs.column(v).to_numpy()
+                got.append({v: held[v][code[:len(at)]] for v in values})
+            dish, room = got
+            for i in KEPT:
+                p[i] = ((dish[f"n{i}"] - d * dish[f"t{i}"] + (CONTEXT_STRENGTH + d * room[f"t{i}"]) * p[i])
+                        / (room[f"n{i}"] + CONTEXT_STRENGTH))
         first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        plain = np.log10((c + 1) / (model.tokens + model.types + 1))
+        plain = np.log10((c + 1) / (tokens + types + 1))
         return pa.table({"doc_id": texts.column("doc_id"), "n_tokens": pa.array(sizes, pa.int64()),
                          "n_known": pa.array(np.add.reduceat((c > 0)[at].astype(np.int64), first), pa.int64()),
                          "base_score": pa.array(np.add.reduceat(plain[at], first), pa.float64()),
-                         "score": pa.array(np.add.reduceat(np.log10(q)[at], first), pa.float64())})
+                         "score": pa.array(np.add.reduceat(np.log10(np.mean(p, axis=0)), first), pa.float64()),
+                         # A word of very many bytes has a probability below the smallest number.
+                         "spelt_score": pa.array(np.add.reduceat(np.log10(np.maximum(np.mean([x * y for x, y in zip(p, share)], axis=0), 1e-300)),
+                                                                 first), pa.float64())})
 
     kind = docs.schema["doc_id"].dataType
     empty = pa.table({"doc_id": pa.array([], to_arrow_type(kind)), "n_tokens": pa.array([], pa.int64()), "n_known": pa.array([], pa.int64()),
-                      "base_score": pa.array([], pa.float64()), "score": pa.array([], pa.float64())})
+                      "base_score": pa.array([], pa.float64()), "score": pa.array([], pa.float64()), "spelt_score": pa.array([], pa.float64())})
     return dealt.cogroup(answers).applyInArrow(
-        answer, f"doc_id {kind.simpleString()}, n_tokens long, n_known long, base_score double, score double")
+        answer, f"doc_id {kind.simpleString()}, n_tokens long, n_known long, base_score double, score double, spelt_score double")
 
 
 def report(docs: DataFrame) -> DataFrame:

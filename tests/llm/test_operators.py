@@ -241,6 +241,50 @@ def test_language_model_adds_up(docs):
     assert words.agg(F.sum("q")).first()[0] + model.unseen == pytest.approx(1, abs=1e-4)
 
 
+def test_language_model_contexts(spark):
+    """Word order counts, and an unseen word scores by its spelling."""
+    rng = np.random.default_rng(5)
+    subject, verb, thing = (np.array([f"{x}{i}" for i in range(12)]) for x in ("cat", "sees", "tree"))
+    line = lambda: " ".join(f"the {rng.choice(subject)} {rng.choice(verb)} every {rng.choice(thing)}" for _ in range(20))
+    rows = [(i, line()) for i in range(200)]
+    model, words = lm.train(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert model.facts.where("kind = 3").count() > model.facts.where("kind = 2").count() > 0
+    fresh = [line() for _ in range(20)]
+    texts = fresh + [" ".join(rng.permutation(t.split())) for t in fresh] + ["the cat77 sees1", "the \x07qz%kx sees1", "cat77 the"]
+    got = {r.doc_id: r for r in lm.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model, words).collect()}
+    assert all(got[i].score > got[i + 20].score + 20 and abs(got[i].base_score - got[i + 20].base_score) < 1e-6 for i in range(20))
+    assert got[40].spelt_score > got[41].spelt_score + 3 and all(r.spelt_score <= r.score + 1e-9 for r in got.values())
+
+
+def test_language_model_by_hand(spark):
+    """Scores from the restaurants by the recursion written out; after any context, known words and the unseen event add up to one."""
+    rows = [(i, "a b c a b d a c c b") for i in range(40)] + [(100 + i, "b a d d c") for i in range(9)]
+    model, words = lm.train(spark.createDataFrame(rows, "doc_id long, text string").repartition(2))
+    facts = {tuple(r[:len(lm.KEY)]): r for r in model.facts.collect()}
+    known, hashes = {bytes(r.word): r for r in words.collect()}, lm.WordHashes()
+    code = lambda w: int(np.uint64(hashes[w]).view(np.int64))
+    fact = lambda kind, ws: facts.get((kind, *map(code, ws), *[0] * (lm.ORDER - len(ws))))
+
+    def chance(before, w, i):
+        p = known[w][f"q{i}"] if w in known else model.outside[i]
+        for k in range(2, lm.ORDER + 1):
+            dish, room = fact(k, (*before[-k + 1:], w)), fact(-k, before[-k + 1:])
+            if room:
+                c, t = (dish[f"n{i}"], dish[f"t{i}"]) if dish else (0, 0)
+                d, s = model.discounts[k], lm.CONTEXT_STRENGTH
+                p = (c - d * t + (s + d * room[f"t{i}"]) * p) / (room[f"n{i}"] + s)
+        return p
+
+    for before in ((b"", b""), (b"a", b"b"), (b"d", b"d"), (b"b", b"zz"), (b"c", b"d")):
+        for i in lm.KEPT:
+            assert sum(chance(before, w, i) for w in [*known, b"none"]) == pytest.approx(1, abs=1e-5)
+    texts = ["a b c", "b zz a c", "", "d d d"]
+    for r in lm.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model, words).collect():
+        ws = [b"", b"", *texts[r.doc_id].encode().split(), b""]
+        want = sum(np.log10(np.mean([chance((ws[j - 2], ws[j - 1]), ws[j], i) for i in lm.KEPT])) for j in range(2, len(ws)))
+        assert r.score == pytest.approx(want, abs=1e-5)
+
+
 def test_seating_matches_one_by_one():
     """Tables after grouped seating are as many as after seating one customer at a time."""
     rng = np.random.default_rng(0)
