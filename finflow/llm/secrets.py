@@ -1,15 +1,20 @@
 """Secret scans in DataFrame operations alone.
 
 Three fixed detectors (assignments, access keys, long hex runs) and a learnt one: two character
-Markov models, of random strings and of ordinary identifiers, whose log-likelihood ratio per
-character decides over every run of ``MIN_RUN`` or more key characters.
+Markov models, of random strings and of ordinary identifiers, whose log-likelihood ratio decides
+over every run of ``MIN_RUN`` or more key characters: a run is found if a stretch of it has enough
+evidence, so a secret behind a name or a path counts as one that stands alone. The span is the whole run.
 
 Places come from cutting the text at the matches: the pieces between matches and the matches
 themselves add up to it, so running sums of their lengths are the code-point offsets.
 
 Training data are labelled by the fixed detectors: runs that an assignment, access key or hex match
-yields are random strings, identifiers and plain numbers elsewhere are ordinary. The sample is
-bounded: about ``SAMPLE_DOCS`` documents (by hashed id), ``SAMPLE_RUNS`` runs of each kind. The models are tables over a fixed alphabet, so their size does not depend on the data.
+yields are random strings, identifiers (also in capitals and joined by a capital) and plain numbers
+elsewhere are ordinary. Kinds of random strings weigh alike however often each occurs, and a part of
+the model is uniform, since a corpus may label one alphabet alone. Transitions to and from separators
+say nothing. Random strings come from all documents, ordinary ones from about ``SAMPLE_DOCS`` (by
+hashed id), ``SAMPLE_RUNS`` of each kind. The models are tables over a fixed alphabet, so their size
+does not depend on the data.
 
 Defined cases: a null or empty text has no span; repeated rows each get their result; without a
 run of a class in the sample its model is uniform; an empty table gives an empty result;
@@ -34,8 +39,10 @@ MIN_RUN = 16
 RUN = r"[A-Za-z0-9+/_=-]{16,}"
 #: The characters a run can hold, and so the models' states.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-#: Mean log-likelihood ratio (natural log, per transition) above which a run counts as random.
-THRESHOLD = 0.5
+#: Log-likelihood ratio (natural log, per transition) that a random stretch exceeds, and what its transitions have above it in sum.
+THRESHOLD, EVIDENCE = 0.5, 15.0
+#: Joints of names, paths and values, and the share of the uniform distribution in the model of random strings.
+SEPARATORS, UNIFORM = "+/_=-", 0.25
 SAMPLE_DOCS, SAMPLE_RUNS = 20_000, 5_000
 #: Ordinary runs: identifiers and plain numbers, sampled apart, since numbers are rare among words.
 IDENTIFIER = r"\b[A-Za-z_][A-Za-z0-9_]{7,}\b"
@@ -87,19 +94,23 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_runs: int = SA
     """Log-likelihood ratio of every transition, random over ordinary."""
     text = F.coalesce(F.col("text"), F.lit(""))
     every = max(1, docs.count() // sample_docs)
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select(text.alias("text"))
-    values = F.concat(
-        F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)),
-        F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0)), F.regexp_extract_all("text", F.lit(HEX), F.lit(0)))
-    rest = F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), f"{ACCESS}|{HEX}", " ")
-    runs = sample.select(F.explode(F.concat(
-        F.transform(F.filter(values, lambda v: F.length(v) >= MIN_RUN), lambda v: F.struct(F.lit(1).alias("random"), v.alias("run"))),
-        F.transform(F.regexp_extract_all(rest, F.lit(IDENTIFIER), F.lit(0)), lambda v: F.struct(F.lit(0).alias("random"), v.alias("run"))),
-        F.transform(F.regexp_extract_all(rest, F.lit(NUMBER), F.lit(0)), lambda v: F.struct(F.lit(2).alias("random"), v.alias("run"))),
-    )).alias("r")).select("r.random", "r.run").distinct()
-    pick = lambda k: runs.where(F.col("random") == k).orderBy(F.xxhash64("run"), "run").limit(sample_runs)
-    random, plain = _conditional(_transitions(pick(1))), _conditional(_transitions(pick(0).unionByName(pick(2))))
-    return [[math.log(r) - math.log(p) for r, p in zip(*rows)] for rows in zip(random, plain)]
+    values = F.transform(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)), lambda v: F.struct(
+        F.when(F.regexp_like(v, F.lit(f"^({ACCESS})$")), 1).when(F.regexp_like(v, F.lit(f"^({HEX})$")), 2).otherwise(0).alias("kind"), v.alias("run")))
+    found = lambda pattern, kind: F.transform(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)), lambda v: F.struct(
+        F.lit(kind).alias("kind"), v.alias("run")))
+    labelled = docs.select(text.alias("text")).select(F.explode(F.concat(values, found(ACCESS, 1), found(HEX, 2))).alias("r")).select(
+        "r.kind", "r.run").where(F.length("run") >= MIN_RUN)
+    rest = F.regexp_replace(F.regexp_replace(text, ASSIGN, " "), f"{ACCESS}|{HEX}", " ")
+    ordinary = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select(rest.alias("text")).select(
+        F.explode(F.concat(found(IDENTIFIER, 0), found(NUMBER, 1))).alias("r")).select("r.kind", "r.run")
+    pick = lambda runs, k: runs.where(F.col("kind") == k).select("run").distinct().orderBy(F.xxhash64("run"), "run").limit(sample_runs)
+    random = [c for c in (_transitions(pick(labelled, k)) for k in range(3)) if c] or [{}]
+    words = pick(ordinary, 0).select(F.explode(F.array(
+        F.col("run"), F.upper("run"), F.concat(F.lower("run"), F.initcap("run")))).alias("run"))
+    plain = _conditional(_transitions(words.unionByName(pick(ordinary, 1))))
+    random = [[sum(p) / len(p) for p in zip(*rows)] for rows in zip(*map(_conditional, random))]
+    return [[0.0 if x in SEPARATORS or y in SEPARATORS else math.log((1 - UNIFORM) * r + UNIFORM / len(ALPHABET)) - math.log(p)
+             for y, r, p in zip(ALPHABET, *rows)] for x, rows in zip(ALPHABET, zip(random, plain))]
 
 
 def _conditional(counts: dict[tuple[int, int], int]) -> list[list[float]]:
@@ -114,21 +125,23 @@ def _conditional(counts: dict[tuple[int, int], int]) -> list[list[float]]:
     return rows
 
 
-def ratio(run: Column, model: list[list[float]]) -> Column:
-    """Mean log-likelihood ratio per transition of a run of alphabet characters."""
+def evidence(run: Column, model: list[list[float]], threshold: float = THRESHOLD) -> Column:
+    """The largest sum, over the stretches of a run of alphabet characters, of what transitions have above the threshold."""
     k = len(ALPHABET)
     cells = F.split(F.lit(",".join(repr(v) for row in model for v in row)), ",").cast("array<double>")  # folded to one literal
     at = lambda i: F.instr(F.lit(ALPHABET), F.substring(run, i, F.lit(1)))
-    steps = F.sequence(F.lit(1), F.length(run) - 1)
-    total = F.aggregate(steps, F.lit(0.0), lambda acc, i: acc + F.get(cells, (at(i) - 1) * k + at(i + 1) - 1))
-    return total / (F.length(run) - 1)
+    each = F.transform(F.sequence(F.lit(1), F.length(run) - 1), lambda i: F.get(cells, (at(i) - 1) * k + at(i + 1) - 1) - threshold)
+    # A stretch begins anew where the sum so far is below nothing.
+    start = F.struct(F.lit(0.0).alias("now"), F.lit(0.0).alias("best"))
+    return F.aggregate(each, start, lambda acc, v: F.struct(
+        F.greatest(acc["now"] + v, F.lit(0.0)).alias("now"), F.greatest(acc["best"], acc["now"] + v).alias("best")), lambda acc: acc["best"])
 
 
 def scan(docs: DataFrame, model: list[list[float]] | None = None, threshold: float = THRESHOLD, name: str = "spans") -> DataFrame:
     """``docs`` with the column ``name``: sorted array of (start, kind, end), kind by place in KINDS, end exclusive."""
     model = model if model is not None else train(docs)
     text = F.coalesce(F.col("text"), F.lit(""))
-    learnt = _spans(text, RUN, 3, lambda m: ratio(m, model) > threshold)
+    learnt = _spans(text, RUN, 3, lambda m: evidence(m, model, threshold) > EVIDENCE)
     return docs.withColumn(name, F.array_sort(F.concat(base_spans(text), learnt)))
 
 

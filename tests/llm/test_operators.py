@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from finflow.llm import decontam, licenses, lm, near_dup, packing, quality, rollup, secrets, sharding, tokens, topk
+from finflow.llm.common import table
 
 ROWS = odd.documents()
 
@@ -115,6 +116,30 @@ def test_secrets_learnt(spark):
     assert all(texts[i][1][s["start"]:s["end"]] in fresh for i in range(50) for s in got[i] if s["kind"] == 3)
 
 
+def test_secrets_alphabets(spark):
+    """As trained on a registered table: random strings of every alphabet are found, alone and behind names and paths."""
+    import string
+
+    rng = np.random.default_rng(4)
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    model = secrets.train(docs)
+    kinds = {"base62": string.ascii_letters + string.digits, "base36": string.ascii_lowercase + string.digits,
+             "base32": string.ascii_uppercase + "234567", "base64": string.ascii_letters + string.digits + "+/", "hex": "0123456789abcdef"}
+    before = ("", "deployment_access_key=", "/services/incoming/webhooks/", "configuration-of-the-service/authentication=")
+    cases = [(a, b, n) for a in kinds for b in before for n in (20, 32)]
+    texts = [f"{b}{''.join(rng.choice(list(kinds[a]), n))}" for a, b, n in cases for _ in range(10)]
+    ids = [r.w for r in docs.select(F.explode(F.regexp_extract_all("text", F.lit(r"\b[a-z]{8,12}\b"), F.lit(0))).alias("w"))
+           .distinct().orderBy(F.xxhash64("w")).limit(4000).collect()]
+    plain = [j.join(rng.choice(ids, 3)) for j in "/_-=" for _ in range(50)]
+    rows = spark.createDataFrame([(i, f"x {t} y") for i, t in enumerate(texts + plain)], "doc_id long, text string")
+    hit = {r.doc_id: any(s["kind"] >= 2 for s in r.spans) for r in secrets.scan(rows, model).collect()}
+    print(sum(hit[i] for i in range(len(texts))), len(texts), sum(hit[len(texts) + i] for i in range(len(plain))), len(plain))
+    for j, case in enumerate(cases):
+        assert sum(hit[10 * j + i] for i in range(10)) >= 8, case
+    assert sum(hit[i] for i in range(len(texts))) >= 0.97 * len(texts)
+    assert sum(hit[len(texts) + i] for i in range(len(plain))) <= 0.02 * len(plain)
+
+
 def test_redact(docs):
     done = secrets.redact(docs)
     assert done.columns == docs.columns
