@@ -1,10 +1,10 @@
 """Licence scans by a positional index over rare licence words.
 
-Every notice (a template's text, or one of the fixed base phrases) is indexed by its rarest words,
-with their positions: the words of the highest inverse document frequency, counted over the whole
-corpus. A file's words that are in the index vote for (notice, place of its first word); places on
-which enough rare words agree by relative position are verified: the mandatory key phrase has to
-stand word by word near its place, and the share of template words in line is the coverage.
+Every notice (a template's text, or one of the fixed base phrases) is indexed by the rarest word of
+its mandatory key phrase: the word of the highest inverse document frequency, counted over the whole
+corpus. No match goes without that word, so every place is found. Where it stands, the key phrase has
+to stand word by word; then all places of the notice at which the phrase is near its own place are
+verified: the share of template words in line is the coverage.
 
 Templates and index are fixed text, so their size does not depend on the corpus; only document
 frequencies of template words are counted, one number for each.
@@ -53,8 +53,6 @@ TEMPLATES = {
     "unlicense": ("this is free and unencumbered software released into the public domain", "unencumbered software"),
 }
 
-#: Index words of a template; of them so many must agree on a place (fewer if it has fewer).
-ANCHORS, VOTES = 3, 2
 #: Words by which the key phrase may be off its place, and the least coverage of a match.
 SLACK, COVERAGE = 2, 0.5
 
@@ -87,40 +85,31 @@ def document_frequencies(docs: DataFrame) -> dict[bytes, int]:
 
 
 def build_index(frequencies: dict[bytes, int]) -> dict[bytes, list[tuple[int, int]]]:
-    """Rare word: its places (notice, position)."""
+    """Rarest word of a key phrase: its places (notice, position in the phrase)."""
     index: dict[bytes, list[tuple[int, int]]] = {}
-    for k, (_, words, _, exact) in enumerate(_notices()):
-        rare = sorted(set(words), key=lambda w: (frequencies.get(w, 0), w))[:1 if exact else ANCHORS]
-        for w in rare:
-            index.setdefault(w, []).extend((k, i) for i, x in enumerate(words) if x == w)
+    for k, (_, _, key, _) in enumerate(_notices()):
+        rare = min(key, key=lambda w: (frequencies.get(w, 0), w))
+        index.setdefault(rare, []).append((k, key.index(rare)))
     return index
 
 
 def matches_in(words: list[bytes], index, notices) -> list[tuple[int, int, float]]:
     """(notice, first word, coverage) of every verified place."""
-    votes: dict[int, Counter] = {}
+    out = set()
     for at, w in enumerate(words):
-        if w in index:
-            for k, i in index[w]:
-                votes.setdefault(k, Counter())[at - i] += 1
-    out = []
-    for k, places in votes.items():
-        _, text, key, exact = notices[k]
-        if exact:
-            out += [(k, s, 1.0) for s in places if s >= 0 and words[s:s + len(text)] == text]
-            continue
-        need = min(VOTES, len(set(text)))
-        first = next(i for i in range(len(text)) if text[i:i + len(key)] == key) if any(
-            text[i:i + len(key)] == key for i in range(len(text))) else 0
-        for s, n in places.items():
-            if n < need:
+        for k, i in index.get(w, ()):
+            _, text, key, exact = notices[k]
+            j = at - i
+            if j < 0 or words[j:j + len(key)] != key:
                 continue
-            near = range(max(0, s + first - SLACK), s + first + SLACK + 1)
-            if not any(words[j:j + len(key)] == key for j in near):
+            if exact:
+                out.add((k, j, 1.0))
                 continue
-            share = sum(words[s + i] == w for i, w in enumerate(text) if 0 <= s + i < len(words)) / len(text)
-            if share >= COVERAGE:
-                out.append((k, s, share))
+            first = next((x for x in range(len(text)) if text[x:x + len(key)] == key), 0)
+            for s in range(j - first - SLACK, j - first + SLACK + 1):
+                share = sum(words[s + x] == v for x, v in enumerate(text) if 0 <= s + x < len(words)) / len(text)
+                if share >= COVERAGE:
+                    out.add((k, s, share))
     return sorted(out, key=lambda m: (m[1], m[0]))
 
 

@@ -251,6 +251,31 @@ def test_licenses(docs):
     assert all(set(r.base_labels.split(",")) <= set(r.labels.split(",")) for r in got if r.base_labels)
 
 
+def test_licences_every_place(spark):
+    """All places with the key phrase and the coverage, as by brute force, whatever words the corpus lacks or abounds in."""
+    rng, notices = np.random.default_rng(2), licenses._notices()
+    some = sorted({w.decode() for _, ws, _, _ in notices for w in ws}) + ["mit", "x", "y"]
+    texts = ["The MIT License (MIT)", "x all rights reserved", "mit mit released license under"] + ["mit released", "the license"] * 20
+    for _ in range(300):
+        ws = [w.decode() for w in notices[rng.integers(len(notices))][1]]
+        texts.append(" ".join(["x", *(w if rng.random() < 0.85 else rng.choice(some) for w in ws), *rng.choice(some, 4)]))
+
+    def by_hand(words):
+        for k, (label, text, key, exact) in enumerate(notices):
+            first = next((i for i in range(len(text)) if text[i:i + len(key)] == key), 0)
+            for s in range(-len(text), len(words)):
+                at = lambda i: words[i] if 0 <= i < len(words) else None
+                share = sum(at(s + i) == w for i, w in enumerate(text)) / len(text)
+                near = any(words[j:j + len(key)] == key for j in range(max(0, s + first - licenses.SLACK), s + first + licenses.SLACK + 1))
+                if share == 1 if exact else near and share >= licenses.COVERAGE:
+                    yield label, s, round(share, 9)
+
+    got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    found = {r.doc_id: sorted((m.label, m.start, round(m.coverage, 9)) for m in r.matches) for r in got}
+    assert found == {i: sorted(by_hand(licenses.words_of(t.encode()))) for i, t in enumerate(texts)}
+    assert any(m[0] == "mit" for m in found[0]) and any(m[0] == "copyright" for m in found[1])
+
+
 def test_language_model(docs, none):
     rows, n = odd.unigram(ROWS)
     got = lm.report(docs).collect()
