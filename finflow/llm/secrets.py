@@ -28,6 +28,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from finflow.llm.common import written
+
 # The base detectors (the contract's patterns; minimum lengths apply to the match or group 2).
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ASSIGN_MIN = 6
@@ -100,6 +102,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_runs: int = SA
         F.lit(kind).alias("kind"), v.alias("run")))
     labelled = docs.select(text.alias("text")).select(F.explode(F.concat(values, found(ACCESS, 1), found(HEX, 2))).alias("r")).select(
         "r.kind", "r.run").where(F.length("run") >= MIN_RUN)
+    labelled = written(labelled.distinct(), "labelled")  # read once for each kind, found once
     rest = F.regexp_replace(F.regexp_replace(text, ASSIGN, " "), f"{ACCESS}|{HEX}", " ")
     ordinary = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select(rest.alias("text")).select(
         F.explode(F.concat(found(IDENTIFIER, 0), found(NUMBER, 1))).alias("r")).select("r.kind", "r.run")
