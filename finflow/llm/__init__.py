@@ -1,5 +1,6 @@
 """Training-data operators: licence scans, packing, near-dedup, secret scans, token rollups,
-sharding, exact top-k search, decontamination, language-model scoring, quality scoring.
+sharding, exact top-k search, decontamination, language-model scoring, quality scoring,
+cross-tokenizer alignment, toxicity, spelling variants.
 
 Nothing else in the library imports this subpackage.
 """

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finflow.llm import decontam, licenses, lm, near_dup, packing, quality, rollup, secrets, sharding, topk
+from finflow.llm import alignment, decontam, licenses, lm, near_dup, packing, quality, rollup, secrets, sharding, topk
 from finflow.llm.common import table
 from finflow.session import scratch_path
 
@@ -133,3 +133,8 @@ def op9(spark, sf_dir):
 @query("op10_quality_classifier")
 def op10(spark, sf_dir):
     return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op11_tokenizer_alignment")
+def op11(spark, sf_dir):
+    return alignment.report(table(spark, sf_dir, "documents"))
