@@ -52,6 +52,14 @@ def fold_of(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with underscores added while a column has it (in any case, as Spark compares names)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 class WordHashes(dict):
     """64-bit hash of a word's bytes, remembered for the first ``MEMO_WORDS`` words."""
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finflow.llm import alignment, decontam, licenses, lm, near_dup, packing, quality, rollup, secrets, sharding, topk, variants
+from finflow.llm import alignment, decontam, licenses, lm, near_dup, packing, quality, rollup, secrets, sharding, topk, toxicity, variants
 from finflow.llm.common import table
 from finflow.session import scratch_path
 
@@ -140,6 +140,11 @@ def op11(spark, sf_dir):
     return alignment.report(table(spark, sf_dir, "documents"))
 
 
+@query("op12_toxicity")
+def op12(spark, sf_dir):
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 #: crc32 by its table of 256 values; a replaced letter leaves equal words around the same place, a deleted one the shorter word.
 @query("op13_spelling_variants", rf"""
 WITH RECURSIVE crc AS (SELECT list(c ORDER BY k) AS t FROM (SELECT k, list_reduce(list_concat([k], [0, 0, 0, 0, 0, 0, 0, 0]),
