@@ -133,21 +133,23 @@ def read_dataset(spark: SparkSession, dataset: str, file_rows: list[dict]) -> tu
     return out, meta
 
 
-def read_plan(found: DataFrame) -> list[dict]:
-    """The driver's read plan: (path, dataset, file_type, first_line), a row per file.
+def read_plan(spark: SparkSession, found: DataFrame) -> list[dict]:
+    """The driver's read plan: (path, dataset, file_type, first_line), a row per new file.
 
     Spark's own file listing holds every path on the driver as well; rows come in one
-    partition at a time, and no row gathers the paths of many files.
+    partition at a time, and only these files' headers are read.
     """
-    return [r.asDict() for r in found.select("path", "dataset", "file_type", "first_line").toLocalIterator()]
+    plan = [r.asDict() for r in found.select("path", "dataset", "file_type").toLocalIterator()]
+    listed = spark.createDataFrame([(r["path"],) for r in plan if r["file_type"] == "CSV"], "path string")
+    heads = {r.path: r.first_line for r in FS.csv_headers(spark, listed).toLocalIterator()} if plan else {}
+    return [{**r, "first_line": heads.get(r["path"])} for r in plan]
 
 
 def landed_rows(spark: SparkSession, landing: str, dataset: str) -> tuple[DataFrame, DataFrame]:
     """Rows and file table of one dataset under ``landing``."""
     inv = FS.gate(FS.manifest(spark, landing))
-    found = (FS.discover(inv.filter("is_valid")).filter(F.col("dataset") == dataset)
-             .join(FS.csv_headers(spark, landing), "path", "left"))
-    return read_dataset(spark, dataset, read_plan(found))
+    found = FS.discover(inv.filter("is_valid")).filter(F.col("dataset") == dataset)
+    return read_dataset(spark, dataset, read_plan(spark, found))
 
 
 def file_verdicts(rows: DataFrame, meta: DataFrame, dataset: str, strict: bool = True) -> DataFrame:
@@ -269,9 +271,8 @@ def run_batch(spark: SparkSession, landing: str, out_root: str, strict: bool = T
         seen = done.filter(F.col("run_id") != run_id).select("path", "length", "modificationTime")
         inv = inv.join(seen, ["path", "length", "modificationTime"], "left_anti")
     inv = inv.persist()
-    found = (FS.discover(inv.filter("is_valid"), run_keys)
-             .join(FS.csv_headers(spark, landing), "path", "left"))
-    files = read_plan(found)
+    found = FS.discover(inv.filter("is_valid"), run_keys)
+    files = read_plan(spark, found)
     gate_rejects = [{"path": r["path"], "reason": r["reason"]}
                     for r in inv.filter(~F.col("is_valid")).select("path", "reason").toLocalIterator()]
     per_dataset: dict[str, list] = {}
@@ -288,7 +289,7 @@ def run_batch(spark: SparkSession, landing: str, out_root: str, strict: bool = T
         verdict_frames.append(v)
         metrics.append({"dataset": dataset, **load})
     finished = [d for d in per_dataset if d not in failed]
-    taken = inv.withColumn("dataset", N.infer_dataset("path")).filter(~F.col("dataset").isin(list(failed)) if failed else F.lit(True))
+    taken = inv.withColumn("dataset", N.infer_dataset("path")).filter(~F.coalesce(F.col("dataset").isin(list(failed)), F.lit(False)) if failed else F.lit(True))
     if run_keys is not None:
         taken = taken.join(found.select("path"), "path", "left_semi")
     _replace_run(taken.select("path", "length", "modificationTime"), done_path, run_id)

@@ -217,6 +217,26 @@ def a1_b1_landed_csv_sales(spark, sf):
                     "is_dirty", F.array_join("violations", ",").alias("violations"))
 
 
+@register("a1_a9_header_records", """
+SELECT 'o_orderkey,o_custkey,o_orderstatus,"o, ""date"""' AS first_line, TRUE AS small_reads, count(*)::BIGINT AS n_rows FROM orders
+""")
+def a1_a9_header_records(spark, sf):
+    """Orders landed as CSV; the header source learns the columns from a few kilobytes of each
+    file, and the rows read by them are all there."""
+    from finflow.sources import files as FS
+    from finflow.sources import headers as H
+    from finflow.sources import readers as RD
+    root = scratch_path(spark, "landing_headers")
+    t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderdate").alias('o, "date"')).write.option(
+        "header", True).option("escape", '"').csv(root)
+    paths = [r.path for r in FS.manifest(spark, root).filter(FS.extension("path") == "csv").select("path").toLocalIterator()]
+    heads = H.header_records(spark, paths)
+    kinds = heads.groupBy("first_line").agg((F.max("bytes_read") <= H.FIRST_READ).alias("small_reads"))
+    line = kinds.first()["first_line"]  # one header, whatever the number of files
+    rows = RD.read_csv_group(spark, paths, RD.csv_header(line)).groupBy(F.lit(line).alias("first_line")).agg(F.count(F.lit(1)).alias("n_rows"))
+    return kinds.join(rows, "first_line")
+
+
 @register("a2_landed_json_events", """
 SELECT event_id, user_id, event_type, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS props_k
 FROM events
@@ -270,17 +290,17 @@ def q9_q12_landed_file_verdicts(spark, sf):
     v = t(spark, sf, "supplier").select(
         F.col("s_suppkey").cast("string").alias("vehicle_id"), F.concat(F.lit("VIN"), F.col("s_suppkey")).alias("vin"),
         F.when(F.col("s_acctbal") < 0, "NA").otherwise(F.col("s_nationkey").cast("string")).alias("dealer_id"), (F.col("s_suppkey") % 3).alias("g"))
-    # One file of each type: the verdict is per file, and the engine names the files.
-    v.filter("g = 0").select("vehicle_id", "vin").coalesce(1).write.option("header", True).csv(f"{root}/csv/vehicles_2026")
-    v.filter("g = 1").select("vehicle_id", "vin", "dealer_id", F.lit("red, \"matt\"").alias("paint, code")).coalesce(1).write.json(f"{root}/json/vehicles_2026")
-    books = feeds.workbooks(v.filter("g = 2").select("vehicle_id", "vin", "dealer_id").coalesce(1), "vehicles", rows_per_book=1 << 30)
+    # As many files of each type as the input has partitions.
+    v.filter("g = 0").select("vehicle_id", "vin").write.option("header", True).csv(f"{root}/csv/vehicles_2026")
+    v.filter("g = 1").select("vehicle_id", "vin", "dealer_id", F.lit("red, \"matt\"").alias("paint, code")).write.json(f"{root}/json/vehicles_2026")
+    books = feeds.workbooks(v.filter("g = 2").select("vehicle_id", "vin", "dealer_id"), "vehicles")
     from finflow.sources import files as FS
     from finflow.sources import readers as RD
-    head = FS.csv_headers(spark, f"{root}/csv").first()
-    rows, meta = read_dataset(spark, "vehicles", [{"path": head["path"], "file_type": "CSV", "first_line": head["first_line"]}])
-    js = spark.read.json(f"{root}/json/vehicles_2026").select(F.col("_metadata.file_path")).first()[0]
-    j_rows = RD.read_json(spark, [js], multiline=False)
-    j_meta = RD.json_columns(spark, [js], [c for c in j_rows.columns if c != "source_file"], multiline=False)
+    heads = FS.csv_headers(spark, f"{root}/csv").toLocalIterator()
+    rows, meta = read_dataset(spark, "vehicles", [{"path": h["path"], "file_type": "CSV", "first_line": h["first_line"]} for h in heads])
+    js = [f"{root}/json/vehicles_2026"]
+    j_rows = RD.read_json(spark, js, multiline=False)
+    j_meta = RD.json_columns(spark, js, [c for c in j_rows.columns if c != "source_file"], multiline=False)
     cells = RD.workbook_cells(books)
     x_meta = RD.workbook_columns(cells)
     x_rows = RD.workbook_rows(cells, ["vehicle_id", "vin", "dealer_id"])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from finflow import schemas
 from finflow.functions import normalize as N
+from finflow.sources import headers as H
 
 def manifest(spark: SparkSession, root: str) -> DataFrame:
     """path, length, modificationTime of every file under ``root`` (recursive); the
@@ -35,13 +36,26 @@ def checksums(spark: SparkSession, root: str, extensions: list[str] | None = Non
     return df.select("path", F.md5("content").alias("md5"))
 
 
-def csv_headers(spark: SparkSession, root: str) -> DataFrame:
-    """path and header record of every CSV file under ``root``, whatever its length.
+def csv_headers(spark: SparkSession, files: DataFrame | str) -> DataFrame:
+    """path and header record of the CSV files among ``files`` (a frame with a ``path`` column: this
+    run's new files; or a root folder: all below it).
 
-    The files are read as lines (no file body becomes a row); a header whose quotes stay
-    open at the line's end goes on over the next lines until they are closed.
+    One small read per file, in tasks that open the files themselves (``headers``). Where only
+    Spark's readers know a path's scheme, those very files are read as lines instead.
     """
-    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", _extension_glob(["csv"])).text(root)
+    listed = manifest(spark, files) if isinstance(files, str) else files
+    # A row per new file, as the run's read plan holds as well.
+    paths = [r.path for r in listed.filter(extension("path") == "csv").select("path").toLocalIterator()]
+    own = [p for p in paths if H.scheme(p) in H.SCHEMES]
+    out = H.header_records(spark, own).select("path", "first_line")
+    other = [p for p in paths if H.scheme(p) not in H.SCHEMES]
+    return out.unionByName(header_lines(spark, other)) if other else out
+
+
+def header_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Header records by Spark's line reader; quotes left open at a line's end go on over the next lines."""
+    names = spark.createDataFrame([(p,) for p in paths], "path string")
+    lines = (spark.read.text(paths)
              .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value",
                      F.monotonically_increasing_id().alias("i")).filter(F.col("at") == 0))
     first = lines.groupBy("path").agg(F.min_by("value", "i").alias("first_line"), F.min("i").alias("first_i"))
@@ -53,7 +67,7 @@ def csv_headers(spark: SparkSession, root: str) -> DataFrame:
     close = more.filter((F.col("i") > F.col("first_i")) & (quotes("value") % 2 == 1)).groupBy("path").agg(F.min("i").alias("last_i"))
     joined = (more.join(close, "path").filter(F.col("i") <= F.col("last_i")).groupBy("path")
               .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "value"))), lambda x: x["value"]), "\n").alias("first_line")))
-    return whole.unionByName(joined)
+    return names.join(whole.unionByName(joined), "path", "left").select("path", "first_line")
 
 
 def extension(path) -> Column:

@@ -231,3 +231,33 @@ def test_command_line_batch(spark, tmp, capsys):
     line = capsys.readouterr().out.strip().splitlines()[-1]
     assert rc == 1 and line.startswith("ETL_SUMMARY::")          # fixtures hold rejected files
     assert spark.read.parquet(os.path.join(out, "staging", "sales")).count() == 2
+
+
+def test_header_source_reads_a_few_bytes_of_new_files_only(spark, tmp, monkeypatch):
+    """One small read per new file; a header longer than a read goes on; a second run over an
+    unchanged landing opens nothing; another scheme falls back to Spark's reader."""
+    from finflow.sources import headers as H
+    land, heads, out = (os.path.join(tmp, x) for x in ("landing", "heads", "out"))
+    os.makedirs(land)
+    os.makedirs(heads)
+    wide = "vehicle_id,vin,dealer_id," + ",".join(f'"c, {i}\n"' for i in range(3000))
+    for name, head in (("long body.csv", "vehicle_id,vin,dealer_id"), ("wide.csv", wide), ("open.csv", 'vehicle_id,"never closed')):
+        with open(os.path.join(heads, name), "w") as f:
+            f.write(head + "\n" + "V,VIN,D1\n" * 20_000)
+    paths = [r.path for r in FS.manifest(spark, heads).collect()]
+    got = {os.path.basename(r.path): r for r in H.header_records(spark, paths).collect()}
+    assert (got["long body.csv"].first_line, got["long body.csv"].bytes_read) == ("vehicle_id,vin,dealer_id", H.FIRST_READ)
+    assert got["wide.csv"].first_line == wide and got["wide.csv"].bytes_read <= 5 * len(wide)
+    assert got["open.csv"].first_line is None and H.first_record(open(os.devnull, "rb")) == ("", 0)
+    plan = H.header_records(spark, paths)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and "BatchScan" in plan
+    lines = {os.path.basename(r.path): r.first_line for r in FS.header_lines(spark, [p for p in paths if " " not in p]).collect()}
+    assert lines == {"wide.csv": wide, "open.csv": None}
+    asked = []
+    monkeypatch.setattr(FS.H, "header_records", lambda s, p, real=H.header_records: asked.append(len(p)) or real(s, p))
+    for name in ("vehicles_a_2026.csv", "vehicles_b_2026.csv"):
+        with open(os.path.join(land, name), "w") as f:
+            f.write("vehicle_id,vin,dealer_id\n" + f"{name[9]}1,VIN{name[9]},D1\n")
+        run_batch(spark, land, out, constraints=False)
+    run_batch(spark, land, out, constraints=False)
+    assert asked == [1, 1] and spark.read.parquet(os.path.join(out, "staging", "vehicles")).count() == 2
