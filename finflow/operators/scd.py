@@ -31,22 +31,25 @@ def scd2_from_history(history: DataFrame, keys: list[str], attrs: list[str], ts_
 
     The window only sees per-day rows, so its partitions are bounded by the calendar.
     """
+    return versions(daily_points(history, keys, attrs, ts_col, tiebreak), keys, attrs)
+
+
+def daily_points(history: DataFrame, keys: list[str], attrs: list[str], ts_col: str, tiebreak: list | None = None) -> DataFrame:
+    """keys, effective_date and ``__a``, the attributes of the day's last change."""
     tb = [F.col(t) if isinstance(t, str) else t for t in (tiebreak or [])]
     order = F.struct(F.col(ts_col), *tb)
-    daily = (history.filter(keys_present(keys) & F.col(ts_col).isNotNull())
-             .groupBy(*keys, F.to_date(ts_col).alias("effective_date"))
-             .agg(F.max_by(F.struct(*[F.col(a) for a in attrs]), order).alias("__a")))
-    return _versions(daily, keys, attrs)
+    return (history.filter(keys_present(keys) & F.col(ts_col).isNotNull())
+            .groupBy(*keys, F.to_date(ts_col).alias("effective_date"))
+            .agg(F.max_by(F.struct(*[F.col(a) for a in attrs]), order).alias("__a")))
 
 
-def _versions(daily: DataFrame, keys: list[str], attrs: list[str]) -> DataFrame:
+def versions(daily: DataFrame, keys: list[str], attrs: list[str]) -> DataFrame:
     """Closed and current versions from one row (``__a``: its attributes) per key and day."""
     w = Window.partitionBy(*keys).orderBy("effective_date")
     changed = (daily.withColumn("__prev", F.lag("__a").over(w))
                .filter(F.col("__prev").isNull() | ~F.col("__a").eqNullSafe(F.col("__prev"))))
     nxt = F.lead("effective_date").over(w)
-    versions = changed.withColumn("__next", nxt)
-    return versions.select(
+    return changed.withColumn("__next", nxt).select(
         *keys, *[F.col(f"__a.{a}").alias(a) for a in attrs],
         "effective_date",
         F.date_sub("__next", 1).alias("expiry_date"),
@@ -74,7 +77,7 @@ def scd2_merge(dim: DataFrame, incoming: DataFrame, keys: list[str], attrs: list
               .unionByName(new.withColumn("__new", F.lit(1))))
     daily = points.groupBy(*keys, "effective_date").agg(F.max_by("__a", F.struct("__new", "__a")).alias("__a"))
     return _passed_on(dim, touched, keys, attrs, eff_col).unionByName(
-        _versions(daily, keys, attrs).withColumnRenamed("effective_date", eff_col))
+        versions(daily, keys, attrs).withColumnRenamed("effective_date", eff_col))
 
 
 def scd2_refresh(dim: DataFrame, log: DataFrame, new: DataFrame, keys: list[str], attrs: list[str],

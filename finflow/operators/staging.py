@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import os
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from finflow.session import read_or_none
+
 
 def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
@@ -43,29 +47,106 @@ def insert_if_absent(batch: DataFrame, existing: DataFrame, keys: list[str], ord
     return first.join(existing.select(*keys), on=keys, how="left_anti")
 
 
-def load_staging(batch: DataFrame, table_path: str, keys: list[str], order: list,
-                 existing: DataFrame | None = None, drop_cols: list[str] | None = None) -> dict:
-    """Append new rows to a Parquet staging table; returns attempted/inserted counts.
+#: Folders of a staging table and 64-bit words of each folder's key filter: with 16 bits a key the filter
+#: serves a million keys a folder; beyond that more folders are opened than need be, and no key is missed.
+#: A large table takes more folders, for good: the number belongs to its layout.
+KEY_BUCKETS, FILTER_WORDS = 64, 1 << 18
+BUCKET = "key_bucket"
+
+
+def key_filter_path(table_path: str) -> str:
+    """Bloom filters of a staging table's keys; the name is hidden from readers of the folder."""
+    root, name = os.path.split(table_path.rstrip("/"))
+    return os.path.join(root, "_key_filters", name)
+
+
+def staged(spark: SparkSession, table_path: str) -> DataFrame | None:
+    """A staging table's own columns; None where there is no table."""
+    table = read_or_none(spark, table_path)
+    return None if table is None else table.drop(BUCKET)
+
+
+def _placed(df: DataFrame, keys: list[str], buckets: int, words: int) -> DataFrame:
+    """``df`` with its rows' folder, filter word and the four bits that a key sets there."""
+    h, g = F.xxhash64(*keys), F.xxhash64(F.lit("bits"), *keys)
+    bits = F.lit(0).cast("long")
+    for k in range(4):
+        bits = bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(g, 8 * k).bitwiseAND(63).cast("int")))
+    return df.select("*", F.pmod(h, F.lit(buckets)).cast("int").alias(BUCKET),
+                     F.pmod(F.shiftrightunsigned(h, 20), F.lit(words)).cast("int").alias("__word"), bits.alias("__bits"))
 
-    Re-running the same batch inserts nothing (idempotent). ``rows_attempted`` counts the
-    rows offered, ``rows_inserted`` those appended; both come from observations on the
-    one write job. ``drop_cols`` (ordering-only columns) are not written. Only a path that
-    does not exist is an empty target; a table that cannot be read fails the load.
-    """
-    from pyspark.sql import Observation
 
-    from finflow.session import read_or_none
+def possibly_known(placed: DataFrame, filters: DataFrame) -> DataFrame:
+    """``placed`` with ``__maybe``: the filter of the row's folder may hold its key."""
+    held = filters.groupBy(BUCKET, F.col("word").alias("__word")).agg(F.bit_or("bits").alias("__held"))
+    maybe = F.coalesce(F.col("__held").bitwiseAND(F.col("__bits")) == F.col("__bits"), F.lit(False))
+    return placed.join(held, [BUCKET, "__word"], "left").withColumn("__maybe", maybe).drop("__held")
+
+
+def _buckets_of(df: DataFrame) -> list[int]:
+    """Folder numbers of rows: as many as there are folders at most."""
+    return sorted(r[0] for r in df.select(BUCKET).distinct().collect())
+
+
+def load_staging(batch: DataFrame, table_path: str, keys: list[str], order: list, **layout) -> dict:
+    """``keyed_load``'s counts of rows attempted and inserted."""
+    got = keyed_load(batch, table_path, keys, order, **layout)
+    return {k: got[k] for k in ("rows_attempted", "rows_inserted")}
+
+
+def keyed_load(batch: DataFrame, table_path: str, keys: list[str], order: list, drop_cols: list[str] | None = None,
+               buckets: int = KEY_BUCKETS, words: int = FILTER_WORDS) -> dict:
+    """Append new rows to a Parquet staging table; returns attempted and inserted counts and the
+    number of the table's folders whose keys were read.
+
+    The table is laid out by key hash (``key_bucket=`` folders) with a Bloom filter per folder beside
+    it. A batch's keys are looked up in the filters of its own folders; only folders in which one may
+    be present are opened, so a load costs what the batch and its repeated keys cost, not what the
+    table holds. A load writes its keys' bits before its rows: a run that dies in between leaves bits
+    without rows, which cost a look into a folder, never a row twice.
+
+    Re-running the same batch inserts nothing (idempotent). ``rows_attempted`` counts the rows offered,
+    ``rows_inserted`` those appended. ``drop_cols`` (ordering-only columns) are not written. Only a path
+    that does not exist is an empty target; a table that cannot be read fails the load. A table without
+    filters (written by other means) is compared as a whole and keeps its layout.
+    """
     spark = batch.sparkSession
     out_cols = [c for c in batch.columns if c not in (drop_cols or [])]
-    if existing is None:
-        existing = read_or_none(spark, table_path)
-    if existing is None:  # first load: empty target
-        existing = spark.createDataFrame([], batch.select(*keys).schema)
-    seen, kept = Observation("attempted"), Observation("inserted")
+    filters = read_or_none(spark, key_filter_path(table_path))
+    table = read_or_none(spark, table_path)
+    seen = Observation("attempted")
     offered = batch.observe(seen, F.count(F.lit(1)).alias("n"))
-    new_rows = insert_if_absent(offered, existing, keys, order).select(*out_cols)
-    new_rows.observe(kept, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(table_path)
-    return {"rows_attempted": int(seen.get.get("n", 0) or 0), "rows_inserted": int(kept.get.get("n", 0) or 0)}
+    if table is not None and filters is None:
+        kept = Observation("inserted")
+        new = insert_if_absent(offered, table, keys, order).select(*out_cols).observe(kept, F.count(F.lit(1)).alias("n"))
+        new.write.mode("append").parquet(table_path)
+        return {"rows_attempted": int(seen.get.get("n", 0) or 0), "rows_inserted": int(kept.get.get("n", 0) or 0), "folders_opened": None}
+    first = _placed(first_per_key(offered.filter(keys_present(keys)), keys, order), keys, buckets, words).persist()
+    opened: list[int] = []
+    if filters is None:
+        new = first
+    else:
+        own = filters.filter(F.col(BUCKET).isin(_buckets_of(first)))
+        asked = possibly_known(first, own).persist()
+        opened = _buckets_of(asked.filter("__maybe"))
+        new = asked.drop("__maybe")
+        if opened and table is not None:
+            new = asked.join(keys_in_folders(table, keys, opened), keys, "left_anti").drop("__maybe")
+    new = new.persist()
+    n_new = new.count()
+    attempted = int(seen.get.get("n", 0) or 0)
+    if n_new:
+        (new.groupBy(BUCKET, F.col("__word").alias("word")).agg(F.bit_or("__bits").alias("bits"))
+            .hint("rebalance", BUCKET).write.mode("append").partitionBy(BUCKET).parquet(key_filter_path(table_path)))
+        new.select(*out_cols, BUCKET).hint("rebalance", BUCKET).write.mode("append").partitionBy(BUCKET).parquet(table_path)
+    for df in (new, first, *([asked] if filters is not None else [])):
+        df.unpersist()
+    return {"rows_attempted": attempted, "rows_inserted": n_new, "folders_opened": len(opened)}
+
+
+def keys_in_folders(table: DataFrame, keys: list[str], folders: list[int]) -> DataFrame:
+    """Keys in some of a staging table's folders; the other folders are not listed for reading."""
+    return table.filter(F.col(BUCKET).isin(folders)).select(*keys)
 
 
 def metadata_row(spark, table_name: str, row_count: int) -> DataFrame:

@@ -23,6 +23,7 @@ from finflow.operators import quality as Q
 from finflow.operators import scd
 from finflow.plans import warehouse as W
 from finflow.plans.maintenance import write_monthly
+from finflow.operators.staging import staged
 from finflow.session import read_or_none
 
 CUSTOMER_ATTRS = ["first_name", "last_name", "email", "phone", "address", "city", "state",
@@ -87,7 +88,7 @@ def build_star(spark: SparkSession, staging_root: str, warehouse_root: str, vers
     def log_of(name: str) -> DataFrame | None:
         return read_or_none(spark, os.path.join(changes_root, name)) if changes_root else None
 
-    stg = {n: read_or_none(spark, os.path.join(staging_root, n)) for n in
+    stg = {n: staged(spark, os.path.join(staging_root, n)) for n in
            ["customers", "dealers", "vehicles", "sales", "inventory", "payments", "suppliers",
             "procurement", "interactions", "telemetry"]}
 

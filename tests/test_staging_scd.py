@@ -1,7 +1,9 @@
 import datetime as dt
+import os
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from finflow.operators import quality as Q
 from finflow.operators import scd
@@ -148,3 +150,33 @@ def test_clean_and_dirty_partition_the_rows(spark, rows):
     a = {r.id for r in ok.collect()}
     b = {r.id for r in bad.collect()}
     assert a | b == set(range(len(rows))) and not (a & b)
+
+
+def test_a_load_opens_only_folders_that_may_hold_its_keys(spark, tmp):
+    """Known, new and mixed keys, nulls and repeats; few folders for few keys; a run that died between
+    the filter and the rows; a table written by other means; the plan's partition filter."""
+    from finflow.session import read_or_none
+    path = os.path.join(tmp, "stg")
+    rows = lambda ks, v: spark.createDataFrame([(k, f"n{k}", v, i) for i, k in enumerate(ks)], "k long, name string, v string, pos int")
+    load = lambda df, **kw: ST.keyed_load(df, path, ["k", "name"], ["pos"], drop_cols=["pos"], buckets=16, words=256, **kw)
+    first = load(rows([*range(400), 3, 3, None], "old"))
+    assert first == {"rows_attempted": 403, "rows_inserted": 400, "folders_opened": 0}
+    again = load(rows([5, 5, 6], "new"))
+    assert again["rows_inserted"] == 0 and 1 <= again["folders_opened"] <= 2
+    fresh = load(rows([1000, 1001], "new"))
+    assert fresh["rows_inserted"] == 2 and fresh["folders_opened"] <= 1
+    mixed = load(rows([7, 2000, 1000, None], "new"))
+    assert (mixed["rows_attempted"], mixed["rows_inserted"]) == (4, 1)
+    got = ST.staged(spark, path)
+    assert got.columns == ["k", "name", "v"] and got.count() == 403 == got.select("k").distinct().count()
+    assert got.filter("v = 'old'").count() == 400
+    # bits without rows: the keys are looked for, not found, and inserted
+    lost = ST._placed(rows([9000], "x"), ["k", "name"], 16, 256)
+    lost.select(ST.BUCKET, F.col("__word").alias("word"), F.col("__bits").alias("bits")).write.mode("append").partitionBy(ST.BUCKET).parquet(ST.key_filter_path(path))
+    assert load(rows([9000], "late"))["rows_inserted"] == 1 and load(rows([9000], "late"))["rows_inserted"] == 0
+    plan = ST.keys_in_folders(read_or_none(spark, path), ["k"], [3])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(key_bucket" in plan and "(key_bucket" in plan and "= 3)" in plan
+    other = os.path.join(tmp, "flat")
+    rows([1, 2], "old").drop("pos").write.parquet(other)
+    assert ST.load_staging(rows([2, 3], "new"), other, ["k", "name"], ["pos"], drop_cols=["pos"])["rows_inserted"] == 1
+    assert spark.read.parquet(other).count() == 3
