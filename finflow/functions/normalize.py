@@ -144,8 +144,8 @@ def parse_timestamp(col) -> Column:
 
     The shape decides how the text is read, so a value is cast once: ISO dates and times
     (fractions kept to the microsecond, a zone's offset taken off, so the value is UTC),
-    ``yyyy/MM/dd``, ``dd-MM-yyyy``, ``dd/MM/yyyy`` and, where the day-first reading is
-    no date, ``MM/dd/yyyy``. Impossible dates are null.
+    ``yyyy/MM/dd``, and month before day (``MM/dd/yyyy``, ``MM-dd-yyyy``), as tabular readers
+    take an ambiguous date; where that is no date, day before month. Impossible dates are null.
     """
     c = F.trim(_c(col).cast("string"))
     iso = c.rlike(ISO_SHAPE)
@@ -157,12 +157,11 @@ def parse_timestamp(col) -> Column:
                       + F.coalesce(F.regexp_extract(c, ZONE, 3).try_cast("int"), F.lit(0)))
     ntz = T.TimestampNTZType()
     day_first = F.regexp_replace(c, r"^(\d{2})[-/](\d{2})[-/](\d{4})$", "$3-$2-$1").try_cast(ntz)
-    month_first = F.regexp_replace(c, r"^(\d{2})/(\d{2})/(\d{4})$", "$3-$1-$2").try_cast(ntz)
+    month_first = F.regexp_replace(c, r"^(\d{2})[-/](\d{2})[-/](\d{4})$", "$3-$1-$2").try_cast(ntz)
     return (F.when(zoned, wall.try_cast(ntz) - F.make_dt_interval(mins=minutes))
              .when(iso, plain.try_cast(ntz))
              .when(c.rlike(r"^\d{4}/\d{2}/\d{2}$"), F.translate(c, "/", "-").try_cast(ntz))
-             .when(c.rlike(r"^\d{2}-\d{2}-\d{4}$"), day_first)
-             .when(c.rlike(r"^\d{2}/\d{2}/\d{4}$"), F.coalesce(day_first, month_first)))
+             .when(c.rlike(r"^\d{2}(-\d{2}-|/\d{2}/)\d{4}$"), F.coalesce(month_first, day_first)))
 
 
 def parse_date(col) -> Column:

@@ -221,8 +221,9 @@ def _load_dataset(spark, dataset: str, file_rows: list[dict], out_root: str, run
     load = {"rows_attempted": 0, "rows_inserted": 0}
     if not accepted.isEmpty():
         # (without an accepted file the required columns may not even exist in the rows)
-        typed = typed_for_target(ok, schemas.STAGING[dataset])
-        load = ST.load_staging(typed, os.path.join(out_root, "staging", dataset), schemas.PRIMARY_KEYS[dataset],
+        more = [T.StructField(c, t) for c, t in schemas.LOGGED_EXTRAS.get(dataset, [])]
+        typed = typed_for_target(ok, T.StructType([*schemas.STAGING[dataset].fields, *more]))
+        load = ST.load_staging(typed.drop(*[f.name for f in more]), os.path.join(out_root, "staging", dataset), schemas.PRIMARY_KEYS[dataset],
                                ["source_file", "row_pos"], drop_cols=["source_file", "row_pos"])
         # the change log beside staging: every clean row as it came, also of known keys
         _replace_run(typed.withColumn("loaded_at", F.lit(started).cast("timestamp_ntz"))

@@ -35,7 +35,7 @@ def money(col) -> F.Column:
 
 def sales_raw(orders: DataFrame) -> DataFrame:
     pr = F.col("o_orderpriority")
-    sale_date = (F.when(pr == "1-URGENT", F.date_format("o_orderdate", "dd-MM-yyyy"))
+    sale_date = (F.when(pr == "1-URGENT", F.date_format("o_orderdate", "MM-dd-yyyy"))
                   .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")))
     price = money("o_totalprice").cast("string")
     return orders.select(
@@ -78,7 +78,7 @@ def customers_raw(customer: DataFrame) -> DataFrame:
     dob_day = F.date_add(F.lit("1950-01-01").cast("date"), F.col("c_nationkey") * 500 + 17)
     dob = (F.when(F.col("c_acctbal") > 9000, F.lit("31-02-2025"))
             .when(F.col("c_nationkey") < 10, F.date_format(dob_day, "yyyy-MM-dd"))
-            .otherwise(F.date_format(dob_day, "dd/MM/yyyy")))
+            .otherwise(F.date_format(dob_day, "MM/dd/yyyy")))
     return customer.select(
         F.col("c_custkey").cast("string").alias("customer_id"), name.alias("name"),
         email.alias("email"), phone.alias("phone"), status.alias("status"),

@@ -1,8 +1,8 @@
 """Staging -> star schema: the warehouse load for the ten staging tables.
 
-Each refresh reads the staging tables, keeps the type-2 dimensions up from the change log (so
-versions accumulate run over run), rewrites the type-1 dimensions and the facts,
-and writes payments and telemetry month-partitioned. Every table goes to a new version
+Each refresh reads the staging tables, takes the change log's new runs into the type-2 dimensions
+(``incremental``), rewrites the type-1 dimensions and the facts,
+and writes payments and telemetry month-partitioned. Every other table goes to a new version
 folder under ``warehouse_root`` and ``current`` pointers are returned, because a table
 cannot be overwritten while it is being read.
 """
@@ -13,6 +13,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from finflow import schemas
 from finflow.functions import keys as K
@@ -21,6 +22,7 @@ from finflow.functions import rules as R
 from finflow.operators import lookups as L
 from finflow.operators import quality as Q
 from finflow.operators import scd
+from finflow.plans import incremental as I
 from finflow.plans import warehouse as W
 from finflow.plans.maintenance import write_monthly
 from finflow.operators.staging import staged
@@ -32,11 +34,12 @@ VEHICLE_ATTRS = ["vehicle_id", "make", "model", "year", "color", "dealer_id"]
 TELEMETRY_SENSORS = ["speed", "fuel_level", "engine_temperature"]
 
 
-def _history(staged: DataFrame, changes: DataFrame | None, key: str, attrs: list[str], first_at: str, asof) -> DataFrame:
+def _history(staged: DataFrame | None, changes: DataFrame | None, key: str, attrs: list[str], first_at: str, asof,
+             known: DataFrame | None = None) -> DataFrame:
     """Dated rows of a type-2 member: key, attrs, at, ord.
 
     With a change log, a row counts from the day it was loaded, and a key's very first one
-    from its own date if that is earlier. Without a log the staged rows count from their
+    (of keys that the dimension does not know yet) from its own date if that is earlier. Without a log the staged rows count from their
     own date, else from the refresh day.
     """
     rows = changes if changes is not None else staged
@@ -44,7 +47,9 @@ def _history(staged: DataFrame, changes: DataFrame | None, key: str, attrs: list
     own = F.col(first_at).cast("timestamp_ntz") if first_at in rows.columns else F.lit(None).cast("timestamp_ntz")
     if changes is not None:
         first = rows.groupBy(key).agg(F.min(F.struct("loaded_at", "row_order")).alias("__first"))
-        rows = rows.join(first, key)
+        if known is not None:
+            first = first.join(known, key, "left_anti")
+        rows = rows.join(first, key, "left")
         is_first = (F.col("loaded_at") == F.col("__first.loaded_at")) & (F.col("row_order") == F.col("__first.row_order"))
         at = F.when(is_first, F.least(own, F.col("loaded_at"))).otherwise(F.col("loaded_at"))
         order = F.struct("loaded_at", "row_order")
@@ -54,11 +59,10 @@ def _history(staged: DataFrame, changes: DataFrame | None, key: str, attrs: list
     return rows.select(key, *have, at.alias("at"), F.to_json(order).alias("ord"))
 
 
-def refresh_scd2(previous: DataFrame | None, history: DataFrame, key: str, attrs: list[str], from_log: bool) -> DataFrame:
-    """M2 / M3 / M4: versions of the members. From a change log they follow from the whole
-    log; without one, this refresh's rows are merged into the previous version."""
+def refresh_scd2(previous: DataFrame | None, history: DataFrame, key: str, attrs: list[str]) -> DataFrame:
+    """M2 / M3 / M4 without a change log: this refresh's rows are merged into the previous version."""
     versions = scd.scd2_from_history(history, [key], attrs, "at", ["ord"])
-    if from_log or previous is None:
+    if previous is None:
         return versions
     return scd.scd2_merge(previous.select(key, *attrs, "effective_date", "expiry_date", "is_current"),
                           versions.select(key, *attrs, "effective_date"), [key], attrs)
@@ -70,7 +74,9 @@ def build_star(spark: SparkSession, staging_root: str, warehouse_root: str, vers
     """Build every table present in staging; returns {table: path} of this version.
 
     ``changes_root`` is the batch run's change log (``<out>/changes``), from which changed
-    members of the dimensions get new versions although staging keeps its first rows.
+    members of the dimensions get new versions although staging keeps its first rows; it also
+    carries the sales' discounts, which staging lacks. A run that was written again after a refresh
+    took it in counts anew only in a new warehouse.
     Without it ``previous`` points at the last version's type-2 dimensions, into which the
     staged rows are merged. Constraint violations per table are written to ``checks``.
     """
@@ -86,17 +92,28 @@ def build_star(spark: SparkSession, staging_root: str, warehouse_root: str, vers
         out[name] = path
 
     def log_of(name: str) -> DataFrame | None:
-        return read_or_none(spark, os.path.join(changes_root, name)) if changes_root else None
+        log = read_or_none(spark, os.path.join(changes_root, name)) if changes_root else None
+        if log is None:
+            return None
+        # Run ids are text, whatever their folders' names look like.
+        schema = T.StructType([T.StructField("run_id", T.StringType()) if f.name == "run_id" else f for f in log.schema.fields])
+        return spark.read.schema(schema).parquet(os.path.join(changes_root, name))
 
     stg = {n: staged(spark, os.path.join(staging_root, n)) for n in
            ["customers", "dealers", "vehicles", "sales", "inventory", "payments", "suppliers",
             "procurement", "interactions", "telemetry"]}
 
     # --- dimensions ---
-    def type2(table: str, dataset: str, key: str, attrs: list[str], first_at: str) -> DataFrame:
+    def type2(table: str, dataset: str, key: str, attrs: list[str], first_at: str, derive) -> None:
         log = log_of(dataset)
-        prev_dim = spark.read.parquet(prev[table]) if table in prev else None
-        return refresh_scd2(prev_dim, _history(stg[dataset], log, key, attrs, first_at, asof), key, attrs, log is not None)
+        if log is None:
+            prev_dim = spark.read.parquet(prev[table]) if table in prev else None
+            save(table, derive(refresh_scd2(prev_dim, _history(stg[dataset], None, key, attrs, first_at, asof), key, attrs)))
+            return
+        # One table for all refreshes: only the log's new runs are read, only changed keys' folders written.
+        out[table] = os.path.join(warehouse_root, table, "by_runs")
+        I.refresh_dimension(spark, log, out[table], [key], attrs, "at", ["ord"], derive=derive,
+                            history=lambda rows, known: _history(None, rows, key, attrs, first_at, asof, known))
 
     def newest(dataset: str, key: str, order: list[str]) -> DataFrame:
         log = log_of(dataset)
@@ -106,13 +123,12 @@ def build_star(spark: SparkSession, staging_root: str, warehouse_root: str, vers
         return scd.latest_per_key(rows.filter(F.col(key).isNotNull()), [key], order).select(*out_cols)
 
     if stg["customers"] is not None:
-        dim = type2("dim_customer", "customers", "customer_id", CUSTOMER_ATTRS, "created_at")
-        dim = dim.withColumn("customer_name", N.full_name("first_name", "last_name")) \
-                 .withColumn("customer_key", K.surrogate_key("customer_id", "effective_date"))
-        save("dim_customer", dim)
+        type2("dim_customer", "customers", "customer_id", CUSTOMER_ATTRS, "created_at", lambda dim:
+              dim.withColumn("customer_name", N.full_name("first_name", "last_name"))
+                 .withColumn("customer_key", K.surrogate_key("customer_id", "effective_date")))
     if stg["vehicles"] is not None:
-        dim = type2("dim_vehicle", "vehicles", "vin", VEHICLE_ATTRS, "purchase_date")
-        save("dim_vehicle", dim.withColumn("vehicle_key", K.surrogate_key("vin", "effective_date")))
+        type2("dim_vehicle", "vehicles", "vin", VEHICLE_ATTRS, "purchase_date", lambda dim:
+              dim.withColumn("vehicle_key", K.surrogate_key("vin", "effective_date")))
     if stg["dealers"] is not None:
         d = newest("dealers", "dealer_id", ["created_at", "dealer_name"])
         save("dim_dealer", d.withColumn("dealer_key", K.surrogate_key("dealer_id")))
@@ -151,6 +167,11 @@ def build_star(spark: SparkSession, staging_root: str, warehouse_root: str, vers
     if stg["sales"] is not None:
         s = stg["sales"].filter(F.col("sale_id").isNotNull()).withColumn("sale_day", F.to_date("sale_date"))
         s = type1(vehicle_pit(customer_pit(s, "sale_day"), "sale_day"), "dim_dealer", "dealer_id", "dealer_key")
+        log = log_of("sales")
+        if log is not None and "discount_amount" in log.columns:  # staging lacks it; a sale's first row counts, as there
+            given = log.filter(F.col("sale_id").isNotNull()).groupBy(F.col("sale_id").alias("__sale")).agg(
+                F.min_by(F.struct("discount_amount"), F.struct("loaded_at", "row_order")).alias("__given"))
+            s = s.join(given, F.col("sale_id") == F.col("__sale"), "left").withColumn("discount_amount", F.col("__given.discount_amount"))
         discount = F.col("discount_amount") if "discount_amount" in s.columns else F.lit(None).cast("decimal(18,2)")
         fact = s.select(K.surrogate_key("sale_id").alias("sales_key"), "sale_id",
                         F.col("sale_day").alias("sale_date"), K.date_key("sale_day").alias("sale_date_key"),

@@ -228,6 +228,9 @@ STAGING = {
 
 PRIMARY_KEYS = {name: [schema.fields[0].name] for name, schema in STAGING.items()}
 
+# Columns that the landed files have, the staging tables lack and the facts need; the change log carries them.
+LOGGED_EXTRAS = {"sales": [("discount_amount", MONEY)]}
+
 # Columns of each dataset's stream messages besides its staging columns (message contract).
 EVENT_EXTRAS = {
     "customers": ["name", "gender", "province"],

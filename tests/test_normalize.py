@@ -51,11 +51,12 @@ def test_recode_status(spark):
 
 
 def test_dates_several_formats_and_impossible(spark):
-    vals = ["2025-01-05", "05-01-2025", "2025-01-05 10:11:12", "31-02-2025", "junk", None, "05/01/2025"]
+    """An ambiguous date is month first, as pandas' ``to_datetime`` has it; 25/01 can only be day first."""
+    vals = ["2025-01-05", "01-05-2025", "2025-01-05 10:11:12", "31-02-2025", "junk", None, "03/04/2026", "25/01/2025", "25-01-2025"]
     df = spark.createDataFrame([(v,) for v in vals], "d string")
     out = [r.o for r in df.select(N.parse_date("d").alias("o")).collect()]
     assert out == [dt.date(2025, 1, 5), dt.date(2025, 1, 5), dt.date(2025, 1, 5), None, None, None,
-                   dt.date(2025, 1, 5)]
+                   dt.date(2026, 3, 4), dt.date(2025, 1, 25), dt.date(2025, 1, 25)]
 
 
 def test_money_try_cast(spark):
@@ -90,7 +91,7 @@ def test_parse_keeps_wall_clock_in_any_zone(spark):
     old = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
-        df = spark.createDataFrame([("2024-03-10 02:30:00",), ("31-02-2025",), ("10-03-2024",)], "s string")
+        df = spark.createDataFrame([("2024-03-10 02:30:00",), ("31-02-2025",), ("03-10-2024",)], "s string")
         out = [r.o for r in df.select(N.parse_timestamp("s").alias("o")).collect()]
         assert out == [dt.datetime(2024, 3, 10, 2, 30), None, dt.datetime(2024, 3, 10, 0, 0)]
     finally:

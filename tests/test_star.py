@@ -86,6 +86,11 @@ def test_landed_files_to_star(spark, tmp):
     assert sales["S4"].customer_key is None                  # C4 had no valid e-mail
     pays = spark.read.parquet(v["fact_payments"]).collect()
     assert sorted(r.payment_status for r in pays) == ["Failed", "Paid"]
+    assert {r.discount_amount for r in sales.values()} == {0}   # staging has none; the change log carries it
+    v = build_star(spark, os.path.join(out, "staging"), wh, "002", "2026-02-28", changes_root=os.path.join(out, "changes"))
+    logged = {r.sale_id: r for r in spark.read.parquet(v["fact_sales"]).collect()}
+    assert all(r.final_price == r.sale_price - r.discount_amount for r in logged.values()) and any(r.discount_amount > 0 for r in logged.values())
+    assert "discount_amount" not in spark.read.parquet(os.path.join(out, "staging", "sales")).columns
 
 
 def test_changed_customer_gets_a_new_version(spark, tmp):
@@ -108,3 +113,37 @@ def test_changed_customer_gets_a_new_version(spark, tmp):
     v2 = build_star(spark, f"{out}/staging", wh, "2", "2026-01-20", v1, changes_root=f"{out}/changes")
     got = spark.read.parquet(v2["dim_customer"]).orderBy("effective_date").collect()
     assert [(r.city, str(r.effective_date), r.is_current) for r in got] == [("Toronto", "2026-01-01", False), ("Montreal", "2026-01-20", True)]
+
+
+def test_dimension_refreshed_by_runs(spark, tmp):
+    """Runs in order, late rows, confirmations, a same-day correction and nulls equal one build over the
+    log; a refresh without new runs does nothing; folders of untouched keys keep their files."""
+    from finflow.operators import scd
+    from finflow.plans import incremental as I
+    log_path, dim_path = os.path.join(tmp, "log"), os.path.join(tmp, "wh", "dim")
+    runs = {
+        "0001": [(k, "a", f"2026-01-0{1 + k % 3} 10:00:00", 1) for k in range(40)] + [(None, "a", "2026-01-01 00:00:00", 1), (7, "x", None, 1)],
+        "0002": [(1, "a", "2026-01-20 10:00:00", 2), (2, "b", "2026-01-20 10:00:00", 2), (2, "c", "2026-01-20 11:00:00", 3), (50, "n", "2026-01-20 10:00:00", 2)],
+        "0003": [(1, "z", "2026-01-10 10:00:00", 4), (2, "b", "2026-01-20 12:00:00", 5), (3, None, "2026-02-01 10:00:00", 5)],
+    }
+
+    def refresh():
+        log = spark.read.schema("k long, v string, at timestamp_ntz, pos int, run_id string").parquet(log_path)
+        return I.refresh_dimension(spark, log, dim_path, ["k"], ["v"], "at", ["pos"], buckets=8)
+
+    def files():
+        return {os.path.join(d, f) for d, _, fs in os.walk(dim_path) for f in fs if f.endswith(".parquet")}
+
+    done, held = [], []
+    for name, rows in runs.items():
+        df = spark.createDataFrame([(k, v, at and T(at), p) for k, v, at, p in rows], "k long, v string, at timestamp_ntz, pos int")
+        df.write.parquet(os.path.join(log_path, f"run_id={name}"))
+        done.append(refresh())
+        held.append(files())
+    assert [d["runs"] for d in done] == [1, 1, 1] and refresh() == {"runs": 0, "late_keys": 0, "folders_written": 0} and files() == held[-1]
+    assert done[1]["late_keys"] == 0 and done[2]["late_keys"] == 2      # key 1 has an older row, key 2 one of the same day
+    assert done[0]["folders_written"] == 8 and done[2]["folders_written"] <= 3 and len(held[1] & held[2]) >= 5
+    log = spark.read.schema("k long, v string, at timestamp_ntz, pos int, run_id string").parquet(log_path)
+    want = scd.scd2_from_history(log, ["k"], ["v"], "at", ["pos"])
+    got = I.dimension(spark, dim_path)
+    assert sorted(map(repr, got.select(*want.columns).collect())) == sorted(map(repr, want.collect()))
