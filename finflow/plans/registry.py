@@ -63,7 +63,7 @@ def _case_map(expr: str, mapping: dict[str, str]) -> str:
 
 _TS_PARSE = ", ".join(
     f"try_strptime(trim({{c}}), '{f}')" for f in
-    ["%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d", "%d-%m-%Y", "%d/%m/%Y", "%m/%d/%Y", "%Y/%m/%d"])
+    ["%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d", "%m-%d-%Y", "%m/%d/%Y", "%m/%d/%Y", "%Y/%m/%d"])
 
 
 def _parse_ts(col: str) -> str:
@@ -72,7 +72,7 @@ def _parse_ts(col: str) -> str:
 
 SQL_SALES_RAW = """
 SELECT CAST(o_orderkey AS VARCHAR) AS sale_id, CAST(o_custkey AS VARCHAR) AS customer_id,
-  CASE WHEN o_orderpriority = '1-URGENT' THEN strftime(o_orderdate, '%d-%m-%Y')
+  CASE WHEN o_orderpriority = '1-URGENT' THEN strftime(o_orderdate, '%m-%d-%Y')
        ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS sale_date,
   CASE WHEN o_orderpriority = '2-HIGH' THEN ' ' || CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) || ' '
        ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS sale_price,
@@ -95,7 +95,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
        WHEN 'FURNITURE' THEN 'Pending' WHEN 'HOUSEHOLD' THEN 'Closed' ELSE 'active' END AS status,
   CASE WHEN c_acctbal > 9000 THEN '31-02-2025'
        WHEN c_nationkey < 10 THEN strftime(DATE '1950-01-01' + (c_nationkey * 500 + 17), '%Y-%m-%d')
-       ELSE strftime(DATE '1950-01-01' + (c_nationkey * 500 + 17), '%d/%m/%Y') END AS date_of_birth
+       ELSE strftime(DATE '1950-01-01' + (c_nationkey * 500 + 17), '%m/%d/%Y') END AS date_of_birth
 FROM customer
 """
 
