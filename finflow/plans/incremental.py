@@ -1,4 +1,4 @@
-"""Type-2 dimensions kept up from a change log, run by run (M2-M4).
+"""Type-2 dimensions and facts kept up from change logs, run by run.
 
 The log's runs that a dimension has taken in are its high-water mark; a refresh reads the new runs
 alone. A changed key is settled from its current version and its new rows. Only where a new row is
@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finflow.functions import keys as K
 from finflow.operators import scd
 from finflow.operators.staging import BUCKET
 from finflow.session import read_or_none, scratch_path
@@ -104,3 +105,53 @@ def _versions(points: DataFrame, keys: list[str], attrs: list[str]) -> DataFrame
     version that passes a refresh keeps an older such day; the current one's counts."""
     seen = points.groupBy(*keys).agg(F.max("effective_date").alias(SEEN))
     return scd.versions(points, keys, attrs).join(seen, keys)
+
+
+# --- facts by month (M8-M13) ---------------------------------------------------------------
+
+
+def _month(date_col: str) -> F.Column:
+    """Label of a row's month; rows without a date share one."""
+    return F.coalesce(K.month_label(F.to_date(date_col)), F.lit(NO_MONTH))
+
+
+NO_MONTH = "none"
+
+
+def refresh_months(spark: SparkSession, fact_path: str, rows: DataFrame, date_col: str, build: Callable[[DataFrame], DataFrame],
+                   own: DataFrame, members: dict[str, tuple[DataFrame, Callable[[DataFrame], DataFrame]]], sort: list[str]) -> dict:
+    """Write again those months of a fact that a refresh can change; returns what was done.
+
+    ``rows`` are the fact's staged rows, ``build`` makes facts of any of them and keeps ``date_col``.
+    ``own`` is the change log of the rows themselves: its new runs' rows name months. ``members`` maps
+    a name to a dimension's change log and a function from that log's new rows to the members they
+    touch, as a frame whose columns are named as in ``rows``: months with facts of such a member are
+    affected too, since it may have got another version. The fact has a mark of the runs it has seen of
+    each log, so a refresh that died is taken up by the next one. Months of the list are replaced one
+    by one (dynamic partition overwrite), all others keep their files.
+    """
+    logs = {"own": own, **{name: log for name, (log, _) in members.items()}}
+    marks = {name: f"{fact_path.rstrip('/')}.{name}" for name in logs}
+    runs = {name: new_runs(spark, log, marks[name]) for name, log in logs.items()}
+    done = {"runs": sum(map(len, runs.values())), "months": []}
+    if not done["runs"]:
+        return done
+    labelled = rows.withColumn("__month", _month(date_col))
+    if read_or_none(spark, fact_path) is None:
+        part = labelled
+    else:
+        months = own.filter(F.col("run_id").isin(runs["own"])).select(_month(date_col).alias("__month"))
+        for name, (log, touched) in members.items():
+            if runs[name]:
+                keys = touched(log.filter(F.col("run_id").isin(runs[name]))).distinct()
+                months = months.unionByName(labelled.join(keys, keys.columns, "left_semi").select("__month"))
+        affected = sorted(r[0] for r in months.distinct().collect())  # bounded by the calendar
+        part = labelled.filter(F.col("__month").isin(affected))
+    facts = _kept(build(part.drop("__month")).withColumn("ym", _month(date_col)), "fact-months")
+    done["months"] = sorted(r.ym for r in facts.select("ym").distinct().collect())
+    (facts.hint("rebalance", "ym").sortWithinPartitions("ym", *sort).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("ym").parquet(fact_path))
+    for name, own_runs in runs.items():
+        if own_runs:
+            spark.createDataFrame([(r,) for r in own_runs], "run_id string").write.mode("append").parquet(applied_path(marks[name]))
+    return done

@@ -1500,6 +1500,35 @@ def m2_m4_refresh_by_runs(spark, sf):
     return I.dimension(spark, dim_path)
 
 
+@register("m8_refresh_by_months", f"""
+WITH d AS ({SQL_DIM_CUSTOMER})
+SELECT o_orderkey AS sale_id, CAST(o_orderdate AS DATE) AS sale_date, d.effective_date AS customer_since, d.priority_tier FROM orders
+LEFT JOIN d ON d.customer_id = o_custkey AND CAST(o_orderdate AS DATE) >= d.effective_date
+  AND CAST(o_orderdate AS DATE) <= coalesce(d.expiry_date, DATE '9999-12-31')
+""")
+def m8_refresh_by_months(spark, sf):
+    """Sales and their customers' changes arrive in three runs, the last one late; after each only
+    months with new sales or with sales of a changed customer are written again."""
+    from finflow.plans import incremental as I
+    root = scratch_path(spark, "by_months")
+    dim, fact, log_path = f"{root}/dim_customer", f"{root}/fact_sales", f"{root}/log"
+    sales = t(spark, sf, "orders").select(F.col("o_orderkey").alias("sale_id"), F.to_date("o_orderdate").alias("sale_date"),
+                                          F.col("o_custkey").alias("customer_id"), F.col("o_orderpriority").alias("priority_tier"))
+    early, odd = F.col("sale_date") < F.lit("1996-01-01").cast("date"), F.col("sale_id") % 2 == 1
+
+    def build(rows):
+        found = L.point_in_time(rows.drop("priority_tier"), I.dimension(spark, dim), "customer_id", "customer_id", "sale_date",
+                                {"effective_date": "customer_since", "priority_tier": "priority_tier"})
+        return found.select("sale_id", "sale_date", "customer_since", "priority_tier")
+
+    for k, part in enumerate((early, ~early & odd, ~early & ~odd)):
+        sales.filter(part).withColumn("run_id", F.lit(f"run{k}")).write.mode("append").partitionBy("run_id").parquet(log_path)
+        log = spark.read.parquet(log_path)
+        I.refresh_dimension(spark, log, dim, ["customer_id"], ["priority_tier"], "sale_date", ["sale_id"])
+        I.refresh_months(spark, fact, log.drop("run_id"), "sale_date", build, log, {"customers": (log, lambda rows: rows.select("customer_id"))}, ["sale_id"])
+    return spark.read.parquet(fact).drop("ym")
+
+
 @register("q16_table_constraints", " UNION ALL ".join([
     _totals_sql([("dim_customer.expiry_after_effective", "expiry_date >= effective_date"), ("dim_customer.customer_id_not_null", "customer_id IS NOT NULL"),
                  ("dim_customer.effective_date_not_null", "effective_date IS NOT NULL")], SQL_DIM_CUSTOMER),

@@ -1,8 +1,8 @@
 """Staging -> star schema: the warehouse load for the ten staging tables.
 
 Each refresh reads the staging tables, takes the change log's new runs into the type-2 dimensions
-(``incremental``), rewrites the type-1 dimensions and the facts,
-and writes payments and telemetry month-partitioned. Every other table goes to a new version
+(``incremental``), writes again those months of the sales that can have changed, rewrites the type-1
+dimensions and the other facts, payments and telemetry month-partitioned. Every other table goes to a new version
 folder under ``warehouse_root`` and ``current`` pointers are returned, because a table
 cannot be overwritten while it is being read.
 """
@@ -165,21 +165,37 @@ def build_star(spark: SparkSession, staging_root: str, warehouse_root: str, vers
 
     # --- facts ---
     if stg["sales"] is not None:
-        s = stg["sales"].filter(F.col("sale_id").isNotNull()).withColumn("sale_day", F.to_date("sale_date"))
-        s = type1(vehicle_pit(customer_pit(s, "sale_day"), "sale_day"), "dim_dealer", "dealer_id", "dealer_key")
         log = log_of("sales")
-        if log is not None and "discount_amount" in log.columns:  # staging lacks it; a sale's first row counts, as there
-            given = log.filter(F.col("sale_id").isNotNull()).groupBy(F.col("sale_id").alias("__sale")).agg(
-                F.min_by(F.struct("discount_amount"), F.struct("loaded_at", "row_order")).alias("__given"))
-            s = s.join(given, F.col("sale_id") == F.col("__sale"), "left").withColumn("discount_amount", F.col("__given.discount_amount"))
-        discount = F.col("discount_amount") if "discount_amount" in s.columns else F.lit(None).cast("decimal(18,2)")
-        fact = s.select(K.surrogate_key("sale_id").alias("sales_key"), "sale_id",
-                        F.col("sale_day").alias("sale_date"), K.date_key("sale_day").alias("sale_date_key"),
-                        "customer_key", "vehicle_key", "dealer_key", "sale_price",
-                        F.coalesce(discount, F.lit(0)).cast("decimal(18,2)").alias("discount_amount"),
-                        N.net_price("sale_price", discount).cast("decimal(18,2)").alias("final_price"),
-                        "payment_method")
-        save("fact_sales", fact)
+
+        def sales_facts(s: DataFrame) -> DataFrame:
+            s = s.withColumn("sale_day", F.to_date("sale_date"))
+            s = type1(vehicle_pit(customer_pit(s, "sale_day"), "sale_day"), "dim_dealer", "dealer_id", "dealer_key")
+            if log is not None and "discount_amount" in log.columns:  # staging lacks it; a sale's first row counts, as there
+                given = log.filter(F.col("sale_id").isNotNull()).groupBy(F.col("sale_id").alias("__sale")).agg(
+                    F.min_by(F.struct("discount_amount"), F.struct("loaded_at", "row_order")).alias("__given"))
+                s = s.join(given, F.col("sale_id") == F.col("__sale"), "left").withColumn("discount_amount", F.col("__given.discount_amount"))
+            discount = F.col("discount_amount") if "discount_amount" in s.columns else F.lit(None).cast("decimal(18,2)")
+            return s.select(K.surrogate_key("sale_id").alias("sales_key"), "sale_id",
+                            F.col("sale_day").alias("sale_date"), K.date_key("sale_day").alias("sale_date_key"),
+                            "customer_key", "vehicle_key", "dealer_key", "sale_price",
+                            F.coalesce(discount, F.lit(0)).cast("decimal(18,2)").alias("discount_amount"),
+                            N.net_price("sale_price", discount).cast("decimal(18,2)").alias("final_price"),
+                            "payment_method")
+
+        sold = stg["sales"].filter(F.col("sale_id").isNotNull())
+        if log is None:
+            save("fact_sales", sales_facts(sold))
+        else:  # only months with new sales, or with sales of a changed customer, vehicle or dealer
+            def vehicle_ids(rows: DataFrame) -> DataFrame:
+                """Ids that a changed vin has or had."""
+                held = dims["dim_vehicle"].join(rows.select("vin"), "vin", "left_semi").select("vehicle_id")
+                return held.unionByName(rows.select("vehicle_id")).filter(F.col("vehicle_id").isNotNull())
+
+            touched = {"customers": lambda rows: rows.select("customer_id"), "dealers": lambda rows: rows.select("dealer_id"), "vehicles": vehicle_ids}
+            logs = {name: log_of(name) for name in touched}
+            out["fact_sales"] = os.path.join(warehouse_root, "fact_sales", "by_months")
+            I.refresh_months(spark, out["fact_sales"], sold, "sale_date", sales_facts, log,
+                             {name: (own, touched[name]) for name, own in logs.items() if own is not None}, ["sale_id"])
         dates.append(("fact_sales", "sale_date"))
     if stg["payments"] is not None:
         p = stg["payments"].filter(F.col("payment_id").isNotNull()).withColumn("pay_day", F.to_date("payment_date"))

@@ -147,3 +147,38 @@ def test_dimension_refreshed_by_runs(spark, tmp):
     want = scd.scd2_from_history(log, ["k"], ["v"], "at", ["pos"])
     got = I.dimension(spark, dim_path)
     assert sorted(map(repr, got.select(*want.columns).collect())) == sorted(map(repr, want.collect()))
+
+
+def test_only_affected_months_of_a_fact_are_written_again(spark, tmp):
+    """New facts, a changed member with facts in one month, a member without facts, undated rows: the
+    months that can change are replaced, the others keep their files, and all equals one build."""
+    from finflow.plans import incremental as I
+    log_path, dim_log, fact = (os.path.join(tmp, x) for x in ("log", "members", "wh/fact"))
+
+    def land(path, run, rows, schema):
+        spark.createDataFrame(rows, schema).write.parquet(os.path.join(path, f"run_id={run}"))
+
+    def refresh():
+        log = spark.read.schema("id long, day date, who string, run_id string").parquet(log_path)
+        members = spark.read.schema("who string, city string, run_id string").parquet(dim_log)
+        newest = members.groupBy("who").agg(F.max_by("city", "run_id").alias("city"))
+        build = lambda rows: rows.join(newest, "who", "left").select("id", "day", "city")
+        done = I.refresh_months(spark, fact, log.drop("run_id"), "day", build, log, {"who": (members, lambda rows: rows.select("who"))}, ["id"])
+        want = build(log).collect()
+        assert sorted(map(repr, spark.read.parquet(fact).drop("ym").collect())) == sorted(map(repr, want))
+        return done["months"], {os.path.join(d, f) for d, _, fs in os.walk(fact) for f in fs if f.endswith(".parquet")}
+
+    facts, people = "id long, day date, who string", "who string, city string"
+    land(log_path, "1", [(k, D(f"2026-0{1 + k % 3}-05"), "A" if k % 3 else "B") for k in range(30)] + [(99, None, "C")], facts)
+    land(dim_log, "1", [("A", "x"), ("B", "x")], people)
+    months, first = refresh()
+    assert months == ["2026_01", "2026_02", "2026_03", "none"]
+    assert refresh() == ([], first)
+    land(log_path, "2", [(40, D("2026-03-20"), "A"), (41, D("2026-04-01"), "Z")], facts)
+    months, second = refresh()
+    assert months == ["2026_03", "2026_04"] and len(first & second) == 3
+    land(dim_log, "2", [("B", "y"), ("Q", "y")], people)          # B has sales in January only, Q none
+    months, third = refresh()
+    assert months == ["2026_01"] and len(second & third) == len(second) - 1
+    land(dim_log, "3", [("C", "w")], people)                      # the undated row's member
+    assert refresh()[0] == ["none"]
