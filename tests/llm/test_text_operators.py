@@ -81,7 +81,7 @@ def aligned_rows(df):
     return Counter((r.doc_id, r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups_sha256) for r in df.collect())
 
 
-@pytest.mark.parametrize("setting", [{}, {"BLOCK": 2000}, {"PIECES": 20, "TOGETHER": 3}, {"LISTED": 2}])
+@pytest.mark.parametrize("setting", [{}, {"BLOCK": 2000, "PIECES": 20, "TOGETHER": 3, "LISTED": 2}])
 def test_alignment(docs, coders, monkeypatch, setting):
     """Also in blocks of a few documents, with a small memory, and with links counted instead of listed."""
     for name, value in setting.items():
@@ -160,19 +160,19 @@ def misspelt(spark):
             chain.append((rng.choice([x[:i] + x[i + 1:], x[:i] + rng.choice("abeéÿ") + x[i:], x[:i] + rng.choice("abeéÿ") + x[i + 1:]]), max(2, k // rng.choice([4, 6]))))
         words += [x.upper() if rng.random() < .1 else x for x, _ in chain]
         weights += [k for _, k in chain]
-    rows = [(k, " ".join(rng.choices(words, weights, k=60)) + ", don't×stop÷now", "en", "s", 1, "k", 7) for k in range(150)]
+    rows = [(k, " ".join(rng.choices(words, weights, k=60)) + ", don't×stop÷now", "en", "s", 1, "k", 7) for k in range(100)]
     rows += [(None, rows[0][1], None, None, None, None, None), (5, None, "en", "s", 1, "k", 7), rows[3], rows[3]]
     return rows, spark.createDataFrame(rows, odd.SCHEMA).repartition(4)
 
 
-@pytest.mark.parametrize("setting", [{}, {"HELD": 5, "EDITS": 50, "LONGEST": 8}, {"FILTER_BYTES": 64}])
+@pytest.mark.parametrize("setting", [{}, {"HELD": 5, "EDITS": 2000, "LONGEST": 8, "FILTER_BYTES": 512}])
 def test_variants(misspelt, monkeypatch, setting):
     """Also with tiny buffers and with filters so small that they let nearly everything through."""
     for name, value in setting.items():
         monkeypatch.setattr(variants, name, value)
     rows, docs = misspelt
     if "FILTER_BYTES" in setting:
-        monkeypatch.setattr(variants.filters, "__defaults__", (variants.BITS, 64))
+        monkeypatch.setattr(variants.filters, "__defaults__", (variants.BITS, variants.FILTER_BYTES))
     got = {r.word: (r.form, r.root, r.n, r.n_near, r.form_n) for r in variants.variants(docs, delete_every=7).collect()}
     want = variants_by_hand(rows, every=7)
     assert got == want and any(w[0] and w[1] != w[0] for w in want.values())
