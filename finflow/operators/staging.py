@@ -24,8 +24,11 @@ def first_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     if not others:
         return df.select(*keys).distinct()
     ordering = F.struct(*_cols(order))
-    picked = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*[F.col(f"`{c}`") for c in others]), ordering).alias("__row"))
+    if all(isinstance(o, str) for o in order) and set(others) <= set(order):
+        row = F.min(ordering)  # the order holds the whole row: it need not travel twice
+    else:
+        row = F.min_by(F.struct(*[F.col(f"`{c}`") for c in others]), ordering)
+    picked = df.groupBy(*keys).agg(row.alias("__row"))
     return picked.select(*keys, *[F.col(f"__row.`{c}`").alias(c) for c in others])
 
 

@@ -96,7 +96,7 @@ def dim_supplier(supplier: DataFrame, nation: DataFrame) -> DataFrame:
 
 def sale_lines(lineitem: DataFrame) -> DataFrame:
     """Per sale: the vehicle of its first line and the discount over all its lines."""
-    u = unique_lines(lineitem)
+    u = unique_lines(lineitem.select("l_orderkey", "l_linenumber", *LINE_ORDER))
     line = u.select(F.col("l_orderkey").alias("__sale"), "l_linenumber", "l_partkey",
                     (feeds.money("l_extendedprice") * F.col("l_discount").cast("decimal(4,2)")).cast("decimal(18,2)").alias("__d"))
     return line.groupBy("__sale").agg(F.min_by("l_partkey", "l_linenumber").alias("vehicle_id"),
