@@ -50,3 +50,30 @@ def point_in_time(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     d_day = F.to_date(fd)
     cond = (F.col(fact_key) == F.col("__dk")) & (d_day >= F.col("__eff")) & (d_day <= F.col("__exp"))
     return fact.join(d, cond, how).drop("__dk", "__eff", "__exp")
+
+
+def point_in_time_by_month(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, fact_date: str | Column,
+                           take: dict[str, str], eff: str = "effective_date", exp: str = "expiry_date",
+                           open_start: bool = False) -> DataFrame:
+    """J8 for members with very many versions: facts and versions meet by key *and* month.
+
+    A version stands in every month of the facts' span that it touches, so a fact is compared with
+    the versions of its own month, at most one a day, where ``point_in_time`` compares it with all
+    versions of its key; and a hot key's facts are spread over its months. The dimension grows to a
+    row per key and month at least, so it is for dimensions whose versions outnumber the months.
+    Facts without a match (or with a null key or date) keep nulls. The result is ``point_in_time``'s.
+    """
+    day = F.to_date(F.col(fact_date) if isinstance(fact_date, str) else fact_date)
+    span = fact.agg(F.min(day).alias("__lo"), F.max(day).alias("__hi"))  # one row
+    start = F.col(eff)
+    if open_start:
+        first = F.min(eff).over(Window.partitionBy(dim_key))
+        start = F.when(F.col(eff) == first, F.lit("0001-01-01").cast("date")).otherwise(F.col(eff))
+    d = dim.select(F.col(dim_key).alias("__dk"), start.alias("__eff"), F.coalesce(F.col(exp), F.lit(OPEN_END).cast("date")).alias("__exp"),
+                   *[F.col(c).alias(o) for c, o in take.items()])
+    within = (F.col("__eff") <= F.col("__hi")) & (F.col("__exp") >= F.col("__lo")) & (F.col("__exp") >= F.col("__eff"))
+    months = F.sequence(F.trunc(F.greatest("__eff", "__lo"), "MM"), F.trunc(F.least("__exp", "__hi"), "MM"), F.expr("INTERVAL 1 MONTH"))
+    d = d.join(F.broadcast(span), within).withColumn("__month", F.explode(months)).drop("__lo", "__hi")
+    cond = ((F.col(fact_key) == F.col("__dk")) & (F.trunc(day, "MM") == F.col("__month"))
+            & (day >= F.col("__eff")) & (day <= F.col("__exp")))
+    return fact.join(d, cond, "left").drop("__dk", "__eff", "__exp", "__month")

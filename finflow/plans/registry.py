@@ -1103,6 +1103,25 @@ def j8_point_in_time(spark, sf):
     return out.select("o_orderkey", "customer_id", "customer_effective_date", "priority_tier")
 
 
+@register("j8_many_versions", """
+WITH h AS (SELECT user_id, ts, event_id, event_type, value, CAST(ts AS DATE) AS d FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL),
+last AS (SELECT user_id, d, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id, d ORDER BY ts DESC, event_id DESC) AS k FROM h) WHERE k = 1),
+v AS (SELECT user_id, d, event_type FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY d) AS p, row_number() OVER (PARTITION BY user_id ORDER BY d) AS n FROM last)
+      WHERE n = 1 OR p IS DISTINCT FROM event_type),
+e AS (SELECT user_id, d AS since, event_type AS last_type, lead(d) OVER (PARTITION BY user_id ORDER BY d) AS until FROM v)
+SELECT f.event_id, f.user_id, e.since, e.last_type FROM events f
+LEFT JOIN e ON e.user_id = f.user_id AND CAST(f.ts AS DATE) >= e.since AND (e.until IS NULL OR CAST(f.ts AS DATE) < e.until)
+""")
+def j8_many_versions(spark, sf):
+    """Each event with the state its user was in that day (the user's last event type of a day, a new
+    version with every change, so users have many versions); key and month bring the two together."""
+    ev = t(spark, sf, "events")
+    dim = scd.scd2_from_history(ev.select("user_id", "ts", "event_id", "event_type"), ["user_id"], ["event_type"], "ts", ["event_id"])
+    f = ev.select("event_id", "user_id", "ts")
+    out = L.point_in_time_by_month(f, dim, "user_id", "user_id", "ts", {"effective_date": "since", "event_type": "last_type"})
+    return out.select("event_id", "user_id", "since", "last_type")
+
+
 # =======================================================================================
 # 2.5 Aggregations
 # =======================================================================================

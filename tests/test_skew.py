@@ -154,3 +154,22 @@ def test_type1_latest_hot_key_matches_brute_force(spark, hist_rows):
             last[k] = (ts, a)
     assert got == sorted((k, ts, a) for k, (ts, a) in last.items())
     assert "partial_max_by" in _physical(out)
+
+
+def test_a_key_with_thousands_of_versions_meets_a_months_versions_only(spark):
+    """A key with a version a day for years and a third of all facts; open starts, gaps, nulls: equal to
+    the lookup over all versions, by an equi-join on key and month."""
+    import datetime as dt
+    from pyspark.sql import functions as F
+    day = lambda k: dt.date(2015, 1, 1) + dt.timedelta(days=k)
+    dim = [("hot", day(k), day(k), f"v{k}") for k in range(3000)] + [("hot", day(3000), None, "open"),
+           ("a", day(500), day(600), "x"), ("a", day(700), None, "y"), ("b", day(9000), None, "late"), (None, day(0), None, "nobody")]
+    facts = [(i, "hot" if i % 3 == 0 else ("a", "b", "none", None)[i % 4], None if i % 50 == 7 else day((i * 37) % 3400)) for i in range(900)]
+    d = spark.createDataFrame(dim, "k string, effective_date date, expiry_date date, v string")
+    f = spark.createDataFrame(facts, "id int, key string, at date")
+    for open_start in (False, True):
+        want = L.point_in_time(f, d, "key", "k", "at", {"v": "v"}, open_start=open_start)
+        got = L.point_in_time_by_month(f, d, "key", "k", "at", {"v": "v"}, open_start=open_start)
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftOuter" in plan and "= __month" in plan and f.join(d, F.expr("key = k")).count() > 900_000
