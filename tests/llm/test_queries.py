@@ -26,7 +26,7 @@ def run(spark, name):
 
 def test_sql(spark):
     names = list(queries.ORACLE)
-    assert set(names) == {"op3_near_duplicates", "op6_extendible_sharding", "op7_exact_top_k", "op8_decontamination"}
+    assert set(names) == {"op3_near_duplicates", "op6_extendible_sharding", "op7_exact_top_k", "op8_decontamination", "op13_spelling_variants"}
     bad = {k: v for k, v in compare(spark, SF_SMALL, names).items() if not v.startswith("OK") or "TYPES" in v}
     assert not bad, bad
 

@@ -178,11 +178,6 @@ def test_variants(misspelt, monkeypatch, setting):
     assert got == want and any(w[0] and w[1] != w[0] for w in want.values())
 
 
-def test_variants_query(spark):
-    from oracle_compare import compare
-    assert compare(spark, SF_SMALL, ["op13_spelling_variants"])["op13_spelling_variants"].startswith("OK")
-
-
 def test_edits_are_all_words_one_edit_away():
     word, alphabet = "banana", np.array([ord(c) for c in "abnz"], np.uint8)
     letters = variants._letters([word])
