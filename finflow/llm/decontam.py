@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finflow.llm.common import ascii_lower, written
+from finflow.llm.common import ascii_lower, free_name, written
 
 WINDOW = 13
 SHINGLE = 4
@@ -128,7 +128,9 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, all columns untouched."""
-    bad = contamination(docs, items).where("contaminated").select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    keyed = docs.withColumn("__text_key", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    return keyed.join(bad, keyed["doc_id"].eqNullSafe(bad["_id"]) & (keyed["__text_key"] == bad["_key"]), "left_anti").drop("__text_key")
+    # Written before it is filtered: a filter on the verdict would be pushed below the verification and take texts apart for every candidate.
+    found = written(contamination(docs, items).select("doc_id", "text_key", "contaminated"), "contaminated")
+    bad = found.where("contaminated").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    key = free_name(docs.columns, "text_key")
+    keyed = docs.withColumn(key, row_key()[1])
+    return keyed.join(bad, keyed["doc_id"].eqNullSafe(bad["_id"]) & (keyed[key] == bad["_key"]), "left_anti").drop(key)

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finflow.llm.common import WordHashes, mix64, written
+from finflow.llm.common import WordHashes, free_name, mix64, written
 
 SIGNATURE = 128
 DEPTH = 5
@@ -110,7 +110,7 @@ def sign(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """class_id and full set of the wanted classes (class_id, doc_id), recomputed from their texts."""
+    """class_id and full set of the wanted classes (class_id, rep, rep_key), recomputed from their texts."""
 
     def run(batches):
         hashes = WordHashes()
@@ -124,8 +124,9 @@ def _sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], names=["class_id", "shingles"])
 
-    rows = docs.select("doc_id", "text").join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"])).select("text", "class_id")
-    # Repeated rows of one id give their set more than once.
+    rows = docs.select("doc_id", "text", text_key().alias("text_key"))
+    # An id may stand on any number of rows, so the text's key is part of the join; only copies of one row meet a class more than once.
+    rows = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["rep"]) & (rows["text_key"] == wanted["rep_key"])).select("text", "class_id")
     return rows.mapInArrow(run, "class_id binary, shingles array<bigint>").dropDuplicates(["class_id"])
 
 
@@ -280,7 +281,7 @@ def _levels() -> list[list[list[int]]]:
 
 
 def link_classes(docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """node, root over the classes (class_id, rep, n, signature) that link with another class."""
+    """node, root over the classes (class_id, rep, rep_key, n, signature) that link with another class."""
     # Sets of fewer shingles reach the similarity only with an equal set: s / (s + 1) is below it.
     smallest = -(-percent // (100 - percent)) if percent < 100 else 1 << 62
     trees = [list(range(t * DEPTH, (t + 1) * DEPTH)) for t in range(TREES)]
@@ -288,7 +289,7 @@ def link_classes(docs: DataFrame, classes: DataFrame, shingle: int, percent: int
             .select("class_id", F.explode(_tree_keys(F.col("signature"), trees)).alias("key")))
     members = written(_shared(rows).select("key", "class_id"), "regions")
     busy = written(classes.join(members.select("class_id").distinct(), "class_id"), "candidates")
-    sets = written(_sets(docs, busy.select("class_id", "rep"), shingle), "sets")
+    sets = written(_sets(docs, busy.select("class_id", "rep", "rep_key"), shingle), "sets")
     edges, labels = None, None
     for turn in range(LEADER_ROUNDS):
         now = _mixed(_labelled(members, labels))
@@ -324,8 +325,10 @@ def link_classes(docs: DataFrame, classes: DataFrame, shingle: int, percent: int
 def _labelled_rows(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """doc_id, text_key, n_shingles, class_id, root, component_id of every row."""
     signed = written(sign(docs, shingle), "signed")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
     classes = written(signed.where("class_id is not null").groupBy("class_id").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature")), "classes")
+        first.alias("o"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature")).select(
+        "class_id", F.col("o.doc_id").alias("rep"), F.col("o.text_key").alias("rep_key"), "n", "signature"), "classes")
     labels = link_classes(docs, classes, shingle, percent)
     # A component's id is the smallest document id of its classes.
     linked = labels.join(classes.select(F.col("class_id").alias("node"), "rep"), "node")
@@ -358,6 +361,7 @@ def one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFra
     stay = rows.where("class_id is not null").groupBy("root").agg(first).select("o.doc_id", "o.text_key")
     stay = stay.unionByName(rows.where("class_id is null").select("doc_id", "text_key").distinct())
     stay = stay.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    keyed = docs.withColumn("__key_of", text_key())
-    same = keyed["doc_id"].eqNullSafe(stay["_id"]) & (keyed["__key_of"] == stay["_key"])
-    return keyed.join(stay, same, "left_semi").dropDuplicates(["doc_id", "__key_of"]).drop("__key_of")
+    key = free_name(docs.columns, "key_of")
+    keyed = docs.withColumn(key, text_key())
+    same = keyed["doc_id"].eqNullSafe(stay["_id"]) & (keyed[key] == stay["_key"])
+    return keyed.join(stay, same, "left_semi").dropDuplicates(["doc_id", key]).drop(key)

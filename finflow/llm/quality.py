@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finflow.llm.common import fold_of
+from finflow.llm.common import fold_of, free_name
 
 SAMPLE_ROWS = 20_000
 BINS, PAIR_BINS, PAIRS = 32, 8, 8
@@ -190,17 +190,17 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     return fit(got[list(FEATURES)].to_numpy(np.float64), got["y"].to_numpy(np.float64))
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1, higher: better)."""
+def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """``docs`` with the column ``name`` (0 to 1, higher: better)."""
     place = docs.columns.index("text")
 
     def run(batches):
         for batch in batches:
             score = model.score(_matrix(batch.column(place))) if batch.num_rows else np.empty(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score, pa.float64())], names=[*names, "__score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score, pa.float64())], names=[*names, name])
 
     names = list(docs.columns)
-    schema = docs.select("*", F.lit(0.0).alias("__score")).schema
+    schema = docs.select("*", F.lit(0.0).alias(name)).schema
     return docs.mapInArrow(run, schema)
 
 
@@ -208,9 +208,10 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every row."""
     rows = scored(docs.select("doc_id", "text"), train(docs, labels))
     return rows.select("doc_id", (fold_of(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"),
-                       F.col("__score").alias("score"), (F.col("__score") >= THRESHOLD).cast("int").alias("predicted"))
+                       "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts, all columns untouched."""
-    return scored(docs, train(docs, labels)).where(F.col("__score") >= THRESHOLD).drop("__score")
+    name = free_name(docs.columns, "score")
+    return scored(docs, train(docs, labels), name).where(F.col(name) >= THRESHOLD).drop(name)

@@ -28,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finflow.llm.common import written
+from finflow.llm.common import free_name, written
 
 # The base detectors (the contract's patterns; minimum lengths apply to the match or group 2).
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -154,18 +154,18 @@ def joined(spans: Column) -> Column:
 
 
 def report(docs: DataFrame, model: list[list[float]] | None = None) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, n_markov, base_sha256, spans."""
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_markov."""
     rows = scan(docs.select("doc_id", "text"), model)
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
     base = F.filter("spans", lambda s: s["kind"] < 3)
     return rows.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
-                       count(3).alias("n_markov"), F.sha2(joined(base), 256).alias("base_sha256"),
-                       joined(F.col("spans")).alias("spans"))
+                       F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), count(3).alias("n_markov"))
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", model: list[list[float]] | None = None) -> DataFrame:
     """``docs`` with every span (overlapping ones as one) replaced by ``mark``; ``n_chars``, if there, follows."""
-    rows = scan(docs, model, name="__spans")
+    spans = free_name(docs.columns, "spans")
+    rows = scan(docs, model, name=spans)
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
 
     def step(acc, s):
@@ -175,9 +175,9 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", model: list[list[float]] | N
         out = F.when(fresh, F.concat(acc["out"], piece, F.lit(mark))).otherwise(acc["out"])
         return F.struct(out.alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
 
-    whole = F.aggregate("__spans", start, step, lambda acc: F.concat(
+    whole = F.aggregate(spans, start, step, lambda acc: F.concat(
         acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.length("text"))))
-    rows = rows.withColumn("text", F.when(F.size("__spans") > 0, whole).otherwise(F.col("text")))
+    rows = rows.withColumn("text", F.when(F.size(spans) > 0, whole).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.size("__spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        rows = rows.withColumn("n_chars", F.when(F.size(spans) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return rows.select(*docs.columns)

@@ -54,6 +54,41 @@ def test_one_of_each(docs):
     assert len({repr(tuple(r)) for r in got}) == len(got)
 
 
+def test_one_id_on_many_rows(spark):
+    """Null ids and one id on a third of all rows: every row meets the classes of its own text only, and links as by brute force."""
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(rng.choice(words, 40)) for _ in range(120)]
+    texts += [t.replace(t.split()[5], "edit", 1) for t in texts[:60]]
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else 1000 + i, t) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = near_dup.near_duplicates(frame).collect()
+    same_rows([(r.doc_id, r.n_shingles, r.component_id) for r in got], odd.near_duplicates(rows, 5, 80))
+    signed = near_dup.sign(frame, 5)
+    wanted = signed.select("class_id", F.col("doc_id").alias("rep"), F.col("text_key").alias("rep_key"))
+    assert near_dup._sets(frame, wanted, 5).count() == len(set(texts))
+
+
+@pytest.mark.parametrize("name", ["score", "spans", "text_key", "key_of", "_id", "_key", "SPANS"])
+def test_clashing_names(spark, name):
+    """A column of a name that an operator uses inside comes through untouched."""
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    items = spark.createDataFrame(odd.ITEMS, "item_id long, text string")
+    rows = [(1, "token = abcdefgh12345 é", "mine"), (2, "plain words", None), (3, odd.ITEMS[0][1], "bad")]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, {name} string")
+    read = lambda df: sorted((r[0], r[2]) for r in df.collect())
+    every = [(1, "mine"), (2, None), (3, "bad")]
+    for done, want in ((quality.accepted(docs, labels.limit(0)), every), (near_dup.one_of_each(docs), every),
+                       (decontam.clean(docs, items), every[:2]), (secrets.redact(docs), every)):
+        assert done.columns == docs.columns and read(done) == want
+
+
+def test_clean_filters_a_written_verdict(docs, items):
+    """No filter takes texts apart: the verdicts are read back before they are filtered."""
+    plan = decontam.clean(docs, items)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan
+
+
 def test_near_duplicates_crowd(spark, monkeypatch):
     """A hub with many edits of it, regions split deeper and blocks of a few classes: no link is lost."""
     import random
