@@ -15,10 +15,10 @@ corpus; words in them are named by 64-bit hashes. The spelling tables have a fix
 (contexts x symbols), whatever the corpus, so those pass through the driver. Predictive probabilities
 are averaged over the sweeps after burn-in.
 
-A context unseen in training leaves the word to the shorter one. ``score`` counts a word without customers
-as the event "some unseen word" (the contract's base has that event too): what the context's restaurants pass
-on, times the new-table mass of all spellings but the known words'. ``spelt_score`` gives each such word the
-probability of its own spelling instead.
+A context unseen in training leaves the word to the shorter one. ``score`` is the log probability of the text
+itself: a word without customers has what the context's restaurants pass on, times the new-table mass, times
+the probability of its own spelling. ``event_score`` counts each such word as the event "some unseen word"
+instead (the contract's base has that event), whatever its letters.
 
 Scoring needs the counts of each text's words and n-grams. Texts are dealt into blocks; a block asks for
 each of its distinct words, n-grams and contexts once, and its answers meet its texts in one task.
@@ -417,7 +417,7 @@ def _block(blocks: int) -> Column:
 
 
 def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score, score, spelt_score of every row."""
+    """doc_id, n_tokens, n_known, base_score, score, event_score of every row."""
     size = words.agg(F.sum(F.col("c") * (F.octet_length("word") + 1))).first()[0] or 0
     blocks = int(size * FOLDS / (FOLDS - 1) // BLOCK_BYTES) + 1
     dealt = docs.select("doc_id", "text").withColumn("block", _block(blocks)).groupBy("block")
@@ -477,10 +477,10 @@ def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
         place |= {w: len(place) + i for i, w in enumerate(new)}
         at = np.fromiter((place[w] for ws in own for w in ws), np.int64, sum(sizes))
         c = np.concatenate([mine.column("c").to_numpy(), np.zeros(len(new))]).astype(np.float64)
-        ones = np.ones(len(mine))
+        none = np.zeros(len(mine))
         p = [np.concatenate([mine.column(q).to_numpy().astype(np.float64), np.full(len(new), outside[i])])[at] for i, q in enumerate(qs)]
-        # What a spelling has of the event of all unseen words.
-        share = [np.concatenate([ones, fresh[i] * np.exp(spelt(new, spellings.value[i])) / outside[i]])[at] for i in KEPT]
+        # Logarithm of what a spelling has of the event of all unseen words; as a number, a very long word's would be nought.
+        share = [np.concatenate([none, np.log(fresh[i] / outside[i]) + spelt(new, spellings.value[i])])[at] for i in KEPT]
         grams = _grams(own, WordHashes())
         for k in sorted(discounts):
             d, got = discounts[k], []
@@ -498,24 +498,23 @@ def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
                         / (room[f"n{i}"] + CONTEXT_STRENGTH))
         first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         plain = np.log10((c + 1) / (tokens + types + 1))
+        mean = np.logaddexp.reduce([np.log(x) + y for x, y in zip(p, share)], axis=0) - np.log(len(KEPT))
         return pa.table({"doc_id": texts.column("doc_id"), "n_tokens": pa.array(sizes, pa.int64()),
                          "n_known": pa.array(np.add.reduceat((c > 0)[at].astype(np.int64), first), pa.int64()),
                          "base_score": pa.array(np.add.reduceat(plain[at], first), pa.float64()),
-                         "score": pa.array(np.add.reduceat(np.log10(np.mean(p, axis=0)), first), pa.float64()),
-                         # A word of very many bytes has a probability below the smallest number.
-                         "spelt_score": pa.array(np.add.reduceat(np.log10(np.maximum(np.mean([x * y for x, y in zip(p, share)], axis=0), 1e-300)),
-                                                                 first), pa.float64())})
+                         "score": pa.array(np.add.reduceat(mean / np.log(10), first), pa.float64()),
+                         "event_score": pa.array(np.add.reduceat(np.log10(np.mean(p, axis=0)), first), pa.float64())})
 
     kind = docs.schema["doc_id"].dataType
     empty = pa.table({"doc_id": pa.array([], to_arrow_type(kind)), "n_tokens": pa.array([], pa.int64()), "n_known": pa.array([], pa.int64()),
-                      "base_score": pa.array([], pa.float64()), "score": pa.array([], pa.float64()), "spelt_score": pa.array([], pa.float64())})
+                      "base_score": pa.array([], pa.float64()), "score": pa.array([], pa.float64()), "event_score": pa.array([], pa.float64())})
     return dealt.cogroup(answers).applyInArrow(
-        answer, f"doc_id {kind.simpleString()}, n_tokens long, n_known long, base_score double, score double, spelt_score double")
+        answer, f"doc_id {kind.simpleString()}, n_tokens long, n_known long, base_score double, score double, event_score double")
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, event_score."""
     model, words = train(docs)
     return score(docs, model, words).select(
         "doc_id", (fold_of(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "n_tokens", "n_known",
-        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", "event_score")
