@@ -54,6 +54,8 @@ def insert_if_absent(batch: DataFrame, existing: DataFrame, keys: list[str], ord
 #: serves a million keys a folder; beyond that more folders are opened than need be, and no key is missed.
 #: A large table takes more folders, for good: the number belongs to its layout.
 KEY_BUCKETS, FILTER_WORDS = 64, 1 << 18
+#: Bits that a key sets, a folder's size in the batch's keys up to which it is opened unasked, rows of a folder that are written together.
+KEY_BITS, LIKE, FOLDER_ROWS = 4, 4, 1 << 20
 BUCKET = "key_bucket"
 
 
@@ -69,21 +71,32 @@ def staged(spark: SparkSession, table_path: str) -> DataFrame | None:
     return None if table is None else table.drop(BUCKET)
 
 
-def _placed(df: DataFrame, keys: list[str], buckets: int, words: int) -> DataFrame:
-    """``df`` with its rows' folder, filter word and the four bits that a key sets there."""
-    h, g = F.xxhash64(*keys), F.xxhash64(F.lit("bits"), *keys)
-    bits = F.lit(0).cast("long")
-    for k in range(4):
+def _bucket(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def _word(keys: list[str], words: int) -> Column:
+    return F.pmod(F.shiftrightunsigned(F.xxhash64(*keys), 20), F.lit(words)).cast("int")
+
+
+def _bits(keys: list[str]) -> Column:
+    g, bits = F.xxhash64(F.lit("bits"), *keys), F.lit(0).cast("long")
+    for k in range(KEY_BITS):
         bits = bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(g, 8 * k).bitwiseAND(63).cast("int")))
-    return df.select("*", F.pmod(h, F.lit(buckets)).cast("int").alias(BUCKET),
-                     F.pmod(F.shiftrightunsigned(h, 20), F.lit(words)).cast("int").alias("__word"), bits.alias("__bits"))
+    return bits
+
+
+def _placed(df: DataFrame, keys: list[str], buckets: int, words: int) -> DataFrame:
+    """``df`` with its rows' folder, filter word and the bits that a key sets there."""
+    return df.withColumns({BUCKET: _bucket(keys, buckets), "__word": _word(keys, words), "__bits": _bits(keys)})
 
 
 def possibly_known(placed: DataFrame, filters: DataFrame) -> DataFrame:
-    """``placed`` with ``__maybe``: the filter of the row's folder may hold its key."""
-    held = filters.groupBy(BUCKET, F.col("word").alias("__word")).agg(F.bit_or("bits").alias("__held"))
-    maybe = F.coalesce(F.col("__held").bitwiseAND(F.col("__bits")) == F.col("__bits"), F.lit(False))
-    return placed.join(held, [BUCKET, "__word"], "left").withColumn("__maybe", maybe).drop("__held")
+    """The rows of ``placed`` whose key the filter of their folder may hold; of the filters only their words travel."""
+    at = [BUCKET, "__word"]
+    held = (filters.withColumnRenamed("word", "__word").join(placed.select(*at), at, "left_semi")
+            .groupBy(*at).agg(F.bit_or("bits").alias("__held")))
+    return placed.join(held, at).filter(F.col("__held").bitwiseAND(F.col("__bits")) == F.col("__bits")).drop("__held")
 
 
 def _buckets_of(df: DataFrame) -> list[int]:
@@ -91,6 +104,21 @@ def _buckets_of(df: DataFrame) -> list[int]:
     return sorted(r[0] for r in df.select(BUCKET).distinct().collect())
 
 
+def folders_to_open(batch: DataFrame, rows: dict[int, int], filters: DataFrame, keys: list[str], buckets: int, words: int) -> list[int]:
+    """Folders that may hold a key of ``batch`` (distinct keys with their folder; ``rows``: how many by folder).
+
+    A folder that holds at most ``LIKE`` times the batch's own keys (by its filter's bits) is opened unasked:
+    reading them costs what the batch costs. The batch's keys in all other folders are looked up in the filters.
+    """
+    filled = filters.groupBy(BUCKET).agg(F.sum(F.bit_count("bits")).alias("n")).collect()
+    sure = [r[BUCKET] for r in filled if r["n"] <= LIKE * KEY_BITS * rows[r[BUCKET]]]
+    asked = [b for b in rows if b not in sure]
+    if not asked:
+        return sorted(sure)
+    own = F.col(BUCKET).isin(asked)
+    return sorted(sure + _buckets_of(possibly_known(_placed(batch.filter(own).select(*keys), keys, buckets, words), filters.filter(own))))
+
+
 def load_staging(batch: DataFrame, table_path: str, keys: list[str], order: list, **layout) -> dict:
     """``keyed_load``'s counts of rows attempted and inserted."""
     got = keyed_load(batch, table_path, keys, order, **layout)
@@ -104,9 +132,10 @@ def keyed_load(batch: DataFrame, table_path: str, keys: list[str], order: list,
 
     The table is laid out by key hash (``key_bucket=`` folders) with a Bloom filter per folder beside
     it. A batch's keys are looked up in the filters of its own folders; only folders in which one may
-    be present are opened, so a load costs what the batch and its repeated keys cost, not what the
-    table holds. A load writes its keys' bits before its rows: a run that dies in between leaves bits
-    without rows, which cost a look into a folder, never a row twice.
+    be present, or which are no larger than the batch (``folders_to_open``), are opened, so a load costs
+    what the batch and its repeated keys cost, not what the table holds. A load writes its keys' bits
+    before its rows: a run that dies in between leaves bits without rows, which cost a look into a folder,
+    never a row twice.
 
     Re-running the same batch inserts nothing (idempotent). ``rows_attempted`` counts the rows offered,
     ``rows_inserted`` those appended. ``drop_cols`` (ordering-only columns) are not written. Only a path
@@ -124,26 +153,27 @@ def keyed_load(batch: DataFrame, table_path: str, keys: list[str], order: list,
         new = insert_if_absent(offered, table, keys, order).select(*out_cols).observe(kept, F.count(F.lit(1)).alias("n"))
         new.write.mode("append").parquet(table_path)
         return {"rows_attempted": int(seen.get.get("n", 0) or 0), "rows_inserted": int(kept.get.get("n", 0) or 0), "folders_opened": None}
-    first = _placed(first_per_key(offered.filter(keys_present(keys)), keys, order), keys, buckets, words).persist()
-    opened: list[int] = []
-    if filters is None:
-        new = first
-    else:
-        own = filters.filter(F.col(BUCKET).isin(_buckets_of(first)))
-        asked = possibly_known(first, own).persist()
-        opened = _buckets_of(asked.filter("__maybe"))
-        new = asked.drop("__maybe")
+    first = first_per_key(offered.filter(keys_present(keys)), keys, order).withColumn(BUCKET, _bucket(keys, buckets)).persist()
+    rows = {}
+    if first.count():  # (a global count: the observed number is lost where a plan is found to be empty)
+        rows = {r[BUCKET]: r["count"] for r in first.groupBy(BUCKET).count().collect()}
+    attempted = int(seen.get.get("n", 0) or 0)
+    new, opened = first, []
+    if filters is not None and rows:
+        opened = folders_to_open(first, rows, filters.filter(F.col(BUCKET).isin(list(rows))), keys, buckets, words)
         if opened and table is not None:
-            new = asked.join(keys_in_folders(table, keys, opened), keys, "left_anti").drop("__maybe")
-    new = new.persist()
+            new = first.join(keys_in_folders(table, keys, opened), keys, "left_anti")
+    # One shuffle serves both writes: a folder's rows come together, those of a large folder by ranges of its filter's words.
+    parts = max(rows.values(), default=0) // FOLDER_ROWS + 1
+    part = F.floor(_word(keys, words).cast("long") * parts / words).cast("int")
+    new = new.select(*out_cols, BUCKET, part.alias("__part")).repartition(BUCKET, "__part").persist()
     n_new = new.count()
-    attempted = int(seen.get.get("n", 0) or 0)
     if n_new:
-        (new.groupBy(BUCKET, F.col("__word").alias("word")).agg(F.bit_or("__bits").alias("bits"))
-            .hint("rebalance", BUCKET).write.mode("append").partitionBy(BUCKET).parquet(key_filter_path(table_path)))
-        new.select(*out_cols, BUCKET).hint("rebalance", BUCKET).write.mode("append").partitionBy(BUCKET).parquet(table_path)
-    for df in (new, first, *([asked] if filters is not None else [])):
-        df.unpersist()
+        (new.groupBy(BUCKET, "__part", _word(keys, words).alias("word")).agg(F.bit_or(_bits(keys)).alias("bits")).drop("__part")
+            .write.mode("append").partitionBy(BUCKET).parquet(key_filter_path(table_path)))
+        new.drop("__part").write.mode("append").partitionBy(BUCKET).parquet(table_path)
+    new.unpersist()
+    first.unpersist()
     return {"rows_attempted": attempted, "rows_inserted": n_new, "folders_opened": len(opened)}
 
 

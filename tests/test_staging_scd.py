@@ -1,8 +1,10 @@
 import datetime as dt
 import os
+import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from finflow.operators import quality as Q
@@ -180,3 +182,28 @@ def test_a_load_opens_only_folders_that_may_hold_its_keys(spark, tmp):
     rows([1, 2], "old").drop("pos").write.parquet(other)
     assert ST.load_staging(rows([2, 3], "new"), other, ["k", "name"], ["pos"], drop_cols=["pos"])["rows_inserted"] == 1
     assert spark.read.parquet(other).count() == 3
+
+
+def test_a_load_moves_its_rows_twice_at_most(spark, tmp, monkeypatch):
+    """One shuffle finds the first row per key, one places the new rows for both writes; a repeated
+    load moves its rows once, as the keys of folders no larger than the batch are read without asking."""
+    path, moved = os.path.join(tmp, "stg"), []
+    monkeypatch.setattr(ST, "FOLDER_ROWS", 100)  # large folders are written in parts
+    written = DataFrameWriter.parquet
+
+    def parquet(self, *a, **kw):
+        moved.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return written(self, *a, **kw)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    monkeypatch.setattr(ST, "possibly_known", None)  # no filter is asked below
+    batch = spark.range(4000).selectExpr("id % 3000 as k", "id as pos", "repeat('v', 20) as v").repartition(4)
+    load = lambda: ST.keyed_load(batch, path, ["k"], ["pos"], buckets=4)
+    assert load() == {"rows_attempted": 4000, "rows_inserted": 3000, "folders_opened": 0}
+    for plan in moved:
+        assert set(re.findall(r"Exchange hashpartitioning\((\w+)#.*?\), (\w+)", plan)) == {("k", "ENSURE_REQUIREMENTS"), ("key_bucket", "REPARTITION_BY_COL")}
+        assert "REBALANCE" not in plan
+    assert len(moved) == 2
+    assert load() == {"rows_attempted": 4000, "rows_inserted": 0, "folders_opened": 4}
+    got = ST.staged(spark, path)
+    assert got.count() == 3000 and got.filter("k = pos").count() == 3000
