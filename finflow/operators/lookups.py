@@ -4,17 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from finflow.operators.scd import OPEN_END
 
 
+#: Tasks among which facts without a key are dealt in a join.
+SPREAD = 1 << 10
+
+
+def _spread(fact: DataFrame, key: str) -> Column:
+    """0 for a fact with a key, for one without a number by its first columns (its id, as a rule): such
+    facts match nothing, but by the key alone they would all meet in one task."""
+    own = [f.name for f in fact.schema if f.name != key and "map<" not in f.dataType.simpleString() and not isinstance(f.dataType, T.VariantType)]
+    by = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in own[:3]]), F.lit(SPREAD)).cast("int") if own else F.lit(0)
+    return F.when(F.col(key).isNull(), by).otherwise(F.lit(0))
+
+
+def _nought(dim_key: str) -> Column:
+    """0 in every row of a dimension (a literal would be folded and be no key of the join)."""
+    return F.pmod(F.xxhash64(dim_key), F.lit(1)).cast("int")
+
+
 def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
            take: dict[str, str], how: str = "left") -> DataFrame:
     """Resolve ``fact_key`` against a type-1 dimension; ``take`` maps dim column ->
     output name. Whether the dimension is broadcast is the optimizer's choice, by its
-    size on storage or, for a computed one, by what AQE measures."""
+    size on storage or, for a computed one, by what AQE measures. Facts without a key
+    are dealt among the tasks."""
     cols = [F.col(dim_key).alias("__dk")] + [F.col(c).alias(o) for c, o in take.items()]
-    return fact.join(dim.select(*cols), F.col(fact_key) == F.col("__dk"), how).drop("__dk")
+    cond = (F.col(fact_key) == F.col("__dk")) & (F.col("__spread") == _nought("__dk"))
+    return fact.withColumn("__spread", _spread(fact, fact_key)).join(dim.select(*cols), cond, how).drop("__dk", "__spread")
 
 
 def inner_join_non_null(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
@@ -31,7 +51,8 @@ def point_in_time(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
 
     The equality on the business key keeps this a hash / sort-merge join (no theta
     join); the validity range is a residual filter. Versions of one key are disjoint,
-    so at most one matches. AQE's skew-join splits a fact-side hot key.
+    so at most one matches. AQE's skew-join splits a fact-side hot key; facts without a
+    key are dealt among the tasks (not with ``open_start``).
 
     ``open_start`` lets a member's first version also cover earlier dates, so facts that
     predate the member's first load (late-arriving dimension rows) still resolve. The
@@ -49,7 +70,9 @@ def point_in_time(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     d = dim.select(*cols)
     d_day = F.to_date(fd)
     cond = (F.col(fact_key) == F.col("__dk")) & (d_day >= F.col("__eff")) & (d_day <= F.col("__exp"))
-    return fact.join(d, cond, how).drop("__dk", "__eff", "__exp")
+    if not open_start:  # (the window's partitions are those of the join by the key alone)
+        fact, cond = fact.withColumn("__spread", _spread(fact, fact_key)), cond & (F.col("__spread") == _nought("__dk"))
+    return fact.join(d, cond, how).drop("__dk", "__eff", "__exp", "__spread")
 
 
 def point_in_time_by_month(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, fact_date: str | Column,

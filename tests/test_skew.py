@@ -6,6 +6,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from finflow.operators import lookups as L
 from finflow.operators import scd
@@ -173,3 +174,22 @@ def test_a_key_with_thousands_of_versions_meets_a_months_versions_only(spark):
         assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Join LeftOuter" in plan and "= __month" in plan and f.join(d, F.expr("key = k")).count() > 900_000
+
+
+def test_facts_without_a_key_do_not_meet_in_one_task(spark):
+    """Half of the facts have no key; by the key alone they would all hash to one partition."""
+    fact = spark.range(4000).selectExpr("id", "if(id % 2 = 0, null, id % 50) as k", "date'2026-01-02' as d", "map('a', id) as m")
+    dim = spark.range(40).selectExpr("id as k", "concat('n', id) as name", "date'2026-01-01' as effective_date", "cast(null as date) as expiry_date")
+    old = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for out in (L.lookup(fact, dim, "k", "k", {"name": "name"}), L.point_in_time(fact, dim, "k", "k", "d", {"name": "name"})):
+            assert out.columns == ["id", "k", "d", "m", "name"]
+            rows = out.select("id", "k", "name", F.spark_partition_id().alias("p")).collect()
+            assert sorted((r.id, r.name) for r in rows) == [(i, f"n{i % 50}" if i % 2 and i % 50 < 40 else None) for i in range(4000)]
+            lone = [r.p for r in rows if r.k is None]
+            assert max(lone.count(p) for p in set(lone)) < 600  # of 2000, among 8 tasks
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
