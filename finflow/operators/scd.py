@@ -38,9 +38,11 @@ def daily_points(history: DataFrame, keys: list[str], attrs: list[str], ts_col:
     """keys, effective_date and ``__a``, the attributes of the day's last change."""
     tb = [F.col(t) if isinstance(t, str) else t for t in (tiebreak or [])]
     order = F.struct(F.col(ts_col), *tb)
-    return (history.filter(keys_present(keys) & F.col(ts_col).isNotNull())
-            .groupBy(*keys, F.to_date(ts_col).alias("effective_date"))
-            .agg(F.max_by(F.struct(*[F.col(a) for a in attrs]), order).alias("__a")))
+    days = history.filter(keys_present(keys) & F.col(ts_col).isNotNull()).groupBy(*keys, F.to_date(ts_col).alias("effective_date"))
+    if set(attrs) <= {t for t in [ts_col, *(tiebreak or [])] if isinstance(t, str)}:
+        last = days.agg(F.max(order).alias("__o"))  # the order holds the attributes: they need not travel twice
+        return last.select(*keys, "effective_date", F.struct(*[F.col(f"__o.`{a}`").alias(a) for a in attrs]).alias("__a"))
+    return days.agg(F.max_by(F.struct(*[F.col(a) for a in attrs]), order).alias("__a"))
 
 
 def versions(daily: DataFrame, keys: list[str], attrs: list[str]) -> DataFrame:

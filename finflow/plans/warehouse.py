@@ -144,20 +144,22 @@ def fact_payments(lineitem: DataFrame, sales: DataFrame) -> DataFrame:
 
 def fact_procurement(lineitem: DataFrame, suppliers: DataFrame, vehicles: DataFrame) -> DataFrame:
     """Procurement lines with supplier (type 1) and vehicle version on the day (SCD2)."""
-    p = feeds.payment_facts(unique_lines(lineitem)).withColumn("procurement_date", F.to_date("payment_date"))
-    p = L.lookup(p, suppliers, "l_suppkey", "supplier_id",
-                 {"supplier_key": "supplier_key", "country": "supplier_country"})
-    p = L.point_in_time(p, vehicles, "l_partkey", "vin", "procurement_date",
-                        {"vehicle_key": "vehicle_key", "effective_date": "vehicle_effective_date"})
+    p = feeds.payment_facts(unique_lines(lineitem))
     status = N.recode(F.when(F.col("l_returnflag") == "R", "returned")
                        .when(F.col("l_linestatus") == "O", "pending").otherwise("completed"),
                       schemas.PROCUREMENT_STATUS_MAP)
+    p = p.select("payment_id", F.to_date("payment_date").alias("procurement_date"), "l_suppkey", "l_partkey", "payment_amount", status.alias("status"))
+    # The versions first: the supplier's columns need not travel to them.
+    p = L.point_in_time(p, vehicles, "l_partkey", "vin", "procurement_date",
+                        {"vehicle_key": "vehicle_key", "effective_date": "vehicle_effective_date"})
+    p = L.lookup(p, suppliers, "l_suppkey", "supplier_id",
+                 {"supplier_key": "supplier_key", "country": "supplier_country"})
     return p.select(
         K.surrogate_key("payment_id").alias("procurement_key"), F.col("payment_id").alias("procurement_id"), "procurement_date",
         K.date_key("procurement_date").alias("procurement_date_key"),
         F.col("l_suppkey").alias("supplier_id"), "supplier_key", "supplier_country",
         F.col("l_partkey").alias("vehicle_id"), "vehicle_key", "vehicle_effective_date",
-        F.col("payment_amount").alias("cost_price"), status.alias("status"))
+        F.col("payment_amount").alias("cost_price"), "status")
 
 
 def fact_inventory(part: DataFrame, lineitem: DataFrame, vehicles: DataFrame, dealers: DataFrame) -> DataFrame:

@@ -207,3 +207,15 @@ def test_a_load_moves_its_rows_twice_at_most(spark, tmp, monkeypatch):
     assert load() == {"rows_attempted": 4000, "rows_inserted": 0, "folders_opened": 4}
     got = ST.staged(spark, path)
     assert got.count() == 3000 and got.filter("k = pos").count() == 3000
+
+
+def test_attributes_within_the_order_travel_once(spark):
+    """M3: the day's last change by an order that holds its attributes is one value, not the order and the attributes."""
+    hist = spark.createDataFrame([(k % 3, dt.datetime(2026, 1, 1 + k % 5), k % 7, "ab"[k % 2] if k % 4 else None) for k in range(60)],
+                                 "k int, ts timestamp_ntz, n int, a string")
+    got = scd.daily_points(hist, ["k"], ["a"], "ts", ["n", "a"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max(struct(" in plan and "max_by" not in plan
+    want = scd.daily_points(hist, ["k"], ["a"], "ts", [F.col("n"), F.col("a")])
+    assert "max_by" in want._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.schema["__a"].dataType == want.schema["__a"].dataType
