@@ -1470,8 +1470,9 @@ FROM events {_CUST_AT.format(id='user_id', day='CAST(ts AS DATE)')}
 LEFT JOIN customer ON c.customer_id = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
 """)
 def m12_fact_interactions(spark, sf):
-    cust, deal = _dim(spark, sf, "dim_customer"), _dim(spark, sf, "dim_dealer")
-    f = W.fact_interactions(t(spark, sf, "events"), cust, deal).drop("interaction_key")
+    ev, deal = t(spark, sf, "events"), _dim(spark, sf, "dim_dealer")
+    cust = L.members_of(_dim(spark, sf, "dim_customer"), "customer_id", ev, "user_id")
+    f = W.fact_interactions(ev, cust, deal).drop("interaction_key")
     f = _through(f, cust, "customer_key", {"customer_id": "customer_id", "effective_date": "customer_from"})
     return _through(f, deal, "dealer_key", {"dealer_id": "dealer_id"})
 
@@ -1487,8 +1488,9 @@ SELECT event_id AS telemetry_id, ts AS telemetry_timestamp, CAST(strftime(ts, '%
 FROM e {_VEH_AT.format(id='user_id', day='CAST(ts AS DATE)')}
 """)
 def m13_fact_telemetry(spark, sf):
-    veh = _dim(spark, sf, "dim_vehicle")
-    f = W.fact_telemetry(t(spark, sf, "events"), veh).drop("telemetry_key")
+    ev = t(spark, sf, "events")
+    veh = L.members_of(_dim(spark, sf, "dim_vehicle"), "vin", ev, "user_id")
+    f = W.fact_telemetry(ev, veh).drop("telemetry_key")
     return _through(f, veh, "vehicle_key", {"vin": "vehicle_id", "effective_date": "vehicle_from"})
 
 

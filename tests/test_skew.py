@@ -193,3 +193,18 @@ def test_facts_without_a_key_do_not_meet_in_one_task(spark):
     finally:
         for c, v in old.items():
             spark.conf.set(c, v)
+
+
+def test_versions_of_members_without_facts_are_not_moved(spark):
+    """Facts over few members of a large dimension; the result is that over the whole dimension."""
+    from conftest import SF_SMALL
+    from finflow.plans.registry import QUERIES
+    fact = spark.range(60).selectExpr("id", "if(id % 7 = 0, null, id % 4 + 900) as k", "date_add(date'2026-01-01', cast(id as int)) as d")
+    dim = spark.range(2000).selectExpr("id % 1000 as k", "id as v", "date_add(date'2026-01-05', cast(20 * (id div 1000) as int)) as effective_date",
+                                       "if(id < 1000, date'2026-01-24', null) as expiry_date")
+    own = L.members_of(dim, "k", fact, "k")
+    assert own.columns == dim.columns and own.count() == 8
+    look = lambda d: sorted((r.id, r.v or -1) for r in L.point_in_time(fact, d, "k", "k", "d", {"v": "v"}).collect())
+    assert look(own) == look(dim)
+    for name in ("m12_fact_interactions", "m13_fact_telemetry"):
+        assert "LeftSemi" in QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
