@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -23,6 +24,7 @@ from finflow.operators import quality as Q
 from finflow.operators import staging as ST
 from finflow.operators.transform import clean
 from finflow.plans.batch_run import typed_for_target
+from finflow.session import hadoop_path, scratch_path
 
 # Output format per dataset folder; workbook datasets are written as Parquet (no XLSX writer).
 SINK_FORMATS = {
@@ -30,6 +32,7 @@ SINK_FORMATS = {
     "procurement": "csv", "interactions": "json", "telemetry": "json",
     "customers": "parquet", "dealers": "parquet",
 }
+DEAD_LETTER = "_dead_letter"
 
 
 def kafka_source(spark: SparkSession, servers: str, topics: list[str],
@@ -69,9 +72,10 @@ def decode(df: DataFrame, value_col: str = "value") -> DataFrame:
     return parsed.select(*keep, "__e.*", other.alias("other_fields"), F.col(value_col).alias("raw_value"))
 
 
-def dataset_rows(events: DataFrame, dataset: str) -> DataFrame:
+def dataset_rows(events: DataFrame, dataset: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows of one dataset with its fixed columns: aliases are taken where an event lacks the
-    canonical key, everything else the event carries goes to ``other_fields`` as JSON."""
+    canonical key, everything else the event carries goes to ``other_fields`` as JSON.
+    ``keep`` names columns passed on as they are."""
     rows = events.filter(F.col("event_type") == dataset)
     columns = schemas.event_columns(dataset)
     sources: dict[str, list[str]] = {}
@@ -87,7 +91,7 @@ def dataset_rows(events: DataFrame, dataset: str) -> DataFrame:
                         lambda k, v: v.isNotNull())
     other = F.map_concat(left, F.coalesce("other_fields", F.create_map().cast("map<string,string>")))
     return rows.select(
-        "event_type", "received_at", *[F.coalesce(c, *sources.get(c, [])).alias(c) for c in columns],
+        *keep, "event_type", "received_at", *[F.coalesce(c, *sources.get(c, [])).alias(c) for c in columns],
         F.when(F.size(other) > 0, F.to_json(other)).alias("other_fields"))
 
 
@@ -101,27 +105,43 @@ def unsupported(df: DataFrame) -> DataFrame:
     return df.filter(~F.coalesce(F.col("event_type").isin(schemas.STREAM_EVENT_TYPES), F.lit(False)))
 
 
+@contextmanager
+def _dealt(batch: DataFrame):
+    """The micro-batch written once to a scratch folder, a part for each sink: its sinks and the events of
+    a sink, with their ``position`` in the batch. A sink reads its own events alone (kept in memory, every
+    sink would read the whole batch, with all columns that its events lack). The folder goes at the end."""
+    spark, path = batch.sparkSession, scratch_path(batch.sparkSession, "micro-batch")
+    own = F.coalesce(F.col("event_type").isin(schemas.STREAM_EVENT_TYPES), F.lit(False))
+    parts = batch.withColumns({"raw_value": F.when(~own, F.col("raw_value")),  # only dead letters are kept as they came
+                               "position": F.monotonically_increasing_id(),
+                               "__sink": F.when(own, F.col("event_type")).otherwise(DEAD_LETTER)})
+    try:
+        parts.write.option("compression", "zstd").partitionBy("__sink").parquet(path)
+        dealt = spark.read.schema(parts.schema).parquet(path)
+        sinks = [r[0] for r in dealt.select("__sink").distinct().collect()]
+        yield sorted(set(sinks) - {DEAD_LETTER}), lambda sink: dealt.filter(F.col("__sink") == sink).drop("__sink")
+    finally:
+        fs, p = hadoop_path(spark, path)
+        fs.delete(p, True)
+
+
 def route_batch(batch: DataFrame, epoch_id: int, out_root: str) -> None:
     """Write one micro-batch into one folder per dataset, in that dataset's
     format and with its fixed columns, under an epoch-stamped directory (a replayed epoch
     overwrites itself)."""
-    batch = batch.persist()
-    try:
-        present = [r.event_type for r in supported(batch).select("event_type").distinct().collect()]
+    with _dealt(batch) as (present, events):
         for et in present:
-            w = dataset_rows(batch, et).write.mode("overwrite")
+            w = dataset_rows(events(et), et).write.mode("overwrite")
             if SINK_FORMATS[et] == "csv":
                 w = w.option("header", True).option("escape", '"')
             w.format(SINK_FORMATS[et]).save(os.path.join(out_root, et, f"epoch_{epoch_id:08d}"))
-        _dead_letters(batch, epoch_id, out_root)
-    finally:
-        batch.unpersist()
+        _dead_letters(events(DEAD_LETTER), epoch_id, out_root)
 
 
-def _dead_letters(batch: DataFrame, epoch_id: int, out_root: str) -> None:
+def _dead_letters(events: DataFrame, epoch_id: int, out_root: str) -> None:
     """The messages of no dataset, as they came."""
-    (unsupported(batch).select("raw_value", "event_type", "received_at").write.mode("overwrite")
-        .parquet(os.path.join(out_root, "_dead_letter", f"epoch_{epoch_id:08d}")))
+    (unsupported(events).select("raw_value", "event_type", "received_at").write.mode("overwrite")
+        .parquet(os.path.join(out_root, DEAD_LETTER, f"epoch_{epoch_id:08d}")))
 
 
 def start_router(events: DataFrame, out_root: str, checkpoint: str, available_now: bool = False,
@@ -139,13 +159,10 @@ def stage_batch(batch: DataFrame, epoch_id: int, staging_root: str, quarantine_r
     into the same staging tables; dirty rows to quarantine, other messages to the dead
     letters. A dataset's columns are fixed, so an event fares alike in any micro-batch.
     Replays are idempotent."""
-    batch = batch.persist()
-    try:
-        present = [r.event_type for r in supported(batch).select("event_type").distinct().collect()]
+    with _dealt(batch) as (present, events):
         for et in present:
-            rows = dataset_rows(batch, et).drop("received_at").withColumn(
-                "row_pos", F.struct(F.lit(epoch_id).cast("long").alias("b"),
-                                    F.monotonically_increasing_id().alias("i")))
+            rows = dataset_rows(events(et), et, keep=("position",)).drop("received_at").withColumn(
+                "row_pos", F.struct(F.lit(epoch_id).cast("long").alias("b"), F.col("position").alias("i"))).drop("position")
             c = clean(rows, et, optional=schemas.EVENT_OPTIONAL.get(et, ())).persist()
             try:
                 ok, dirty = Q.split_clean_dirty(c)
@@ -158,9 +175,7 @@ def stage_batch(batch: DataFrame, epoch_id: int, staging_root: str, quarantine_r
                       .write.mode("overwrite").parquet(os.path.join(quarantine_root, et, f"epoch_{epoch_id:08d}")))
             finally:
                 c.unpersist()
-        _dead_letters(batch, epoch_id, quarantine_root)
-    finally:
-        batch.unpersist()
+        _dead_letters(events(DEAD_LETTER), epoch_id, quarantine_root)
 
 
 def start_staging(events: DataFrame, staging_root: str, quarantine_root: str, checkpoint: str,

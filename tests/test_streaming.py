@@ -1,6 +1,8 @@
 import json
 import os
 
+from pyspark.sql import functions as F
+
 from finflow.streaming import events as EV
 
 
@@ -207,3 +209,27 @@ def test_age_bound_holds_while_events_keep_arriving(spark, tmp):
     finally:
         q.stop()
     assert n and {r.reason for r in spark.sql("SELECT reason FROM trickle").collect()} == {"age"}
+
+
+def test_a_sink_reads_its_own_events_alone(spark, tmp, monkeypatch):
+    """Each sink's write scans one part of the micro-batch; positions are those of the batch; null,
+    empty and unknown types are dead letters as they came; nothing stays in the scratch folder."""
+    src, out, plans, places = os.path.join(tmp, "in"), os.path.join(tmp, "out"), {}, []
+    lines = [json.dumps({"event_type": t, "interaction_id": str(i), "odd": i}) for i, t in enumerate(["interactions", "payments", None, "", "x=/y"] * 4)] + ["no json"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(src)
+    batch = EV.decode(spark.read.text(src).withColumn("received_at", F.current_timestamp()))
+    rows, scratch = EV.dataset_rows, EV.scratch_path
+    monkeypatch.setattr(EV, "dataset_rows", lambda ev, et, **kw: plans.__setitem__(et, ev) or rows(ev, et, **kw))
+    monkeypatch.setattr(EV, "scratch_path", lambda *a: places.append(scratch(*a)) or places[-1])
+    seen = {}
+    letters = EV._dead_letters
+    monkeypatch.setattr(EV, "_dead_letters", lambda ev, *a: seen.update({et: (df._jdf.queryExecution().executedPlan().toString(), [r.position for r in df.orderBy("position").collect()]) for et, df in plans.items()}) or letters(ev, *a))
+    EV.route_batch(batch, 0, out)
+    assert sorted(seen) == ["interactions", "payments"]
+    for et, (plan, position) in seen.items():
+        assert "InMemoryTableScan" not in plan and "PartitionFilters: [isnotnull(__sink" in plan
+        assert position == [i for i, x in enumerate(lines) if f'"{et}"' in x]
+    dead = spark.read.parquet(f"{out}/_dead_letter/*")
+    assert sorted(r.raw_value for r in dead.collect()) == sorted(x for x in lines if '"interactions"' not in x and '"payments"' not in x)
+    assert spark.read.option("header", True).csv(f"{out}/payments/*").count() == 4 == spark.read.json(f"{out}/interactions/*").count()
+    assert len(places) == 1 and not os.path.exists(places[0].removeprefix("file://"))
