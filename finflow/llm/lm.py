@@ -146,12 +146,20 @@ class Spelling:
         return np.log(self.prob[3]).ravel()
 
 
-def spelt(words: list[bytes], log: np.ndarray) -> np.ndarray:
-    """Natural log of the base probability of every word."""
+def distinct_rows(log: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows of ``Spelling.log`` and each context's row: contexts without customers share their
+    parent's. It is sent so, as every executor keeps a broadcast's copy on its disk."""
+    rows, at = np.unique(log.reshape(-1, SYMBOLS), axis=0, return_inverse=True)
+    return rows, at.ravel().astype(np.int32)
+
+
+def spelt(words: list[bytes], log: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Natural log of the base probability of every word, by the ``distinct_rows``."""
     if not words:
         return np.empty(0)
     cells, first = _spelling(words)
-    return np.add.reduceat(log[cells].astype(np.float64), first)
+    rows, at = log
+    return np.add.reduceat(rows[at[cells // SYMBOLS], cells % SYMBOLS].astype(np.float64), first)
 
 
 # -- training -------------------------------------------------------------------------------
@@ -311,9 +319,10 @@ def train(docs: DataFrame, seed: int = 11) -> tuple[Model, DataFrame]:
         for k in levels:
             levels[k] = levels[k].withColumns({f"{x}{i}": F.col(y) for i in keep for x, y in (("n", "c"), ("t", "t"))})
         n = _sums(levels[2], ["w"], n="t")
-        log = spark.sparkContext.broadcast(spelling.log)
+        log = spark.sparkContext.broadcast(distinct_rows(spelling.log))
         whole = n.agg(F.sum("n")).first()[0] + WORD_STRENGTH
         words = written(_seated(words.drop("n", "t", "s", "p").join(n, "w"), log, WORD_STRENGTH + discount * tables, discount, sweep), f"words-{sweep}")
+        log.destroy()  # the words are written
         tables, known = words.agg(F.sum("t"), F.sum("s")).first()
         fresh = (WORD_STRENGTH + discount * tables) / whole
         words = words.withColumn("p", (F.col("n") - discount * F.col("t")) / whole + fresh * F.col("s"))
@@ -421,7 +430,7 @@ def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
     size = words.agg(F.sum(F.col("c") * (F.octet_length("word") + 1))).first()[0] or 0
     blocks = int(size * FOLDS / (FOLDS - 1) // BLOCK_BYTES) + 1
     dealt = docs.select("doc_id", "text").withColumn("block", _block(blocks)).groupBy("block")
-    spellings = docs.sparkSession.sparkContext.broadcast(model.spellings)
+    spellings = docs.sparkSession.sparkContext.broadcast([distinct_rows(x) for x in model.spellings])
     values = [f"{x}{i}" for i in KEPT for x in "nt"]
     qs = [f"q{i}" for i in KEPT]
     tokens, types, fresh, outside, discounts = model.tokens, model.types, model.fresh, model.outside, model.discounts

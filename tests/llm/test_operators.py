@@ -497,3 +497,18 @@ def test_empty_tables(spark, none, items):
     assert secrets.report(none).count() == 0
     assert packing.packed(none).count() == 0
     assert licenses.report(none).count() == 0
+
+
+def test_spelling_tables_are_sent_small_and_dropped(spark, monkeypatch):
+    """op9: executors keep a copy of every broadcast on disk; contexts without customers are not sent each, a sweep's table goes after it."""
+    from pyspark.core.broadcast import Broadcast
+    sent, dropped, make, drop = [], [], type(spark.sparkContext).broadcast, Broadcast.destroy
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(value) or make(self, value))
+    monkeypatch.setattr(Broadcast, "destroy", lambda self, *a: dropped.append(self) or drop(self, *a))
+    docs = spark.createDataFrame([(i, f"some words of text {i} and more {i % 3}") for i in range(40)], "doc_id long, text string")
+    model, _ = lm.train(docs)
+    assert len(sent) == len(dropped) == lm.SWEEPS
+    for log in model.spellings:
+        rows, at = lm.distinct_rows(log)
+        assert np.array_equal(rows[at], log.reshape(-1, lm.SYMBOLS))
+    assert all(sum(x.nbytes for x in value) < model.spellings[0].nbytes / 10 for value in sent)
