@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finflow.session import scratch_path
+from finflow.session import hadoop_path, scratch_path
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = ASCII_UPPER.lower()
@@ -21,6 +21,9 @@ WORD_BYTES = bytes(
 #: Distinct words a Python worker remembers the hash (or ids) of; beyond it they are computed each time.
 MEMO_WORDS = 400_000
 
+#: Setting by which a query's shuffle files are removed at its end.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -37,6 +40,41 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Kept:
+    """A table written under the shared checkpoint dir, by the values of ``by`` if given, that can go once it is superseded.
+
+    The shuffles behind it go when it is written: what is read later are its files.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, df: DataFrame, by: str | None = None):
+        self.spark, self.path, self.schema, self.by = spark, scratch_path(spark, name), df.schema, by
+        before = spark.conf.get(SHUFFLES_GO, None)
+        spark.conf.set(SHUFFLES_GO, "true")
+        try:
+            writer = df.write.option("compression", "zstd")
+            (writer.partitionBy(by) if by else writer).parquet(self.path)
+        finally:
+            spark.conf.unset(SHUFFLES_GO) if before is None else spark.conf.set(SHUFFLES_GO, before)
+
+    @property
+    def all(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+    def _folder(self, value: str) -> str:
+        return f"{self.path}/{self.by}={value}"
+
+    def __getitem__(self, value: str) -> DataFrame:
+        fs, path = hadoop_path(self.spark, self._folder(value))
+        if not fs.exists(path):
+            return self.spark.createDataFrame([], self.schema)
+        rest = type(self.schema)([f for f in self.schema if f.name != self.by])
+        return self.spark.read.schema(rest).parquet(self._folder(value)).withColumn(self.by, F.lit(value)).select(*self.schema.names)
+
+    def drop(self, value: str | None = None) -> None:
+        fs, path = hadoop_path(self.spark, self.path if value is None else self._folder(value))
+        fs.delete(path, True)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to small letters, every other character untouched.
 

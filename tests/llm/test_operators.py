@@ -1,5 +1,6 @@
 """Every operator against brute force on awkward documents, and on empty tables."""
 
+import os
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from finflow.llm import decontam, licenses, lm, near_dup, packing, quality, rollup, secrets, sharding, tokens, topk
 from finflow.llm.common import table
+from finflow.session import scratch_path
 
 ROWS = odd.documents()
 
@@ -512,3 +514,69 @@ def test_spelling_tables_are_sent_small_and_dropped(spark, monkeypatch):
         rows, at = lm.distinct_rows(log)
         assert np.array_equal(rows[at], log.reshape(-1, lm.SYMBOLS))
     assert all(sum(x.nbytes for x in value) < model.spellings[0].nbytes / 10 for value in sent)
+
+
+def test_language_model_in_many_parts(spark, monkeypatch):
+    """op9: n-grams are counted, seated and found alike however many blocks and parts there are, also with frequent words, which are split."""
+    monkeypatch.setattr(lm, "PART_TOKENS", 300)
+    rng = np.random.default_rng(3)
+    texts = [" ".join(["the" if x < 30 else "of" if x < 40 else f"w{x}" for x in rng.integers(0, 100, 40)]) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    model, words = lm.train(docs)
+    assert model.parts.n > 4 and len(model.parts.words) >= 2 and model.parts.ways.max() > 4
+    h = lambda w: int(np.uint64(lm.WordHashes()[w]).view(np.int64))
+    three = Counter()
+    for i, t in enumerate(texts):
+        if odd.fold(i, lm.FOLDS) != lm.HELD_OUT:
+            ws = [h(w) for w in [b"", b"", *t.encode().split(), b""]]
+            three.update(zip(ws, ws[1:], ws[2:]))
+    facts = {tuple(r[:len(lm.KEY)]): r for r in model.facts.collect()}
+    assert {k[1:]: r.n0 for k, r in facts.items() if k[0] == 3} == three
+    assert len(facts) == model.facts.count()
+    for i in lm.KEPT:
+        room, dish, one = (Counter() for _ in range(3))
+        for (kind, *xs), r in facts.items():
+            if kind == 3:
+                dish[tuple(xs[1:])] += r[f"t{i}"]
+                room[tuple(xs[:2])] += r[f"t{i}"]
+            elif kind == 2:
+                one[xs[0]] += r[f"n{i}"]
+            assert 1 <= r[f"t{i}"] <= r[f"n{i}"]
+        assert {tuple(k[1:3]): r[f"n{i}"] for k, r in facts.items() if k[0] == 2} == dish
+        assert {tuple(k[1:3]): r[f"t{i}"] for k, r in facts.items() if k[0] == -3} == room
+        assert {k[1]: r[f"n{i}"] for k, r in facts.items() if k[0] == -2} == one
+    known = {r.w: r for r in words.collect()}
+
+    def chance(v2, v1, w, i):
+        p = known[w][f"q{i}"] if w in known else model.outside[i]
+        for k, before in ((2, (v1,)), (3, (v2, v1))):
+            pad = (0,) * (lm.ORDER - k)
+            dish, held = facts.get((k, *before, w, *pad)), facts.get((-k, *before, 0, *pad))
+            if held:
+                c, t = (dish[f"n{i}"], dish[f"t{i}"]) if dish else (0, 0)
+                p = (c - model.discounts[k] * t + (1 + model.discounts[k] * held[f"t{i}"]) * p) / (held[f"n{i}"] + 1)
+        return p
+
+    fresh = [*texts[:10], "the zz of the w50 zz", "", "of of of of"]
+    for r in lm.score(spark.createDataFrame(list(enumerate(fresh)), "doc_id long, text string").repartition(3), model, words).collect():
+        ws = [h(w) for w in [b"", b"", *fresh[r.doc_id].encode().split(), b""]]
+        want = sum(np.log10(np.mean([chance(*g, i) for i in lm.KEPT])) for g in zip(ws, ws[1:], ws[2:]))
+        assert r.event_score == pytest.approx(want, abs=1e-5)
+
+
+def test_language_model_leaves_little_on_disk(spark):
+    """op9: what a step has superseded goes, a trigram takes a few bytes, and only what the result reads is left."""
+    def folders():
+        top = os.path.dirname(scratch_path(spark, "x"))
+        return {f for f in (os.listdir(top) if os.path.isdir(top) else []) if any(n.endswith(".parquet") for _, _, ns in os.walk(os.path.join(top, f)) for n in ns)}
+
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"w{x}" for x in rng.zipf(1.3, 400) % 5000)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    before = folders()
+    model, _ = lm.train(docs)
+    size = model.trigrams.agg(F.sum(F.octet_length("data"))).first()[0]
+    assert size < 12 * model.facts.where("kind = 3").count()
+    before |= folders()
+    assert len(lm.report(docs).collect()) == 300
+    assert {f.rsplit("-", 1)[0] for f in folders() - before} <= {"blocks", *(f"answers-{k}" for k in range(1, lm.ORDER + 1))}
