@@ -264,13 +264,13 @@ class Texts:
     def read(cls, data: bytes) -> Texts:
         x = unpacked(data)
         words = x["spelling"].astype(np.uint8).tobytes().split(b"\n")
-        return cls(words, _hashed(words), x["tokens"], x["sizes"], x["learnt"].astype(bool))
+        return cls(words, _hashed(words), x["tokens"].astype(np.int32), x["sizes"], x["learnt"].astype(bool))  # a block has few words
 
     def grams(self) -> list[np.ndarray]:
         """The token two before, the one before, and itself; a text is preceded by ends."""
         end, first = self.words.index(b""), np.concatenate([[0], np.cumsum(self.sizes)[:-1]])
-        before = np.concatenate([[end], self.tokens[:-1]])  # the last text ended with an end
-        second = np.concatenate([[end], before[:-1]])
+        before = np.concatenate([self.tokens[-1:], self.tokens[:-1]])  # the last text ended with an end
+        second = np.concatenate([before[:1], before[:-1]])
         second[first] = end
         return [second, before, self.tokens]
 
@@ -279,23 +279,41 @@ def _hashed(words) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
 
 
-def _joint(columns: list[np.ndarray], size: int) -> np.ndarray:
-    """One number for every row of the columns, all below ``size``, in the rows' order."""
-    key, top = columns[0], size
+def _joint(columns: list[np.ndarray], size: int, bits: int) -> tuple[np.ndarray, int]:
+    """One number for every row of the columns, all below ``size``, in the rows' order, and what all numbers are below:
+    of that many bits, if ranks of the first columns allow it."""
+    key, top = columns[0].astype(np.int64), size
     for more in columns[1:]:
-        if top * size >= 1 << 62:
-            _, key = np.unique(key, return_inverse=True)
-            top = int(key.max(initial=0)) + 1
-        key, top = key * size + more, top * size
-    return key
+        if top * size >= 1 << bits:
+            order, new = _ranked(key, top)
+            key[order] = np.cumsum(new) - 1
+            top = int(new.sum()) or 1
+        key *= size
+        key += more
+        top *= size
+    return key, top
+
+
+def _ranked(key: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order that sorts numbers below ``top``, and where a new one begins in it."""
+    shift = len(key).bit_length()
+    if top <= 1 << 62 - shift:  # a number and its place are one: values sort several times faster than places
+        key = key << shift
+        key |= np.arange(len(key))
+        key.sort()
+        order = key & ((1 << shift) - 1)
+        key >>= shift
+    else:
+        order = np.argsort(key)
+        key = key[order]
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    return order, new
 
 
 def _distinct(columns: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The order that sorts the rows, the places in it where a distinct row begins, and each sorted row's number."""
-    key = _joint(columns, size)
-    order = np.argsort(key)
-    key = key[order]
-    new = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.empty(0, bool)
+    order, new = _ranked(*_joint(columns, size, 62 - len(columns[0]).bit_length()))
     return order, np.flatnonzero(new), np.cumsum(new) - 1
 
 
@@ -308,11 +326,16 @@ class Parts:
     ways: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))  # parts each is split into
 
     def of(self, hashes: np.ndarray, shared: np.ndarray, other: np.ndarray) -> np.ndarray:
-        at, there = _found(self.words, hashes)
-        ways = np.where(there, self.ways[at], 1) if len(self.words) else np.ones(len(hashes), np.int64)
-        own = hashes.view(np.uint64)
-        turn = mix64(own)[other] % ways.astype(np.uint64)[shared]
-        return (mix64(own[shared] + turn * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(self.n)).astype(np.int64)
+        own, n = hashes.view(np.uint64), np.uint64(self.n)
+        part = (mix64(own) % n).astype(np.int64)[shared]
+        if len(self.words):
+            at, there = _found(self.words, hashes)
+            ways = np.where(there, self.ways[at], 1)
+            split = np.flatnonzero(ways[shared] > 1)
+            shared = shared[split]
+            turn = mix64(own)[other[split]] % ways.astype(np.uint64)[shared]
+            part[split] = (mix64(own[shared] + turn * np.uint64(0x9E3779B97F4A7C15)) % n).astype(np.int64)
+        return part
 
 
 def _places(parts: int, part: np.ndarray):
@@ -700,7 +723,7 @@ def _bigrams(got: dict[str, list[dict]]) -> dict[str, np.ndarray]:
     """The bigrams of a part with n0, t0, ... by kept sweep; sorted."""
     still, live = _rows(got["pairs"][0]["data"]), unpacked(got["live"][0]["data"])
     words, (v1, w) = _merged([still, live], NAMES[1:])
-    order = np.argsort(_joint([v1, w], len(words)))
+    order, _, _ = _distinct([v1, w], len(words))
     values = {f"{x}{i}": np.concatenate([np.ones(len(still["w"]), np.int64), live[f"{x}{i}"]])[order] for i in KEPT for x in "nt"}
     return {"words": words, "v1": v1[order], "w": w[order], **values}
 
@@ -807,9 +830,11 @@ def _told(known: pa.Table, asks: pa.Table) -> pa.Table:
 def _asked(grams: list[np.ndarray], size: int) -> tuple[list[np.ndarray], np.ndarray]:
     """Distinct n-grams, sorted, and each token's."""
     order, first, number = _distinct(grams, size)
-    own = np.empty(len(order), np.int64)
+    own = np.empty(len(order), np.int32)  # as many as a block's tokens at most
     own[order] = number
-    return [g[order[first]] for g in grams], own
+    del number
+    first = order[first]
+    return [g[first] for g in grams], own
 
 
 def _found(own: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -869,6 +894,30 @@ def _answered(k: int):
     return run
 
 
+def _descend(p: list[np.ndarray], k: int, d: float, x: Texts, told: dict[int, bytes], by_word: dict[str, np.ndarray], parts: Parts) -> None:
+    """Takes the tokens' probabilities by kept sweep from the next shorter context to that of n-grams of k words, in place.
+
+    ``told``: the parts' answers. The restaurants' terms are computed by distinct n-gram, part by part."""
+    rows, number = _asked(x.grams()[-k:], len(x.words))
+    own_mass, passed = np.empty((2, len(KEPT), len(rows[0])))
+    for q, own in _places(parts.n, parts.of(x.hashes, *_shared(rows))):
+        theirs = unpacked(told.pop(q))
+        if k == ORDER:
+            sizes = np.diff(np.append(_starts([r[own] for r in rows[:2]]), len(own)))
+        for i in KEPT:
+            if k == ORDER:
+                c, n, t = theirs["c"], *(np.repeat(theirs[v], sizes) for v in ("rc", f"rt{i}"))
+            else:
+                c, n, t = theirs[f"n{i}"], *(by_word[v][rows[0][own]] for v in (f"rn{i}", f"rt{i}"))
+            whole = n + CONTEXT_STRENGTH
+            own_mass[i, own] = (c - d * theirs[f"t{i}"]) / whole
+            passed[i, own] = (CONTEXT_STRENGTH + d * t) / whole
+    del rows
+    for i in KEPT:
+        p[i] *= passed[i][number]
+        p[i] += own_mass[i][number]
+
+
 def score(docs: DataFrame, model: Model, words: DataFrame) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score, score, event_score of every row."""
     return _scored(Kept(docs.sparkSession, "blocks", blocks_of(docs)).all, model, words)
@@ -898,48 +947,36 @@ def _scored(blocks: DataFrame, model: Model, words: DataFrame, spend: bool = Fal
     def answer(texts: pa.Table, known: pa.Table) -> pa.Table:
         x, told = Texts.read(texts.column("data")[0].as_py()), defaultdict(dict)
         for row in known.to_pylist():
-            told[row["kind"]][row["part"]] = unpacked(row["data"])
+            told[row["kind"]][row["part"]] = row["data"]  # unpacked one at a time: a block's answers are large as arrays
         by_word = {n: np.zeros(len(x.words)) for n in ["c", *qs, *rooms]}
         for q, at in _places(parts.n, x.hashes % parts.n):
+            theirs = unpacked(told["1"].pop(q))
             for n, own in by_word.items():
-                own[at] = told["1"][q][n]
+                own[at] = theirs[n]
         c = by_word["c"]
         found = c > 0
         for i, q in enumerate(qs):
             by_word[q][~found] = outside[i]
         p = [by_word[q][x.tokens] for q in qs]
-        # Logarithm of what a spelling has of the event of all unseen words; as a number, a very long word's would be nought.
-        new, share = np.flatnonzero(~found), []
-        for i in KEPT:
-            own = np.zeros(len(x.words))
-            own[new] = np.log(fresh[i] / outside[i]) + spelt([x.words[j] for j in new], spellings.value[i])
-            share.append(own)
-        grams = x.grams()
-        before = grams[1]
         for k in sorted(discounts):
-            d, (rows, number) = discounts[k], _asked(grams[-k:], len(x.words))
-            theirs = told.pop(str(k))
-            names = [f"{y}{i}" for i in KEPT for y in ("n", "t")]
-            dish, room = {v: np.zeros(len(rows[0])) for v in names}, {v: np.zeros(len(rows[0])) for v in names}
-            for q, own in _places(parts.n, parts.of(x.hashes, *_shared(rows))):
-                if k == ORDER:
-                    sizes = np.diff(np.append(_starts([r[own] for r in rows[:2]]), len(own)))
-                for v in names:
-                    short = "c" if k == ORDER and v[0] == "n" else v
-                    dish[v][own] = theirs[q][short]
-                    if k == ORDER:
-                        room[v][own] = np.repeat(theirs[q]["r" + short], sizes)
-            for i in KEPT:
-                n, t = (room[f"n{i}"][number], room[f"t{i}"][number]) if k == ORDER else (by_word[f"rn{i}"][before], by_word[f"rt{i}"][before])
-                p[i] = ((dish[f"n{i}"] - d * dish[f"t{i}"])[number] + (CONTEXT_STRENGTH + d * t) * p[i]) / (n + CONTEXT_STRENGTH)
+            _descend(p, k, discounts[k], x, told.pop(str(k)), by_word, parts)
         first = np.concatenate([[0], np.cumsum(x.sizes)[:-1]])
-        plain = np.log10((c + 1) / (tokens + types + 1))[x.tokens]
-        mean = np.logaddexp.reduce([np.log(y) + z[x.tokens] for y, z in zip(p, share)], axis=0) - np.log(len(KEPT))
+        plain = np.add.reduceat(np.log10((c + 1) / (tokens + types + 1))[x.tokens], first)
+        event = np.add.reduceat(np.log10(sum(p) / len(p)), first)
+        # Logarithm of what a spelling has of the event of all unseen words; as a number, a very long word's would be nought.
+        new, share = np.flatnonzero(~found), np.zeros(len(x.words))
+        for i in KEPT:
+            share[new] = np.log(fresh[i] / outside[i]) + spelt([x.words[j] for j in new], spellings.value[i])
+            np.log(p[i], out=p[i])
+            p[i] += share[x.tokens]
+        mean = reduce(lambda y, z: np.logaddexp(y, z, out=y), p)
+        mean -= np.log(len(KEPT))
+        mean /= np.log(10)
         return pa.table({"doc_id": texts.column("ids").combine_chunks().flatten(), "n_tokens": pa.array(x.sizes, pa.int64()),
-                         "n_known": pa.array(np.add.reduceat((c > 0)[x.tokens].astype(np.int64), first), pa.int64()),
-                         "base_score": pa.array(np.add.reduceat(plain, first), pa.float64()),
-                         "score": pa.array(np.add.reduceat(mean / np.log(10), first), pa.float64()),
-                         "event_score": pa.array(np.add.reduceat(np.log10(np.mean(p, axis=0)), first), pa.float64())})
+                         "n_known": pa.array(np.add.reduceat(found[x.tokens].astype(np.int64), first), pa.int64()),
+                         "base_score": pa.array(plain, pa.float64()),
+                         "score": pa.array(np.add.reduceat(mean, first), pa.float64()),
+                         "event_score": pa.array(event, pa.float64())})
 
     kind = blocks.schema["ids"].dataType.elementType
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(

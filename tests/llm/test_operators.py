@@ -580,3 +580,30 @@ def test_language_model_leaves_little_on_disk(spark):
     before |= folders()
     assert len(lm.report(docs).collect()) == 300
     assert {f.rsplit("-", 1)[0] for f in folders() - before} <= {"blocks", *(f"answers-{k}" for k in range(1, lm.ORDER + 1))}
+
+
+def test_language_model_answers_in_little_memory(spark, monkeypatch):
+    """op9: the task that scores a block holds about as much as its tokens take, not every part's answers as arrays at once."""
+    import tracemalloc
+
+    from pyspark.sql.pandas.group_ops import PandasCogroupedOps
+    asked, apply = [], PandasCogroupedOps.applyInArrow
+    monkeypatch.setattr(PandasCogroupedOps, "applyInArrow", lambda self, f, schema: asked.append((self, f)) or apply(self, f, schema))
+    monkeypatch.setattr(lm, "PART_TOKENS", 50_000)
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 2000, 2000))) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    scored = lm.score(docs, *lm.train(docs))
+    groups, answer = asked[-1]
+    texts, known = groups._gd1._df.toArrow(), groups._gd2._df.toArrow()
+    assert texts.num_rows == 1
+    tracemalloc.start()
+    try:
+        got = answer(texts, known)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 180 * sum(got.column("n_tokens").to_pylist())
+    want = {r.doc_id: (r.n_tokens, r.score, r.event_score) for r in scored.collect()}
+    for r in got.to_pylist():
+        assert (r["n_tokens"], r["score"], r["event_score"]) == pytest.approx(want[r["doc_id"]])
