@@ -314,7 +314,9 @@ def _ranked(key: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
 def _distinct(columns: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The order that sorts the rows, the places in it where a distinct row begins, and each sorted row's number."""
     order, new = _ranked(*_joint(columns, size, 62 - len(columns[0]).bit_length()))
-    return order, np.flatnonzero(new), np.cumsum(new) - 1
+    number = np.cumsum(new)
+    number -= 1
+    return order, np.flatnonzero(new), number
 
 
 @dataclass
@@ -379,6 +381,7 @@ def _merged(rows: list[dict[str, np.ndarray]], names: list[str]) -> tuple[np.nda
     rank = np.argsort(-sum(np.bincount(c, minlength=len(words)) for c in columns), kind="stable")
     place = np.empty(len(rank), np.int64)
     place[rank] = np.arange(len(rank))
+    place = place.astype(np.int32)
     return words[rank], [place[c] for c in columns]
 
 
@@ -413,10 +416,10 @@ def _sent(rows: list[dict]) -> pa.Table:
 
 
 def _by_kind(table: pa.Table) -> dict[str, list[dict]]:
-    """The messages of each kind, by the part they come from."""
+    """The messages of each kind, by the part they come from; their data stays where Arrow has it."""
     got = defaultdict(list)
-    for row in sorted(table.to_pylist(), key=lambda r: r["src"]):
-        got[row["kind"]].append(row)
+    for src, kind, data in sorted(zip(table.column("src").to_pylist(), table.column("kind").to_pylist(), table.column("data")), key=lambda r: r[0]):
+        got[kind].append({"src": src, "data": data.as_buffer()})
     return got
 
 
@@ -446,9 +449,13 @@ def _grams(table: pa.Table, parts: Parts) -> pa.Table:
     part = table.column("part")[0].as_py()
     rows = [_rows(r["data"]) for r in _by_kind(table)["grams"]]
     words, columns = _merged(rows, NAMES)
+    c = np.concatenate([x["c"] for x in rows])
+    del rows
     order, first, _ = _distinct(columns, len(words))
-    c = np.add.reduceat(np.concatenate([x["c"] for x in rows])[order], first)
-    v2, v1, w = (x[order[first]] for x in columns)
+    c = np.add.reduceat(c[order], first)
+    first = order[first]
+    v2, v1, w = (x[first] for x in columns)
+    del columns, order, first
     many = c > 1
     out = [_message(part, part, "grams", packed(words=words, v2=np.diff(v2, prepend=0), v1=v1, w=w, c=c), int((c == 1).sum()), int((c == 2).sum()))]
     # Pairs, by part and then by word: those with a trigram that is seated anew are numbered so on both sides.
@@ -725,7 +732,7 @@ def _bigrams(got: dict[str, list[dict]]) -> dict[str, np.ndarray]:
     words, (v1, w) = _merged([still, live], NAMES[1:])
     order, _, _ = _distinct([v1, w], len(words))
     values = {f"{x}{i}": np.concatenate([np.ones(len(still["w"]), np.int64), live[f"{x}{i}"]])[order] for i in KEPT for x in "nt"}
-    return {"words": words, "v1": v1[order], "w": w[order], **values}
+    return {"words": words, "v1": v1[order].astype(np.int64), "w": w[order].astype(np.int64), **values}
 
 
 def _starts(columns: list[np.ndarray]) -> np.ndarray:
@@ -798,7 +805,7 @@ def _asking(blocks: DataFrame, k: int, parts: Parts, turn: int = 0, turns: int =
                     if turns > 1:
                         mine = parts.of(x.hashes, *_shared(grams)) % turns == turn
                         grams = [g[mine] for g in grams]
-                    rows, _ = _asked(grams, len(x.words))
+                    rows = _asked(grams, len(x.words))[0]
                     part = parts.of(x.hashes, *_shared(rows))
                     out = [_message(at, number, "ask", own) for at, own in _dealt(parts.n, part, x.hashes, NAMES[-k:], rows)]
                 yield pa.RecordBatch.from_pylist(out, ARROW)
@@ -863,10 +870,10 @@ def _answered(k: int):
                 first = _starts([own["v2"], own["v1"]])
                 rooms = (own["v2"] * size + own["v1"])[first]
                 sums = {v: np.add.reduceat(own[v], first) for v in values}
-                at = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(own["w"]))))
-                dishes = at * size + own["w"]
+                dishes = np.repeat(np.arange(len(first)) * size, np.diff(np.append(first, len(own["w"])))) + own["w"]
             else:
                 dishes = own["v1"] * size + own["w"]
+            own = {n: x for n, x in own.items() if n not in NAMES}  # the words and the values are left
         out = []
         for row in got["ask"]:
             x = _rows(row["data"])
@@ -946,8 +953,8 @@ def _scored(blocks: DataFrame, model: Model, words: DataFrame, spend: bool = Fal
 
     def answer(texts: pa.Table, known: pa.Table) -> pa.Table:
         x, told = Texts.read(texts.column("data")[0].as_py()), defaultdict(dict)
-        for row in known.to_pylist():
-            told[row["kind"]][row["part"]] = row["data"]  # unpacked one at a time: a block's answers are large as arrays
+        for part, kind, data in zip(known.column("part").to_pylist(), known.column("kind").to_pylist(), known.column("data")):
+            told[kind][part] = data.as_buffer()  # unpacked one at a time: a block's answers are large as arrays
         by_word = {n: np.zeros(len(x.words)) for n in ["c", *qs, *rooms]}
         for q, at in _places(parts.n, x.hashes % parts.n):
             theirs = unpacked(told["1"].pop(q))
